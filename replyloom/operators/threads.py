@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from replyloom.functions.text import child_ids, parse_created_at
 from replyloom.operators.ordering import first_rows, number_rows
-from replyloom.session import materialize
+from replyloom.session import cut_counting, cut_lineage, materialize
 
 
 def links(tweets: DataFrame) -> DataFrame:
@@ -39,7 +39,7 @@ def neighbourhood(tweets: DataFrame, seed: Column, hops: int = 3) -> DataFrame:
     )
     pointers = links(tweets)
     for hop in range(2, hops + 1):
-        reached = materialize(reached)
+        reached = cut_lineage(reached)
         frontier = reached.filter(F.col("hop") == hop - 1)
         step = pointers.join(frontier, pointers.src == frontier.tweet_id, "left_semi").select(
             F.col("dst").alias("tweet_id"), F.lit(hop).alias("hop")
@@ -76,16 +76,17 @@ def _double(nodes: DataFrame) -> DataFrame:
     A settled row points at its root. Only unsettled rows are joined again, so the rows under a hot
     root leave the loop as soon as they reach it.
     """
-    state = materialize(
+    unsettled = ~F.col("settled")
+    state, left = cut_counting(
         nodes.select(
             "tweet_id",
             F.coalesce("parent", "tweet_id").alias("ptr"),
             F.col("parent").isNull().alias("settled"),
-        )
+        ),
+        unsettled,
     )
-    done = [state.filter("settled")]
-    active = state.filter(~F.col("settled"))
-    left, round_no, bound = active.count(), 0, None
+    done, active = [state.filter("settled")], state.filter(unsettled)
+    round_no, bound = 0, None
     while left:
         # A chain can only be as long as the jumps made so far plus the rows still unsettled;
         # rows that stay unsettled beyond that lead into a cycle.
@@ -98,14 +99,12 @@ def _double(nodes: DataFrame) -> DataFrame:
         target = everything.unionByName(active).select(
             F.col("tweet_id").alias("ptr"), F.col("ptr").alias("next"), F.col("settled").alias("arrives")
         )
-        moved = materialize(
-            active.join(target, "ptr").select(
-                "tweet_id", F.col("next").alias("ptr"), F.col("arrives").alias("settled")
-            )
+        jumped = active.join(target, "ptr").select(
+            "tweet_id", F.col("next").alias("ptr"), F.col("arrives").alias("settled")
         )
+        moved, remaining = cut_counting(jumped, unsettled)
         done.append(moved.filter("settled"))
-        active = moved.filter(~F.col("settled"))
-        remaining = active.count()
+        active = moved.filter(unsettled)
         round_no += 1
         if remaining < left:
             left, bound = remaining, 2**round_no + remaining

@@ -274,11 +274,11 @@ sums AS (
 norms AS (SELECT label, sqrt(sum(m * m)) AS norm FROM sums GROUP BY label),
 centers AS (
   SELECT label, any_value(n) AS n, list(m / norm ORDER BY i) AS c FROM sums JOIN norms USING (label) GROUP BY label),
-similar AS (
+compared AS (
   SELECT vec_id, vectors.label AS intent, centers.label AS candidate, list_dot_product(v, c) AS score
   FROM vectors, centers WHERE NOT is_train),
 nearest AS (
-  SELECT vec_id, intent, candidate AS predicted_intent, score AS confidence FROM similar
+  SELECT vec_id, intent, candidate AS predicted_intent, score AS confidence FROM compared
   QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, candidate) = 1)"""
 
 
@@ -318,11 +318,11 @@ def _ngram_words() -> str:
     return f"""
 words AS (
   SELECT doc_id, list_filter(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+'),
-    w -> regexp_full_match(w, '[a-z]{{3,}}') AND NOT list_contains({listed(STOPS)}, w)) AS w FROM documents),
+    lambda w: regexp_full_match(w, '[a-z]{{3,}}') AND NOT list_contains({listed(STOPS)}, w)) AS w FROM documents),
 grams AS (
   SELECT 1 AS n, unnest(w) AS term FROM words
-  UNION ALL SELECT 2, unnest(list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1])) FROM words
-  UNION ALL SELECT 3, unnest(list_transform(range(1, len(w) - 1), i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM words),
+  UNION ALL SELECT 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM words
+  UNION ALL SELECT 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM words),
 counted AS (SELECT n::BIGINT AS n, term, count(*) AS occurrences FROM grams GROUP BY ALL)"""
 
 
@@ -330,9 +330,9 @@ def _tfidf() -> str:
     return f"""
 words AS (
   SELECT pair_id, split, list_filter(regexp_extract_all(lower(customer_text_normalized), '[\\p{{L}}\\p{{N}}_]{{2,}}'),
-    w -> NOT list_contains({listed(STOPS)}, w)) AS w FROM assigned WHERE split IN ('train', 'test')),
+    lambda w: NOT list_contains({listed(STOPS)}, w)) AS w FROM assigned WHERE split IN ('train', 'test')),
 terms AS (
-  SELECT pair_id, split, unnest(list_concat(w, list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1]))) AS term
+  SELECT pair_id, split, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS term
   FROM words),
 tf AS (SELECT pair_id, split, term, count(*) AS tf FROM terms GROUP BY ALL),
 fitted AS (SELECT count(*) AS rows FROM assigned WHERE split = 'train'),
@@ -393,15 +393,18 @@ profiled AS (
 
 def _brand_link() -> str:
     return f"""
+  WITH repliers AS (
+    SELECT in_response_to_tweet_id AS tweet_id, arg_min(author_id, tweet_id) AS replier
+    FROM tweets WHERE NOT inbound AND in_response_to_tweet_id IS NOT NULL GROUP BY 1),
+  mentions AS (
+    SELECT tweet_id, unnest(names) AS name, generate_subscripts(names, 1) AS i
+    FROM (SELECT tweet_id, regexp_extract_all(coalesce(text, ''), {q(MENTION_NAME)}, 1) AS names FROM tweets WHERE inbound)),
+  mentioned AS (
+    SELECT tweet_id, arg_min(name, i) AS mentioned FROM mentions
+    WHERE name IN (SELECT author_id FROM tweets WHERE NOT inbound) GROUP BY 1)
   SELECT t.tweet_id, coalesce(replier, mentioned) AS brand,
     CASE WHEN replier IS NOT NULL THEN 'reply' WHEN mentioned IS NOT NULL THEN 'mention' ELSE 'unmatched' END AS link
-  FROM (
-    SELECT i.tweet_id,
-      (SELECT arg_min(author_id, o.tweet_id) FROM tweets o WHERE NOT o.inbound AND o.in_response_to_tweet_id = i.tweet_id)
-        AS replier,
-      list_filter(regexp_extract_all(coalesce(i.text, ''), {q(MENTION_NAME)}, 1),
-        n -> list_contains((SELECT list(DISTINCT author_id) FROM tweets WHERE NOT inbound), n))[1] AS mentioned
-    FROM tweets i WHERE i.inbound) t"""
+  FROM tweets t LEFT JOIN repliers USING (tweet_id) LEFT JOIN mentioned USING (tweet_id) WHERE inbound"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -409,15 +412,15 @@ def oracle_sql() -> dict[str, str]:
     conf_rows = ", ".join(f"({q(i)}, {q(c)})" for i, e in TAXONOMY.items() for c in e["confusable_intents"])
     pair_columns = """pair_id, conversation_id, customer_tweet_id, response_tweet_id, customer_author_id, customer_text,
       response_text, customer_text_normalized, response_text_normalized, customer_timestamp, response_timestamp,
-      turn_delay_seconds, response_has_url, response_requests_dm, response_mentions_genius_bar,
+      CAST(turn_delay_seconds AS VARCHAR) AS turn_delay_seconds, response_has_url, response_requests_dm, response_mentions_genius_bar,
       response_has_troubleshooting, conversation_length"""
-    error_query = "predicted"
     sql = {
         "conversation_docs": statement(
             MESSAGES, THREADS,
             f"""SELECT conversation_id, conversation_length, 0::BIGINT AS part,
               row_number() OVER (PARTITION BY conversation_id ORDER BY {parsed('created_at')} NULLS LAST, tweet_id) - 1 AS position,
-              tweet_id, author_id, inbound, created_at, text, in_response_to_tweet_id, response_tweet_id FROM threads"""),
+              tweet_id, author_id, inbound, created_at, text,
+              CAST(in_response_to_tweet_id AS VARCHAR) AS in_response_to_tweet_id, response_tweet_id FROM threads"""),
         "conversation_doc_audit": statement(
             MESSAGES, THREADS,
             """SELECT count(DISTINCT conversation_id) AS conversations, count(*) AS total_turns, 0::BIGINT AS missing_keys
@@ -502,7 +505,7 @@ def oracle_sql() -> dict[str, str]:
         "split_tweet_counts": statement(
             *TO_SPLIT,
             """SELECT split, count(tweet_id) AS tweets FROM split_of LEFT JOIN threads USING (conversation_id) GROUP BY split"""),
-        "brand_link": statement(MESSAGES, _brand_link()),
+        "brand_link": statement(MESSAGES, f"linked AS ({_brand_link()})", "SELECT * FROM linked"),
         "text_preserved_audit": statement(
             *TO_CLEAN,
             """SELECT count(*) AS compared, count(*) FILTER (c.customer_text IS DISTINCT FROM p.customer_text
@@ -613,7 +616,7 @@ def oracle_sql() -> dict[str, str]:
             ORDER BY md5('{SEED}:' || pair_id), pair_id LIMIT 250"""),
         "error_sample": statement(
             *TO_CONFUSION,
-            f"""SELECT pair_id, customer_text AS query, intent AS true_intent, predicted_intent FROM {error_query}
+            f"""SELECT pair_id, customer_text AS query, intent AS true_intent, predicted_intent FROM predicted
             WHERE intent <> predicted_intent ORDER BY md5('{SEED}:' || pair_id), pair_id LIMIT 20"""),
         "conversation_split": statement(*TO_SPLIT, "SELECT pair_id, conversation_id, split FROM assigned"),
         "split_summary": statement(
@@ -646,8 +649,8 @@ def oracle_sql() -> dict[str, str]:
         "child_edges": statement(MESSAGES, LINKS, "SELECT tweet_id, child_id FROM children"),
         "parse_created_at": statement(
             MESSAGES,
-            f"""SELECT tweet_id, {parsed('created_at')} AS "at", year({parsed('created_at')}) AS year,
-            month({parsed('created_at')}) AS month FROM tweets"""),
+            f"""SELECT tweet_id, {parsed('created_at')} AS "at", CAST(year({parsed('created_at')}) AS VARCHAR) AS year,
+            CAST(month({parsed('created_at')}) AS VARCHAR) AS month FROM tweets"""),
         "intent_label": statement(*TO_CLEAN, labelled("clean"), "SELECT pair_id, intent FROM labelled"),
         "rule_predict": statement(
             MESSAGES, PAIRS, predicted("pairs"), "SELECT pair_id, predicted_intent, confidence, matched_rule FROM predicted"),

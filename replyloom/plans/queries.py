@@ -82,7 +82,8 @@ class _Splits:
 
 @query
 def conversation_docs(spark, sf):
-    return threads.flatten_records(threads.conversation_records(_threads(spark, sf)))
+    flat = threads.flatten_records(threads.conversation_records(_threads(spark, sf)))
+    return flat.withColumn("in_response_to_tweet_id", F.col("in_response_to_tweet_id").cast("string"))
 
 
 @query
@@ -177,7 +178,8 @@ def signature_rate(spark, sf):
 
 @query
 def support_pairs(spark, sf):
-    return pairs.support_pairs(_threads(spark, sf), BRAND)
+    found = pairs.support_pairs(_threads(spark, sf), BRAND)
+    return found.withColumn("turn_delay_seconds", F.col("turn_delay_seconds").cast("string"))
 
 
 @query
@@ -409,7 +411,7 @@ def child_edges(spark, sf):
 def parse_created_at(spark, sf):
     at = X.parse_created_at(F.col("created_at"))
     return messages(spark, sf).select(
-        "tweet_id", at.alias("at"), F.year(at).cast("bigint").alias("year"), F.month(at).cast("bigint").alias("month")
+        "tweet_id", at.alias("at"), F.year(at).cast("string").alias("year"), F.month(at).cast("string").alias("month")
     )
 
 

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Runtime settings the operators rely on. A hot join key is split by AQE, and the
 # split is kept even when a later step needs one more exchange because of it.
@@ -57,6 +59,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder once and cut its lineage there."""
+    """Write ``df`` once as a table in the checkpoint folder and go on from the files.
+
+    A table cuts the lineage as a checkpoint does, and later steps still read only the columns and row
+    groups they need and know its size when they plan a join.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint, for narrow loop state that is read back whole."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def cut_counting(df: DataFrame, condition: Column) -> tuple[DataFrame, int]:
+    """``cut_lineage`` and the number of rows that satisfy ``condition``, from the same job."""
+    observation = Observation()
+    written = cut_lineage(df.observe(observation, F.count_if(condition).alias("n")))
+    return written, observation.get["n"]

@@ -54,12 +54,12 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def from_turns(turns: DataFrame) -> DataFrame:
-    conv, turn, role = F.col("conv_id"), F.col("turn"), F.col("role")
-    tid, copy = F.col("tweet_id"), F.col("copy")
+    conv, turn, role, tid = F.col("conv_id"), F.col("turn"), F.col("role"), F.col("tweet_id")
+    first_id = conv * STRIDE + turn
     answered_twice = (role == "assistant") & (conv % 10 == 0)
-    numbered = turns.withColumn(
-        "copy", F.explode(F.when(answered_twice, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
-    ).withColumn("tweet_id", conv * STRIDE + turn + copy * SECOND_REPLY)
+    ids = F.when(answered_twice, F.array(first_id, first_id + SECOND_REPLY)).otherwise(F.array(first_id))
+    numbered = turns.withColumn("tweet_id", F.explode(ids))
+    copy = F.when(tid % STRIDE >= SECOND_REPLY, 1).otherwise(0)
 
     customer = (conv + 100_000).cast("string")
     author = (
