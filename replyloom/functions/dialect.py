@@ -11,6 +11,8 @@ WORD = r"\p{L}\p{N}_"
 DIGIT = r"\p{Nd}"
 SPACE = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 BOUNDARY = f"(?:(?<=[{WORD}])(?![{WORD}])|(?<![{WORD}])(?=[{WORD}]))"
+WORD_START = f"(?<![{WORD}])"
+WORD_END = f"(?![{WORD}])"
 
 _OUTSIDE = {
     "b": BOUNDARY,
@@ -23,8 +25,15 @@ _INSIDE = {"w": WORD, "d": DIGIT, "s": SPACE}
 
 
 def unicode_regex(pattern: str, ignore_case: bool = False) -> str:
-    """Expand the shorthand classes of ``pattern`` for Spark's regex functions."""
+    """Expand the shorthand classes of ``pattern`` for Spark's regex functions.
+
+    A ``\\b`` at the very beginning must be followed by word characters only; it is tried at every
+    position of a text, so it becomes the cheaper test that no word character comes before.
+    """
     out: list[str] = []
+    if pattern.startswith(r"\b"):
+        out.append(WORD_START)
+        pattern = pattern[2:]
     in_class = False
     chars = iter(pattern)
     for ch in chars:

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from replyloom.functions.dialect import SPACE, unicode_regex
+from replyloom.functions.dialect import SPACE, WORD_END, WORD_START, unicode_regex
 
 # The shapes of handles, links, signatures and dates in the message data.
 NUMERIC_HANDLE = r"@\d+\b"
@@ -68,7 +68,7 @@ def modelling_text(text: Column) -> Column:
 
 def ascii_words(text: Column, stop_words: Iterable[str] = ()) -> Column:
     """Whole words of three or more letters a-z, stop words dropped."""
-    found = F.regexp_extract_all(F.lower(_or_empty(text)), F.lit(unicode_regex(r"\b[a-z]{3,}\b")), 0)
+    found = F.regexp_extract_all(F.lower(_or_empty(text)), F.lit(f"{WORD_START}[a-z]{{3,}}+{WORD_END}"), 0)
     return drop_words(found, stop_words)
 
 
@@ -84,14 +84,17 @@ def drop_words(words: Column, stop_words: Iterable[str]) -> Column:
 
 
 def ngrams(words: Column, n: int) -> Column:
-    """Blank-joined runs of ``n`` neighbouring words."""
-    if n == 1:
-        return words
-    runs = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size(words) - (n - 1), F.lit(1))),
-        lambda i: F.array_join(F.slice(words, i, n), " "),
-    )
-    return F.when(F.size(words) >= n, runs).otherwise(F.array().cast("array<string>"))
+    """Blank-joined runs of ``n`` neighbouring words.
+
+    ``words`` should be a column reference: it is read once per run length.
+    """
+    runs = words
+    for last in range(2, n + 1):
+        count = F.greatest(F.size(words) - (last - 1), F.lit(0))
+        runs = F.zip_with(
+            F.slice(runs, 1, count), F.slice(words, last, count), lambda head, tail: F.concat(head, F.lit(" "), tail)
+        )
+    return runs
 
 
 def child_ids(id_list: Column) -> Column:

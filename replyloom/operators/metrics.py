@@ -50,18 +50,25 @@ def _ratio(part: Column, whole: Column) -> Column:
     return F.coalesce(F.try_divide(part.cast("double"), whole.cast("double")), F.lit(0.0))
 
 
-def _per_class(counts: DataFrame, labels: Sequence[str]) -> DataFrame:
-    """Unrounded metrics per label; a class never predicted or without support scores zero."""
+def _totals(counts: DataFrame, labels: Sequence[str]) -> DataFrame:
+    """Hits, support and predictions per label, and over all rows under the label null."""
     hit = F.when(F.col("true_label") == F.col("predicted_label"), F.col("n")).otherwise(0)
-    none = F.lit(0).cast("bigint")
+    n, none = F.col("n"), F.lit(0).cast("bigint")
+
+    def share(label: Column, hits: Column, support: Column, predicted: Column) -> Column:
+        return F.struct(
+            label.alias("label"), hits.alias("hits"), support.alias("support"), predicted.alias("predicted")
+        )
+
     shares = F.array(
-        F.struct(F.col("true_label").alias("label"), hit.alias("hits"), F.col("n").alias("support"), none.alias("predicted")),
-        F.struct(F.col("predicted_label").alias("label"), none.alias("hits"), none.alias("support"), F.col("n").alias("predicted")),
+        share(F.col("true_label"), hit, n, none),
+        share(F.col("predicted_label"), none, none, n),
+        share(F.lit(None).cast("string"), hit, n, n),
     )
     return (
         counts.unionByName(_zeros(counts, labels))
         .select(F.inline(shares))
-        .filter(F.col("label").isin(list(labels)))
+        .filter(F.col("label").isNull() | F.col("label").isin(list(labels)))
         .groupBy("label")
         .agg(*[F.sum(c).cast("bigint").alias(c) for c in ("hits", "support", "predicted")])
         .withColumns({
@@ -74,20 +81,23 @@ def _per_class(counts: DataFrame, labels: Sequence[str]) -> DataFrame:
 
 
 def per_class(counts: DataFrame, labels: Sequence[str], digits: int = 4) -> DataFrame:
-    return _per_class(counts, labels).select(
-        "label", *[F.round(m, digits).alias(m) for m in ("precision", "recall", "f1")], "support"
+    """Precision, recall, F1 and support; a class never predicted or without support scores zero."""
+    return (
+        _totals(counts, labels)
+        .filter("label IS NOT NULL")
+        .select("label", *[F.round(m, digits).alias(m) for m in ("precision", "recall", "f1")], "support")
     )
 
 
 def overall(counts: DataFrame, labels: Sequence[str], digits: int = 4) -> DataFrame:
     """Accuracy over all rows; macro and support-weighted averages over the label list."""
-    hits = F.sum(F.when(F.col("true_label") == F.col("predicted_label"), F.col("n")).otherwise(0))
-    accuracy = counts.agg(_ratio(hits, F.sum("n")).alias("accuracy"))
-    measures = ("precision", "recall", "f1")
-    macro = [F.avg(m).alias(f"macro_{m}") for m in measures]
-    weighted = [_ratio(F.sum(F.col(m) * F.col("support")), F.sum("support")).alias(f"weighted_{m}") for m in measures]
-    averages = _per_class(counts, labels).agg(*macro, *weighted).withColumn("accuracy", accuracy.scalar())
-    return averages.select(*[F.round(m, digits).alias(m) for m in OVERALL])
+    is_label = F.col("label").isNotNull()
+    support = F.when(is_label, F.col("support"))
+    values = {"accuracy": F.max(F.when(~is_label, F.col("recall")))}
+    for m in ("precision", "recall", "f1"):
+        values[f"macro_{m}"] = F.avg(F.when(is_label, F.col(m)))
+        values[f"weighted_{m}"] = _ratio(F.sum(F.col(m) * support), F.sum(support))
+    return _totals(counts, labels).agg(*[F.round(values[m], digits).alias(m) for m in OVERALL])
 
 
 def model_delta(models: dict[str, DataFrame], labels: Sequence[str], baseline: str, digits: int = 4) -> DataFrame:

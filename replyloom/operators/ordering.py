@@ -10,14 +10,18 @@ from pyspark.sql import functions as F
 from replyloom.session import materialize
 
 
-def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], n: int = 1) -> DataFrame:
-    """The first ``n`` rows of each group.
+def first_rows(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], n: int = 1, keep: str | None = None
+) -> DataFrame:
+    """The first ``n`` rows of each group, with their rank as column ``keep`` when named.
 
     Spark keeps only ``n`` rows per group in every map task before the shuffle (WindowGroupLimit), so a
     group with a third of all rows costs no more than any other.
     """
     window = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") <= n).drop("_rank")
+    rank = keep or "_rank"
+    ranked = df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= n)
+    return ranked if keep else ranked.drop(rank)
 
 
 def number_rows(

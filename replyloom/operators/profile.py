@@ -15,7 +15,7 @@ from replyloom.functions.text import (
     ngrams,
     parse_created_at,
 )
-from replyloom.operators.ordering import order_statistics, quantiles
+from replyloom.operators.ordering import first_rows, order_statistics, quantiles
 from replyloom.operators.rules import matches
 from replyloom.operators.threads import brand_outbound
 from replyloom.vocabulary import COURTESY_DOMAIN, DOMAIN_PATTERNS, REPLY_SIGNALS
@@ -234,18 +234,20 @@ def top_ngrams(
 ) -> DataFrame:
     """The most frequent word runs of each length (ties: alphabetical)."""
     words = df.select(ascii_words(F.col(text), stop_words).alias("words"))
-    out = None
+    tagged = [
+        F.transform(ngrams(F.col("words"), n), lambda t, n=n: F.struct(F.lit(n).cast("bigint").alias("n"), t.alias("term")))
+        for n in top
+    ]
+    counts = (
+        words.select(F.inline(F.concat(*tagged)))
+        .groupBy("n", "term")
+        .agg(F.count(F.lit(1)).alias("occurrences"))
+    )
+    ranked = first_rows(counts, ["n"], [F.desc("occurrences"), "term"], max(top.values()), keep="rank")
+    wanted = F.lit(False)
     for n, k in top.items():
-        counts = (
-            words.select(F.explode(ngrams(F.col("words"), n)).alias("term"))
-            .groupBy("term")
-            .agg(F.count(F.lit(1)).alias("occurrences"))
-            .orderBy(F.desc("occurrences"), "term")
-            .limit(k)
-            .select(F.lit(n).cast("bigint").alias("n"), "term", "occurrences")
-        )
-        out = counts if out is None else out.unionByName(counts)
-    return out
+        wanted = wanted | ((F.col("n") == n) & (F.col("rank") <= k))
+    return ranked.filter(wanted).drop("rank")
 
 
 def link_brands(tweets: DataFrame) -> DataFrame:

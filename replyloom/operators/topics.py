@@ -15,7 +15,7 @@ from replyloom.functions.text import modelling_text
 from replyloom.functions.vectors import SparseBatch
 from replyloom.operators.features import fit_tfidf
 from replyloom.operators.ordering import first_rows
-from replyloom.session import materialize
+from replyloom.session import materialize, spread
 
 CLEANED = "_cleaned"
 FEATURES = "_features"
@@ -64,7 +64,7 @@ def kmeans_topics(
     """Cluster texts: a summary per cluster and the cluster of every row."""
     cleaned = df.withColumn(CLEANED, modelling_text(F.col(text)))
     tfidf = fit_tfidf(cleaned, CLEANED, max_features, min_df, max_df, stop_words)
-    rows = materialize(tfidf.vectors(cleaned.select(key, CLEANED), CLEANED, FEATURES).select(key, FEATURES))
+    rows = spread(materialize(tfidf.vectors(cleaned.select(key, CLEANED), CLEANED, FEATURES).select(key, FEATURES)))
     model = KMeans(k=k, seed=seed, featuresCol=FEATURES, predictionCol="cluster_id").fit(rows)
     assigned = model.transform(rows).select(key, "cluster_id")
     centers = model.clusterCenters()
@@ -141,7 +141,7 @@ def nonnegative_fit(projected: np.ndarray, gram: np.ndarray, sweeps: int = 100,
 
 
 def fit_nmf(
-    rows: DataFrame, terms: Sequence[str], k: int = 8, max_iter: int = 200, tol: float = 1e-4, seed: int = 42
+    rows: DataFrame, terms: Sequence[str], k: int = 8, max_iter: int = 200, tol: float = 1e-5, seed: int = 42
 ) -> NmfModel:
     """Alternating non-negative least squares over a table of sparse vectors.
 
@@ -253,14 +253,14 @@ def nmf_topics(
     max_df: float = 0.5,
     max_features: int = 12_000,
     max_iter: int = 200,
-    tol: float = 1e-4,
+    tol: float = 1e-5,
     top: int = 15,
     example_count: int = 4,
 ) -> tuple[DataFrame, DataFrame]:
     """Topics of the texts: a summary per topic and the dominant topic of every row."""
     cleaned = df.withColumn(CLEANED, modelling_text(F.col(text)))
     tfidf = fit_tfidf(cleaned, CLEANED, max_features, min_df, max_df, stop_words)
-    rows = materialize(tfidf.vectors(cleaned.select(key, CLEANED), CLEANED, FEATURES).select(key, FEATURES))
+    rows = spread(materialize(tfidf.vectors(cleaned.select(key, CLEANED), CLEANED, FEATURES).select(key, FEATURES)))
     model = fit_nmf(rows, tfidf.terms, k, max_iter, tol, seed)
     assigned = model.assign(rows, key).select(key, "topic_id")
     names = {i + 1: _top_terms(h, tfidf.terms, top) for i, h in enumerate(model.components)}

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from replyloom import schemas
 from replyloom.functions import text as X
 from replyloom.operators import classifiers, features, metrics, ordering, pairs, profile, quality, rules, splits, threads, topics
-from replyloom.session import materialize, tune
+from replyloom.session import materialize, spread, tune
 from replyloom.sources.files import confusable_pairs, taxonomy_rows
 from replyloom.sources.messages import BRAND, messages, read_table
 from replyloom.vocabulary import INTENTS, REPLY_SIGNALS, TAXONOMY
@@ -62,13 +62,17 @@ def _predicted(spark, sf):
     return rules.rule_predict(_labelled(spark, sf))
 
 
+def _documents(spark, sf):
+    return spread(read_table(spark, sf, "documents"))
+
+
 class _Splits:
     """Threads, pairs, golden sample and split assignment of one run."""
 
     def __init__(self, spark, sf):
         self.tweets = materialize(_threads(spark, sf))
         self.pairs = materialize(pairs.normalize_pairs(pairs.support_pairs(self.tweets, BRAND)))
-        self.clean = quality.keep_clean(quality.quality_flags(self.pairs))
+        self.clean = materialize(quality.keep_clean(quality.quality_flags(self.pairs)))
         self.golden = splits.seeded_sample(self.pairs, "pair_id", SAMPLE, SEED)
         fitted = splits.fit_conversation_split(self.clean, self.golden, seed=SEED)
         self.assigned = splits.assign_split(self.clean, self.golden, fitted)
@@ -293,12 +297,12 @@ def time_cutoffs(spark, sf):
 
 @query
 def text_length_stats(spark, sf):
-    return profile.text_length_stats(read_table(spark, sf, "documents"), "text")
+    return profile.text_length_stats(_documents(spark, sf), "text")
 
 
 @query
 def top_ngrams(spark, sf):
-    return profile.top_ngrams(read_table(spark, sf, "documents"), "text", STOPS)
+    return profile.top_ngrams(_documents(spark, sf), "text", STOPS)
 
 
 @query
@@ -515,7 +519,7 @@ def tfidf_weights(spark, sf):
 def tfidf_lr_metrics(spark, sf):
     """Language of documents learnt on three quarters of them and scored on the rest."""
     digit = F.substring(splits.shuffle_key("doc_id", SEED), 1, 1)
-    documents = read_table(spark, sf, "documents").select("doc_id", "text", "lang", (digit < "c").alias("train"))
+    documents = _documents(spark, sf).select("doc_id", "text", "lang", (digit < "c").alias("train"))
     model = classifiers.fit_tfidf_logistic(
         documents.filter("train"), "text", "lang", LANGUAGES, STOPS, max_features=VOCABULARY
     )
@@ -525,11 +529,11 @@ def tfidf_lr_metrics(spark, sf):
 
 @query
 def kmeans_topics(spark, sf):
-    return topics.kmeans_topics(read_table(spark, sf, "documents"), "doc_id", "text", STOPS)[0]
+    return topics.kmeans_topics(_documents(spark, sf), "doc_id", "text", STOPS)[0]
 
 
 @query
 def nmf_topics(spark, sf):
-    return topics.nmf_topics(read_table(spark, sf, "documents"), "doc_id", "text", STOPS)[0]
+    return topics.nmf_topics(_documents(spark, sf), "doc_id", "text", STOPS)[0]
 
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from replyloom.session import spread
+
 BRAND = "HelpDesk"
 OTHER_BRAND = "OtherCare"
 STRIDE = 1_000_000
@@ -50,7 +52,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``conversations`` table as raw messages."""
-    return from_turns(read_table(spark, sf_dir, "conversations"))
+    return from_turns(spread(read_table(spark, sf_dir, "conversations")))
 
 
 def from_turns(turns: DataFrame) -> DataFrame:
