@@ -25,7 +25,12 @@ def first_rows(
 
 
 def number_rows(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], output: str, slice_rows: int = 1_000_000
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    output: str,
+    slice_rows: int = 1_000_000,
+    max_slices: int = 20_000,
 ) -> DataFrame:
     """Dense 1-based numbers in ``order`` within ``keys`` (or over all rows when ``keys`` is empty).
 
@@ -33,7 +38,7 @@ def number_rows(
     numbered locally and shifted by the sizes of the earlier slices of the same group. At most one group
     continues from one slice into the next, so there are fewer shifts than slices.
     """
-    slices = max(1, -(-df.count() // slice_rows))
+    slices = min(max_slices, max(1, -(-df.count() // slice_rows)))
     sliced = materialize(
         df.repartitionByRange(slices, *[F.col(c) for c in [*keys, *order]]).withColumn("_slice", F.spark_partition_id())
     )
@@ -104,6 +109,8 @@ def _walk(counted, rank: int):
 def quantiles(df: DataFrame, column: str, probabilities: Sequence[float], exact_rows: int = 1_000_000) -> list[Column]:
     """Exact quantiles with linear interpolation, as columns for use in ``df.agg``.
 
+    ``df`` is read more than once, so it should be a table, not a long computation.
+
     Spark's ``percentile`` keeps every distinct value in one buffer, so it is used up to ``exact_rows``
     rows; beyond that the values are found by ``order_statistics``.
     """

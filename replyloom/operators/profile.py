@@ -18,6 +18,7 @@ from replyloom.functions.text import (
 from replyloom.operators.ordering import first_rows, order_statistics, quantiles
 from replyloom.operators.rules import matches
 from replyloom.operators.threads import brand_outbound
+from replyloom.session import materialize
 from replyloom.vocabulary import COURTESY_DOMAIN, DOMAIN_PATTERNS, REPLY_SIGNALS
 
 
@@ -84,20 +85,20 @@ def profile_core(tweets: DataFrame) -> DataFrame:
 def column_profile(df: DataFrame) -> DataFrame:
     """Type, null count and null percent of every column, and the number of repeated whole rows.
 
-    Whole rows are compared by their values: equal rows are pre-aggregated, so copies never pile up in one task.
+    Nulls need no shuffle. Repeats are looked for among rows whose two 64-bit hashes occur again, so only
+    those rows travel whole; they are then compared by value.
     """
     columns = df.columns
-    total = F.sum("_copies")
-    nulls = [F.sum(F.when(F.col(c).isNull(), F.col("_copies")).otherwise(0)) for c in columns]
-    stats = (
-        df.groupBy(*columns)
-        .agg(F.count(F.lit(1)).alias("_copies"))
-        .agg(
-            total.cast("bigint").alias("_rows"),
-            (total - F.count(F.lit(1))).cast("bigint").alias("_repeated"),
-            *[n.cast("bigint").alias(f"_nulls{i}") for i, n in enumerate(nulls)],
-        )
-    )
+    first, second = F.xxhash64(*columns), F.xxhash64(F.lit(1), *columns)
+    hashes = df.select(first.alias("_h1"), second.alias("_h2"))
+    again = hashes.groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
+    suspects = df.withColumns({"_h1": first, "_h2": second}).join(again, ["_h1", "_h2"], "left_semi")
+    copies = suspects.groupBy(*columns).agg((F.count(F.lit(1)) - 1).alias("_copies"))
+    repeated = copies.agg(F.coalesce(F.sum("_copies"), F.lit(0)).cast("bigint"))
+    stats = df.agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.count_if(F.col(c).isNull()).alias(f"_nulls{i}") for i, c in enumerate(columns)],
+    ).withColumn("_repeated", repeated.scalar())
     rows = [
         F.struct(
             F.lit(c).alias("column_name"),
@@ -117,7 +118,7 @@ def thread_sizes(tweets: DataFrame) -> DataFrame:
 
 
 def thread_length_stats(tweets: DataFrame) -> DataFrame:
-    sizes = thread_sizes(tweets)
+    sizes = materialize(thread_sizes(tweets))
     (median,) = quantiles(sizes, "turns", [0.5])
     return sizes.agg(
         F.count(F.lit(1)).alias("conversations"),
@@ -160,8 +161,9 @@ def signal_rates(pairs: DataFrame, signals: Sequence[str] = tuple(REPLY_SIGNALS)
 
 def delay_stats(pairs: DataFrame) -> DataFrame:
     """Mean and median reply delay in minutes over known delays."""
-    (median,) = quantiles(pairs, "turn_delay_seconds", [0.5])
-    return pairs.agg(
+    delays = materialize(pairs.select("turn_delay_seconds"))
+    (median,) = quantiles(delays, "turn_delay_seconds", [0.5])
+    return delays.agg(
         F.count("turn_delay_seconds").alias("known_delays"),
         F.round(F.avg("turn_delay_seconds") / 60, 1).alias("mean_minutes"),
         F.round(median / 60, 1).alias("median_minutes"),
@@ -180,14 +182,14 @@ def month_counts(df: DataFrame, at: Column, year: int) -> DataFrame:
 
 def time_cutoffs(df: DataFrame, at: Column, shares: Sequence[float] = (0.70, 0.85), collect_limit: int = 100_000) -> DataFrame:
     """First, last and the values at int(share * n) of the time order, found without a global sort."""
-    micros = df.select(F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), at).alias("us"))
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    micros = df.select(F.timestamp_diff("MICROSECOND", epoch, at).alias("us"))
     rows = micros.agg(F.count("us")).first()[0]
     if not rows:
         raise ValueError("no dated rows")
     ranks = [0, *[min(int(rows * s), rows - 1) for s in shares], rows - 1]
     names = ["earliest", *[f"cutoff_{round(s * 100)}" for s in shares], "latest"]
     values = order_statistics(micros, "us", ranks, collect_limit)
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     return df.sparkSession.range(1).select(
         F.lit(rows).cast("bigint").alias("dated_rows"),
         *[F.timestamp_add("MICROSECOND", F.lit(v), epoch).alias(n) for n, v in zip(names, values)],
@@ -197,10 +199,13 @@ def time_cutoffs(df: DataFrame, at: Column, shares: Sequence[float] = (0.70, 0.8
 def text_length_stats(df: DataFrame, text: str = "customer_text_normalized") -> DataFrame:
     """Words and characters per cleaned text: mean, median, min, max."""
     cleaned = modelling_text(F.col(text))
-    sizes = df.select(
+    cleaned_rows = df.select(cleaned.alias("t"))
+    cleaned = F.col("t")
+    counted = cleaned_rows.select(
         F.when(cleaned == "", 0).otherwise(F.size(F.split(cleaned, " "))).cast("bigint").alias("words"),
         F.length(cleaned).cast("bigint").alias("chars"),
     )
+    sizes = materialize(counted)
     (word_median,), (char_median,) = quantiles(sizes, "words", [0.5]), quantiles(sizes, "chars", [0.5])
     return sizes.agg(
         *[
@@ -218,12 +223,13 @@ def text_length_stats(df: DataFrame, text: str = "customer_text_normalized") ->
 
 def confidence_stats(predictions: DataFrame, column: str = "confidence", digits: int = 6) -> DataFrame:
     """Mean, median, population deviation, range and quartiles of a score."""
-    p25, median, p75 = quantiles(predictions, column, [0.25, 0.5, 0.75])
+    scores = materialize(predictions.select(column))
+    p25, median, p75 = quantiles(scores, column, [0.25, 0.5, 0.75])
     stats = {
         "mean": F.avg(column), "median": median, "std": F.stddev_pop(column),
         "min": F.min(column), "max": F.max(column), "p25": p25, "p75": p75,
     }
-    return predictions.agg(*[F.round(value, digits).alias(name) for name, value in stats.items()])
+    return scores.agg(*[F.round(value, digits).alias(name) for name, value in stats.items()])
 
 
 def top_ngrams(
@@ -234,12 +240,14 @@ def top_ngrams(
 ) -> DataFrame:
     """The most frequent word runs of each length (ties: alphabetical)."""
     words = df.select(ascii_words(F.col(text), stop_words).alias("words"))
-    tagged = [
-        F.transform(ngrams(F.col("words"), n), lambda t, n=n: F.struct(F.lit(n).cast("bigint").alias("n"), t.alias("term")))
-        for n in top
-    ]
+
+    def tagged(n: int) -> Column:
+        return F.transform(
+            ngrams(F.col("words"), n), lambda t: F.struct(F.lit(n).cast("bigint").alias("n"), t.alias("term"))
+        )
+
     counts = (
-        words.select(F.inline(F.concat(*tagged)))
+        words.select(F.inline(F.concat(*[tagged(n) for n in top])))
         .groupBy("n", "term")
         .agg(F.count(F.lit(1)).alias("occurrences"))
     )
@@ -262,19 +270,19 @@ def link_brands(tweets: DataFrame) -> DataFrame:
         .groupBy(F.col("in_response_to_tweet_id").alias("tweet_id"))
         .agg(F.min_by("author_id", "tweet_id").alias("_replier"))
     )
-    linked = inbound.join(replies, "tweet_id", "left")
     brands = tweets.filter(~F.col("inbound")).select(F.col("author_id").alias("_name")).distinct()
     names = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(MENTION_NAME), 1)
     mentions = (
-        linked.filter(F.col("_replier").isNull())
-        .select("tweet_id", F.posexplode(names).alias("_at", "_name"))
+        inbound.select("tweet_id", F.posexplode(names).alias("_at", "_name"))
         .join(brands, "_name")
         .groupBy("tweet_id")
         .agg(F.min_by("_name", "_at").alias("_mentioned"))
     )
     found = F.when(F.col("_replier").isNotNull(), "reply").when(F.col("_mentioned").isNotNull(), "mention")
+    # Both right sides are already partitioned by tweet_id, so the inbound rows move once.
     return (
-        linked.join(mentions, "tweet_id", "left")
+        inbound.join(replies, "tweet_id", "left")
+        .join(mentions, "tweet_id", "left")
         .withColumn("brand", F.coalesce("_replier", "_mentioned"))
         .withColumn("link", F.coalesce(found, F.lit("unmatched")))
         .select(*tweets.columns, "brand", "link")

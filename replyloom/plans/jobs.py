@@ -214,11 +214,13 @@ def brand_report(spark: SparkSession, out: str, brand: str) -> DataFrame:
     return document
 
 
-def explore_topics(spark: SparkSession, out: str) -> tuple[DataFrame, DataFrame]:
+def explore_topics(
+    spark: SparkSession, out: str, cluster_options: Mapping | None = None, topic_options: Mapping | None = None
+) -> tuple[DataFrame, DataFrame]:
     """k-means clusters and matrix-factorisation topics of the training questions."""
     train = _read(spark, out, "splits").filter(F.col("split") == splits.TRAIN)
-    clusters, _ = topics.kmeans_topics(train, "pair_id", "customer_text_normalized", V.cluster_stop_words())
-    themes, _ = topics.nmf_topics(train, "pair_id", "customer_text_normalized", V.topic_stop_words())
+    clusters, _ = topics.kmeans_topics(train, "pair_id", "customer_text_normalized", V.cluster_stop_words(), **(cluster_options or {}))
+    themes, _ = topics.nmf_topics(train, "pair_id", "customer_text_normalized", V.topic_stop_words(), **(topic_options or {}))
     write_table(clusters, f"{out}/reports/intent_clusters", "json")
     write_table(themes, f"{out}/reports/topics", "json")
     return clusters, themes

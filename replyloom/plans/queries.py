@@ -262,7 +262,7 @@ def column_profile(spark, sf):
 
 @query
 def thread_length_stats(spark, sf):
-    return profile.thread_length_stats(materialize(_threads(spark, sf)))
+    return profile.thread_length_stats(_threads(spark, sf))
 
 
 @query
@@ -277,7 +277,7 @@ def signal_rates(spark, sf):
 
 @query
 def delay_stats(spark, sf):
-    return profile.delay_stats(_pairs(spark, sf).select("turn_delay_seconds"))
+    return profile.delay_stats(_pairs(spark, sf))
 
 
 @query

@@ -17,6 +17,8 @@ ADAPTIVE = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
 
 def local_session(cores: str | int = 8, app: str = "replyloom", memory: str = "8g") -> SparkSession:
     """A single-machine session for tests and the bench; a cluster brings its own."""
@@ -37,9 +39,17 @@ def local_session(cores: str | int = 8, app: str = "replyloom", memory: str = "8
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Turn on the adaptive settings in a session somebody else made."""
+    """Turn on the adaptive settings in a session somebody else made.
+
+    On a cluster a shuffle starts with several partitions per core unless the session names a number;
+    AQE merges the small ones afterwards.
+    """
     for key, value in ADAPTIVE.items():
         spark.conf.set(key, value)
+    context = spark.sparkContext
+    if not context.master.startswith("local") and spark.conf.get(INITIAL_PARTITIONS, None) is None:
+        start = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * context.defaultParallelism)
+        spark.conf.set(INITIAL_PARTITIONS, str(start))
     return spark
 
 
