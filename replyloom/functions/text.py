@@ -122,8 +122,15 @@ def parse_created_at(text: Column) -> Column:
 
 
 def seconds_between(later: Column, earlier: Column) -> Column:
-    """Whole seconds, null when either side is null."""
-    return F.timestamp_diff("SECOND", earlier, later)
+    """Whole seconds between zone-free timestamps, null when either side is null."""
+    return (later - earlier).cast("interval second").cast("bigint")
+
+
+def micros_since_epoch(at: Column) -> Column:
+    """A zone-free timestamp as a number that keeps its order."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    seconds = (at.cast("timestamp_ntz") - epoch).cast("interval second").cast("decimal(24,6)")
+    return (seconds * 1_000_000).cast("bigint")
 
 
 def is_ascii(text: Column) -> Column:

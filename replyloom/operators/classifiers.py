@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from replyloom.functions.vectors import nearest
 from replyloom.operators.features import TfidfModel, class_weights, fit_tfidf
+from replyloom.session import materialize, spread
 
 
 def class_centroids(df: DataFrame, labels: Sequence[str], label: str = "label", vector: str = "embedding") -> DataFrame:
@@ -81,10 +82,11 @@ def fit_tfidf_logistic(
     names = F.array(*[F.lit(l) for l in present])
     weights = F.array(*[F.lit(float(weight[l])) for l in present])
     index = F.array_position(names, F.col(label)).cast("int")
-    rows = (
-        tfidf.vectors(train.filter(F.col(label).isin(present)), text, "_features")
-        .select("_features", (index - 1).cast("double").alias("_label"), F.get(weights, index - 1).alias("_weight"))
+    vectors = tfidf.vectors(train.filter(F.col(label).isin(present)), text, "_features").select(
+        "_features", (index - 1).cast("double").alias("_label"), F.get(weights, index - 1).alias("_weight")
     )
+    # The solver reads its input several times before it keeps blocks of it.
+    rows = spread(materialize(vectors))
     model = LogisticRegression(
         family="multinomial",
         featuresCol="_features",

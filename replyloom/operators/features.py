@@ -74,7 +74,7 @@ def fit_tfidf(
     """
     rows = train.count()
     sorted_terms = train.select(model_words(F.col(text), stop_words).alias("words")).select(
-        F.array_sort(F.concat(*[ngrams(F.col("words"), n) for n in range(1, max_n + 1)])).alias("terms")
+        F.sort_array(F.concat(*[ngrams(F.col("words"), n) for n in range(1, max_n + 1)])).alias("terms")
     )
     marked = F.transform(
         "terms",

@@ -11,6 +11,7 @@ from replyloom.functions.text import (
     MENTION_NAME,
     ascii_words,
     is_ascii,
+    micros_since_epoch,
     modelling_text,
     ngrams,
     parse_created_at,
@@ -182,14 +183,14 @@ def month_counts(df: DataFrame, at: Column, year: int) -> DataFrame:
 
 def time_cutoffs(df: DataFrame, at: Column, shares: Sequence[float] = (0.70, 0.85), collect_limit: int = 100_000) -> DataFrame:
     """First, last and the values at int(share * n) of the time order, found without a global sort."""
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    micros = df.select(F.timestamp_diff("MICROSECOND", epoch, at).alias("us"))
+    micros = df.select(micros_since_epoch(at).alias("us"))
     rows = micros.agg(F.count("us")).first()[0]
     if not rows:
         raise ValueError("no dated rows")
     ranks = [0, *[min(int(rows * s), rows - 1) for s in shares], rows - 1]
     names = ["earliest", *[f"cutoff_{round(s * 100)}" for s in shares], "latest"]
     values = order_statistics(micros, "us", ranks, collect_limit)
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     return df.sparkSession.range(1).select(
         F.lit(rows).cast("bigint").alias("dated_rows"),
         *[F.timestamp_add("MICROSECOND", F.lit(v), epoch).alias(n) for n, v in zip(names, values)],

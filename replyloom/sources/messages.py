@@ -92,7 +92,10 @@ def _created_at(conv: Column, turn: Column, copy: Column, tid: Column, role: Col
     early = F.when((role == "assistant") & (tid % 29 == 0), 9000).otherwise(0)
     seconds = (conv % 20_000) * 25_980 + turn * 3600 + (conv * 31 + turn * 17) % 3000 + copy * 120 - early
     at = F.timestamp_add("SECOND", seconds, F.lit(EPOCH).cast("timestamp_ntz"))
-    return F.when(tid % 97 == 0, "not a date").otherwise(F.date_format(at, "EEE MMM dd HH:mm:ss '+0000' yyyy"))
+    # Only the date goes through a formatter: formatting a clock time depends on the session's zone.
+    day, clock = F.date_format(at.cast("date"), "EEE MMM dd"), F.substring(at.cast("string"), 12, 8)
+    written = F.concat_ws(" ", day, clock, F.lit("+0000"), F.year(at).cast("string"))
+    return F.when(tid % 97 == 0, "not a date").otherwise(written)
 
 
 def _text(conv: Column, turn: Column, copy: Column, tid: Column, role: Column, customer: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from replyloom import vocabulary as V
 from replyloom.functions import text as X
 from replyloom.functions.dialect import unicode_regex
+from replyloom.sources.messages import from_turns
 
 TEXTS = [
     "plain text",
@@ -139,3 +140,22 @@ def test_stop_lists(spark):
     assert {"apple", "the", "hello"} <= set(V.profile_stop_words()) and "just" not in V.profile_stop_words()
     assert {"user", "url"} <= set(V.cluster_stop_words())
     assert {"today", "just"} <= set(V.topic_stop_words()) and "will" not in V.topic_stop_words()
+
+
+def test_times_do_not_depend_on_the_session_zone(spark):
+    gap = [("Sun Mar 12 01:59:59 +0000 2017", "Sun Mar 12 02:30:10 +0000 2017")]
+    df = spark.createDataFrame(gap, "a string, b string")
+    turns = spark.createDataFrame([(c, t, "user", "x") for c in range(300) for t in range(3)], "conv_id long, turn long, role string, text string")
+    seen = set()
+    for zone in ("UTC", "America/New_York", "Asia/Tokyo"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            a, b = X.parse_created_at(F.col("a")), X.parse_created_at(F.col("b"))
+            row = df.select(X.seconds_between(b, a).alias("s"), X.micros_since_epoch(b).alias("u"), F.hour(b).alias("h")).first()
+            dates = tuple(sorted(r.created_at for r in from_turns(turns).select("created_at").collect()))
+            seen.add((row.s, row.u, row.h, dates))
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert len(seen) == 1
+    seconds, micros, hour, _ = seen.pop()
+    assert (seconds, micros, hour) == (1811, 1489285810000000, 2)
