@@ -290,8 +290,10 @@ def link_brands(tweets: DataFrame) -> DataFrame:
     )
 
 
-def brand_profile(tweets: DataFrame, min_total: int = 25_000, target_dm_pct: float = 35.0) -> DataFrame:
-    """Volume, reach, hand-over and text figures per brand, best-known brands first.
+def brand_profile(
+    tweets: DataFrame, min_total: int = 25_000, target_dm_pct: float = 35.0, top: int | None = None
+) -> DataFrame:
+    """Volume, reach, hand-over and text figures per brand, best-known brands first, all or the first ``top``.
 
     Distinct customers are counted over pre-aggregated (brand, customer) rows, so one brand with most of
     the traffic spreads over its customers.
@@ -316,7 +318,7 @@ def brand_profile(tweets: DataFrame, min_total: int = 25_000, target_dm_pct: flo
 
     inbound, sent = F.col("inbound"), ~F.col("inbound")
     out_n, in_n = total("n", sent), total("n", inbound)
-    return (
+    ranked = (
         per_author.groupBy("brand")
         .agg(
             F.sum("n").cast("bigint").alias("total_tweets"),
@@ -336,6 +338,7 @@ def brand_profile(tweets: DataFrame, min_total: int = 25_000, target_dm_pct: flo
         .withColumn("escalation_balance_score", F.round(100 - F.abs(F.col("pct_outbound_dm") - target_dm_pct), 2))
         .orderBy(F.desc("total_tweets"), "brand")
     )
+    return ranked if top is None else ranked.limit(top)
 
 
 def domain_hits(df: DataFrame, text: str = "customer_text_normalized", domains: Mapping[str, str] = DOMAIN_PATTERNS) -> DataFrame:

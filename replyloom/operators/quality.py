@@ -20,8 +20,10 @@ MIN_QUESTION = 3
 MIN_REPLY = 5
 
 
-def mark_later_duplicates(df: DataFrame, keys: Sequence[str], order: str, output: str = "is_duplicate") -> DataFrame:
-    """True for every row of a repeated key except the one with the smallest ``order``.
+def mark_duplicates(
+    df: DataFrame, keys: Sequence[str], order: str, output: str = "is_duplicate", keep_first: bool = True
+) -> DataFrame:
+    """True for the rows of a repeated key, except the one with the smallest ``order`` when ``keep_first``.
 
     Only repeated keys are kept from the pre-aggregated first ids, so the join has a small right side.
     """
@@ -31,8 +33,9 @@ def mark_later_duplicates(df: DataFrame, keys: Sequence[str], order: str, output
         .filter("_copies > 1")
         .drop("_copies")
     )
-    later = F.coalesce(F.col(order) > F.col("_first"), F.lit(False))
-    return df.join(firsts, list(keys), "left").withColumn(output, later).select(*df.columns, output)
+    repeated = F.col(order) > F.col("_first") if keep_first else F.col("_first").isNotNull()
+    marked = df.join(firsts, list(keys), "left").withColumn(output, F.coalesce(repeated, F.lit(False)))
+    return marked.select(*df.columns, output)
 
 
 def quality_flags(pairs: DataFrame) -> DataFrame:
@@ -41,7 +44,7 @@ def quality_flags(pairs: DataFrame) -> DataFrame:
     Duplicates are marked before any other check, so a later reply stays a duplicate even when the
     first one is itself unusable. An unknown delay passes.
     """
-    marked = mark_later_duplicates(pairs, ["customer_tweet_id"], "pair_id", "_duplicate").withColumns({
+    marked = mark_duplicates(pairs, ["customer_tweet_id"], "pair_id", "_duplicate").withColumns({
         "_question": F.length(substantive(F.col("customer_text"))),
         "_question_raw": F.length(strip(F.coalesce("customer_text", F.lit("")))),
         "_reply_raw": F.length(strip(F.coalesce("response_text", F.lit("")))),

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from replyloom.session import materialize
+
 TRAIN, VALIDATION, TEST = "train", "validation", "test"
 PREFIX_DIGITS = 4
 
@@ -81,10 +83,10 @@ def fit_conversation_split(
     validation are drawn from the rest. Conversations are counted per hash prefix (at most 65,536
     counts reach the driver) and only the prefix that holds a cut is ordered.
     """
-    conversations = mark_golden(clean.select(key).distinct(), golden, key)
-    prefix = F.substring(shuffle_key(key, seed), 1, PREFIX_DIGITS)
+    found = mark_golden(clean.select(key).distinct(), golden, key).select("_golden", _position(key, seed).alias("p"))
+    conversations = materialize(found.withColumn("prefix", F.substring("p", 1, PREFIX_DIGITS)))
     counts = (
-        conversations.groupBy(prefix.alias("prefix"))
+        conversations.groupBy("prefix")
         .agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("_golden")).alias("free"))
         .orderBy("prefix")
         .collect()
@@ -100,7 +102,7 @@ def fit_conversation_split(
         before = 0
         for row in counts:
             if before + row.free >= rank:
-                inside = free.filter(prefix == row.prefix).select(_position(key, seed).alias("p"))
+                inside = free.filter(F.col("prefix") == row.prefix).select("p")
                 return inside.orderBy("p").limit(rank - before).agg(F.max("p")).first()[0]
             before += row.free
         return "g"  # after every hexadecimal digit: all free conversations lie before the cut

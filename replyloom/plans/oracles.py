@@ -599,8 +599,8 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT pair_id, customer_text FROM clean WHERE NOT ({_domains('any')}) ORDER BY pair_id LIMIT 15"),
         "duplicate_turns": statement(
             MESSAGES, PAIRS,
-            """SELECT pair_id, customer_tweet_id, pair_id > min(pair_id) OVER (PARTITION BY customer_tweet_id) AS is_later
-            FROM pairs"""),
+            """SELECT pair_id, customer_tweet_id, pair_id > min(pair_id) OVER (PARTITION BY customer_tweet_id) AS is_later,
+              count(*) OVER (PARTITION BY customer_tweet_id) > 1 AS is_repeated FROM pairs"""),
         "dedup_tweets": """SELECT doc_id, lang, md5(text) AS text_md5 FROM documents
             QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1""",
         "pair_numbers": statement(

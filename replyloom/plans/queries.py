@@ -330,8 +330,9 @@ def unmatched_examples(spark, sf):
 
 @query
 def duplicate_turns(spark, sf):
-    marked = quality.mark_later_duplicates(_pairs(spark, sf), ["customer_tweet_id"], "pair_id", "is_later")
-    return marked.select("pair_id", "customer_tweet_id", "is_later")
+    keys = _pairs(spark, sf).select("pair_id", "customer_tweet_id")
+    marked = quality.mark_duplicates(keys, ["customer_tweet_id"], "pair_id", "is_later")
+    return quality.mark_duplicates(marked, ["customer_tweet_id"], "pair_id", "is_repeated", keep_first=False)
 
 
 @query

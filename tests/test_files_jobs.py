@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from replyloom import vocabulary as V
+from replyloom.__main__ import main
 from replyloom.operators import metrics
 from replyloom.plans import jobs
 from replyloom.schemas import CONVERSATIONS, SUPPORT_PAIRS, TWEETS
@@ -189,3 +190,15 @@ def test_load_checks_stop_bad_labels(spark, finished):
 def test_confusion_counts_are_reusable(spark, finished):
     test = spark.read.parquet(f"{finished}/intents").withColumn("predicted_intent", F.col("intent"))
     assert set(metrics.overall(metrics.confusion_counts(test), V.INTENTS).first()) == {1.0}
+
+
+def test_command_line(spark, export, tmp_path):
+    out = str(tmp_path / "cli")
+    main(["--out", out, "ingest", export])
+    main(["--out", out, "brands", "--min-total", "10"])
+    main(["--out", out, "extract", "--brand", BRAND])
+    main(["--out", out, "clean"])
+    main(["--out", out, "intents"])
+    rows = spark.read.json(f"{out}/reports/brands").collect()
+    assert {r.brand for r in rows} == {BRAND, "Other"}
+    assert spark.read.parquet(f"{out}/intents").count() == 71

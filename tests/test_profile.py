@@ -37,6 +37,7 @@ def test_brand_profile(tweets):
     assert alpha.pct_ascii == 50.0 and alpha.escalation_balance_score == 35.0
     assert rows["Beta"].escalation_balance_score == 65.0
     assert profile.brand_profile(tweets).collect() == []
+    assert [r.brand for r in profile.brand_profile(tweets, min_total=1, top=1).collect()] == ["Alpha"]
 
 
 def test_profile_core_and_columns(tweets):

@@ -44,8 +44,10 @@ def test_quality_cascade_order(spark):
 
 def test_hot_question_marks_all_but_the_first(spark):
     df = pair(spark, *[(i, 1, 77 if i % 3 else i, "question", "fine", 1) for i in range(1, 301)])
-    later = quality.mark_later_duplicates(df, ["customer_tweet_id"], "pair_id").filter("is_duplicate")
+    later = quality.mark_duplicates(df, ["customer_tweet_id"], "pair_id").filter("is_duplicate")
     assert later.count() == 199 and later.agg(F.min("pair_id")).first()[0] == 2
+    every = quality.mark_duplicates(df, ["customer_tweet_id"], "pair_id", keep_first=False).filter("is_duplicate")
+    assert every.count() == 200
 
 
 def test_pair_audit(spark):
