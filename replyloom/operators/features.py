@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from replyloom.functions.text import model_words, ngrams
 from replyloom.functions.vectors import SparseBatch
+from replyloom.session import materialize
 
 
 @dataclass(frozen=True)
@@ -103,7 +104,7 @@ def fit_tfidf(
 
 def class_weights(df: DataFrame, label: str = "intent") -> DataFrame:
     """Balanced weights n / (classes * rows of the class)."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    counts = materialize(df.groupBy(label).agg(F.count(F.lit(1)).alias("n")))
     totals = counts.agg(F.struct(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("classes"))).scalar()
     return counts.withColumn("_t", totals).select(
         label, "n", (F.col("_t.rows") / (F.col("_t.classes") * F.col("n"))).alias("weight")

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from replyloom.session import materialize
+
 OVERALL = [
     "accuracy", "macro_precision", "macro_recall", "macro_f1",
     "weighted_precision", "weighted_recall", "weighted_f1",
@@ -136,13 +138,18 @@ def align_labels(predictions: DataFrame, human: DataFrame, key: str, predicted:
 
 def alignment_report(aligned: DataFrame, labels: Sequence[str], digits: int = 4) -> DataFrame:
     """Overall metrics on the aligned rows, with the unmatched counts of both sides."""
-    matched = F.col("intent").isNotNull() & F.col("predicted_intent").isNotNull()
-    sides = aligned.agg(
+    counts = materialize(confusion_counts(aligned))
+    matched = F.col("true_label").isNotNull() & F.col("predicted_label").isNotNull()
+
+    def total(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0)).cast("bigint")
+
+    sides = counts.agg(
         F.struct(
-            F.count_if(matched).alias("matched"),
-            F.count_if(F.col("intent").isNull()).alias("without_label"),
-            F.count_if(F.col("predicted_intent").isNull()).alias("without_prediction"),
-        ).alias("sides")
+            total(matched).alias("matched"),
+            total(F.col("true_label").isNull()).alias("without_label"),
+            total(F.col("predicted_label").isNull()).alias("without_prediction"),
+        )
     )
-    scores = overall(confusion_counts(aligned.filter(matched)), labels, digits)
+    scores = overall(counts.filter(matched), labels, digits)
     return scores.withColumn("sides", sides.scalar()).select("sides.*", *OVERALL)

@@ -24,8 +24,11 @@ from replyloom.vocabulary import COURTESY_DOMAIN, DOMAIN_PATTERNS, REPLY_SIGNALS
 
 
 def frequency(df: DataFrame, column: str, within: Sequence[str] = (), digits: int = 2) -> DataFrame:
-    """Value counts with their percent of all rows (or of the rows of the same ``within`` group)."""
-    counts = df.groupBy(*within, column).agg(F.count(F.lit(1)).alias("n"))
+    """Value counts with their percent of all rows (or of the rows of the same ``within`` group).
+
+    The counts are written once, because the totals are taken from them and not from ``df``.
+    """
+    counts = materialize(df.groupBy(*within, column).agg(F.count(F.lit(1)).alias("n")))
     if within:
         totals = counts.groupBy(*within).agg(F.sum("n").alias("_total"))
         counts = counts.join(totals, list(within))

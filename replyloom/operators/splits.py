@@ -132,7 +132,7 @@ def split_summary(pairs: DataFrame, tweets: DataFrame, key: str = "conversation_
     """Conversations, pairs, tweets and their percentages per split."""
     per_conversation = pairs.groupBy(key, "split").agg(F.count(F.lit(1)).alias("pairs"))
     sizes = tweets.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    per_split = (
+    per_split = materialize(
         per_conversation.join(sizes, key, "left")
         .groupBy("split")
         .agg(
