@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -69,6 +70,8 @@ def order_statistics(df: DataFrame, column: str, ranks: Sequence[int], collect_l
     """
     values = df.select(F.col(column).alias("v")).filter("v is not null")
     low, high, rows = values.agg(F.min("v"), F.max("v"), F.count("v")).first()
+    if rows and not (math.isfinite(low) and math.isfinite(high)):
+        raise ValueError(f"{column} holds values that are not finite")
     intervals = {rank: (low, high, 0, rows) for rank in ranks}
     found: dict[int, float] = {}
     while len(found) < len(intervals):
@@ -80,11 +83,13 @@ def order_statistics(df: DataFrame, column: str, ranks: Sequence[int], collect_l
                 continue
             scope = values.filter(F.col("v").between(F.lit(low), F.lit(high)))
             # Neighbouring doubles cannot be cut into buckets; they hold few distinct integers.
-            if inside <= collect_limit or float(low) == float(high):
+            start_at, end_at = float(low) / 2, float(high) / 2
+            if inside <= collect_limit or start_at == end_at:
                 counted = scope.groupBy("v").count().orderBy("v").collect()
                 found.update({r: _walk(counted, r - below) for r in members})
                 continue
-            width = F.width_bucket(F.col("v").cast("double"), F.lit(float(low)), F.lit(float(high)), F.lit(buckets))
+            # Halved, so that the width of the widest interval is still a finite number.
+            width = F.width_bucket(F.col("v").cast("double") / 2, F.lit(start_at), F.lit(end_at), F.lit(buckets))
             sizes = scope.groupBy(width.alias("b")).agg(
                 F.min("v").alias("low"), F.max("v").alias("high"), F.count("v").alias("n")
             )

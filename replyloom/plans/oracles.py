@@ -497,7 +497,9 @@ def oracle_sql() -> dict[str, str]:
         "support_pairs": statement(MESSAGES, THREADS, THREAD_PAIRS, f"SELECT {pair_columns} FROM pairs"),
         "golden_missing": statement(
             *TO_SPLIT,
-            "SELECT DISTINCT conversation_id FROM golden WHERE conversation_id NOT IN (SELECT conversation_id FROM convs)"),
+            """SELECT DISTINCT 'conversation' AS level, conversation_id AS id FROM golden
+            WHERE conversation_id NOT IN (SELECT conversation_id FROM convs)
+            UNION ALL SELECT 'pair', pair_id FROM golden WHERE pair_id NOT IN (SELECT pair_id FROM clean)"""),
         "thread_neighbourhood": statement(MESSAGES, LINKS, hops(dm_seed), "SELECT tweet_id, hop FROM reached"),
         "thread_root": statement(MESSAGES, rooted("tweets"), "SELECT tweet_id, conversation_id FROM roots"),
         "thread_length": statement(

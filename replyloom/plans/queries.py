@@ -188,9 +188,13 @@ def support_pairs(spark, sf):
 
 @query
 def golden_missing(spark, sf):
-    """Golden conversations that the quality rules removed."""
+    """Golden pairs, and whole golden conversations, that the quality rules removed."""
     s = _Splits(spark, sf)
-    return splits.missing_keys(s.golden, s.clean)
+    levels = [
+        splits.missing_keys(s.golden, s.clean, key).select(F.lit(level).alias("level"), F.col(key).alias("id"))
+        for level, key in (("conversation", "conversation_id"), ("pair", "pair_id"))
+    ]
+    return levels[0].unionByName(levels[1])
 
 
 @query

@@ -30,6 +30,8 @@ def local_session(cores: str | int = 8, app: str = "replyloom", memory: str = "8
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Call sites of column expressions cost one round trip each while a plan is built.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in ADAPTIVE.items():
         builder = builder.config(key, value)
@@ -53,13 +55,17 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+SMALL_SPLITS = 64
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Give a table with fewer input splits than cores one partition per core.
+    """Give a small table with fewer input splits than cores one partition per core.
 
-    A table of normal size has far more splits than that and is returned as it is.
+    Only tables of a few splits (some gigabytes) are moved; a big one is returned as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    splits = df.rdd.getNumPartitions()
+    return df.repartition(cores) if splits < cores and splits <= SMALL_SPLITS else df
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

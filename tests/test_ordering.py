@@ -13,7 +13,7 @@ RNG = np.random.RandomState(3)
 SAMPLES = {
     "uniform": RNG.rand(5000).tolist(),
     "one hot value": [0.25] * 3000 + RNG.rand(2000).tolist(),
-    "outliers": [-1e300, 1e300, *RNG.rand(3000).tolist()],
+    "outliers": [-1.7e308, 1.7e308, *RNG.rand(3000).tolist()],
     "two values": [1.0, 2.0] * 50,
     "single": [7.0],
 }
@@ -27,6 +27,11 @@ def test_order_statistics(spark, name):
     assert got == [sorted(values)[r] for r in ranks]
 
 
+def test_order_statistics_need_finite_values(spark):
+    with pytest.raises(ValueError, match="not finite"):
+        ordering.order_statistics(frame(spark, [1.0, float("nan"), 2.0]), "v", [0])
+
+
 def test_order_statistics_of_big_integers(spark):
     values = [2**62 + i for i in range(400)]
     got = ordering.order_statistics(frame(spark, values, "bigint"), "v", [0, 123, 399], collect_limit=10, buckets=16)
