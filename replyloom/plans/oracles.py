@@ -32,8 +32,6 @@ from replyloom.vocabulary import (
 )
 
 
-
-
 def q(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
