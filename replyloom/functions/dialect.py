@@ -9,7 +9,9 @@ from __future__ import annotations
 
 WORD = r"\p{L}\p{N}_"
 DIGIT = r"\p{Nd}"
-SPACE = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+# The White_Space property is one test per character; the four separators are white space in Python as well.
+SPACE = r"\x1c-\x1f\p{IsWhite_Space}"
+BLANKS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 BOUNDARY = f"(?:(?<=[{WORD}])(?![{WORD}])|(?<![{WORD}])(?=[{WORD}]))"
 WORD_START = f"(?<![{WORD}])"
 WORD_END = f"(?![{WORD}])"

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from replyloom.functions.dialect import SPACE, WORD_END, WORD_START, unicode_regex
+from replyloom.functions.dialect import BLANKS, WORD_END, WORD_START, unicode_regex
 
 # The shapes of handles, links, signatures and dates in the message data.
 NUMERIC_HANDLE = r"@\d+\b"
@@ -24,7 +24,7 @@ MONTHS = "JanFebMarAprMayJunJulAugSepOctNovDec"
 
 def strip(text: Column) -> Column:
     """Remove Unicode white space at both ends."""
-    return F.regexp_replace(text, f"^[{SPACE}]+|[{SPACE}]+$", "")
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def collapse_spaces(text: Column) -> Column:

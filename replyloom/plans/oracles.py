@@ -15,7 +15,6 @@ from replyloom.functions.text import (
     SIGNATURE_CARET,
     SIGNATURE_SLASH,
 )
-from replyloom.functions.dialect import SPACE
 from replyloom.plans.queries import MIN_BRAND_TWEETS, SAMPLE, SEED, STOPS, VECTOR_LABELS, VOCABULARY
 from replyloom.sources.messages import ANSWERS, BRAND, COMPLAINTS, EPOCH, OTHER_BRAND
 from replyloom.vocabulary import (
@@ -31,6 +30,9 @@ from replyloom.vocabulary import (
     TAXONOMY,
 )
 
+# Unicode white space, written out for RE2.
+SPACE = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+
 
 def q(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
