@@ -6,13 +6,15 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from replyloom.plans.oracles import oracle_sql
+from replyloom.plans.queries import QUERIES
 from replyloom.session import tune
 
 SF = "/root/testdata/sf0.001"
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
-QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
+ORACLES = oracle_sql()
 WITHOUT_SQL = {"tfidf_lr_metrics", "kmeans_topics", "nmf_topics"}
 
 
@@ -37,6 +39,7 @@ def canonical(names, rows):
 
 def test_every_query_but_the_fitted_ones_has_sql():
     assert set(QUERIES) - set(ORACLES) == WITHOUT_SQL and set(ORACLES) <= set(QUERIES)
+    assert set(QUERIES) <= set(entry_point.queries()) and set(ORACLES) <= set(entry_point.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
