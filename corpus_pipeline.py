@@ -3,12 +3,24 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from replyloom.llm import mixing, packing, secrets
+from replyloom.llm import jaccard, langid, mixing, packing, secrets
 from replyloom.llm.queries import table, tokenizer_path
 from replyloom.session import materialize
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the languages the models learned; texts without letters or far from all of them go."""
+    models = langid.fit(docs.filter(langid.training_fold(F.col("doc_id"))).select("doc_id", "text", "lang"))
+    return langid.predict(docs, models).filter("NOT rejected").select(*docs.columns)
+
+
+def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return jaccard.one_per_group(docs)
+
+
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents; what the scan finds is replaced by marks."""
     return secrets.redact(docs)
@@ -25,6 +37,8 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 STAGES = [
+    ("language_id", language_id),
+    ("ngram_jaccard", ngram_jaccard),
     ("secret_scan", secret_scan),
     ("source_mix", source_mix),
     ("best_fit_packing", best_fit_packing),

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from replyloom.llm import mixing, packing, secrets
+from replyloom.llm import jaccard, langid, mixing, packing, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,11 +28,24 @@ def tokenizer_path(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+@query
+def op1_language_id(spark, sf):
+    documents = table(spark, sf, "documents")
+    models = langid.fit(documents.filter(langid.training_fold(F.col("doc_id"))).select("doc_id", "text", "lang"))
+    held = (~langid.training_fold(F.col("doc_id"))).alias("held_out")
+    return langid.predict(documents.select("doc_id", held, "text"), models).drop("text")
+
+
 @query
 def op3_secret_scan(spark, sf):
     return secrets.digest(table(spark, sf, "documents"))
 
 
+@query
+def op4_ngram_jaccard(spark, sf):
+    return jaccard.jaccard_components(table(spark, sf, "documents"))
+
+
 @query
 def op8_source_mix(spark, sf):
     return mixing.mix(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
