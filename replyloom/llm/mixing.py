@@ -114,8 +114,7 @@ def fit_mix(
     cuts = materialize(_cut(per_cell, "_cell", "_start").select("_s", F.col("_at").alias("_cut"), "_before"))
     order = Window.partitionBy("_s").orderBy("_key", "doc_id", "_size").rowsBetween(Window.unboundedPreceding, 0)
     last = (
-        placed.join(cuts, "_s")
-        .filter("_cell = _cut")
+        placed.join(cuts.withColumnRenamed("_cut", "_cell"), ["_s", "_cell"])
         .withColumn("_sum", F.col("_before") + F.sum("_size").over(order))
         .filter("2 * _sum - _size <= 2 * _rest")
         .groupBy("_s")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from replyloom.llm import jaccard, langid, mixing, packing, secrets
+from replyloom.llm import fingerprints, jaccard, langid, mixing, packing, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -46,6 +46,11 @@ def op4_ngram_jaccard(spark, sf):
     return jaccard.jaccard_components(table(spark, sf, "documents"))
 
 
+@query
+def op7_document_fingerprints(spark, sf):
+    return fingerprints.fingerprints(table(spark, sf, "documents"))
+
+
 @query
 def op8_source_mix(spark, sf):
     return mixing.mix(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
