@@ -50,8 +50,8 @@ def _is_digest(value: Column) -> Column:
 
 
 def _place(value: Column, table: int, width: int) -> Column:
-    """The cell of a digest in one of the three tables of ``width`` cells."""
-    return F.pmod(F.shiftrightunsigned(value, 20 + 14 * table), F.lit(width)).cast("int") + table * width
+    """The cell of a digest within one of the three tables of ``width`` cells."""
+    return F.pmod(F.shiftrightunsigned(value, 20 + 14 * table), F.lit(width)).cast("int")
 
 
 def sketch(digests: Column, cells: int) -> Column:
@@ -59,17 +59,19 @@ def sketch(digests: Column, cells: int) -> Column:
     width = cells // 3
     empty = F.struct(F.lit(0).alias("n"), F.lit(0).cast("bigint").alias("x"))
 
-    def fill(placed: Column) -> Column:
-        def cell(i: Column) -> Column:
-            mine = F.filter(placed, lambda p: F.get(p["at"], F.floor(i / width).cast("int")) == i)
-            return F.aggregate(
-                mine, empty, lambda s, p: F.struct((s["n"] + 1).alias("n"), s["x"].bitwiseXOR(p["x"]).alias("x"))
-            )
+    def table(t: int) -> Column:
+        def fill(placed: Column) -> Column:
+            def cell(i: Column) -> Column:
+                mine = F.filter(placed, lambda p: p["at"] == i)
+                return F.aggregate(
+                    mine, empty, lambda s, p: F.struct((s["n"] + 1).alias("n"), s["x"].bitwiseXOR(p["x"]).alias("x"))
+                )
 
-        return F.transform(F.sequence(F.lit(0), F.lit(cells - 1)), cell)
+            return F.transform(F.sequence(F.lit(0), F.lit(width - 1)), cell)
 
-    places = lambda d: F.array(*[_place(d, table, width) for table in range(3)])
-    return _let(F.transform(digests, lambda d: F.struct(d.alias("x"), places(d).alias("at"))), fill)
+        return _let(F.transform(digests, lambda d: F.struct(d.alias("x"), _place(d, t, width).alias("at"))), fill)
+
+    return F.concat(*[table(t) for t in range(3)])
 
 
 def subtract(a: Column, b: Column) -> Column:
@@ -79,7 +81,7 @@ def subtract(a: Column, b: Column) -> Column:
     )
 
 
-def peel(cells: Column, count: int, rounds: int = 12) -> Column:
+def peel(cells: Column, count: int, rounds: int = 8) -> Column:
     """(found, done): the recovered digests, and whether no cell is left.
 
     Each round takes the digests of all cells that hold one, and removes them from their other cells.
@@ -92,7 +94,7 @@ def peel(cells: Column, count: int, rounds: int = 12) -> Column:
     def step(state: Column) -> Column:
         def remove(kept: Column) -> Column:
             def strip(c: Column, i: Column) -> Column:
-                mine = F.filter(kept, lambda d: F.get(d["at"], F.floor(i / width).cast("int")) == i)
+                mine = F.filter(kept, lambda d: (d["p0"] == i) | (d["p1"] == i) | (d["p2"] == i))
                 return F.aggregate(
                     mine, c, lambda s, d: F.struct((s["n"] - d["n"]).alias("n"), s["x"].bitwiseXOR(d["x"]).alias("x"))
                 )
@@ -103,9 +105,9 @@ def peel(cells: Column, count: int, rounds: int = 12) -> Column:
             )
             return F.when(F.size(kept) > 0, stripped).otherwise(state)
 
-        places = lambda x: F.array(*[_place(x, table, width) for table in range(3)])
+        places = lambda x: [(_place(x, t, width) + t * width).alias(f"p{t}") for t in range(3)]
         single = F.array_distinct(F.filter(state["cells"], alone))
-        placed = F.transform(single, lambda c: F.struct(c["n"].alias("n"), c["x"].alias("x"), places(c["x"]).alias("at")))
+        placed = F.transform(single, lambda c: F.struct(c["n"].alias("n"), c["x"].alias("x"), *places(c["x"])))
         return _let(placed, remove)
 
     start = F.struct(cells.alias("cells"), F.array().cast("array<bigint>").alias("found"))
@@ -162,14 +164,16 @@ def _peeled_or(peeled: Column, rest: Column) -> Column:
 
 
 def with_next(documents: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
-    """(doc_id, text, next_text): each document with the one that follows it by doc_id, the last with the first.
+    """(doc_id, text, own, next_text, next): each document with the one that follows it by doc_id, the last with the first.
+
+    ``own`` and ``next`` are the paragraph digests of both.
 
     Ties are ordered by the hash of the text; a null id comes first. Rows are dealt by ranges of the order, so the text
     is moved once: the first document of a range is also sent to the range before it.
     """
     keyed = documents.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
-    ).withColumn("_h", F.xxhash64("text"))
+    ).withColumns({"_h": F.xxhash64("text"), "own": paragraphs(F.col("text"))})
     # Ids and hashes as one number, in order wherever doubles tell neighbours apart.
     spot = F.coalesce(F.col("doc_id").cast("double"), F.lit(-1e300)) + F.col("_h") / F.lit(2.0**64)
     stats = keyed.agg(
@@ -200,11 +204,12 @@ def with_next(documents: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> Dat
     guests = (
         keyed.join(previous, keyed.doc_id.eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_hash")))
         .dropDuplicates(["_to"])
-        .select("doc_id", "text", "_h", F.col("_to").alias("_range"), F.lit(True).alias("_guest"))
+        .select("doc_id", "text", "own", "_h", F.col("_to").alias("_range"), F.lit(True).alias("_guest"))
     )
     rows = placed.withColumn("_guest", F.lit(False)).select(guests.columns).unionByName(guests)
     order = Window.partitionBy("_range").orderBy("_guest", "doc_id", "_h")
-    return rows.withColumn("next_text", F.lead("text").over(order)).filter("NOT _guest").select("doc_id", "text", "next_text")
+    following = rows.withColumns({"next_text": F.lead("text").over(order), "next": F.lead("own").over(order)})
+    return following.filter("NOT _guest").select("doc_id", "text", "own", "next_text", "next")
 
 
 def fingerprints(documents: DataFrame) -> DataFrame:
@@ -226,9 +231,9 @@ def fingerprints(documents: DataFrame) -> DataFrame:
             "doc_id",
             "n_chars",
             F.sha2(F.col("_edited").cast("binary"), 256).alias("edited_sha256"),
-            paragraphs(F.col("text")).alias("_own"),
+            F.col("own").alias("_own"),
             paragraphs(F.col("_edited")).alias("_changed"),
-            paragraphs(F.col("next_text")).alias("_next"),
+            F.col("next").alias("_next"),
         )
     )
     rows = materialize(rows)

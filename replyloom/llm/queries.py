@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from replyloom.llm import fingerprints, jaccard, langid, mixing, packing, secrets
+from replyloom.llm import fingerprints, fixity, jaccard, langid, licenses, mixing, nearest, packing, secrets, token_counts
+from replyloom.session import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,6 +37,11 @@ def op1_language_id(spark, sf):
     return langid.predict(documents.select("doc_id", held, "text"), models).drop("text")
 
 
+@query
+def op2_license_scan(spark, sf):
+    return licenses.scan_licenses(table(spark, sf, "documents"))
+
+
 @query
 def op3_secret_scan(spark, sf):
     return secrets.digest(table(spark, sf, "documents"))
@@ -46,6 +52,17 @@ def op4_ngram_jaccard(spark, sf):
     return jaccard.jaccard_components(table(spark, sf, "documents"))
 
 
+@query
+def op5_exact_top_k(spark, sf):
+    return nearest.top_k(table(spark, sf, "embeddings"))
+
+
+@query
+def op6_token_counts(spark, sf):
+    documents = table(spark, sf, "documents").select("doc_id", "text")
+    return token_counts.token_counts(documents, tokenizer_path("piece_bpe_32k.model"))
+
+
 @query
 def op7_document_fingerprints(spark, sf):
     return fingerprints.fingerprints(table(spark, sf, "documents"))
@@ -90,3 +107,53 @@ FROM p
 @query
 def op9_best_fit_packing(spark, sf):
     return packing.pack_documents(table(spark, sf, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+@query
+def op10_warc_fixity(spark, sf):
+    """The second replica has single damaged characters, truncated records and records that are missing."""
+    pages = table(spark, sf, "pages")
+    html, page = F.col("html"), F.col("page_id")
+    damaged = (
+        F.when(page % 97 == 5, F.concat(F.lit("#"), F.substr(html, F.lit(2))))
+        .when(page % 1013 == 11, F.substr(html, F.lit(1), F.floor(F.char_length(html) / 2).cast("int")))
+        .otherwise(html)
+    )
+    digest, length = fixity.fixity(fixity.record(F.col("url"), html))
+    replica_digest, replica_length = fixity.fixity(fixity.record(F.col("url"), damaged))
+    records = pages.select(
+        "page_id",
+        digest.alias("digest"),
+        length.alias("length"),
+        F.when(F.coalesce(page % 1511 != 3, F.lit(True)), replica_digest).alias("replica_digest"),
+        replica_length.alias("replica_length"),
+    )
+    placed = materialize(fixity.laid_out(materialize(records), ["page_id", "digest"]))
+    return fixity.audited(placed).select("page_id", "file", "place", "start", "length", "digest", "status")
+
+
+ORACLES["op10_warc_fixity"] = r"""
+WITH p AS (
+  SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html,
+    coalesce(CASE WHEN page_id % 97 = 5 THEN '#' || substr(html, 2)
+                  WHEN page_id % 1013 = 11 THEN substr(html, 1, length(html) // 2) ELSE html END, '') AS other
+  FROM pages),
+r AS (
+  SELECT page_id,
+    E'WARC/1.1\r\nWARC-Type: response\r\nWARC-Target-URI: ' || url || E'\r\nContent-Length: ' || strlen(html)
+      || E'\r\n\r\n' || html || E'\r\n\r\n' AS a,
+    CASE WHEN coalesce(page_id % 1511, 0) <> 3 THEN
+      E'WARC/1.1\r\nWARC-Type: response\r\nWARC-Target-URI: ' || url || E'\r\nContent-Length: ' || strlen(other)
+        || E'\r\n\r\n' || other || E'\r\n\r\n' END AS b
+  FROM p),
+h AS (SELECT page_id, sha256(a) AS digest, strlen(a) AS length, sha256(b) AS replica, coalesce(strlen(b), 0) AS other FROM r),
+n AS (SELECT *, row_number() OVER (ORDER BY page_id NULLS FIRST, digest) - 1 AS n FROM h),
+o AS (
+  SELECT *, n // 512 AS file, n % 512 AS place,
+    sum(length) OVER (PARTITION BY n // 512 ORDER BY n) - length AS start,
+    sum(other) OVER (PARTITION BY n // 512 ORDER BY n) - other AS other_start
+  FROM n)
+SELECT page_id, file::BIGINT AS file, place::BIGINT AS place, start::BIGINT AS start, length::BIGINT AS length, digest,
+  CASE WHEN replica IS NULL THEN 'missing' WHEN replica <> digest THEN 'changed' WHEN start <> other_start THEN 'moved' ELSE 'ok' END AS status
+FROM o
+"""
