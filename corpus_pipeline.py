@@ -13,7 +13,7 @@ from replyloom.session import materialize
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages the models learned; texts without letters or far from all of them go."""
     models = langid.fit(docs.filter(langid.training_fold(F.col("doc_id"))).select("doc_id", "text", "lang"))
-    return langid.predict(docs, models).filter("NOT rejected").select(*docs.columns)
+    return langid.known_languages(docs, models)
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

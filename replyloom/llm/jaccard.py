@@ -481,10 +481,12 @@ def one_per_group(documents: DataFrame, width: int = 4, percent: int = 85) -> Da
     kept = one.select("one.doc_id", "one.text_hash", F.lit(True).alias("_single")).unionByName(
         empty.withColumn("_single", F.lit(False))
     )
-    hashed = documents.withColumn("_hash", F.xxhash64("text")).alias("d")
+    hashed = documents.select(
+        F.struct(*documents.columns).alias("_row"), F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("_hash")
+    ).alias("d")
     k = kept.alias("k")
     same = (F.col("d._hash") == F.col("k.text_hash")) & F.col("d.doc_id").eqNullSafe(F.col("k.doc_id"))
     # A row that is repeated with its id and text is a near duplicate of itself.
-    joined = hashed.join(k, same).select("d.*", "k._single")
     number = F.row_number().over(Window.partitionBy("doc_id", "_hash").orderBy(F.lit(0)))
-    return joined.withColumn("_n", number).filter("NOT _single OR _n = 1").select(*documents.columns)
+    joined = hashed.join(k, same).select("d.*", "k._single").withColumn("_n", number)
+    return joined.filter("NOT _single OR _n = 1").select("_row.*")

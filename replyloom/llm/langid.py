@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from replyloom.operators.ordering import first_rows
+from replyloom.session import materialize
 
 UNKNOWN = "und"
 ORDER = 4
@@ -75,6 +76,14 @@ def _hashes(s: np.ndarray, n: int) -> np.ndarray:
     return h
 
 
+def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of hashes in a sorted array, and which of them are there."""
+    if not len(keys):
+        return np.zeros(len(wanted), dtype=np.int64), np.zeros(len(wanted), dtype=bool)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return at, keys[at] == wanted
+
+
 @dataclass
 class Models:
     """Sorted hashes per order with a matrix (n-gram, language) of log probabilities and of back-off weights."""
@@ -99,18 +108,14 @@ class Models:
             waiting = open_rows[open_rows + first < n - 1]
             if not len(usable):
                 continue
-            h = _hashes(s, n)[usable + first - n + 1]
-            at = np.minimum(np.searchsorted(self.grams[n - 1], h), len(self.grams[n - 1]) - 1)
-            seen = self.grams[n - 1][at] == h
+            at, seen = _find(self.grams[n - 1], _hashes(s, n)[usable + first - n + 1])
             total[usable[seen]] += self.logs[n - 1][at[seen]]
             missed = usable[~seen]
             if n == 1:
                 total[missed] += self.unseen
                 break
             if len(missed):
-                context = _hashes(s, n - 1)[missed + first - n + 1]
-                where = np.minimum(np.searchsorted(self.contexts[n - 1], context), len(self.contexts[n - 1]) - 1)
-                known = self.contexts[n - 1][where] == context
+                where, known = _find(self.contexts[n - 1], _hashes(s, n - 1)[missed + first - n + 1])
                 total[missed[known]] += self.backoffs[n - 1][where[known]]
             open_rows = np.union1d(missed, waiting) if len(waiting) else missed
         return total
@@ -146,8 +151,8 @@ def _counts(parts: list[np.ndarray], n: int) -> tuple[np.ndarray, np.ndarray, np
 def _lookup(keys: np.ndarray, wanted: np.ndarray, values: np.ndarray, missing: float) -> np.ndarray:
     if not len(keys):
         return np.full(len(wanted), missing)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[at] == wanted, values[at], missing)
+    at, there = _find(keys, wanted)
+    return np.where(there, values[at], missing)
 
 
 def _fit_language(parts: list[np.ndarray]) -> list[tuple]:
@@ -263,8 +268,11 @@ def fit(documents: DataFrame, sample: int = SAMPLE_DOCUMENTS, chars: int = SAMPL
     order = F.xxhash64(F.lit("language sample"), "doc_id")
     ranked = usable.select("doc_id", "lang", order.alias("_order"), F.char_length("text").alias("_chars"))
     drawn = first_rows(ranked, ["lang"], ["_order", "doc_id"], sample, keep="_rank")
-    limits = drawn.groupBy("lang").agg(
-        F.max("_order").alias("_last"), F.least(F.lit(1.0), F.lit(float(chars)) / F.sum("_chars")).alias("_share")
+    # One row per language, written so that Spark knows it is small and does not move the texts to join it.
+    limits = materialize(
+        drawn.groupBy("lang").agg(
+            F.max("_order").alias("_last"), F.least(F.lit(1.0), F.lit(float(chars)) / F.sum("_chars")).alias("_share")
+        )
     )
     rows = usable.join(limits, "lang").filter(order <= F.col("_last"))
     # A sample of very long documents is cut to its bound by leaving out whole documents.
@@ -304,18 +312,30 @@ def predict(documents: DataFrame, models: Models | None, text: str = "text") ->
     """Add ``lang_pred``, ``score``, ``cross_entropy`` and ``rejected``; only ``text`` is looked at.
 
     A text that is null or has no letter is ``und`` with score 0, no cross-entropy, and rejected; so is every
-    text when there are no models. The other columns pass through Arrow as they are.
+    text when there are no models. The other columns pass through as they are, but those with an added name are replaced.
     """
-    shared = documents.sparkSession.sparkContext.broadcast(models)
-    columns = documents.columns
-    place = columns.index(text)
+    added = T.StructType.fromDDL(PREDICTION)
+    kept = [c for c in documents.columns if c not in added.names]
+    judged = _judged(documents.select(F.struct(*kept).alias("row"), F.col(text).alias("text")), models)
+    return judged.select("row.*", *added.names)
+
+
+def known_languages(documents: DataFrame, models: Models | None) -> DataFrame:
+    """The documents that are not rejected, with their own columns."""
+    judged = _judged(documents.select(F.struct(*documents.columns).alias("row"), "text"), models)
+    return judged.filter("NOT rejected").select("row.*")
+
+
+def _judged(rows: DataFrame, models: Models | None) -> DataFrame:
+    """``rows`` (row, text) with the prediction in place of the text."""
+    shared = rows.sparkSession.sparkContext.broadcast(models)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         letter, _ = _tables()
         for batch in batches:
             found: list[tuple] = []
-            for value in batch.column(place):
+            for value in batch.column(1):
                 points = _code_points(value.as_py() or "")
                 if model is None or not letter[points].any():
                     found.append((UNKNOWN, 0.0, None, True))
@@ -326,8 +346,8 @@ def predict(documents: DataFrame, models: Models | None, text: str = "text") ->
                 pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(entropy, pa.float64()),
                 pa.array(rejected, pa.bool_()),
             ]
-            names = [*columns, "lang_pred", "score", "cross_entropy", "rejected"]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=names)
+            names = ["row", "lang_pred", "score", "cross_entropy", "rejected"]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *added], names=names)
 
-    schema = T.StructType([*documents.schema.fields, *T.StructType.fromDDL(PREDICTION).fields])
-    return documents.mapInArrow(run, schema)
+    schema = T.StructType([rows.schema["row"], *T.StructType.fromDDL(PREDICTION).fields])
+    return rows.mapInArrow(run, schema)

@@ -40,14 +40,15 @@ def uniform(key: Column, seed: int) -> Column:
 def quality(text: Column, least: float = 0.05) -> Column:
     """A weight in [least, 1]: the square of the share of letters and white space (null or empty: least)."""
     plain = F.char_length(F.regexp_replace(text, r"[^\p{L}\x20\x09-\x0D]+", ""))
-    share = plain / F.char_length(text)
+    share = plain / F.nullif(F.char_length(text), F.lit(0))
     return F.greatest(F.coalesce(share * share, F.lit(0.0)), F.lit(least))
 
 
 def measured(documents: DataFrame, seed: int = 17) -> DataFrame:
-    """Add the columns the mix works on: ``_size`` in words, and the exponential key ``_key``."""
+    """(doc_id, source, _size in words, the exponential key _key), and ``_row`` where there is one."""
     key = -F.ln(uniform(F.col("doc_id"), seed)) / quality(F.col("text"))
-    return documents.withColumns({"_size": count_words(F.col("text")), "_key": key})
+    own = [c for c in ("_row",) if c in documents.columns]
+    return documents.select(*own, "doc_id", "source", count_words(F.col("text")).alias("_size"), key.alias("_key"))
 
 
 def source_targets(
@@ -95,7 +96,7 @@ def fit_mix(
     which the sample ends and ``_last`` the last document taken in that cell.
     """
     sums = rows.groupBy("source").agg(F.sum("_size").alias("source_size"))
-    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
+    whole = F.when(F.col("source_size") > 0, F.floor(F.try_divide("target", "source_size"))).otherwise(0)
     targets = materialize(
         source_targets(sums, weights, share, most)
         .withColumn("epochs", whole.cast("bigint"))
@@ -155,7 +156,7 @@ def mix(documents: DataFrame, seed: int = 17, **shares) -> DataFrame:
     A null text has size 0 and a null source is a source. Documents without words are taken for nothing, rows
     that are equal are taken as one would be, at the cut both or one. An empty table gives an empty table.
     """
-    rows = materialize(measured(documents, seed).select("doc_id", "source", "_size", "_key"))
+    rows = materialize(measured(documents.select("doc_id", "source", "text"), seed))
     taken = (F.col("_size") * F.col("passes")).alias("taken")
     out = passes(rows, fit_mix(rows, **shares))
     return out.select("doc_id", "source", F.col("_size").alias("size"), "source_size", "target", taken)
@@ -163,10 +164,11 @@ def mix(documents: DataFrame, seed: int = 17, **shares) -> DataFrame:
 
 def mixed_documents(documents: DataFrame, seed: int = 17, **shares) -> DataFrame:
     """The documents themselves, each as often as the mix takes it; those not drawn are left out."""
-    rows = materialize(measured(documents, seed).select("doc_id", "source", "_size", "_key"))
-    drawn = passes(measured(documents, seed), fit_mix(rows, **shares)).filter("passes > 0")
+    rows = materialize(measured(documents.select("doc_id", "source", "text"), seed))
+    whole = documents.select(F.struct(*documents.columns).alias("_row"), "doc_id", "source", "text")
+    drawn = passes(measured(whole, seed), fit_mix(rows, **shares)).filter("passes > 0")
     times = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("passes")))
-    return drawn.withColumn("_pass", times).select(*documents.columns)
+    return drawn.select("_row", times).select("_row.*")
 
 
 def _cut(sums: DataFrame, cell: str, start: str | None = None) -> DataFrame:

@@ -183,11 +183,11 @@ def redact(documents: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         ),
         lambda done: F.concat(done["out"], F.substring(text, (done["to"] + 1).cast("int"), F.char_length(text))),
     )
-    joined = documents.withColumn("_sha", F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)).join(found, "_sha", "left")
-    marked = F.when(F.col("_spans").isNull(), text).otherwise(step)
-    out = joined.withColumn("_text", marked)
-    if "n_chars" in documents.columns:
-        kind = documents.schema["n_chars"].dataType
-        changed = F.char_length("_text").cast(kind)
-        out = out.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(changed))
-    return out.withColumn("text", F.col("_text")).select(*documents.columns)
+    sha = F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)
+    rows = documents.select(F.struct(*documents.columns).alias("_row"), "text", sha.alias("_sha")).join(found, "_sha", "left")
+    out = rows.withColumn("_marked", F.when(F.col("_spans").isNull(), text).otherwise(step))
+    own = {c: F.col("_row").getField(c) for c in documents.columns} | {"text": F.col("_marked")}
+    if "n_chars" in own:
+        changed = F.char_length("_marked").cast(documents.schema["n_chars"].dataType)
+        own["n_chars"] = F.when(F.col("_spans").isNull(), own["n_chars"]).otherwise(changed)
+    return out.select(*[own[c].alias(c) for c in documents.columns])

@@ -9,7 +9,6 @@ character without a piece of its own costs ``UNKNOWN_PENALTY`` below the lowest
 from __future__ import annotations
 
 import functools
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,12 +23,11 @@ UNKNOWN_PENALTY = 10.0
 SPACE = "▁"
 CACHE_ENTRIES = 400_000
 CACHED_LENGTH = 40
-_SEGMENT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
 @dataclass
 class Unigram:
-    """Pieces of text with their scores; no piece may hold a space mark after another character."""
+    """Pieces of text with their scores. Words are searched one by one, so a mark matches at their start only."""
 
     automaton: ahocorasick.Automaton
     single: frozenset[str]
@@ -40,8 +38,6 @@ class Unigram:
     def of(cls, scores: dict[str, float]) -> Unigram:
         automaton = ahocorasick.Automaton()
         for piece, score in scores.items():
-            if SPACE in piece.lstrip(SPACE):
-                raise ValueError(f"piece {piece!r} spans words")
             automaton.add_word(piece, (len(piece), score))
         automaton.make_automaton()
         single = frozenset(p for p in scores if len(p) == 1)
@@ -87,15 +83,13 @@ class Unigram:
         return pieces[n]
 
     def count(self, text: str) -> int:
-        """Pieces of a whole text, with a space put before it. No piece spans the start of a word, so words add up."""
+        """Pieces of a whole text, which begins with a space mark. Each mark begins a word, and words add up."""
         if not text:
             return 0
         cache, total = self.cache, 0
-        if "  " in text or text[0] == " " or text[-1] == " " or SPACE in text:
-            segments = _SEGMENT.findall(SPACE + text.replace(" ", SPACE))
-        else:
-            segments = [SPACE + word for word in text.split(" ")]
-        for segment in segments:
+        marked = text.replace(" ", SPACE)
+        for word in (marked[1:] if marked[0] == SPACE else marked).split(SPACE):
+            segment = SPACE + word
             pieces = cache.get(segment)
             if pieces is None:
                 pieces = self.best(segment)
@@ -117,7 +111,7 @@ def token_counts(documents: DataFrame, model: str, text: str = "text", output: s
 
     A null or empty text has none. ``model`` is the path of a vocabulary file every executor can read.
     """
-    kept = [c for c in documents.columns if c != text]
+    kept = [c for c in documents.columns if c not in (text, output)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _model(model)
