@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from replyloom.functions.vectors import nearest
-from replyloom.operators.features import TfidfModel, class_weights, fit_tfidf
-from replyloom.session import materialize, spread
+from replyloom.operators.features import TfidfModel, class_weights, fit_tfidf, tokens
+from replyloom.session import materialize
 
 
 def class_centroids(df: DataFrame, labels: Sequence[str], label: str = "label", vector: str = "embedding") -> DataFrame:
@@ -76,17 +76,18 @@ def fit_tfidf_logistic(
     inverse_penalty: float = 1.0,
 ) -> TfidfLogisticModel:
     """Multinomial logistic regression with balanced classes; the penalty is scaled as 1 / (C * rows)."""
-    tfidf = fit_tfidf(train, text, max_features, min_df, max_df, stop_words)
-    weight = {r[0]: r.weight for r in class_weights(train.filter(F.col(label).isin(list(labels))), label).collect()}
+    words = tokens(train, label, F.col(text), stop_words)
+    tfidf = fit_tfidf(words, "_tokens", max_features, min_df, max_df, stop_words)
+    weight = {r[0]: r.weight for r in class_weights(words.filter(F.col(label).isin(list(labels))), label).collect()}
     present = [name for name in labels if name in weight]
     names = F.array(*[F.lit(l) for l in present])
     weights = F.array(*[F.lit(float(weight[l])) for l in present])
     index = F.array_position(names, F.col(label)).cast("int")
-    vectors = tfidf.vectors(train.filter(F.col(label).isin(present)), text, "_features").select(
+    vectors = tfidf.vectors(words.filter(F.col(label).isin(present)), "_tokens", "_features").select(
         "_features", (index - 1).cast("double").alias("_label"), F.get(weights, index - 1).alias("_weight")
     )
     # The solver reads its input several times before it keeps blocks of it.
-    rows = spread(materialize(vectors))
+    rows = materialize(vectors)
     model = LogisticRegression(
         family="multinomial",
         featuresCol="_features",

@@ -9,14 +9,26 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from replyloom.functions.text import model_words, ngrams
 from replyloom.functions.vectors import SparseBatch
 from replyloom.session import materialize
 
 
+def _words(df: DataFrame, text: str, stop_words: Sequence[str]) -> Column:
+    """The words of a text column; a column that holds arrays holds the words already."""
+    is_text = isinstance(df.schema[text].dataType, T.StringType)
+    return model_words(F.col(text), stop_words) if is_text else F.col(text)
+
+
+def tokens(df: DataFrame, key: str, text: Column, stop_words: Sequence[str], output: str = "_tokens") -> DataFrame:
+    """(key, words) of every text, written once for the steps that read the words several times."""
+    return materialize(df.select(key, model_words(text, stop_words).alias(output)))
+
+
 @dataclass(frozen=True)
 class TfidfModel:
     """At most ``max_features`` terms with their smoothed idf."""
@@ -29,7 +41,7 @@ class TfidfModel:
 
     def _terms(self, df: DataFrame, text: str) -> DataFrame:
         # Kept apart from the n-grams so that the words are extracted once per row.
-        words = df.withColumn("_words", model_words(F.col(text), self.stop_words))
+        words = df.withColumn("_words", _words(df, text, self.stop_words))
         runs = F.concat(*[ngrams(F.col("_words"), n) for n in range(1, self.max_n + 1)])
         return words.withColumn("_terms", runs).drop("_words")
 
@@ -73,19 +85,23 @@ def fit_tfidf(
     Each text marks the first of its sorted repeats, so term and document frequency come from one
     pre-aggregated count per term. Only the ``max_features`` most frequent terms reach the driver.
     """
-    rows = train.count()
-    sorted_terms = train.select(model_words(F.col(text), stop_words).alias("words")).select(
+    terms = train.select(_words(train, text, stop_words).alias("words")).select(
         F.sort_array(F.concat(*[ngrams(F.col("words"), n) for n in range(1, max_n + 1)])).alias("terms")
     )
     marked = F.transform(
         "terms",
         lambda t, i: F.struct(t.alias("term"), ((i == 0) | (F.get("terms", i - 1) != t)).alias("first")),
     )
-    chosen = (
-        sorted_terms.select(F.inline(marked))
+    # Every row also counts once for no term, which gives the number of rows from the same pass.
+    row = F.array(F.struct(F.lit(None).cast("string").alias("term"), F.lit(True).alias("first")))
+    counts = materialize(
+        terms.select(F.inline(F.concat(F.coalesce(marked, F.array().cast("array<struct<term:string,first:boolean>>")), row)))
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("tf"), F.count_if("first").alias("df"))
-        .filter((F.col("df") >= min_df) & (F.col("df") <= max_df * rows))
+    )
+    rows = counts.filter("term IS NULL").agg(F.coalesce(F.max("tf"), F.lit(0))).first()[0]
+    chosen = (
+        counts.filter((F.col("df") >= min_df) & (F.col("df") <= max_df * rows) & F.col("term").isNotNull())
         .orderBy(F.desc("tf"), "term")
         .limit(max_features)
         .collect()
@@ -104,8 +120,8 @@ def fit_tfidf(
 
 def class_weights(df: DataFrame, label: str = "intent") -> DataFrame:
     """Balanced weights n / (classes * rows of the class)."""
-    counts = materialize(df.groupBy(label).agg(F.count(F.lit(1)).alias("n")))
-    totals = counts.agg(F.struct(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("classes"))).scalar()
-    return counts.withColumn("_t", totals).select(
-        label, "n", (F.col("_t.rows") / (F.col("_t.classes") * F.col("n"))).alias("weight")
-    )
+    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    # One row per class: small enough for a window over all of them.
+    everything = Window.partitionBy()
+    rows, classes = F.sum("n").over(everything), F.count(F.lit(1)).over(everything)
+    return counts.select(label, "n", (rows / (classes * F.col("n"))).alias("weight"))

@@ -25,103 +25,115 @@ def first_rows(
     return ranked if keep else ranked.drop(rank)
 
 
+SLICES_PER_BLOCK = 1000
+
+
 def number_rows(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    output: str,
-    slice_rows: int = 1_000_000,
-    max_slices: int = 20_000,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], output: str, slice_rows: int = 1_000_000
 ) -> DataFrame:
     """Dense 1-based numbers in ``order`` within ``keys`` (or over all rows when ``keys`` is empty).
 
     Rows are range-partitioned by key and order, so one big group spreads over many slices. Slices are
-    numbered locally and shifted by the sizes of the earlier slices of the same group. At most one group
+    numbered locally and shifted by the sizes of the earlier slices of the same group, which are summed in
+    blocks of ``SLICES_PER_BLOCK`` slices, then over the blocks. ``df`` is computed once. At most one group
     continues from one slice into the next, so there are fewer shifts than slices.
     """
-    slices = min(max_slices, max(1, -(-df.count() // slice_rows)))
+    rows = materialize(df)
+    slices = max(1, -(-rows.count() // slice_rows))
     sliced = materialize(
-        df.repartitionByRange(slices, *[F.col(c) for c in [*keys, *order]]).withColumn("_slice", F.spark_partition_id())
+        rows.repartitionByRange(slices, *[F.col(c) for c in [*keys, *order]]).withColumn("_slice", F.spark_partition_id())
     )
     group = [*keys, "_slice"]
     local = sliced.withColumn("_local", F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
-    earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = (
+    sizes = (
         sliced.groupBy(*group)
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_shift", F.sum("_rows").over(earlier))
+        .withColumn("_block", F.floor(F.col("_slice") / SLICES_PER_BLOCK))
+    )
+    before = lambda of: of.rowsBetween(Window.unboundedPreceding, -1)
+    blocks = sizes.groupBy(*keys, "_block").agg(F.sum("_rows").alias("_rows"))
+    blocks = blocks.withColumn("_earlier", F.sum("_rows").over(before(Window.partitionBy(*keys).orderBy("_block"))))
+    inside = F.sum("_rows").over(before(Window.partitionBy(*keys, "_block").orderBy("_slice")))
+    shifts = (
+        sizes.withColumn("_inside", inside)
+        .alias("s")
+        .join(blocks.select(*[F.col(k).alias(f"_b{i}") for i, k in enumerate([*keys, "_block"])], "_earlier").alias("b"),
+              [F.col(f"s.{k}").eqNullSafe(F.col(f"b._b{i}")) for i, k in enumerate([*keys, "_block"])])
+        .select(
+            *[F.col(f"s.{k}").alias(f"_g{i}") for i, k in enumerate(group)],
+            (F.coalesce("_inside", F.lit(0)) + F.coalesce("_earlier", F.lit(0))).alias("_shift"),
+        )
         .filter("_shift > 0")
-        .drop("_rows")
     )
-    # Fewer rows than slices: safe to broadcast whatever the size of df.
-    return (
-        local.join(F.broadcast(shifts), group, "left")
-        .withColumn(output, F.col("_local") + F.coalesce("_shift", F.lit(0)))
-        .drop("_slice", "_local", "_shift")
+    on = [F.col(k).eqNullSafe(F.col(f"_g{i}")) for i, k in enumerate(group)]
+    return local.join(shifts, on, "left").select(
+        *df.columns, (F.col("_local") + F.coalesce("_shift", F.lit(0))).alias(output)
     )
 
 
-def order_statistics(df: DataFrame, column: str, ranks: Sequence[int], collect_limit: int = 100_000, buckets: int = 1024):
+def order_statistics(df: DataFrame, column: str, ranks: Sequence[int], buckets: int = 1024):
     """Exact values at the given 0-based ranks of a numeric column, without sorting the data.
 
-    Each pass counts rows per equal-width bucket of the interval that still holds the rank and keeps
-    one bucket, at most ``buckets + 2`` groups per job. When few enough rows are left in it they are
-    counted per value and walked on the driver.
+    Each pass is one job over the rows that are still in question. It counts rows per equal-width bucket of every
+    interval that holds a wanted rank, at most ``buckets + 2`` groups per interval, and keeps the
+    bucket the rank falls into, until that bucket holds a single value. Nulls are left out; a column with
+    NaN or infinite values is refused, whatever its size.
     """
     values = df.select(F.col(column).alias("v")).filter("v is not null")
-    low, high, rows = values.agg(F.min("v"), F.max("v"), F.count("v")).first()
-    if rows and not (math.isfinite(low) and math.isfinite(high)):
+    whole = values.agg(F.min("v").alias("low"), F.max("v").alias("high"), F.count("v").alias("n")).first()
+    if whole.n and not (math.isfinite(whole.low) and math.isfinite(whole.high)):
         raise ValueError(f"{column} holds values that are not finite")
-    intervals = {rank: (low, high, 0, rows) for rank in ranks}
-    found: dict[int, float] = {}
-    while len(found) < len(intervals):
-        for interval in set(intervals[r] for r in intervals if r not in found):
-            low, high, below, inside = interval
-            members = [r for r in intervals if r not in found and intervals[r] == interval]
-            if low == high:
-                found.update({r: low for r in members})
-                continue
-            scope = values.filter(F.col("v").between(F.lit(low), F.lit(high)))
-            # Neighbouring doubles cannot be cut into buckets; they hold few distinct integers.
-            start_at, end_at = float(low) / 2, float(high) / 2
-            if inside <= collect_limit or start_at == end_at:
-                counted = scope.groupBy("v").count().orderBy("v").collect()
-                found.update({r: _walk(counted, r - below) for r in members})
-                continue
-            # Halved, so that the width of the widest interval is still a finite number.
-            width = F.width_bucket(F.col("v").cast("double") / 2, F.lit(start_at), F.lit(end_at), F.lit(buckets))
-            sizes = scope.groupBy(width.alias("b")).agg(
-                F.min("v").alias("low"), F.max("v").alias("high"), F.count("v").alias("n")
-            )
-            for r in members:
-                start = below
-                for b in sorted(sizes.collect(), key=lambda row: row.low):
-                    if r < start + b.n:
-                        intervals[r] = (b.low, b.high, start, b.n)
+    # rank -> (lowest and highest value in question, rows below them)
+    intervals = {rank: (whole.low, whole.high, 0) for rank in ranks}
+    while wide := sorted({i for i in intervals.values() if i[0] != i[1]}):
+        which, bucket = F.lit(None).cast("int"), F.lit(None).cast("bigint")
+        for number, (low, high, _) in enumerate(wide):
+            inside = F.col("v").between(F.lit(low), F.lit(high))
+            which = F.when(inside, number).otherwise(which)
+            bucket = F.when(inside, _bucket(low, high, buckets)).otherwise(bucket)
+        counted = (
+            values.select("v", which.alias("i"), bucket.alias("b"))
+            .filter("i is not null")
+            .groupBy("i", "b")
+            .agg(F.min("v").alias("low"), F.max("v").alias("high"), F.count("v").alias("n"))
+            .collect()
+        )
+        for number, interval in enumerate(wide):
+            found = sorted((row for row in counted if row.i == number), key=lambda row: row.low)
+            for rank in [r for r, i in intervals.items() if i == interval]:
+                below = interval[2]
+                for row in found:
+                    if rank < below + row.n:
+                        intervals[rank] = (row.low, row.high, below)
                         break
-                    start += b.n
-    return [found[r] for r in ranks]
-
-
-def _walk(counted, rank: int):
-    for row in counted:
-        if rank < row["count"]:
-            return row["v"]
-        rank -= row["count"]
-    raise IndexError(rank)
-
-
-def quantiles(df: DataFrame, column: str, probabilities: Sequence[float], exact_rows: int = 1_000_000) -> list[Column]:
-    """Exact quantiles with linear interpolation, as columns for use in ``df.agg``.
-
-    ``df`` is read more than once, so it should be a table, not a long computation.
-
-    Spark's ``percentile`` keeps every distinct value in one buffer, so it is used up to ``exact_rows``
-    rows; beyond that the values are found by ``order_statistics``.
+                    below += row.n
+    return [intervals[r][0] for r in ranks]
+
+
+def _bucket(low, high, buckets: int) -> Column:
+    """Bucket numbers that grow with the value and split any two values in the end."""
+    if isinstance(low, int):
+        # Integers are cut exactly: doubles would not tell neighbours beyond 2^53 apart.
+        width = -(-(high - low + 1) // buckets)
+        return F.floor((F.col("v").cast("decimal(38,0)") - F.lit(low)) / F.lit(width)).cast("bigint")
+    start, end = float(low) / 2, float(high) / 2
+    if start == end or start + (end - start) / buckets == start:
+        # Few doubles lie between: count the steps from one to the next.
+        step = min(math.ulp(low), math.ulp(high))
+        return F.floor((F.col("v").cast("double") - F.lit(low)) / F.lit(step)).cast("bigint")
+    # Halved, so that the width of the widest interval is still a finite number.
+    return F.width_bucket(F.col("v").cast("double") / 2, F.lit(start), F.lit(end), F.lit(buckets))
+
+
+def quantiles(df: DataFrame, column: str, probabilities: Sequence[float]) -> list[Column]:
+    """Exact quantiles with linear interpolation, as columns for use in ``df.agg``; null without rows.
+
+    ``df`` is read more than once, so it should be a table, not a long computation. Every size takes the same way,
+    ``order_statistics``, which also states what happens to nulls, NaN and infinities.
     """
     rows = df.select(F.count(column)).first()[0]
-    if rows <= exact_rows:
-        return [F.percentile(F.col(column).cast("double"), p) for p in probabilities]
+    if not rows:
+        return [F.lit(None).cast("double") for _ in probabilities]
     ranks = sorted({r for p in probabilities for r in _neighbours(p, rows)})
     at = dict(zip(ranks, order_statistics(df, column, ranks)))
     out = []

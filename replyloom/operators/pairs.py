@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from replyloom.functions.text import mask_links, normalize_question, normalize_reply, parse_created_at, seconds_between
 from replyloom.operators.ordering import number_rows
+from replyloom.session import materialize
 from replyloom.operators.rules import signal_flags
 from replyloom.operators.threads import brand_outbound
 
@@ -61,8 +62,13 @@ def support_pairs(tweets: DataFrame, brand: str) -> DataFrame:
 
 
 def number_pairs(pairs: DataFrame, slice_rows: int = 1_000_000) -> DataFrame:
-    """Replace ``pair_id`` by 1..n in reply-id order."""
-    return number_rows(pairs, [], ["response_tweet_id"], "pair_id", slice_rows)
+    """Replace ``pair_id`` by 1..n in reply-id order.
+
+    The pairs are computed once; only their reply ids, which are unique, are put in order.
+    """
+    written = materialize(pairs)
+    numbers = number_rows(written.select("response_tweet_id"), [], ["response_tweet_id"], "pair_id", slice_rows)
+    return written.drop("pair_id").join(numbers, "response_tweet_id").select(*pairs.columns)
 
 
 def normalize_pairs(pairs: DataFrame) -> DataFrame:

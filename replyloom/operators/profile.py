@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from replyloom.functions.text import (
@@ -26,15 +26,10 @@ from replyloom.vocabulary import COURTESY_DOMAIN, DOMAIN_PATTERNS, REPLY_SIGNALS
 def frequency(df: DataFrame, column: str, within: Sequence[str] = (), digits: int = 2) -> DataFrame:
     """Value counts with their percent of all rows (or of the rows of the same ``within`` group).
 
-    The counts are written once, because the totals are taken from them and not from ``df``.
+    Totals are taken over the counts, one row per value, not over ``df``.
     """
-    counts = materialize(df.groupBy(*within, column).agg(F.count(F.lit(1)).alias("n")))
-    if within:
-        totals = counts.groupBy(*within).agg(F.sum("n").alias("_total"))
-        counts = counts.join(totals, list(within))
-        total = F.col("_total")
-    else:
-        total = counts.agg(F.sum("n")).scalar()
+    counts = df.groupBy(*within, column).agg(F.count(F.lit(1)).alias("n"))
+    total = F.sum("n").over(Window.partitionBy(*within))
     return counts.withColumn("pct", F.round(F.col("n") * 100.0 / total, digits)).select(*within, column, "n", "pct")
 
 
@@ -184,7 +179,7 @@ def month_counts(df: DataFrame, at: Column, year: int) -> DataFrame:
     return inside.groupBy(F.month(at).cast("bigint").alias("month")).agg(F.count(F.lit(1)).alias("n")).orderBy("month")
 
 
-def time_cutoffs(df: DataFrame, at: Column, shares: Sequence[float] = (0.70, 0.85), collect_limit: int = 100_000) -> DataFrame:
+def time_cutoffs(df: DataFrame, at: Column, shares: Sequence[float] = (0.70, 0.85)) -> DataFrame:
     """First, last and the values at int(share * n) of the time order, found without a global sort."""
     micros = df.select(micros_since_epoch(at).alias("us"))
     rows = micros.agg(F.count("us")).first()[0]
@@ -192,7 +187,7 @@ def time_cutoffs(df: DataFrame, at: Column, shares: Sequence[float] = (0.70, 0.8
         raise ValueError("no dated rows")
     ranks = [0, *[min(int(rows * s), rows - 1) for s in shares], rows - 1]
     names = ["earliest", *[f"cutoff_{round(s * 100)}" for s in shares], "latest"]
-    values = order_statistics(micros, "us", ranks, collect_limit)
+    values = order_statistics(micros, "us", ranks)
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     return df.sparkSession.range(1).select(
         F.lit(rows).cast("bigint").alias("dated_rows"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from replyloom.functions.text import (
@@ -20,6 +20,27 @@ MIN_QUESTION = 3
 MIN_REPLY = 5
 
 
+def later_copies(df: DataFrame, value: str, key: str) -> DataFrame:
+    """The ``key`` of every row whose ``value`` a row with a smaller key has too; nulls are equal.
+
+    Rows are grouped by two 64-bit hashes and the length of the value. Only values whose hashes repeat travel, and
+    are then compared as they are. ``key`` is unique.
+    """
+    size = F.coalesce(F.length(value), F.lit(-1))
+    hashed = df.select(
+        key, value, F.xxhash64(value).alias("_h1"), F.xxhash64(F.lit(1), value).alias("_h2"), size.alias("_size")
+    )
+    hashes = ["_h1", "_h2", "_size"]
+    again = hashed.groupBy(*hashes).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
+    same = Window.partitionBy(*hashes, value).orderBy(key)
+    return (
+        hashed.join(again, hashes, "left_semi")
+        .withColumn("_rank", F.row_number().over(same))
+        .filter("_rank > 1")
+        .select(key)
+    )
+
+
 def mark_duplicates(
     df: DataFrame, keys: Sequence[str], order: str, output: str = "is_duplicate", keep_first: bool = True
 ) -> DataFrame:

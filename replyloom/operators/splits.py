@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from replyloom.session import materialize
@@ -59,8 +59,8 @@ class ConversationSplit:
 
 
 def _position(key: str, seed: int) -> Column:
-    # The zero-padded id breaks hash ties, so the order is total.
-    return F.concat(shuffle_key(key, seed), F.lpad(F.col(key).cast("string"), 20, "0"))
+    # The whole key after the hash breaks ties, so the order is total.
+    return F.concat(shuffle_key(key, seed), F.col(key).cast("string"))
 
 
 def mark_golden(df: DataFrame, golden: DataFrame, key: str = "conversation_id") -> DataFrame:
@@ -80,32 +80,35 @@ def fit_conversation_split(
     """Find the cuts so that the split sizes are exact.
 
     Sizes are shares of all conversations, golden ones included, rounded half-even; train and
-    validation are drawn from the rest. Conversations are counted per hash prefix (at most 65,536
-    counts reach the driver) and only the prefix that holds a cut is ordered.
+    validation are drawn from the rest. Conversations are counted per hash prefix, ``PREFIX_DIGITS`` digits at a
+    time, until the prefix that holds a cut holds one conversation: at most 65,536 counts reach the
+    driver in each pass, and no conversations are sorted.
     """
-    found = mark_golden(clean.select(key).distinct(), golden, key).select("_golden", _position(key, seed).alias("p"))
-    conversations = materialize(found.withColumn("prefix", F.substring("p", 1, PREFIX_DIGITS)))
-    counts = (
-        conversations.groupBy("prefix")
-        .agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("_golden")).alias("free"))
-        .orderBy("prefix")
-        .collect()
-    )
-    total = sum(row.n for row in counts)
+    found = mark_golden(clean.select(key).distinct(), golden, key)
+    conversations = materialize(found.select("_golden", _position(key, seed).alias("p")))
+    total = conversations.count()
     n_train, n_validation = round(train_share * total), round(validation_share * total)
-    free = conversations.filter(~F.col("_golden"))
+    free = conversations.filter(~F.col("_golden")).select("p")
 
     def cut(rank: int) -> str | None:
         """Position of the ``rank``-th free conversation, counted from one."""
         if rank <= 0:
             return None
-        before = 0
-        for row in counts:
-            if before + row.free >= rank:
-                inside = free.filter(F.col("prefix") == row.prefix).select("p")
-                return inside.orderBy("p").limit(rank - before).agg(F.max("p")).first()[0]
-            before += row.free
-        return "g"  # after every hexadecimal digit: all free conversations lie before the cut
+        prefix, inside = "", free
+        while True:
+            digits = len(prefix) + PREFIX_DIGITS
+            counts = inside.groupBy(F.substring("p", 1, digits).alias("prefix")).agg(
+                F.count(F.lit(1)).alias("n"), F.min("p").alias("least"), F.max("p").alias("most")
+            )
+            for row in sorted(counts.collect(), key=lambda r: r.prefix):
+                if rank <= row.n:
+                    break
+                rank -= row.n
+            else:
+                return "g"  # after every hexadecimal digit: all free conversations lie before the cut
+            if row.n == rank or rank == 1:
+                return row.most if row.n == rank else row.least
+            prefix, inside = row.prefix, inside.filter(F.col("p").startswith(row.prefix))
 
     return ConversationSplit(seed, key, cut(n_train), cut(n_train + n_validation))
 
@@ -132,7 +135,7 @@ def split_summary(pairs: DataFrame, tweets: DataFrame, key: str = "conversation_
     """Conversations, pairs, tweets and their percentages per split."""
     per_conversation = pairs.groupBy(key, "split").agg(F.count(F.lit(1)).alias("pairs"))
     sizes = tweets.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    per_split = materialize(
+    per_split = (
         per_conversation.join(sizes, key, "left")
         .groupBy("split")
         .agg(
@@ -141,12 +144,9 @@ def split_summary(pairs: DataFrame, tweets: DataFrame, key: str = "conversation_
             F.sum(F.coalesce("n", F.lit(0))).cast("bigint").alias("tweets"),
         )
     )
-    # There are three splits at most; their totals come from the same small table.
-    totals = per_split.agg(F.sum("conversations").alias("c"), F.sum("pairs").alias("p"))
-    return per_split.withColumns({
-        "conversations_pct": F.round(F.col("conversations") * 100.0 / totals.select("c").scalar(), 2),
-        "pairs_pct": F.round(F.col("pairs") * 100.0 / totals.select("p").scalar(), 2),
-    })
+    # There are three splits at most.
+    share = lambda c: F.round(F.col(c) * 100.0 / F.sum(c).over(Window.partitionBy()), 2)
+    return per_split.withColumns({"conversations_pct": share("conversations"), "pairs_pct": share("pairs")})
 
 
 def retrieval_corpus(assigned: DataFrame) -> DataFrame:

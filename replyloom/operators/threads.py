@@ -37,7 +37,8 @@ def neighbourhood(tweets: DataFrame, seed: Column, hops: int = 3) -> DataFrame:
         .groupBy("tweet_id")
         .agg(F.min("hop").alias("hop"))
     )
-    pointers = links(tweets)
+    # Every hop reads the pointers only.
+    pointers = materialize(links(tweets))
     for hop in range(2, hops + 1):
         reached = cut_lineage(reached)
         frontier = reached.filter(F.col("hop") == hop - 1)
@@ -125,22 +126,29 @@ def _double(nodes: DataFrame) -> DataFrame:
 
 
 def thread_length(tweets: DataFrame) -> DataFrame:
-    """Add the number of tweets of each conversation; counts are pre-aggregated, so a hot thread is safe."""
+    """Add the number of tweets of each conversation; meant for narrow rows such as ``thread_roots``.
+
+    Counts are pre-aggregated and joined as one row per thread, so a hot thread is safe.
+    """
     sizes = tweets.groupBy("conversation_id").agg(F.count(F.lit(1)).alias("conversation_length"))
     return tweets.join(sizes, "conversation_id")
 
 
 def extract_brand(tweets: DataFrame, brand: str, hops: int = 3) -> DataFrame:
-    """All tweets of the brand's conversations with ``conversation_id`` and ``conversation_length``."""
+    """All tweets of the brand's conversations with ``conversation_id`` and ``conversation_length``.
+
+    Of several rows with one id the earliest stays, then the first by all its columns. Lengths are joined
+    to the ids first, so a text is moved once for that, by its unique id.
+    """
     reached = neighbourhood(tweets, brand_outbound(brand), hops)
-    # Used by both sides of the root join and by the final join, so it is written once.
-    kept = materialize(
-        first_rows(tweets.join(reached, "tweet_id", "left_semi"), ["tweet_id"], ["created_at", "text"]).select(
-            *tweets.columns
-        )
+    at = parse_created_at(F.col("created_at")).asc_nulls_last()
+    rest = [c for c in tweets.columns if c != "tweet_id"]
+    first = first_rows(tweets.join(reached, "tweet_id", "left_semi"), ["tweet_id"], [at, *rest])
+    # Read by the walk along the parents and by the final join, so it is written once.
+    kept = materialize(first.select(*tweets.columns))
+    return kept.join(thread_length(thread_roots(kept)), "tweet_id").select(
+        *tweets.columns, "conversation_id", "conversation_length"
     )
-    threaded = kept.join(thread_roots(kept), "tweet_id")
-    return thread_length(threaded).select(*tweets.columns, "conversation_id", "conversation_length")
 
 
 TURN_COLUMNS = [
@@ -149,10 +157,11 @@ TURN_COLUMNS = [
 
 
 def conversation_records(threaded: DataFrame, turns_per_record: int = 10_000, slice_rows: int = 1_000_000) -> DataFrame:
-    """One nested record per thread, turns in time order (ties by id, undated turns last).
+    """Nested records per thread, turns in time order (ties by id, undated turns last).
 
-    A thread longer than ``turns_per_record`` becomes several records numbered by ``part``; no turn is
-    dropped and no task ever holds more than one record's worth of a thread.
+    Every turn is numbered within its thread, and each ``turns_per_record`` of them are one record: ``part`` numbers a
+    thread's records and ``first_position`` is the place of a record's first turn. No task ever holds more
+    than one record's worth of a thread.
     """
     dated = threaded.select(
         "conversation_id",
@@ -160,32 +169,29 @@ def conversation_records(threaded: DataFrame, turns_per_record: int = 10_000, sl
         parse_created_at(F.col("created_at")).alias("_at"),
         *TURN_COLUMNS,
     ).withColumn("_undated", F.col("_at").isNull())
-    short = dated.filter(F.col("conversation_length") <= turns_per_record).withColumn("part", F.lit(0).cast("bigint"))
-    long = dated.filter(F.col("conversation_length") > turns_per_record)
-    if not long.isEmpty():
-        numbered = number_rows(long, ["conversation_id"], ["_undated", "_at", "tweet_id"], "_position", slice_rows)
-        part = F.floor((F.col("_position") - 1) / turns_per_record).cast("bigint")
-        short = short.unionByName(numbered.withColumn("part", part).drop("_position"))
-    turn = F.struct(
-        "_undated", "_at", F.col("tweet_id").alias("_order"), F.struct(*TURN_COLUMNS).alias("turn")
-    )
+    numbered = number_rows(dated, ["conversation_id"], ["_undated", "_at", "tweet_id"], "_n", slice_rows)
+    part = F.floor((F.col("_n") - 1) / turns_per_record).cast("bigint")
+    turn = F.struct(F.col("_n").alias("_order"), F.struct(*TURN_COLUMNS).alias("turn"))
     return (
-        short.groupBy("conversation_id", "conversation_length", "part")
+        numbered.groupBy("conversation_id", "conversation_length", part.alias("part"))
         .agg(F.array_sort(F.collect_list(turn)).alias("sorted"))
         .select(
             "conversation_id",
             "conversation_length",
             "part",
+            (F.col("part") * turns_per_record).alias("first_position"),
             F.transform("sorted", lambda t: t["turn"]).alias("tweets"),
         )
     )
 
 
 def flatten_records(records: DataFrame) -> DataFrame:
-    """Nested records back to one row per turn with its position inside the record."""
-    return records.select(
-        "conversation_id", "conversation_length", "part", F.posexplode("tweets").alias("position", "turn")
-    ).select("conversation_id", "conversation_length", "part", F.col("position").cast("bigint"), "turn.*")
+    """Nested records back to one row per turn with its position in the thread."""
+    turns = records.select(
+        "conversation_id", "conversation_length", "part", "first_position", F.posexplode("tweets").alias("_at", "turn")
+    )
+    position = (F.col("first_position") + F.col("_at")).cast("bigint").alias("position")
+    return turns.select("conversation_id", "conversation_length", "part", position, "turn.*")
 
 
 def audit_records(lines: DataFrame, value: str = "value") -> DataFrame:

@@ -7,17 +7,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.clustering import KMeans
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from replyloom.functions.text import modelling_text
 from replyloom.functions.vectors import SparseBatch
-from replyloom.operators.features import fit_tfidf
+from replyloom.operators.features import fit_tfidf, tokens
 from replyloom.operators.ordering import first_rows
-from replyloom.session import materialize, spread
+from replyloom.operators.splits import shuffle_key
+from replyloom.session import materialize
 
-CLEANED = "_cleaned"
+WORDS = "_tokens"
 FEATURES = "_features"
 
 
@@ -30,11 +30,10 @@ def _top_terms(weights: np.ndarray, terms: Sequence[str], n: int) -> list[str]:
 def _summary(
     assigned: DataFrame, group: str, top: dict[int, list[str]], examples: DataFrame, total: int
 ) -> DataFrame:
-    """Size, percent, top terms and example keys per group; groups without rows stay."""
+    """Size, percent, top terms and representative rows per group; groups without rows stay."""
     sizes = assigned.groupBy(group).agg(F.count(F.lit(1)).alias("size"))
-    terms = assigned.sparkSession.createDataFrame(
-        [(g, ", ".join(words)) for g, words in top.items()], f"{group} int, top_terms string"
-    )
+    terms = assigned.sparkSession.createDataFrame(list(top.items()), f"{group} int, top_terms array<string>")
+    kind = examples.schema["examples"].dataType
     return (
         terms.join(sizes, group, "left")
         .join(examples, group, "left")
@@ -43,11 +42,87 @@ def _summary(
             F.coalesce("size", F.lit(0)).alias("size"),
             F.round(F.coalesce("size", F.lit(0)) * 100.0 / F.lit(max(total, 1)), 2).alias("pct"),
             "top_terms",
-            F.coalesce("examples", F.lit("")).alias("examples"),
+            F.coalesce("examples", F.array().cast(kind)).alias("examples"),
         )
     )
 
 
+def _examples(chosen: DataFrame, df: DataFrame, group: str, key: str, shown: Sequence[str]) -> DataFrame:
+    """(group, examples): the ``shown`` columns of the ``chosen`` rows (group, key, _rank), in order of rank.
+
+    A few rows per group are chosen, so Spark joins them to the texts without moving those.
+    """
+    rows = chosen.join(df.select(key, *[c for c in shown if c != key]), key)
+    entry = F.struct("_rank", F.struct(*dict.fromkeys([key, *shown])).alias("row"))
+    listed = F.array_sort(F.collect_list(entry))
+    return rows.groupBy(group).agg(F.transform(listed, lambda e: e["row"]).alias("examples"))
+
+
+@dataclass(frozen=True)
+class KMeansModel:
+    """Cluster centres, ordered as their start rows were, with the summed squared distances."""
+
+    centers: np.ndarray
+    inertia: float
+    rounds: int
+
+    def assign(self, rows: DataFrame, key: str) -> DataFrame:
+        """(key, cluster_id): the nearest centre, the first of several equally near ones."""
+        centers = self.centers
+
+        def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                best = _nearest(SparseBatch.of(batch.column(1)), centers)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(best, pa.int32())], [key, "cluster_id"])
+
+        kind = rows.schema[key].dataType.simpleString()
+        return rows.select(key, FEATURES).mapInArrow(place, f"`{key}` {kind}, cluster_id int")
+
+
+def _nearest(x: SparseBatch, centers: np.ndarray) -> np.ndarray:
+    scores = x.times(centers.T) - 0.5 * (centers * centers).sum(axis=1)
+    # Rounded, so that equally near centres tie whatever the order of summation was.
+    return np.round(scores, 9).argmax(axis=1)
+
+
+def fit_kmeans(
+    rows: DataFrame, key: str, n_terms: int, k: int, seed: int = 42, starts: int = 5, max_rounds: int = 300, digits: int = 9
+) -> KMeansModel:
+    """Lloyd's rounds until no centre moves, from several starts at once; the best start wins.
+
+    Start rows are the first ``k`` by hash of the key, another hash for each start. Every round is one job for all starts
+    that still move: it sums the rows of each cluster per term, at most one row per term comes back. Centres are
+    rounded to ``digits``, so the result does not depend on how rows lie in partitions.
+    """
+    current = {}
+    for start in range(starts):
+        first = rows.orderBy(shuffle_key(key, seed + start), key).limit(k).select(FEATURES).collect()
+        centers = np.zeros((k, n_terms))
+        for i, row in enumerate(first):
+            centers[i, row[0].indices] = row[0].values
+        current[start] = centers
+    done: dict[int, KMeansModel] = {}
+    for round_no in range(1, max_rounds + 1):
+        active = sorted(set(current) - set(done))
+        if not active:
+            break
+
+        def memberships(x: SparseBatch) -> np.ndarray:
+            return np.hstack([np.eye(k)[_nearest(x, current[s])] for s in active])
+
+        sums, inner, squares = _sums(rows, n_terms, k * len(active), memberships)
+        sizes = np.diag(inner)
+        for i, s in enumerate(active):
+            own, n, c = sums[:, i * k : (i + 1) * k].T, sizes[i * k : (i + 1) * k], current[s]
+            inertia = squares - 2 * float((own * c).sum()) + float((n * (c * c).sum(axis=1)).sum())
+            # A cluster that lost all its rows keeps its centre.
+            moved = np.where(n[:, None] > 0, np.round(own / np.maximum(n, 1)[:, None], digits), c)
+            if np.array_equal(moved, c) or round_no == max_rounds:
+                done[s] = KMeansModel(c, inertia, round_no)
+            current[s] = moved
+    return min(done.values(), key=lambda m: round(m.inertia, 6))
+
+
 def kmeans_topics(
     df: DataFrame,
     key: str,
@@ -60,22 +135,29 @@ def kmeans_topics(
     max_features: int = 10_000,
     top: int = 15,
     example_count: int = 4,
+    starts: int = 5,
+    max_rounds: int = 300,
+    shown: Sequence[str] = (),
 ) -> tuple[DataFrame, DataFrame]:
-    """Cluster texts: a summary per cluster and the cluster of every row."""
-    cleaned = df.withColumn(CLEANED, modelling_text(F.col(text)))
-    tfidf = fit_tfidf(cleaned, CLEANED, max_features, min_df, max_df, stop_words)
-    rows = spread(materialize(tfidf.vectors(cleaned.select(key, CLEANED), CLEANED, FEATURES).select(key, FEATURES)))
-    model = KMeans(k=k, seed=seed, featuresCol=FEATURES, predictionCol="cluster_id").fit(rows)
-    assigned = model.transform(rows).select(key, "cluster_id")
-    centers = model.clusterCenters()
-    names = {i: _top_terms(center, tfidf.terms, top) for i, center in enumerate(centers)}
-    firsts = first_rows(assigned, ["cluster_id"], [key], example_count)
-    examples = firsts.groupBy("cluster_id").agg(_joined(F.array_sort(F.collect_list(key))).alias("examples"))
+    """Cluster texts: a summary per cluster and the cluster of every row.
+
+    The summary's ``examples`` are the first rows of a cluster by key, as structs of the key and the ``shown`` columns (the
+    text when none are named).
+    """
+    tfidf, rows = _vectors(df, key, text, stop_words, max_features, min_df, max_df)
+    model = fit_kmeans(rows, key, len(tfidf.terms), k, seed, starts, max_rounds)
+    assigned = model.assign(rows, key)
+    names = {i: _top_terms(center, tfidf.terms, top) for i, center in enumerate(model.centers)}
+    firsts = first_rows(assigned, ["cluster_id"], [key], example_count, keep="_rank")
+    examples = _examples(firsts, df, "cluster_id", key, shown or [text])
     return _summary(assigned, "cluster_id", names, examples, tfidf.rows), assigned
 
 
-def _joined(keys):
-    return F.array_join(F.transform(keys, lambda k: k.cast("string")), ", ")
+def _vectors(df: DataFrame, key: str, text: str, stop_words: Sequence[str], max_features: int, min_df: int, max_df: float):
+    """The fitted vocabulary and a written table (key, vector) of all rows."""
+    words = tokens(df, key, modelling_text(F.col(text)), stop_words, WORDS)
+    tfidf = fit_tfidf(words, WORDS, max_features, min_df, max_df, stop_words)
+    return tfidf, materialize(tfidf.vectors(words, WORDS, FEATURES).select(key, FEATURES))
 
 
 @dataclass(frozen=True)
@@ -87,28 +169,10 @@ class NmfModel:
     objective: list[float]
 
     def topic_weights(self, rows: DataFrame, key: str) -> DataFrame:
-        """(key, topic_id, weight) with one row per topic and input row; topics count from 1."""
-        h = self.components
-        gram = h @ h.T
-
-        def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                w = nonnegative_fit(SparseBatch.of(batch.column(1)).times(h.T), gram)
-                n, k = w.shape
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).take(pa.array(np.repeat(np.arange(n), k))),
-                        pa.array(np.tile(np.arange(1, k + 1), n), pa.int32()),
-                        pa.array(w.ravel()),
-                    ],
-                    [key, "topic_id", "weight"],
-                )
+        """(key, topic_id, weight, weights): the dominant topic, counted from 1, its weight, and all weights in order.
 
-        kind = rows.schema[key].dataType.simpleString()
-        return rows.select(key, FEATURES).mapInArrow(solve, f"`{key}` {kind}, topic_id int, weight double")
-
-    def assign(self, rows: DataFrame, key: str) -> DataFrame:
-        """Dominant topic of every row; the first topic wins a tie, also when nothing matched."""
+        Each row is solved once. The first topic wins a tie, also when nothing matched.
+        """
         h = self.components
         gram = h @ h.T
 
@@ -116,13 +180,20 @@ class NmfModel:
             for batch in batches:
                 w = nonnegative_fit(SparseBatch.of(batch.column(1)).times(h.T), gram)
                 best = w.argmax(axis=1)
+                offsets = pa.array(np.arange(0, w.size + 1, w.shape[1]), pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(best + 1, pa.int32()), pa.array(w[np.arange(len(best)), best])],
-                    [key, "topic_id", "weight"],
+                    [
+                        batch.column(0),
+                        pa.array(best + 1, pa.int32()),
+                        pa.array(w[np.arange(len(best)), best]),
+                        pa.ListArray.from_arrays(offsets, pa.array(w.ravel())),
+                    ],
+                    [key, "topic_id", "weight", "weights"],
                 )
 
         kind = rows.schema[key].dataType.simpleString()
-        return rows.select(key, FEATURES).mapInArrow(solve, f"`{key}` {kind}, topic_id int, weight double")
+        schema = f"`{key}` {kind}, topic_id int, weight double, weights array<double>"
+        return rows.select(key, FEATURES).mapInArrow(solve, schema)
 
 
 def nonnegative_fit(projected: np.ndarray, gram: np.ndarray, sweeps: int = 100, tol: float = 1e-8) -> np.ndarray:
@@ -256,18 +327,20 @@ def nmf_topics(
     tol: float = 1e-5,
     top: int = 15,
     example_count: int = 4,
+    shown: Sequence[str] = (),
 ) -> tuple[DataFrame, DataFrame]:
-    """Topics of the texts: a summary per topic and the dominant topic of every row."""
-    cleaned = df.withColumn(CLEANED, modelling_text(F.col(text)))
-    tfidf = fit_tfidf(cleaned, CLEANED, max_features, min_df, max_df, stop_words)
-    rows = spread(materialize(tfidf.vectors(cleaned.select(key, CLEANED), CLEANED, FEATURES).select(key, FEATURES)))
+    """Topics of the texts: a summary per topic and the dominant topic of every row.
+
+    The summary's ``examples`` are the rows of largest weight (ties by key), as structs of the key and the ``shown``
+    columns (the text when none are named).
+    """
+    tfidf, rows = _vectors(df, key, text, stop_words, max_features, min_df, max_df)
     model = fit_nmf(rows, tfidf.terms, k, max_iter, tol, seed)
-    assigned = model.assign(rows, key).select(key, "topic_id")
+    solved = materialize(model.topic_weights(rows, key))
+    assigned = solved.select(key, "topic_id")
     names = {i + 1: _top_terms(h, tfidf.terms, top) for i, h in enumerate(model.components)}
-    weights = model.topic_weights(rows, key).filter("weight > 0")
-    heaviest = first_rows(weights, ["topic_id"], [F.desc("weight"), key], example_count)
-    ranked = F.array_sort(F.collect_list(F.struct((-F.col("weight")).alias("w"), F.col(key).alias("k"))))
-    examples = heaviest.groupBy("topic_id").agg(
-        F.array_join(F.transform(ranked, lambda r: r["k"].cast("string")), ", ").alias("examples")
-    )
+    weights = solved.select(key, F.posexplode("weights").alias("_at", "_weight")).filter("_weight > 0")
+    weights = weights.select(key, (F.col("_at") + 1).alias("topic_id"), "_weight")
+    heaviest = first_rows(weights, ["topic_id"], [F.round("_weight", 9).desc(), F.col(key)], example_count, keep="_rank")
+    examples = _examples(heaviest.drop("_weight"), df, "topic_id", key, shown or [text])
     return _summary(assigned, "topic_id", names, examples, tfidf.rows), assigned

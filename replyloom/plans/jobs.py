@@ -7,19 +7,31 @@ Layout below the output folder: ``tweets``, ``conversations`` (JSON lines), ``su
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from replyloom import schemas
 from replyloom import vocabulary as V
 from replyloom.functions.text import parse_created_at
 from replyloom.operators import classifiers, metrics, pairs, profile, quality, rules, splits, threads, topics
 from replyloom.schemas import require
-from replyloom.session import materialize
-from replyloom.sources.files import taxonomy_rows, write_confusion, write_document, write_records, write_table, write_taxonomy
+from replyloom.session import drop_stages, materialize, stages
+from replyloom.sources.files import (
+    read_taxonomy,
+    taxonomy_rows,
+    write_confusion,
+    write_document,
+    write_records,
+    write_table,
+    write_taxonomy,
+)
 
 EMPTY_MAP = "map<string,bigint>"
+REPLIES = ["customer_text", "response_text"]
 
 
 def _map(counts: DataFrame, key: str, value: str = "n"):
@@ -37,10 +49,52 @@ def _document(spark: SparkSession, **parts) -> DataFrame:
     return spark.range(1).select(*[value.alias(name) for name, value in parts.items()])
 
 
+CLEAN_PAIRS = [
+    *schemas.SUPPORT_PAIRS,
+    T.StructField("customer_text_url_norm", T.StringType()),
+    T.StructField("response_text_url_norm", T.StringType()),
+    T.StructField("quality_status", T.StringType()),
+    T.StructField("quality_reason", T.StringType()),
+    T.StructField("response_type", T.StringType()),
+]
+SPLIT = T.StructField("split", T.StringType())
+#: Columns and types of every table that a job reads.
+TABLES = {
+    "tweets": list(schemas.THREADED_TWEETS),
+    "support_pairs": list(schemas.SUPPORT_PAIRS),
+    "manual_sample": list(schemas.SUPPORT_PAIRS),
+    "support_pairs_clean": CLEAN_PAIRS,
+    "splits": [*CLEAN_PAIRS, SPLIT],
+    "intents": [*CLEAN_PAIRS, SPLIT, T.StructField("intent", T.StringType())],
+}
+
+
 def _read(spark: SparkSession, out: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{out}/{name}")
+    """A table of an earlier job. A column that is missing or has another type stops the job."""
+    found = spark.read.parquet(f"{out}/{name}")
+    types = {f.name: f.dataType for f in found.schema}
+    wrong = [f.name for f in TABLES[name] if types.get(f.name) != f.dataType]
+    if wrong:
+        raise ValueError(f"table {name} has no column, or one of another type, for: {', '.join(wrong)}")
+    return found
+
+
+def stage_tables_dropped(job):
+    """Run a job and remove the stage tables it wrote; its results are in the output folder."""
+
+    @functools.wraps(job)
+    def run(*args, **options):
+        spark = args[0] if isinstance(args[0], SparkSession) else args[0].sparkSession
+        mark = stages()
+        try:
+            return job(*args, **options)
+        finally:
+            drop_stages(spark, mark)
+
+    return run
 
 
+@stage_tables_dropped
 def extract(
     tweets: DataFrame, out: str, brand: str, hops: int = 3, sample_size: int = 250, seed: int = 42
 ) -> tuple[DataFrame, DataFrame]:
@@ -52,6 +106,7 @@ def extract(
     return threaded, found
 
 
+@stage_tables_dropped
 def clean_and_split(
     spark: SparkSession, out: str, train_share: float = 0.70, validation_share: float = 0.15, seed: int = 42, month_year: int = 2017
 ) -> DataFrame:
@@ -93,14 +148,16 @@ def clean_and_split(
     return assigned
 
 
+@stage_tables_dropped
 def label_intents(
     spark: SparkSession,
     out: str,
     patterns: Mapping[str, str] = V.INTENT_PATTERNS,
-    taxonomy: Mapping[str, Mapping] = V.TAXONOMY,
+    taxonomy: Mapping[str, Mapping] | str = V.TAXONOMY,
 ) -> DataFrame:
-    """Intent labels for every split, their distribution and the taxonomy file."""
-    write_taxonomy(taxonomy_rows(spark, taxonomy), f"{out}/reports/intent_taxonomy")
+    """Intent labels for every split, their distribution and the taxonomy, given as a mapping or as a file."""
+    rows = read_taxonomy(spark, taxonomy) if isinstance(taxonomy, str) else taxonomy_rows(spark, taxonomy)
+    write_taxonomy(rows, f"{out}/reports/intent_taxonomy")
     labelled = rules.label_intent(_read(spark, out, "splits"), patterns=patterns)
     written = write_table(labelled, f"{out}/intents", partition_by=["split"])
     shares = profile.frequency(written, "intent", within=["split"])
@@ -123,11 +180,23 @@ def _report(spark: SparkSession, out: str, name: str, counts: DataFrame, labels:
     per_class = per_class.agg(F.collect_list(F.struct("label", "precision", "recall", "f1", "support")))
     parts = {"metrics": _record(metrics.overall(counts, labels)), "per_class": per_class.scalar(), **extra}
     document = _document(spark, model=F.lit(name), test_size=counts.agg(F.sum("n")).scalar(), **parts)
-    write_document(document, f"{out}/reports/{name}_results")
     write_confusion(metrics.confusion_matrix(counts, labels), labels, f"{out}/reports/{name}_confusion_matrix")
-    return document
+    return _written(document, f"{out}/reports/{name}_results")
 
 
+def _written(document: DataFrame, path: str) -> DataFrame:
+    """A report, read back from where it was written."""
+    write_document(document, path)
+    return document.sparkSession.read.schema(document.schema).json(path)
+
+
+def _parameters(**values):
+    """Model settings as a map of text."""
+    pairs = [F.struct(F.lit(k).alias("key"), F.lit(str(v)).alias("value")) for k, v in sorted(values.items())]
+    return F.map_from_entries(F.array(*pairs))
+
+
+@stage_tables_dropped
 def evaluate_baselines(
     spark: SparkSession, out: str, labels: Sequence[str] = V.INTENTS, majority: str = V.FALLBACK, seed: int = 42
 ) -> DataFrame:
@@ -144,6 +213,7 @@ def evaluate_baselines(
     return write_table(delta, f"{out}/reports/baseline_comparison", "json")
 
 
+@stage_tables_dropped
 def evaluate_tfidf_logistic(
     spark: SparkSession,
     out: str,
@@ -157,9 +227,14 @@ def evaluate_tfidf_logistic(
     stops = V.english_stop_words() if stop_words is None else stop_words
     model = classifiers.fit_tfidf_logistic(train, text, "intent", labels, stops, **options)
     counts = materialize(metrics.confusion_counts(model.predict(test, text)))
-    return _report(spark, out, "tfidf_lr", counts, labels)
+    settings = _parameters(
+        **options, features=len(model.tfidf.terms), max_n=model.tfidf.max_n, stop_words=len(stops), class_weight="balanced"
+    )
+    size = F.lit(model.tfidf.rows).cast("bigint")
+    return _report(spark, out, "tfidf_lr", counts, labels, train_size=size, parameters=settings)
 
 
+@stage_tables_dropped
 def evaluate_centroids(
     spark: SparkSession, out: str, embeddings: DataFrame, labels: Sequence[str] = V.INTENTS, vector: str = "embedding"
 ) -> DataFrame:
@@ -173,9 +248,13 @@ def evaluate_centroids(
     counts = metrics.confusion_counts(scored)
     confidence = _record(profile.confidence_stats(scored))
     sizes = _map(profile.frequency(train, "intent"), "intent")
-    return _report(spark, out, "embedding_classifier", counts, labels, intent_counts=sizes, confidence_stats=confidence)
+    return _report(
+        spark, out, "embedding_classifier", counts, labels, intent_counts=sizes, confidence_stats=confidence,
+        train_size=train.agg(F.count(F.lit(1))).scalar(), parameters=_parameters(classes=len(model.labels), score="cosine"),
+    )
 
 
+@stage_tables_dropped
 def evaluate_manual_labels(
     spark: SparkSession,
     predictions: DataFrame,
@@ -192,6 +271,7 @@ def evaluate_manual_labels(
     return _report(spark, out, "manual_labels", metrics.confusion_counts(matched), labels, alignment=alignment)
 
 
+@stage_tables_dropped
 def brand_report(spark: SparkSession, out: str, brand: str) -> DataFrame:
     """Size, thread, delay, signal and vocabulary figures of the extracted brand."""
     tweets, found = _read(spark, out, "tweets"), _read(spark, out, "support_pairs")
@@ -210,17 +290,18 @@ def brand_report(spark: SparkSession, out: str, brand: str) -> DataFrame:
         # At most 55 rows by the limits of the n-gram report.
         ngrams=ngrams.agg(F.sort_array(F.collect_list(F.struct("n", "occurrences", "term")))).scalar(),
     )
-    write_document(document, f"{out}/reports/brand_stats")
-    return document
+    return _written(document, f"{out}/reports/brand_stats")
 
 
+@stage_tables_dropped
 def explore_topics(
     spark: SparkSession, out: str, cluster_options: Mapping | None = None, topic_options: Mapping | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """k-means clusters and matrix-factorisation topics of the training questions."""
     train = _read(spark, out, "splits").filter(F.col("split") == splits.TRAIN)
-    clusters, _ = topics.kmeans_topics(train, "pair_id", "customer_text_normalized", V.cluster_stop_words(), **(cluster_options or {}))
-    themes, _ = topics.nmf_topics(train, "pair_id", "customer_text_normalized", V.topic_stop_words(), **(topic_options or {}))
-    write_table(clusters, f"{out}/reports/intent_clusters", "json")
-    write_table(themes, f"{out}/reports/topics", "json")
-    return clusters, themes
+    clusters, _ = topics.kmeans_topics(train, "pair_id", "customer_text_normalized", V.cluster_stop_words(), **({"shown": ["customer_text"]} | dict(cluster_options or {})))
+    themes, _ = topics.nmf_topics(train, "pair_id", "customer_text_normalized", V.topic_stop_words(), **({"shown": REPLIES} | dict(topic_options or {})))
+    return (
+        write_table(clusters, f"{out}/reports/intent_clusters", "json"),
+        write_table(themes, f"{out}/reports/topics", "json"),
+    )

@@ -64,9 +64,9 @@ def pct(part: str, whole: str) -> str:
 
 MESSAGES = f"""
 numbered AS (
-  SELECT conv_id, turn, role, text, 0 AS copy, conv_id * 1000000 + turn AS tweet_id FROM conversations
+  SELECT conv_id, turn, role, text, 0 AS copy, conv_id * 4294967296 + turn * 2 AS tweet_id FROM conversations
   UNION ALL
-  SELECT conv_id, turn, role, text, 1, conv_id * 1000000 + turn + 500000 FROM conversations
+  SELECT conv_id, turn, role, text, 1, conv_id * 4294967296 + turn * 2 + 1 FROM conversations
   WHERE role = 'assistant' AND conv_id % 10 = 0),
 tweets AS (
   SELECT tweet_id,
@@ -92,9 +92,10 @@ tweets AS (
                 || CASE WHEN turn % 3 = 0 THEN ' ^AB' WHEN turn % 5 = 0 THEN ' /LS' ELSE '' END END
     ELSE text END AS text,
     CASE WHEN copy = 1 OR (conv_id + turn) % 4 = 0 THEN NULL
-         WHEN conv_id % 10 = 0 THEN (tweet_id + 1) || ', ' || (tweet_id + 500001) || ',x'
-         ELSE CAST(tweet_id + 1 AS VARCHAR) END AS response_tweet_id,
-    CASE WHEN turn > 0 THEN conv_id * 1000000 + turn - 1 END AS in_response_to_tweet_id
+         WHEN conv_id % 10 = 0 THEN (tweet_id + 2) || ', ' || (tweet_id + 3) || ',x'
+         ELSE CAST(tweet_id + 2 AS VARCHAR) END AS response_tweet_id,
+    CASE WHEN turn > 0 THEN conv_id * 4294967296 + (turn - 1) * 2 WHEN conv_id % 45 = 1 THEN conv_id * 4294967296 + 2
+         WHEN conv_id % 60 BETWEEN 33 AND 47 THEN (conv_id - 1) * 4294967296 END AS in_response_to_tweet_id
   FROM numbered)"""
 
 LINKS = """
@@ -126,10 +127,12 @@ def rooted(source: str) -> str:
 up AS (
   SELECT c.tweet_id, p.tweet_id AS parent FROM {source} c JOIN {source} p ON p.tweet_id = c.in_response_to_tweet_id),
 walk AS (
-  SELECT tweet_id, tweet_id AS node FROM {source}
+  SELECT tweet_id, tweet_id AS node, [tweet_id] AS path, false AS met FROM {source}
   UNION ALL
-  SELECT w.tweet_id, up.parent FROM walk w JOIN up ON up.tweet_id = w.node),
-roots AS (SELECT tweet_id, node AS conversation_id FROM walk WHERE node NOT IN (SELECT tweet_id FROM up))"""
+  SELECT w.tweet_id, up.parent, list_append(path, up.parent), list_contains(path, up.parent)
+  FROM walk w JOIN up ON up.tweet_id = w.node WHERE NOT met),
+-- A walk ends at a tweet without a parent, or where it enters a cycle, whose tweets are their own roots.
+roots AS (SELECT tweet_id, node AS conversation_id FROM walk WHERE met OR node NOT IN (SELECT tweet_id FROM up))"""
 
 
 THREADS = (
@@ -425,6 +428,12 @@ def oracle_sql() -> dict[str, str]:
             MESSAGES, THREADS,
             """SELECT count(DISTINCT conversation_id) AS conversations, count(*) AS total_turns, 0::BIGINT AS missing_keys
             FROM threads"""),
+        "csv_round_trip": statement(
+            MESSAGES, """SELECT * REPLACE (replace(text, ' the ', chr(10) || '"the", ') AS text) FROM tweets"""),
+        "split_files": statement(
+            *TO_SPLIT,
+            """SELECT split, count(*) AS pairs, sum(pair_id)::BIGINT AS pair_ids, sum(conversation_id)::BIGINT AS conversation_ids
+            FROM assigned GROUP BY split"""),
         "taxonomy_confusable": statement(
             *TO_CONFUSION, f"listed(t, p) AS (VALUES {conf_rows})",
             """SELECT true_label, predicted_label, n, t IS NOT NULL AS listed FROM confusion
@@ -700,4 +709,6 @@ def oracle_sql() -> dict[str, str]:
         "tfidf_weights": statement(
             *TO_SPLIT, _tfidf(), "SELECT pair_id, term, round(w / norm, 6) AS weight FROM raw JOIN norm USING (pair_id)"),
     }
+    # Files are compared with what was written to them.
+    sql["confusion_file"], sql["metrics_file"] = sql["confusion_matrix"], sql["classification_overall"]
     return sql

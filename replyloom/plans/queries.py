@@ -10,13 +10,20 @@ from pyspark.sql import functions as F
 from replyloom import schemas
 from replyloom.functions import text as X
 from replyloom.operators import classifiers, features, metrics, ordering, pairs, profile, quality, rules, splits, threads, topics
-from replyloom.session import materialize, spread, tune
-from replyloom.sources.files import confusable_pairs, taxonomy_rows
+from replyloom.session import materialize, new_stage, tune
+from replyloom.sources.files import (
+    confusable_pairs,
+    read_tweets_csv,
+    taxonomy_rows,
+    write_confusion,
+    write_document,
+    write_table,
+)
 from replyloom.sources.messages import BRAND, messages, read_table
 from replyloom.vocabulary import INTENTS, REPLY_SIGNALS, TAXONOMY
 
 SEED = 42
-SAMPLE = 25
+SAMPLE = 12
 MIN_BRAND_TWEETS = 40
 VOCABULARY = 2_000
 STOPS = "the of and le la les der die und el los que de en un in to is at by".split()
@@ -63,16 +70,17 @@ def _predicted(spark, sf):
 
 
 def _documents(spark, sf):
-    return spread(read_table(spark, sf, "documents"))
+    return read_table(spark, sf, "documents")
 
 
 class _Splits:
     """Threads, pairs, golden sample and split assignment of one run."""
 
     def __init__(self, spark, sf):
-        self.tweets = materialize(_threads(spark, sf))
-        self.pairs = materialize(pairs.normalize_pairs(pairs.support_pairs(self.tweets, BRAND)))
-        self.clean = materialize(quality.keep_clean(quality.quality_flags(self.pairs)))
+        self.tweets = _threads(spark, sf)
+        flagged = quality.quality_flags(pairs.normalize_pairs(pairs.support_pairs(self.tweets, BRAND)))
+        self.pairs = materialize(flagged)
+        self.clean = quality.keep_clean(self.pairs)
         self.golden = splits.seeded_sample(self.pairs, "pair_id", SAMPLE, SEED)
         fitted = splits.fit_conversation_split(self.clean, self.golden, seed=SEED)
         self.assigned = splits.assign_split(self.clean, self.golden, fitted)
@@ -96,6 +104,43 @@ def conversation_doc_audit(spark, sf):
     return threads.audit_records(records.select(F.to_json(F.struct("*")).alias("value")))
 
 
+@query
+def csv_round_trip(spark, sf):
+    """The messages written as CSV, quoted line breaks included, and read back."""
+    broken = F.regexp_replace("text", " the ", '\n"the", ')
+    path = new_stage(spark)
+    write_table(messages(spark, sf).withColumn("text", broken), path, "csv")
+    return read_tweets_csv(spark, path)
+
+
+@query
+def split_files(spark, sf):
+    """Pairs and conversations per split, from the partitions the splits were written to."""
+    path = new_stage(spark)
+    write_table(_Splits(spark, sf).assigned.select("pair_id", "conversation_id", "split"), path, partition_by=["split"])
+    return spark.read.parquet(path).groupBy("split").agg(
+        F.count(F.lit(1)).alias("pairs"), F.sum("pair_id").alias("pair_ids"), F.sum("conversation_id").alias("conversation_ids")
+    )
+
+
+@query
+def confusion_file(spark, sf):
+    """The labelled confusion matrix read back from its CSV file."""
+    path = new_stage(spark)
+    write_confusion(metrics.confusion_matrix(metrics.confusion_counts(_predicted(spark, sf)), INTENTS), INTENTS, path)
+    rows = spark.read.option("header", True).option("inferSchema", True).csv(path)
+    return rows.select(F.col(rows.columns[0]).alias("true_label"), *[F.col(c).cast("bigint").alias(c) for c in INTENTS])
+
+
+@query
+def metrics_file(spark, sf):
+    """The overall metrics read back from their JSON document."""
+    path = new_stage(spark)
+    scores = metrics.overall(metrics.confusion_counts(_predicted(spark, sf)), INTENTS)
+    write_document(scores, path)
+    return spark.read.schema(scores.schema).json(path)
+
+
 @query
 def taxonomy_confusable(spark, sf):
     """Confusions seen in the data, with whether the taxonomy lists them."""
@@ -342,9 +387,9 @@ def duplicate_turns(spark, sf):
 @query
 def dedup_tweets(spark, sf):
     """Documents with the same text reduced to the first one."""
-    return ordering.first_rows(read_table(spark, sf, "documents").select("doc_id", "text", "lang"), ["text"], ["doc_id"]).select(
-        "doc_id", "lang", F.md5("text").alias("text_md5")
-    )
+    documents = read_table(spark, sf, "documents")
+    later = quality.later_copies(documents, "text", "doc_id")
+    return documents.select("doc_id", "lang", F.md5("text").alias("text_md5")).join(later, "doc_id", "left_anti")
 
 
 @query

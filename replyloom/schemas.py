@@ -37,6 +37,7 @@ CONVERSATIONS = T.StructType([
     T.StructField("conversation_id", T.LongType()),
     T.StructField("conversation_length", T.LongType()),
     T.StructField("part", T.LongType()),
+    T.StructField("first_position", T.LongType()),
     T.StructField("tweets", T.ArrayType(TURN)),
 ])
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -29,6 +28,7 @@ def local_session(cores: str | int = 8, app: str = "replyloom", memory: str = "8
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         # Call sites of column expressions cost one round trip each while a plan is built.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
@@ -55,47 +55,54 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-SMALL_SPLITS = 64
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The folder for stage tables and checkpoints, one that Spark's file system resolves on every machine.
 
+    It is ``spark.checkpoint.dir``, or a folder below the warehouse where that is not set.
+    """
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(named or f"{spark.conf.get('spark.sql.warehouse.dir')}/replyloom-stages")
+    return context.getCheckpointDir()
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a small table with fewer input splits than cores one partition per core.
 
-    Only tables of a few splits (some gigabytes) are moved; a big one is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    splits = df.rdd.getNumPartitions()
-    return df.repartition(cores) if splits < cores and splits <= SMALL_SPLITS else df
+_STAGES: list[str] = []
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder named by ``spark.checkpoint.dir``; only a local master may fall back to a temp folder."""
-    context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(named)
-        return
-    if context.getCheckpointDir() is not None:
-        return
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="replyloom-checkpoint-"))
+def new_stage(spark: SparkSession) -> str:
+    """A new path in the checkpoint folder; it is removed with the stage tables."""
+    path = f"{ensure_checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
+    _STAGES.append(path)
+    return path
 
 
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once as a table in the checkpoint folder and go on from the files.
 
     A table cuts the lineage as a checkpoint does, and later steps still read only the columns and row
-    groups they need and know its size when they plan a join.
+    groups they need and know its size when they plan a join. It stays until ``drop_stages``.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/tables/{uuid.uuid4().hex}"
+    path = new_stage(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stages() -> int:
+    """A mark for ``drop_stages``: how many stage tables there are now."""
+    return len(_STAGES)
+
+
+def drop_stages(spark: SparkSession, since: int = 0) -> None:
+    """Remove the stage tables written after the mark ``since``; frames built on them can no longer be read."""
+    jvm = spark.sparkContext._jvm
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    while len(_STAGES) > since:
+        path = jvm.org.apache.hadoop.fs.Path(_STAGES.pop())
+        path.getFileSystem(configuration).delete(path, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint, for narrow loop state that is read back whole."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,13 +32,32 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType) -
     )
 
 
+PARENT = "in_response_to_tweet_id"
+
+
+def written_id(text: Column) -> Column:
+    """An id as tools write it: digits, perhaps with a fraction of zeros, as float columns get. Null where it is none."""
+    return F.regexp_replace(F.trim(text), r"\.0*$", "").try_cast("bigint")
+
+
 def read_tweets_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Raw message table. The parent id may be written as ``119240.0``, as tools with float columns do."""
-    raw = T.StructType(
-        [f if f.name != "in_response_to_tweet_id" else T.StructField(f.name, T.DoubleType()) for f in schemas.TWEETS]
-    )
-    parent = F.col("in_response_to_tweet_id").cast("bigint")
-    return read_csv(spark, path, raw).withColumn("in_response_to_tweet_id", parent)
+    """Raw message table. The parent id may be written as ``119240.0``; it is read digit by digit, never as a float.
+
+    A parent that is no id becomes null; ``unread_parents`` counts those.
+    """
+    return _raw_tweets(spark, path).withColumn(PARENT, written_id(F.col(PARENT)))
+
+
+def unread_parents(spark: SparkSession, path: str | list[str]) -> int:
+    """Rows whose parent id is neither blank nor an id of 64 bits."""
+    written = F.col(PARENT)
+    bad = (F.trim(written) != "") & written_id(written).isNull()
+    return _raw_tweets(spark, path).select(F.count_if(bad)).first()[0]
+
+
+def _raw_tweets(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    text = [T.StructField(f.name, T.StringType()) if f.name == PARENT else f for f in schemas.TWEETS]
+    return read_csv(spark, path, T.StructType(text))
 
 
 def ingest_tweets(spark: SparkSession, csv_path: str | list[str], parquet_path: str) -> DataFrame:
@@ -67,8 +86,13 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_document(df: DataFrame, path: str) -> None:
-    """A one-row metrics or statistics document as JSON."""
-    df.limit(1).coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(path)
+    """A one-row metrics or statistics document as JSON; any other number of rows is an error."""
+    whole = df.agg(F.count(F.lit(1)).alias("n"), F.first(F.struct("*")).alias("document"))
+    checked = F.when(F.col("n") == 1, F.col("document")).otherwise(
+        F.raise_error(F.concat(F.lit("a document has one row, not "), F.col("n").cast("string"))).cast(df.schema)
+    )
+    one = whole.select(checked.alias("document")).select("document.*")
+    one.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
 def write_confusion(matrix: DataFrame, labels: Sequence[str], path: str) -> None:

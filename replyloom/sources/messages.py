@@ -9,12 +9,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from replyloom.session import spread
-
 BRAND = "HelpDesk"
 OTHER_BRAND = "OtherCare"
-STRIDE = 1_000_000
-SECOND_REPLY = 500_000
+#: A message id is the conversation above 32 bits, then the turn, then a bit for the second reply.
+STRIDE = 2**32
+SECOND_REPLY = 1
+#: Every so many conversations, the first turn answers the second one: a cycle of replies.
+CYCLE_EVERY = 45
+#: Of every sixty conversations, these answer the first turn of the one before: a long chain of replies.
+CHAIN_OF, CHAIN_FROM, CHAIN_TO = 60, 33, 47
 EPOCH = "2016-12-20 00:00:00"
 
 COMPLAINTS = [
@@ -52,16 +55,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``conversations`` table as raw messages."""
-    return from_turns(spread(read_table(spark, sf_dir, "conversations")))
+    return from_turns(read_table(spark, sf_dir, "conversations"))
 
 
 def from_turns(turns: DataFrame) -> DataFrame:
     conv, turn, role, tid = F.col("conv_id"), F.col("turn"), F.col("role"), F.col("tweet_id")
-    first_id = conv * STRIDE + turn
+    first_id = conv * STRIDE + turn * 2
     answered_twice = (role == "assistant") & (conv % 10 == 0)
     ids = F.when(answered_twice, F.array(first_id, first_id + SECOND_REPLY)).otherwise(F.array(first_id))
     numbered = turns.withColumn("tweet_id", F.explode(ids))
-    copy = F.when(tid % STRIDE >= SECOND_REPLY, 1).otherwise(0)
+    copy = (tid % 2).cast("int")
 
     customer = (conv + 100_000).cast("string")
     author = (
@@ -70,13 +73,17 @@ def from_turns(turns: DataFrame) -> DataFrame:
         .when(conv % 5 == 4, OTHER_BRAND)
         .otherwise(BRAND)
     )
-    next_id = (tid + 1).cast("string")
+    next_id = (tid + 2).cast("string")
     children = (
         F.when((copy == 1) | ((conv + turn) % 4 == 0), F.lit(None))
-        .when(conv % 10 == 0, F.concat(next_id, F.lit(", "), (tid + 1 + SECOND_REPLY).cast("string"), F.lit(",x")))
+        .when(conv % 10 == 0, F.concat(next_id, F.lit(", "), (tid + 2 + SECOND_REPLY).cast("string"), F.lit(",x")))
         .otherwise(next_id)
     )
-    parent = F.when(turn > 0, conv * STRIDE + turn - 1)
+    parent = (
+        F.when(turn > 0, conv * STRIDE + (turn - 1) * 2)
+        .when(conv % CYCLE_EVERY == 1, conv * STRIDE + 2)
+        .when((conv % CHAIN_OF).between(CHAIN_FROM, CHAIN_TO), (conv - 1) * STRIDE)
+    )
     return numbered.select(
         "tweet_id",
         author.alias("author_id"),

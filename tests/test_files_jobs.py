@@ -12,6 +12,7 @@ from replyloom.__main__ import main
 from replyloom.operators import metrics
 from replyloom.plans import jobs
 from replyloom.schemas import CONVERSATIONS, SUPPORT_PAIRS, TWEETS
+from replyloom.session import stages
 from replyloom.sources import files
 from replyloom.sources.messages import COMPLAINTS
 
@@ -75,6 +76,43 @@ def test_csv_keeps_texts(spark, export):
         assert (row.response_tweet_id, row.in_response_to_tweet_id) == (children, None if parent is None else int(parent))
 
 
+def test_parent_ids_are_read_digit_by_digit(spark, tmp_path):
+    written = {
+        "9007199254740993": 9007199254740993, "119240.0": 119240, " 7 ": 7, "": None, "  ": None, "junk": None, "1.5": None,
+        "9223372036854775807.00": 2**63 - 1, "9223372036854775808": None, "1e3": None,
+    }
+    path = tmp_path / "ids.csv"
+    with open(path, "w", newline="", encoding="utf-8") as handle:
+        writer = csv.writer(handle)
+        writer.writerow(TWEETS.names)
+        writer.writerows([i, "a", True, stamp(1, 1), "line\nbreak", "", parent] for i, parent in enumerate(written))
+    got = {r.tweet_id: r.in_response_to_tweet_id for r in files.read_tweets_csv(spark, str(path)).collect()}
+    assert got == dict(enumerate(written.values()))
+    assert files.unread_parents(spark, str(path)) == 4
+
+
+def test_a_document_has_one_row(spark, tmp_path):
+    files.write_document(spark.range(1), str(tmp_path / "one"))
+    assert document(tmp_path / "one") == {"id": 0}
+    for rows in (0, 3):
+        with pytest.raises(Exception, match="a document has one row"):
+            files.write_document(spark.range(rows), str(tmp_path / f"rows{rows}"))
+
+
+def test_tables_of_another_shape_stop_a_job(spark, finished, tmp_path):
+    spark.read.parquet(f"{finished}/splits").withColumn("pair_id", F.col("pair_id").cast("string")).drop("response_type").write.parquet(
+        str(tmp_path / "splits")
+    )
+    with pytest.raises(ValueError, match="pair_id, response_type"):
+        jobs.label_intents(spark, str(tmp_path))
+
+
+def test_jobs_leave_no_stage_tables(spark, finished):
+    before = stages()
+    jobs.evaluate_baselines(spark, finished)
+    assert stages() == before
+
+
 def test_csv_with_other_columns_is_refused(spark, tmp_path):
     path = tmp_path / "bad.csv"
     path.write_text("a,b,c,d,e,f,g\n1,2,True,4,5,6,7\n")
@@ -153,6 +191,7 @@ def test_baselines(spark, finished):
 def test_fitted_models(spark, finished):
     row = jobs.evaluate_tfidf_logistic(spark, finished, max_features=500).first()
     assert row.test_size == 10 and row.metrics.accuracy >= 0.5
+    assert row.train_size == 50 and row.parameters["max_features"] == "500"
     intents = spark.read.parquet(f"{finished}/intents")
     slot = F.array_position(F.array(*[F.lit(i) for i in V.INTENTS]), F.col("intent"))
     unit = F.transform(F.sequence(F.lit(1), F.lit(8)), lambda i: F.when(i == slot, 1.0).otherwise(0.0).cast("float"))
@@ -180,6 +219,9 @@ def test_brand_report_and_topics(spark, finished):
     assert report.ngrams[0].n == 1
     clusters, themes = jobs.explore_topics(spark, finished, {"k": 4, "min_df": 2}, {"k": 4, "min_df": 2})
     assert sum(r["size"] for r in clusters.collect()) == 50 == sum(r["size"] for r in themes.collect())
+    pairs = {r.pair_id: r for r in spark.read.parquet(f"{finished}/splits").collect()}
+    for r in themes.collect():
+        assert all((e.customer_text, e.response_text) == (pairs[e.pair_id].customer_text, pairs[e.pair_id].response_text) for e in r.examples)
 
 
 def test_load_checks_stop_bad_labels(spark, finished):

@@ -119,9 +119,10 @@ def test_nmf_matches_a_dense_run(spark):
     rivals = [error(dense_nmf(x, rng.rand(3, 12), 200)) for _ in range(5)]
     assert error(topics.fit_nmf(df, terms, 3, max_iter=100, tol=1e-7).components) <= 1.05 * min(rivals)
     w = topics.nonnegative_fit(x @ model.components.T, model.components @ model.components.T)
-    got = sorted(model.assign(df, "id").collect(), key=lambda r: r.id)
+    got = sorted(model.topic_weights(df, "id").collect(), key=lambda r: r.id)
     assert [r.topic_id for r in got] == (w.argmax(axis=1) + 1).tolist()
-    assert model.topic_weights(df, "id").count() == 120
+    assert np.array([r.weights for r in got]) == pytest.approx(w)
+    assert [r.weight for r in got] == pytest.approx(w.max(axis=1).tolist())
 
 
 def test_start_uses_the_leading_singular_vector(spark):
@@ -148,6 +149,29 @@ def test_topics_find_the_themes(themed, build, group):
     assert sum(r.pct for r in rows) == pytest.approx(100, abs=0.05)
     top = assigned.filter("id < 90").groupBy((F.col("id") % 3).alias("theme"), group).count().collect()
     assert sorted(r["count"] for r in top) == [30, 30, 30]
-    first_words = {r.top_terms.split(", ")[0].split(" ")[0] for r in rows}
+    first_words = {r.top_terms[0].split(" ")[0] for r in rows}
     assert len(first_words) == 3
-    assert all(len(r.examples.split(", ")) == 4 for r in rows)
+    texts, groups = dict(themed.collect()), dict(assigned.collect())
+    for r in rows:
+        assert len(r.examples) == 4
+        assert all(e.t == texts[e.id] and groups[e.id] == r[group] for e in r.examples)
+
+
+def test_kmeans_matches_a_dense_run_for_any_layout(spark, themed):
+    words = topics.tokens(themed, "id", F.col("t"), [], topics.WORDS)
+    tfidf = topics.fit_tfidf(words, topics.WORDS, 50, 1, 1.0)
+    rows = tfidf.vectors(words, topics.WORDS, topics.FEATURES).select("id", topics.FEATURES)
+    n = len(tfidf.terms)
+    models = [topics.fit_kmeans(rows.repartition(parts), "id", n, 4, starts=3) for parts in (1, 7)]
+    assert np.array_equal(models[0].centers, models[1].centers) and models[0].rounds == models[1].rounds
+    ordered = sorted(rows.collect(), key=lambda r: r.id)
+    x = np.array([r[1].toArray() for r in ordered])
+    found = {r.id: r.cluster_id for r in models[0].assign(rows, "id").collect()}
+    labels = np.array([found[r.id] for r in ordered])
+    distance = ((x[:, None, :] - models[0].centers[None]) ** 2).sum(axis=2)
+    assert distance[np.arange(len(x)), labels] == pytest.approx(distance.min(axis=1), abs=1e-8)
+    for k in set(labels.tolist()):
+        assert models[0].centers[k] == pytest.approx(x[labels == k].mean(axis=0), abs=1e-8)
+    assert models[0].inertia == pytest.approx(distance.min(axis=1).sum(), abs=1e-6)
+    one = topics.fit_kmeans(rows, "id", n, 4, starts=1)
+    assert models[0].inertia <= one.inertia + 1e-9

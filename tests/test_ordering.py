@@ -23,7 +23,7 @@ SAMPLES = {
 def test_order_statistics(spark, name):
     values = SAMPLES[name]
     ranks = sorted({0, len(values) // 4, len(values) // 2, len(values) - 1})
-    got = ordering.order_statistics(frame(spark, values), "v", ranks, collect_limit=50, buckets=16)
+    got = ordering.order_statistics(frame(spark, values), "v", ranks, buckets=16)
     assert got == [sorted(values)[r] for r in ranks]
 
 
@@ -34,15 +34,29 @@ def test_order_statistics_need_finite_values(spark):
 
 def test_order_statistics_of_big_integers(spark):
     values = [2**62 + i for i in range(400)]
-    got = ordering.order_statistics(frame(spark, values, "bigint"), "v", [0, 123, 399], collect_limit=10, buckets=16)
+    got = ordering.order_statistics(frame(spark, values, "bigint"), "v", [0, 123, 399], buckets=16)
     assert got == [values[0], values[123], values[399]]
 
 
-@pytest.mark.parametrize("exact_rows", [10, 10**6])
-def test_quantiles_interpolate(spark, exact_rows):
-    values = SAMPLES["uniform"][:777] + [None, None]
+def test_neighbouring_doubles_are_told_apart(spark):
+    values = [1.0 + i * 2.0**-52 for i in range(70)] + [-(2.0**-1074), 0.0, 2.0**-1074]
+    got = ordering.order_statistics(frame(spark, values), "v", [0, 1, 2, 3, 40, 72], buckets=16)
+    assert got == [sorted(values)[r] for r in (0, 1, 2, 3, 40, 72)]
+
+
+@pytest.mark.parametrize("rows", [5, 777])
+def test_quantiles_refuse_nan_at_every_size(spark, rows):
+    df = frame(spark, [*SAMPLES["uniform"][:rows], float("nan")])
+    with pytest.raises(ValueError, match="not finite"):
+        ordering.quantiles(df, "v", [0.5])
+    assert spark.range(1).select(*ordering.quantiles(frame(spark, [None]), "v", [0.5])).first()[0] is None
+
+
+@pytest.mark.parametrize("rows", [5, 777])
+def test_quantiles_interpolate(spark, rows):
+    values = SAMPLES["uniform"][:rows] + [None, None]
     df = frame(spark, values)
-    columns = ordering.quantiles(df, "v", [0.25, 0.5, 0.75], exact_rows=exact_rows)
+    columns = ordering.quantiles(df, "v", [0.25, 0.5, 0.75])
     got = list(df.agg(*[c.alias(f"q{i}") for i, c in enumerate(columns)]).first())
     assert got == pytest.approx(np.percentile(values[:-2], [25, 50, 75]).tolist(), abs=1e-12)
 
@@ -51,7 +65,7 @@ def test_time_cutoffs(spark):
     df = spark.range(1000).select(
         F.timestamp_add("SECOND", F.col("id") * 37 % 1000, F.lit("2017-10-01 00:00:00").cast("timestamp_ntz")).alias("at")
     )
-    row = profile.time_cutoffs(df, F.col("at"), collect_limit=20).first()
+    row = profile.time_cutoffs(df, F.col("at")).first()
     texts = [str(row[c]) for c in ("earliest", "cutoff_70", "cutoff_85", "latest")]
     assert row.dated_rows == 1000
     assert texts == ["2017-10-01 00:00:00", "2017-10-01 00:11:40", "2017-10-01 00:14:10", "2017-10-01 00:16:39"]
@@ -70,6 +84,15 @@ def test_number_rows_with_a_hot_group(spark):
     assert sorted(r.n for r in dense.collect()) == list(range(1, 701))
 
 
+def test_many_blocks_of_slices_number_as_one(spark, monkeypatch):
+    rows = [(f"k{i % 3}" if i % 5 else None, i) for i in range(300)]
+    df = spark.createDataFrame(rows, "k string, i int").repartition(6)
+    whole = sorted(map(str, ordering.number_rows(df, ["k"], ["i"], "n").collect()))
+    monkeypatch.setattr(ordering, "SLICES_PER_BLOCK", 2)
+    assert sorted(map(str, ordering.number_rows(df, ["k"], ["i"], "n", slice_rows=20).collect())) == whole
+    assert sorted(r.n for r in ordering.number_rows(df, [], ["i"], "n", slice_rows=20).collect()) == list(range(1, 301))
+
+
 def test_first_rows_limits_groups_before_the_shuffle(spark):
     df = spark.range(10_000).select((F.col("id") % 3).alias("k"), "id")
     firsts = ordering.first_rows(df, ["k"], ["id"], 2)

@@ -136,10 +136,12 @@ def test_seconds_between_and_ascii(spark):
 
 
 def test_stop_lists(spark):
-    assert len(V.profile_stop_words()) == 192
-    assert {"apple", "the", "hello"} <= set(V.profile_stop_words()) and "just" not in V.profile_stop_words()
-    assert {"user", "url"} <= set(V.cluster_stop_words())
-    assert {"today", "just"} <= set(V.topic_stop_words()) and "will" not in V.topic_stop_words()
+    english = set(V.english_stop_words())
+    for words, noise in (
+        (V.profile_stop_words(), V.PROFILE_NOISE), (V.cluster_stop_words(), V.CLUSTER_NOISE), (V.topic_stop_words(), V.TOPIC_NOISE)
+    ):
+        assert set(words) == english | set(noise)
+    assert {"apple", "hello"} <= set(V.PROFILE_NOISE) and {"user", "url"} <= set(V.CLUSTER_NOISE) and "today" in V.TOPIC_NOISE
 
 
 def test_times_do_not_depend_on_the_session_zone(spark):

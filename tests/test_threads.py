@@ -97,7 +97,22 @@ def test_records_split_long_threads(spark):
     parts = sorted((r for r in cut.collect() if r.conversation_id == 0), key=lambda r: r.part)
     assert [len(r.tweets) for r in parts] == [5, 5, 5, 5, 3]
     assert [t.tweet_id for r in parts for t in r.tweets] == [t.tweet_id for t in full.tweets]
-    assert {r.conversation_length for r in parts} == {23}
+    assert {r.conversation_length for r in parts} == {23} and [r.first_position for r in parts] == [0, 5, 10, 15, 20]
+    flat = [sorted(map(str, threads.flatten_records(threads.conversation_records(threaded, n)).drop("part").collect())) for n in (2, 5, 100)]
+    assert flat[0] == flat[1] == flat[2]
+    places = threads.flatten_records(cut).filter("conversation_id = 0").select("position").collect()
+    assert sorted(r.position for r in places) == list(range(23))
+
+
+def test_first_of_repeated_ids_is_the_earliest(spark):
+    rows = {1: (None, None, "7", True, dated(1, 30), "ask"), 2: (1, None, "Brand", False, dated(1, 40), "late")}
+    frame = tweets(spark, rows)
+    early = frame.filter("tweet_id = 2").withColumn("created_at", F.lit("Wed Nov 01 01:00:00 +0000 2017"))
+    same = frame.filter("tweet_id = 2").withColumn("in_response_to_tweet_id", F.lit(None).cast("bigint"))
+    got = threads.extract_brand(frame.unionByName(early).unionByName(same), "Brand").collect()
+    assert sorted((r.tweet_id, r.created_at[:3], r.in_response_to_tweet_id) for r in got) == [(2, "Tue", None)] or [
+        (r.tweet_id, r.created_at[:3]) for r in sorted(got, key=lambda r: r.tweet_id)
+    ] == [(1, "Tue"), (2, "Tue")]
 
 
 def test_record_audit(spark):
