@@ -28,6 +28,8 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType) -
         .option("encoding", "UTF-8")
         .option("enforceSchema", False)
         .option("mode", "FAILFAST")
+        # Nothing between two commas is null; "" is the empty text, which the default reads as null, too.
+        .option("nullValue", "\u0000")
         .csv(path)
     )
 
