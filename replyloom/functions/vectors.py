@@ -43,7 +43,7 @@ def _rows(batch: pa.Array, width: int) -> np.ndarray:
 
 @dataclass(frozen=True)
 class SparseBatch:
-    """One Arrow batch of Spark ML sparse vectors as coordinate arrays, rows in order."""
+    """One Arrow batch of Spark ML vectors as coordinate arrays, rows in order."""
 
     rows: np.ndarray
     columns: np.ndarray
@@ -53,13 +53,13 @@ class SparseBatch:
     @staticmethod
     def of(vectors: pa.StructArray) -> SparseBatch:
         indices, values = vectors.field("indices"), vectors.field("values")
-        lengths = indices.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-        return SparseBatch(
-            np.repeat(np.arange(len(vectors)), lengths),
-            indices.flatten().to_numpy(zero_copy_only=False),
-            values.flatten().to_numpy(zero_copy_only=False),
-            len(vectors),
-        )
+        lengths = values.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        rows = np.repeat(np.arange(len(vectors)), lengths)
+        # A dense vector has no indices: its values stand at 0, 1, 2 and so on.
+        columns = np.arange(len(rows)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        sparse = indices.is_valid().to_numpy(zero_copy_only=False)[rows]
+        columns[sparse] = indices.flatten().to_numpy(zero_copy_only=False)
+        return SparseBatch(rows, columns, values.flatten().to_numpy(zero_copy_only=False), len(vectors))
 
     def times(self, matrix: np.ndarray) -> np.ndarray:
         """This batch (height x terms) times a dense (terms x k) matrix."""

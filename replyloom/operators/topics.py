@@ -99,7 +99,7 @@ def fit_kmeans(
         first = rows.orderBy(shuffle_key(key, seed + start), key).limit(k).select(FEATURES).collect()
         centers = np.zeros((k, n_terms))
         for i, row in enumerate(first):
-            centers[i, row[0].indices] = row[0].values
+            centers[i] = row[0].toArray()
         current[start] = centers
     done: dict[int, KMeansModel] = {}
     for round_no in range(1, max_rounds + 1):

@@ -15,7 +15,17 @@ from replyloom.functions.text import (
     SIGNATURE_CARET,
     SIGNATURE_SLASH,
 )
-from replyloom.plans.queries import MIN_BRAND_TWEETS, SAMPLE, SEED, STOPS, VECTOR_LABELS, VOCABULARY
+from replyloom.plans.queries import (
+    CLUSTERS,
+    DIMENSIONS,
+    MIN_BRAND_TWEETS,
+    SAMPLE,
+    SEED,
+    STARTS,
+    STOPS,
+    VECTOR_LABELS,
+    VOCABULARY,
+)
 from replyloom.sources.messages import ANSWERS, BRAND, COMPLAINTS, EPOCH, OTHER_BRAND
 from replyloom.vocabulary import (
     COURTESY_DOMAIN,
@@ -410,6 +420,32 @@ def _brand_link() -> str:
   FROM tweets t LEFT JOIN repliers USING (tweet_id) LEFT JOIN mentioned USING (tweet_id) WHERE inbound"""
 
 
+def _kmeans(rounds: int = 60) -> str:
+    """Lloyd's rounds from two starts, written out; more rounds than the data need change nothing."""
+    parts = ["v AS MATERIALIZED (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings)"]
+    for start in range(STARTS):
+        parts.append(f"""c{start}_0 AS MATERIALIZED (
+          SELECT row_number() OVER (ORDER BY md5('{SEED + start}:' || vec_id), vec_id) - 1 AS k, x FROM v
+          QUALIFY k < {CLUSTERS})""")
+        for n in range(rounds):
+            parts.append(f"""a{start}_{n} AS MATERIALIZED (
+              SELECT vec_id, any_value(v.x) AS x, arg_max(k, [round(list_inner_product(v.x, c.x)
+                - 0.5::DOUBLE * list_inner_product(c.x, c.x), 9), -k]) AS k
+              FROM v, c{start}_{n} c GROUP BY vec_id)""")
+            parts.append(f"""c{start}_{n + 1} AS MATERIALIZED (
+              SELECT c.k, coalesce(m.x, c.x) AS x FROM c{start}_{n} c LEFT JOIN (
+                SELECT k, list(mean ORDER BY i) AS x FROM (
+                  SELECT k, i, round(avg(x[i]), 9) AS mean FROM a{start}_{n}, range(1, {DIMENSIONS + 1}) r(i) GROUP BY k, i)
+                GROUP BY k) m USING (k))""")
+        parts.append(f"""e{start} AS (
+          SELECT round(sum(list_inner_product(a.x, a.x) - 2 * list_inner_product(a.x, c.x) + list_inner_product(c.x, c.x)), 6) AS e
+          FROM a{start}_{rounds - 1} a JOIN c{start}_{rounds} c USING (k))""")
+    better = "(SELECT e FROM e0) <= (SELECT e FROM e1)"
+    last = rounds - 1
+    chosen = f"SELECT vec_id, k FROM a0_{last} WHERE {better} UNION ALL SELECT vec_id, k FROM a1_{last} WHERE NOT {better}"
+    return f"WITH {', '.join(parts)} SELECT vec_id, k AS cluster_id FROM ({chosen})"
+
+
 def oracle_sql() -> dict[str, str]:
     dm_seed = f"author_id = {q(BRAND)} AND NOT inbound AND {has('text', REPLY_SIGNALS['response_requests_dm'])}"
     conf_rows = ", ".join(f"({q(i)}, {q(c)})" for i, e in TAXONOMY.items() for c in e["confusable_intents"])
@@ -710,5 +746,6 @@ def oracle_sql() -> dict[str, str]:
             *TO_SPLIT, _tfidf(), "SELECT pair_id, term, round(w / norm, 6) AS weight FROM raw JOIN norm USING (pair_id)"),
     }
     # Files are compared with what was written to them.
+    sql["kmeans_vectors"] = _kmeans()
     sql["confusion_file"], sql["metrics_file"] = sql["confusion_matrix"], sql["classification_overall"]
     return sql

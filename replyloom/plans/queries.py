@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +27,9 @@ SEED = 42
 SAMPLE = 12
 MIN_BRAND_TWEETS = 40
 VOCABULARY = 2_000
+DIMENSIONS = 64
+CLUSTERS = 4
+STARTS = 2
 STOPS = "the of and le la les der die und el los que de en un in to is at by".split()
 LANGUAGES = ["en", "fr", "de", "es"]
 VECTOR_LABELS = [str(i) for i in range(10)]
@@ -577,6 +581,15 @@ def tfidf_lr_metrics(spark, sf):
     return metrics.overall(metrics.confusion_counts(scored, "lang"), LANGUAGES)
 
 
+@query
+def kmeans_vectors(spark, sf):
+    """Clusters of the embeddings, the better of two starts run until no centre moves."""
+    rows = read_table(spark, sf, "embeddings").select("vec_id", array_to_vector(F.col("embedding")).alias(topics.FEATURES))
+    rows = materialize(rows)
+    model = topics.fit_kmeans(rows, "vec_id", DIMENSIONS, CLUSTERS, SEED, starts=STARTS)
+    return model.assign(rows, "vec_id").select("vec_id", F.col("cluster_id").cast("bigint").alias("cluster_id"))
+
+
 @query
 def kmeans_topics(spark, sf):
     return topics.kmeans_topics(_documents(spark, sf), "doc_id", "text", STOPS)[0]

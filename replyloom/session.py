@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -64,9 +66,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(named or f"{spark.conf.get('spark.sql.warehouse.dir')}/replyloom-stages")
+        # Spark made a folder of this application's own below the named one; nothing in it outlives the process.
+        atexit.register(_delete, context._jvm, context._jsc.hadoopConfiguration(), context.getCheckpointDir(), True)
     return context.getCheckpointDir()
 
 
+def _delete(jvm, configuration, name: str, ending: bool = False) -> None:
+    # When the process ends, the JVM may be gone already.
+    with contextlib.suppress(Exception) if ending else contextlib.nullcontext():
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(configuration).delete(path, True)
+
+
 _STAGES: list[str] = []
 
 
@@ -99,8 +110,7 @@ def drop_stages(spark: SparkSession, since: int = 0) -> None:
     jvm = spark.sparkContext._jvm
     configuration = spark.sparkContext._jsc.hadoopConfiguration()
     while len(_STAGES) > since:
-        path = jvm.org.apache.hadoop.fs.Path(_STAGES.pop())
-        path.getFileSystem(configuration).delete(path, True)
+        _delete(jvm, configuration, _STAGES.pop())
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
