@@ -66,8 +66,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(named or f"{spark.conf.get('spark.sql.warehouse.dir')}/replyloom-stages")
-        # Spark made a folder of this application's own below the named one; nothing in it outlives the process.
-        atexit.register(_delete, context._jvm, context._jsc.hadoopConfiguration(), context.getCheckpointDir(), True)
     return context.getCheckpointDir()
 
 
@@ -79,13 +77,19 @@ def _delete(jvm, configuration, name: str, ending: bool = False) -> None:
 
 
 _STAGES: list[str] = []
+_FOLDERS: set[str] = set()
 
 
 def new_stage(spark: SparkSession) -> str:
     """A new path in the checkpoint folder; it is removed with the stage tables."""
-    path = f"{ensure_checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
-    _STAGES.append(path)
-    return path
+    # Spark's checkpoint folder is the application's own, so nothing in it outlives the process.
+    tables = f"{ensure_checkpoint_dir(spark)}/tables"
+    if tables not in _FOLDERS:
+        _FOLDERS.add(tables)
+        context = spark.sparkContext
+        atexit.register(_delete, context._jvm, context._jsc.hadoopConfiguration(), tables, True)
+    _STAGES.append(f"{tables}/{uuid.uuid4().hex}")
+    return _STAGES[-1]
 
 
 def materialize(df: DataFrame) -> DataFrame:
