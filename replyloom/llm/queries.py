@@ -47,16 +47,73 @@ def op3_secret_scan(spark, sf):
     return secrets.digest(table(spark, sf, "documents"))
 
 
+def _matches(number: int, rule: secrets.Rule) -> str:
+    """Matches of one rule with the lengths around them, from the gaps between them and the matches themselves."""
+    pattern = "'" + rule.pattern.replace("'", "''") + "'"
+    return f"""
+  SELECT doc_id, text, {number} AS rule, '{rule.kind}' AS kind, generate_subscripts(hits, 1) AS i,
+    length(unnest(gaps[:len(hits)])) AS gap, length(unnest(hits)) AS hit, length(unnest(tested)) >= {rule.least} AS kept
+  FROM (SELECT doc_id, text, string_split_regex(text, {pattern}) AS gaps, regexp_extract_all(text, {pattern}) AS hits,
+          regexp_extract_all(text, {pattern}, {rule.group}) AS tested FROM d)"""
+
+
+ORACLES["op3_secret_scan"] = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS n FROM documents),
+m AS ({" UNION ALL ".join(_matches(n, r) for n, r in enumerate(secrets.RULES))}),
+s AS (
+  SELECT *, sum(gap + hit) OVER (PARTITION BY doc_id, rule ORDER BY i) AS stop FROM m),
+k AS (SELECT doc_id, rule, stop - hit AS start, kind || ':' || (stop - hit) || ':' || stop AS span FROM s WHERE kept)
+SELECT d.doc_id, count(*) FILTER (rule = 0) AS n_assign, count(*) FILTER (rule = 1) AS n_access,
+  count(*) FILTER (rule = 2) AS n_hex,
+  sha256(coalesce(string_agg(span, ',' ORDER BY start, rule) FILTER (rule < 3), '')) AS base_sha256,
+  coalesce(string_agg(span, ',' ORDER BY start, rule), '') AS spans
+FROM d LEFT JOIN k USING (doc_id) GROUP BY d.doc_id
+"""
+
+
 @query
 def op4_ngram_jaccard(spark, sf):
     return jaccard.jaccard_components(table(spark, sf, "documents"))
 
 
+ORACLES["op4_ngram_jaccard"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_transform(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'),
+    lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS words FROM documents),
+s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, hash(shingle) AS h1, md5(shingle) AS h2 FROM (
+    SELECT doc_id, array_to_string(words[i:i + 3], ' ') AS shingle
+    FROM w, range(1, greatest(len(words) - 3, 1) + 1) r(i) WHERE len(words) > 0)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+  FROM s a JOIN s b ON a.h1 = b.h1 AND a.h2 = b.h2 AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS MATERIALIZED (
+  SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 85 * (x.n + y.n - shared)),
+reach AS (
+  SELECT DISTINCT a AS doc_id, a AS other FROM links
+  UNION
+  SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other)
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, least(w.doc_id, coalesce(c.least, w.doc_id)) AS component_id
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT doc_id, min(other) AS least FROM reach GROUP BY doc_id) c USING (doc_id)
+"""
+
+
 @query
 def op5_exact_top_k(spark, sf):
     return nearest.top_k(table(spark, sf, "embeddings"))
 
 
+ORACLES["op5_exact_top_k"] = """
+WITH v AS (
+  SELECT vec_id, row_number() OVER () AS n, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
+SELECT q.vec_id AS query_id, row_number() OVER (PARTITION BY q.n ORDER BY list_inner_product(q.x, c.x) DESC, c.vec_id NULLS LAST)::INT AS rank,
+  c.vec_id, list_inner_product(q.x, c.x)::BIGINT AS score
+FROM v q JOIN v c ON q.n <> c.n AND len(q.x) = len(c.x) WHERE q.vec_id % 20 = 0 QUALIFY rank <= 20
+"""
+
+
 @query
 def op6_token_counts(spark, sf):
     documents = table(spark, sf, "documents").select("doc_id", "text")

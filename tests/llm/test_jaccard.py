@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 
 from replyloom.llm import jaccard
 from replyloom.llm.graphs import components
@@ -92,6 +93,13 @@ def test_tree_finds_what_a_scan_finds():
         assert sorted(tree.search(points[i], sizes[i], 85).tolist()) == scan.tolist()
 
 
+def test_packed_counts():
+    rows = [np.full(jaccard.GROUPS, n, dtype=np.int64) for n in (0, 255, 256, 70_000, 2**31)]
+    for chosen in (rows, rows[:2], []):
+        back = jaccard.unpacked(pa.array([jaccard.packed(r) for r in chosen], pa.binary()))
+        assert back.shape == (len(chosen), jaccard.GROUPS) and [r[0] for r in back] == [r[0] for r in chosen]
+
+
 def test_windows_do_not_change_a_set(monkeypatch):
     rng = random.Random(1)
     text = b" ".join(rng.choice([b"a", b"bb", b"ccc"]) for _ in range(900))
