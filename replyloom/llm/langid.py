@@ -316,18 +316,18 @@ def predict(documents: DataFrame, models: Models | None, text: str = "text") ->
     """
     added = T.StructType.fromDDL(PREDICTION)
     kept = [c for c in documents.columns if c not in added.names]
-    judged = _judged(documents.select(F.struct(*kept).alias("row"), F.col(text).alias("text")), models)
+    judged = _judged(documents.select(F.struct(*kept).alias("row")), text, models)
     return judged.select("row.*", *added.names)
 
 
 def known_languages(documents: DataFrame, models: Models | None) -> DataFrame:
     """The documents that are not rejected, with their own columns."""
-    judged = _judged(documents.select(F.struct(*documents.columns).alias("row"), "text"), models)
+    judged = _judged(documents.select(F.struct(*documents.columns).alias("row")), "text", models)
     return judged.filter("NOT rejected").select("row.*")
 
 
-def _judged(rows: DataFrame, models: Models | None) -> DataFrame:
-    """``rows`` (row, text) with the prediction in place of the text."""
+def _judged(rows: DataFrame, text: str, models: Models | None) -> DataFrame:
+    """``rows`` (row: a struct that holds the text) with the prediction; a text goes through Arrow once."""
     shared = rows.sparkSession.sparkContext.broadcast(models)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -335,7 +335,7 @@ def _judged(rows: DataFrame, models: Models | None) -> DataFrame:
         letter, _ = _tables()
         for batch in batches:
             found: list[tuple] = []
-            for value in batch.column(1):
+            for value in batch.column(0).field(text):
                 points = _code_points(value.as_py() or "")
                 if model is None or not letter[points].any():
                     found.append((UNKNOWN, 0.0, None, True))
