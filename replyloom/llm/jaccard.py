@@ -11,15 +11,16 @@ How the join is dealt out:
   ``n - ceil(n * similarity) + 1`` of each, so these are the classes' postings.
 * Within each posting list, first every class is compared with one pivot, the class that shares most postings. That
   joins a group of near copies in as many comparisons as it has members. Links found this way make components.
-* Lists that still touch several components are joined block by block: a count-vector R-tree over each block finds the
-  pairs of different components that pass the bound. Pairs within one component need no test, for components are
-  what is asked for. Blocks bound the memory of a task, they leave out no pair.
+* Lists that still touch several components are dealt by bands of size and joined block by block: a count-vector R-tree over
+  each block finds the pairs of different components that pass the bound. Pairs within one component need no test, for
+  components are what is asked for. Blocks bound the memory of a task, they leave out no pair.
 
 Shingles and sets are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -115,6 +116,22 @@ def count_vector(shingles: np.ndarray) -> np.ndarray:
     return np.bincount((shingles >> np.uint64(40)).astype(np.int64) % GROUPS, minlength=GROUPS).astype(np.int32)
 
 
+def packed(counts: np.ndarray) -> bytes:
+    """A count vector in the narrowest unsigned type that holds it; the number of bytes tells which."""
+    top = int(counts.max(initial=0))
+    return counts.astype(np.uint8 if top < 2**8 else np.uint16 if top < 2**16 else np.uint32).tobytes()
+
+
+def unpacked(column: pa.Array) -> np.ndarray:
+    """Packed count vectors as a matrix."""
+    rows = column.to_pylist()
+    joined = b"".join(rows)
+    if len(joined) == GROUPS * len(rows):
+        return np.frombuffer(joined, dtype=np.uint8).reshape(-1, GROUPS).astype(np.int32)
+    kinds = {GROUPS: np.uint8, 2 * GROUPS: np.uint16, 4 * GROUPS: np.uint32}
+    return np.array([np.frombuffer(row, dtype=kinds[len(row)]) for row in rows], dtype=np.int64).reshape(-1, GROUPS)
+
+
 def _slots(shingles: np.ndarray) -> np.ndarray:
     return (shingles >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
@@ -136,7 +153,7 @@ def summarise(documents: DataFrame, width: int) -> DataFrame:
                 shingles = shingle_set(text.as_py() or b"", width)
                 n.append(len(shingles))
                 keys.append(set_key(shingles))
-                counts.append(count_vector(shingles).tobytes())
+                counts.append(packed(count_vector(shingles)))
                 if keys[-1] not in seen:
                     seen.add(keys[-1])
                     np.add.at(sketch, _slots(shingles), 1)
@@ -262,9 +279,7 @@ def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                a, b = (
-                    np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype=np.int32).reshape(-1, GROUPS) for i in (2, 3)
-                )
+                a, b = unpacked(batch.column(2)), unpacked(batch.column(3))
                 bound = np.minimum(a, b).sum(axis=1)
                 passes = bound >= _needed(a.sum(axis=1, dtype=np.int64), b.sum(axis=1, dtype=np.int64), percent)
                 yield batch.select([0, 1]).filter(pa.array(passes))
@@ -346,29 +361,46 @@ def verified(pairs: DataFrame, documents: DataFrame, classes: DataFrame, width:
     return dealt.mapInArrow(run, "a BIGINT, b BIGINT").distinct()
 
 
-def _block_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs (a, b) of different components from (shingle, set_key, component, counts).
+def _block_pairs(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs (a, b) of different components from (shingle, set_key, n, component).
 
-    A posting list is cut into blocks by hash of the class, and each two blocks meet once.
+    Sets of linking sizes lie in the same or in neighbouring bands, so each class goes to two bands of its posting list, and
+    bands with one component are left out before the count vectors are joined. What is left of a list and
+    band is cut into blocks by hash of the class, and each two blocks meet once.
     """
-    sizes = members.groupBy("shingle").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks"))
+    width = max(math.log(100 / percent), 1e-9) * (1 + 1e-6)
+    own_band = F.floor(F.ln("n") / width)
+    banded = members.withColumn("band", F.explode(F.array(own_band, own_band + 1))).drop("n")
+    lists = (
+        banded.groupBy("shingle", "band")
+        .agg(
+            F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks"),
+            F.min("component").alias("low"),
+            F.max("component").alias("high"),
+        )
+        .filter("low <> high")
+        .drop("low", "high")
+    )
     own = F.pmod(F.xxhash64("set_key"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    place = ["shingle", "band", "i", "j"]
     dealt = (
-        members.join(sizes, "shingle")
+        banded.join(lists, ["shingle", "band"])
         .withColumn("own", own)
         .withColumn("other", other)
         .withColumn("i", F.least("own", "other"))
         .withColumn("j", F.greatest("own", "other"))
-        .select("shingle", "i", "j", "own", "set_key", "component", "counts")
+        .select(*place, "own", "set_key", "component")
+        .join(classes.select("set_key", "counts"), "set_key")
+        .select(*place, "own", "set_key", "component", "counts")
     )
-    return dealt.repartition("shingle", "i", "j").sortWithinPartitions("shingle", "i", "j").mapInArrow(
+    return dealt.repartition(*place).sortWithinPartitions(*place).mapInArrow(
         lambda batches: _join_blocks(batches, percent), "a BIGINT, b BIGINT"
     ).distinct()
 
 
 def _join_blocks(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Join each run of rows with the same (shingle, i, j) by a count tree; a run may span batches."""
+    """Join each run of rows with the same (shingle, band, i, j) by a count tree; a run may span batches."""
     held: pa.Table | None = None
     last = False
     stream = iter(batches)
@@ -379,7 +411,7 @@ def _join_blocks(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa
         if table is None or not table.num_rows:
             held = table
             continue
-        names = [table.column(i).to_numpy() for i in (0, 1, 2)]
+        names = [table.column(i).to_numpy() for i in range(4)]
         change = np.flatnonzero(np.any([c[1:] != c[:-1] for c in names], axis=0)) + 1
         edges = [0, *change.tolist(), table.num_rows]
         if not last:
@@ -387,8 +419,8 @@ def _join_blocks(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa
             edges.pop()
         if len(edges) < 2:
             continue
-        i, j, own, keys, comps = (table.column(c).to_numpy() for c in (1, 2, 3, 4, 5))
-        points = np.frombuffer(b"".join(table.column(6).to_pylist()), dtype=np.int32).reshape(-1, GROUPS)
+        i, j, own, keys, comps = (table.column(c).to_numpy() for c in (2, 3, 4, 5, 6))
+        points = unpacked(table.column(7))
         found_a, found_b = [], []
         for start, end in zip(edges, edges[1:]):
             if comps[start:end].min() == comps[start:end].max():
@@ -420,23 +452,32 @@ def groups(documents: DataFrame, width: int = 4, percent: int = 85) -> DataFrame
     members = summary.filter("chunk IS NULL").select("doc_id", "text_hash", "n", "set_key", "counts")
     levels = frequency_levels(summary.filter("chunk IS NOT NULL"))
     grouped = members.filter("n > 0").groupBy("set_key").agg(
-        F.min(F.struct("doc_id", "text_hash")).alias("one"), F.min("doc_id").alias("least"), F.first("counts").alias("counts")
-    )
-    classes = materialize(grouped.select("set_key", "one.*", "least", "counts"))
+        F.min(F.struct("doc_id", "text_hash")).alias("one"), F.min("doc_id").alias("least"),
+        F.max("n").alias("n"), F.first("counts").alias("counts"),
+    )
+    classes = materialize(grouped.select("set_key", "one.*", "least", "n", "counts"))
     posted = materialize(postings(documents, levels, width, percent))
     spans = posted.groupBy("shingle").agg(F.min("set_key").alias("low"), F.max("set_key").alias("high"))
     hits = materialize(posted.join(spans.filter("low <> high").select("shingle"), "shingle").distinct())
-    stars = materialize(_stars(hits))
+    pivots = materialize(_pivots(hits))
+    others = hits.join(pivots, "shingle").filter("pivot <> set_key")
+    stars = others.select(F.col("pivot").alias("a"), F.col("set_key").alias("b")).distinct()
+    stars = materialize(_of_like_size(stars, classes, percent))
     linked = materialize(verified(materialize(_bounded(stars, classes, percent)), documents, classes, width, percent))
-    placed = hits.join(components(linked).withColumnRenamed("node", "set_key"), "set_key", "left").withColumn(
-        "component", F.coalesce("component", "set_key")
+    # What is left of a posting list without its pivot, which has been compared with all of it.
+    near = components(linked).withColumnRenamed("node", "set_key")
+    placed = (
+        others.join(near, "set_key", "left")
+        .join(classes.select("set_key", "n"), "set_key")
+        .select("shingle", "set_key", "n", F.coalesce("component", "set_key").alias("component"))
     )
     spans = placed.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     open_lists = placed.join(spans.filter("low <> high").select("shingle"), "shingle")
-    rest = _block_pairs(open_lists.join(classes.select("set_key", "counts"), "set_key"), percent)
+    rest = _block_pairs(open_lists, classes, percent)
     tested = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = materialize(rest.join(tested, ["a", "b"], "left_anti"))
-    links = linked.unionByName(verified(rest, documents, classes, width, percent))
+    # Read in every round of the last components.
+    links = materialize(linked.unionByName(verified(rest, documents, classes, width, percent)))
     named = classes.select("set_key", "least").join(
         components(links).withColumnRenamed("node", "set_key"), "set_key", "left"
     )
@@ -450,13 +491,17 @@ def groups(documents: DataFrame, width: int = 4, percent: int = 85) -> DataFrame
     return full.select(empty.columns).unionByName(empty)
 
 
-def _stars(hits: DataFrame) -> DataFrame:
-    """Pairs (a, b) of each posting list's pivot ``a``, the class that shares most postings, with its other classes."""
+def _pivots(hits: DataFrame) -> DataFrame:
+    """(shingle, pivot): of each posting list a class that shares most postings. Any choice gives the same components."""
     ranked = hits.join(hits.groupBy("set_key").agg(F.count(F.lit(1)).alias("rank")), "set_key")
-    # Ties go to the smaller key; both steps aggregate before they shuffle.
-    most = ranked.groupBy("shingle").agg(F.max("rank").alias("rank"))
-    pivots = ranked.join(most, ["shingle", "rank"]).groupBy("shingle").agg(F.min("set_key").alias("a"))
-    return hits.join(pivots, "shingle").filter("a <> set_key").select("a", F.col("set_key").alias("b")).distinct()
+    return ranked.groupBy("shingle").agg(F.max_by("set_key", "rank").alias("pivot"))
+
+
+def _of_like_size(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) whose sizes allow a link, tested before the wider count vectors are joined."""
+    size = lambda name: classes.select(F.col("set_key").alias(name), F.col("n").alias(f"n_{name}"))
+    near = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
+    return pairs.join(size("a"), "a").join(size("b"), "b").filter(near).select("a", "b")
 
 
 def jaccard_components(documents: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
