@@ -42,6 +42,20 @@ PEM = Rule("pem", r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----", hint="PRIVATE KEY-
 FORGE = Rule("forge", r"gh[oprsu]_[A-Za-z0-9]{36,}", hint="gh")
 BASE = (ASSIGN, ACCESS, HEX)
 RULES = (*BASE, PEM, FORGE)
+#: A whole private key. It ends with its END line; where that is missing, or another key begins before it, with the base64
+#: lines that follow. Repeated groups are possessive, which Java matches without a stack.
+KEY = Rule(
+    "pem",
+    PEM.pattern
+    + r"""(?:(?:[^-]++|-(?!----(?:BEGIN|END)\x20))*+-----END [A-Z ]{0,30}PRIVATE KEY-----"""
+    + r"""|(?:(?:\s|\\[nr])*+(?:Proc-Type|DEK-Info):[^\r\n\\]*+)*+(?:"""
+    + r"""(?:(?:(?:[\s"'>|,;]|\\[nr])*+[A-Za-z0-9+/=]{16,}+)++(?:[\s"'>|,;]|\\[nr])*+|["'\x20\t]*+(?:[\r\n]|\\[nr])[\s"'>|]*+)"""
+    + r"""[A-Za-z0-9+/]{1,15}+(?:={1,2}|(?=[\x20\t\r"',;]*(?:\n|\z|\\[nr])))|"""
+    + r"""(?:(?:[\s"'>|,;]|\\[nr])*+[A-Za-z0-9+/=]{16,}+)*+))""",
+    hint=PEM.hint,
+)
+#: What ``redact`` replaces: the findings of ``RULES``, private keys with their bodies.
+REDACTED = (*BASE, KEY, FORGE)
 VERSION = 1
 SPAN = "ARRAY<STRUCT<start: BIGINT, rule: INT, end: BIGINT>>"
 
@@ -154,9 +168,10 @@ def digest(documents: DataFrame) -> DataFrame:
     )
 
 
-def redact(documents: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+def redact(documents: DataFrame, rules: tuple[Rule, ...] = REDACTED) -> DataFrame:
     """The same rows and columns, every span replaced by ``[kind]``; ``n_chars`` follows a changed text.
 
+    A private key goes as a whole, with its body and END line.
     Overlapping spans are replaced by the mark of the one that starts first. A null text stays null.
     """
     ledger = materialize(update_ledger(addressed(documents), None, rules))

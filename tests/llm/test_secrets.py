@@ -64,5 +64,28 @@ def test_redact(make):
     assert secrets.redact(frame).columns == frame.columns
 
 
+def test_no_byte_of_a_private_key_stays(make):
+    lines = [hashlib.sha512(str(i).encode()).hexdigest()[:40].upper() + "+/aZ" * 6 for i in range(30)] + ["Qx7/w=="]
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    body = "\n".join(lines)
+    head = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123456789ABCDEF\n\n"
+    texts = {
+        f"a {begin}\n{body}\n{end}\nb": "a [pem]\nb",
+        f"a {begin}\n{head}{body}\n{end} b": "a [pem] b",
+        f"a {begin} {' '.join(lines)} {end} b {begin}\n{body}\n{end} c": "a [pem] b [pem] c",
+        f'{{"k": "{begin}\\n{chr(92)}n{body}\\n{end}\\n"}}'.replace("\n", "\\n"): '{"k": "[pem]\\n"}',
+        f"a {begin}\n{body}\nThen words follow.": "a [pem]\nThen words follow.",
+        f"a {begin}\n{head}{body}": "a [pem]",
+        f"a {begin}\n{head}{body}\nThen words follow.": "a [pem]\nThen words follow.",
+        f"a {begin}\n{lines[0]}\n{lines[1][:9]}": "a [pem]",
+        f"a {begin}\n{body}\n\n{begin}\n{body}\n{end}\nb": "a [pem]\n\n[pem]\nb",
+        f"secret: {begin}\n{body}\n{end}\nb": "[assign]\nb",
+        f"the line {begin} alone": "the line [pem] alone",
+        f"a {begin}\n{body * 3000}\n{end} b": "a [pem] b",
+    }
+    got = {r.doc_id: r.text for r in secrets.redact(make(data(list(texts)))).collect()}
+    assert [got[i] for i in range(len(texts))] == list(texts.values())
+
+
 def test_empty(make):
     assert secrets.digest(make([])).count() == 0 and secrets.redact(make([])).count() == 0
