@@ -9,7 +9,8 @@ character without a piece of its own costs ``UNKNOWN_PENALTY`` below the lowest
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterator
+import re
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import ahocorasick
@@ -21,18 +22,26 @@ from pyspark.sql import types as T
 #: Fixed values of the library's unigram model.
 UNKNOWN_PENALTY = 10.0
 SPACE = "▁"
+#: A run of marks and the word after it; a text that begins with a mark consists of such segments.
+SEGMENT = re.compile(f"{SPACE}+[^{SPACE}]*")
+CROSSING = re.compile(f"[^{SPACE}]{SPACE}")
 CACHE_ENTRIES = 400_000
 CACHED_LENGTH = 40
 
 
 @dataclass
 class Unigram:
-    """Pieces of text with their scores. Words are searched one by one, so a mark matches at their start only."""
+    """Pieces of text with their scores.
+
+    A text is searched in segments, cut where no piece can span the cut: before a run of marks, unless some piece has a
+    mark after another character (``crossing``); then the text is one segment.
+    """
 
     automaton: ahocorasick.Automaton
     single: frozenset[str]
     unknown: float
     cache: dict[str, int]
+    crossing: bool = False
 
     @classmethod
     def of(cls, scores: dict[str, float]) -> Unigram:
@@ -41,7 +50,7 @@ class Unigram:
             automaton.add_word(piece, (len(piece), score))
         automaton.make_automaton()
         single = frozenset(p for p in scores if len(p) == 1)
-        return cls(automaton, single, min(scores.values()) - UNKNOWN_PENALTY, {})
+        return cls(automaton, single, min(scores.values()) - UNKNOWN_PENALTY, {}, any(map(CROSSING.search, scores)))
 
     @classmethod
     def from_file(cls, path: str) -> Unigram:
@@ -83,13 +92,23 @@ class Unigram:
         return pieces[n]
 
     def count(self, text: str) -> int:
-        """Pieces of a whole text, which begins with a space mark. Each mark begins a word, and words add up."""
+        """Pieces of a text whose words are split at every mark first, so that no piece has more than its first mark."""
         if not text:
             return 0
-        cache, total = self.cache, 0
         marked = text.replace(" ", SPACE)
-        for word in (marked[1:] if marked[0] == SPACE else marked).split(SPACE):
-            segment = SPACE + word
+        return self._sum(SPACE + word for word in (marked[1:] if marked[0] == SPACE else marked).split(SPACE))
+
+    def count_whole(self, text: str) -> int:
+        """Pieces of a whole text, which begins with a space mark. Runs of spaces take the pieces of several marks."""
+        if not text:
+            return 0
+        marked = text.replace(" ", SPACE)
+        marked = marked if marked[0] == SPACE else SPACE + marked
+        return self._sum([marked] if self.crossing else SEGMENT.findall(marked))
+
+    def _sum(self, segments: Iterable[str]) -> int:
+        cache, total = self.cache, 0
+        for segment in segments:
             pieces = cache.get(segment)
             if pieces is None:
                 pieces = self.best(segment)
@@ -116,7 +135,7 @@ def token_counts(documents: DataFrame, model: str, text: str = "text", output: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _model(model)
         for batch in batches:
-            counts = [counter.count(value.as_py() or "") for value in batch.column(len(kept))]
+            counts = [counter.count_whole(value.as_py() or "") for value in batch.column(len(kept))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(counts, pa.int64())], names=[*kept, output])
 
     schema = T.StructType([*[documents.schema[c] for c in kept], T.StructField(output, T.LongType())])

@@ -31,6 +31,27 @@ def test_against_the_library(texts):
         assert ours.count(text) == len(library.encode(text).ids), text
 
 
+def test_whole_texts_against_the_library(make, texts):
+    """The library's unigram model over the unsplit text, in which pieces of several marks match."""
+    file = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    pieces = [(file.id_to_piece(i), file.get_score(i)) for i in range(file.get_piece_size())]
+    library = Tokenizer(models.Unigram(pieces, unk_id=0, byte_fallback=True))
+    library.pre_tokenizer = pre_tokenizers.Metaspace(split=False)
+    rng = random.Random(7)
+    runs = ["".join(rng.choice(["if", "x", "=", "\n", "1"]) + " " * rng.choice([1, 2, 4, 7, 16, 33]) for _ in range(40)) for _ in range(50)]
+    runs += [" " * k + "a" for k in range(40)] + [" " * 40, "def f():\n        return 1\n", "a" + " " * 500 + "b  "]
+    everything = texts + runs
+    rows = [(i, t, "en", "s", len(t), *"abcd") for i, t in enumerate(everything)]
+    found = {r.doc_id: r.n_tokens for r in token_counts.token_counts(make(rows), PATH).collect()}
+    for i, text in enumerate(everything):
+        assert found[i] == len(library.encode(text).ids), text
+
+
+def test_pieces_that_cross_words():
+    scores = {"▁": -2.0, "a": -2.0, "b": -2.0, "a▁b": -1.0, "▁▁": -1.0}
+    assert token_counts.Unigram.of(scores).count_whole("a b  a") == 4
+
+
 def test_ties_and_unknown_characters_against_a_second_library():
     scores = {"▁": -2.0, "a": -1.0, "b": -1.0, "ab": -2.0, "▁a": -3.0, "ba": -2.0, "aba": -3.0, "▁ab": -4.0, "c": -5.0}
     byte_pieces = [(f"<0x{i:02X}>", -100.0) for i in range(256)]
