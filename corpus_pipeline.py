@@ -17,8 +17,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
-    return jaccard.one_per_group(docs)
+    """One document of each group of near duplicates: a Jaccard similarity of 0.8 or more over five-word shingles."""
+    return jaccard.one_per_group(docs, width=5, percent=80)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

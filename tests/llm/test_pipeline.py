@@ -48,6 +48,16 @@ def test_one_of_each_group_stays(stages):
     assert sorted(r[0] for r in rows(stages["ngram_jaccard"])) == sorted({c for _, _, c in wanted})
 
 
+def test_copies_from_four_fifths_on_go(spark, make):
+    """Appended blocks: five-word similarities of 0.80, 0.833 and 0.79 to one text each."""
+    frames = []
+    for k, extra in enumerate([49, 39, 52]):
+        text = [f"w{k}x{i}" for i in range(200)]
+        frames += [" ".join(text), " ".join(text + [f"e{k}x{i}" for i in range(extra)])]
+    rows = [(i, t, "en", "s", len(t), *"abcd") for i, t in enumerate(frames)]
+    assert sorted(r[0] for r in corpus_pipeline.ngram_jaccard(spark, make(rows), SF).collect()) == [0, 2, 4, 5]
+
+
 def test_secrets_are_gone(spark, stages):
     before = {r[0]: r[1] for r in rows(stages["ngram_jaccard"])}
     after = {r[0]: r for r in rows(stages["secret_scan"])}
