@@ -7,6 +7,7 @@ count. Coverage is the share of the template's words that the text matches in or
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator, Mapping
@@ -95,24 +96,49 @@ def align(text: list[bytes], template: list[bytes]) -> list[tuple[int, int]]:
     return sorted(found)
 
 
-def _windows(text: list[bytes], template: list[bytes]) -> list[tuple[int, int]]:
-    """Stretches of the text around the template word that occurs there least often, so that repeats align apart."""
-    counts = Counter(w for w in text if w in set(template))
-    if not counts:
-        return []
-    rare = min(counts, key=lambda w: (counts[w], w))
-    reach = 2 * len(template)
-    spans: list[tuple[int, int]] = []
+def _starts(text: list[bytes], template: list[bytes], width: int, least: int) -> Iterator[tuple[int, int]]:
+    """Places of template words from which ``width`` words hold at least ``least`` template words, each counted as often
+    as the template has it, with that number. No alignment of such a stretch can match more."""
+    own = Counter(template)
+    inside: Counter[bytes] = Counter()
+    shared = end = 0
     for i, w in enumerate(text):
-        if w == rare:
-            start, end = max(0, i - reach), min(len(text), i + reach + 1)
-            if spans and start < spans[-1][1]:
-                # Two occurrences share the words between them at the middle.
-                middle = (spans[-1][1] + start) // 2
-                spans[-1] = (spans[-1][0], max(middle, spans[-1][0]))
-                start = middle
-            spans.append((start, end))
-    return spans
+        while end < min(len(text), i + width):
+            new = text[end]
+            if new in own:
+                inside[new] += 1
+                shared += inside[new] <= own[new]
+            end += 1
+        if w in own:
+            if shared >= least:
+                yield i, shared
+            shared -= inside[w] <= own[w]
+            inside[w] -= 1
+
+
+def widths(template: list[bytes]) -> tuple[int, int]:
+    """Words of a stretch in which a notice is looked for on its own: little more than the template's, and four times."""
+    return len(template) + len(template) // 4 + 1, 4 * len(template) + 1
+
+
+def best_stretch(text: list[bytes], template: list[bytes], least: float) -> list[tuple[int, int]]:
+    """The alignment that matches most of the template, of the whole text and of the stretches from every position.
+
+    Stretches find repeats and notices whose words also stand elsewhere. Passed over are only those which have too few of
+    the template's words for the share ``least``, or no more than the best alignment so far has matched.
+    """
+    needed = math.ceil(least * len(template) - 1e-9)
+    best: list[tuple[int, int]] = []
+    for width in widths(template):
+        for start, shared in _starts(text, template, width, needed):
+            if shared > len(best):
+                pairs = align(text[start : start + width], template)
+                if len(pairs) > len(best):
+                    best = [(start + i, j) for i, j in pairs]
+                if len(best) == len(template):
+                    return best
+    whole = align(text, template)
+    return whole if len(whole) > len(best) else best
 
 
 class Scanner:
@@ -130,13 +156,9 @@ class Scanner:
             # No alignment can match more template words than the text has at all.
             if sum(w in present for w in template) < self.least * len(template):
                 continue
-            best = (0.0, 0, 0)
-            for start, end in _windows(own, template):
-                pairs = align(own[start:end], template)
-                if pairs and len(pairs) / len(template) > best[0]:
-                    best = (len(pairs) / len(template), start + pairs[0][0], start + pairs[-1][0] + 1)
-            if best[0] >= self.least:
-                found.append((name, *best))
+            pairs = best_stretch(own, template, self.least)
+            if pairs and len(pairs) / len(template) >= self.least:
+                found.append((name, len(pairs) / len(template), pairs[0][0], pairs[-1][0] + 1))
         return found
 
 
@@ -146,7 +168,7 @@ def scan_licenses(
     """One row per document: doc_id, n_licenses, licenses.
 
     ``licenses`` is an array of (license, coverage, first_word, end_word) by license name. A text that is null or
-    without words has none. Whole texts are aligned; documents without enough of a template's words are passed over.
+    without words has none. Whole texts are aligned, and the stretches from every position; documents without enough of a template's words are passed over.
     """
     scanner = Scanner(templates, least)
 

@@ -64,6 +64,37 @@ def test_small_changes_still_cover():
     assert scanner.scan("the license of the work under version") == []
 
 
+def test_partial_notices_against_every_position():
+    rng = random.Random(4)
+    scanner = licenses.Scanner(licenses.TEMPLATES, 0.8)
+    hits = 0
+    for _ in range(60):
+        name, template = rng.choice(scanner.templates)
+        part = list(template)
+        for _ in range(rng.randint(0, len(part) // 5)):
+            at = rng.randrange(len(part))
+            part[at : at + 1] = rng.choice([[], [b"qu"]])
+        text = [rng.choice([b"qu", b"zet", b"om", b"is", rng.choice(template)]) for _ in range(rng.randint(20, 300))]
+        at = rng.randrange(len(text))
+        text = text[:at] + part + text[at:]
+        tried = [licenses.align(text, template)]
+        tried += [licenses.align(text[i : i + w], template) for w in licenses.widths(template) for i in range(len(text))]
+        most = max(map(len, tried)) / len(template)
+        found = {n: c for n, c, *_ in scanner.scan(b" ".join(text).decode())}
+        assert found.get(name) == (most if most >= 0.8 else None)
+        hits += name in found
+    assert hits > 20
+
+
+def test_a_missing_word_elsewhere_hides_no_notice():
+    filler = "qu zet om " * 200
+    scanner = licenses.Scanner(licenses.TEMPLATES, 0.8)
+    text = f"chapter 3 {filler} This work is licensed under the GNU General Public License {filler} version"
+    assert ("gpl-3.0", 10 / 12) in [(n, c) for n, c, *_ in scanner.scan(text)] or scanner.scan(text)[0][1] > 10 / 12
+    changed = licenses.TEMPLATES["mit"].replace("sublicense", "relicense")
+    assert "mit" in [n for n, *_ in scanner.scan(f"we sublicense {filler} {changed} {filler}")]
+
+
 def test_odd_rows(make, odd_rows):
     assert licenses.scan_licenses(make(odd_rows)).count() == len(odd_rows)
     assert licenses.scan_licenses(make([])).count() == 0
