@@ -4,8 +4,8 @@ One model per language is fitted on a bounded sample of labelled documents. All
 hashes per order; a row holds the log probability of the n-gram under every language, back-off included, so scoring
 a text is one binary search per character and, for n-grams no language has seen, one for the context and the shorter
 n-gram. A text gets the language of the lowest cross-entropy per character. Its score is a probability with a
-temperature fitted on held-back sample documents, and a text that is less likely than any held-back document by
-a margin is marked as rejected.
+temperature fitted on held-back sample documents, and a text that is less likely than nearly all held-back texts of its
+length, by a margin, is marked as rejected.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +30,11 @@ DISCOUNT = 0.75
 SAMPLE_DOCUMENTS = 400
 SAMPLE_CHARS = 4_000_000
 CHUNK_CHARS = 1 << 20
+#: Least numbers of symbols of the length classes for rejection; the share of calibration texts below a class's bound before
+#: its margin.
+LENGTHS = (16, 64, 256, 1024)
+ACCEPTED = 0.95
+MARGIN = 1.6
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -129,14 +134,19 @@ class Models:
             total += self.log_probabilities(part, start - begin).sum(axis=0, dtype=np.float64)
         return total, len(s)
 
+    def bound(self, language: int, count: int) -> float:
+        """The highest cross-entropy of an accepted text of ``count`` symbols: that of the class at or below its length."""
+        # Texts shorter than the least class scatter more, as the root of their length.
+        widen = math.sqrt(max(1.0, LENGTHS[0] / count))
+        return float(self.worst[np.searchsorted(LENGTHS[1:], count, side="right"), language]) * widen
+
     def decide(self, total: np.ndarray, count: int) -> tuple[str, float, float, bool]:
         """Language, score, cross-entropy per character, and whether the text is rejected."""
         entropy = -total / count
         best = int(np.lexsort((np.arange(len(entropy)), entropy))[0])
         margin = (total[best] - total) / self.temperature
         score = 1.0 / float(np.exp(-np.minimum(margin, 700)).sum())
-        # Short texts scatter around their entropy, so the bound widens as the root of their length.
-        rejected = bool(entropy[best] > self.worst[best] + 8.0 / math.sqrt(count))
+        rejected = bool(entropy[best] > self.bound(best, count))
         return self.languages[best], score, float(entropy[best]), rejected
 
 
@@ -224,14 +234,14 @@ def _merge(languages: list[str], fitted: list[list[tuple]]) -> Models:
         contexts.append(context if n > 1 else np.empty(0, np.uint64))
         backoffs.append(np.log(weight).astype(np.float32) if n > 1 else np.empty((0, width), np.float32))
         lower = (keys, p)
-    return Models(languages, grams, logs, contexts, backoffs, np.log(unseen).astype(np.float32), 1.0, np.zeros(width))
+    return Models(languages, grams, logs, contexts, backoffs, np.log(unseen).astype(np.float32), 1.0, np.zeros((len(LENGTHS), width)))
 
 
 def _calibrate(models: Models, texts: list[tuple[str, np.ndarray]]) -> None:
     """Temperature by the likelihood of the true languages, and each language's highest cross-entropy."""
     scored = [(models.languages.index(lang), *models.totals(s)) for lang, s in texts if len(s)]
     if not scored:
-        models.worst = np.full(len(models.languages), np.inf)
+        models.worst = np.full((len(LENGTHS), len(models.languages)), np.inf)
         return
     best = None
     for temperature in [2.0**k for k in range(0, 13)]:
@@ -243,13 +253,22 @@ def _calibrate(models: Models, texts: list[tuple[str, np.ndarray]]) -> None:
         if best is None or loss < best[0]:
             best = (loss, temperature)
     models.temperature = best[1]
-    # A wide margin: short and odd but real texts have to pass.
-    overall = max(-total[lang] / count for lang, total, count in scored)
-    per_language = [
-        max((-total[lang] / count for lang, total, count in scored if lang == k), default=overall)
-        for k in range(len(models.languages))
-    ]
-    models.worst = np.array(per_language) * 1.25
+    # A text of any length gives its beginning to each class up to it, so that every class has its own quantile and one odd
+    # document moves none. Classes without texts take the bound of the class below.
+    models.worst = np.full((len(LENGTHS), len(models.languages)), np.inf)
+    for c, length in enumerate(LENGTHS):
+        entropies: list[list[float]] = [[] for _ in models.languages]
+        for lang, s in texts:
+            if len(s) >= length:
+                k = models.languages.index(lang)
+                total, count = models.totals(s[: 4 * length])
+                entropies[k].append(-total[k] / count)
+        overall = [e for own in entropies for e in own]
+        for k, own in enumerate(entropies):
+            if own or overall:
+                models.worst[c, k] = MARGIN * float(np.quantile(own or overall, ACCEPTED))
+            elif c:
+                models.worst[c, k] = models.worst[c - 1, k]
 
 
 def training_fold(doc_id: Column, folds: int = 4, held: int = 2) -> Column:
@@ -260,24 +279,24 @@ def training_fold(doc_id: Column, folds: int = 4, held: int = 2) -> Column:
 def fit(documents: DataFrame, sample: int = SAMPLE_DOCUMENTS, chars: int = SAMPLE_CHARS) -> Models | None:
     """Models of the languages of ``documents`` (doc_id, text, lang), all of which may be learned from.
 
-    Per language ``sample`` documents are drawn by hash of the id, up to ``chars`` code points in all: the sample on the
-    driver is bounded by the number of languages. Null texts, labels and texts without letters are left out.
+    Per language ``sample`` documents are drawn by hash of the id, up to ``chars`` code points in all, where the last text is
+    cut: the sample on the driver is bounded by the number of languages. Null texts, labels and texts without letters are left out.
     Returns None when nothing is left.
     """
     usable = documents.filter("lang IS NOT NULL AND text IS NOT NULL").filter(F.col("text").rlike(r"\p{L}"))
-    order = F.xxhash64(F.lit("language sample"), "doc_id")
-    ranked = usable.select("doc_id", "lang", order.alias("_order"), F.char_length("text").alias("_chars"))
-    drawn = first_rows(ranked, ["lang"], ["_order", "doc_id"], sample, keep="_rank")
-    # One row per language, written so that Spark knows it is small and does not move the texts to join it.
+    # Rows of one id have one order; their texts break the tie, and rows equal in both are one document.
+    order, tie = F.xxhash64(F.lit("language sample"), "doc_id"), F.xxhash64("text")
+    ranked = usable.select("lang", order.alias("_order"), tie.alias("_tie"), F.char_length("text").alias("_chars"))
+    drawn = first_rows(ranked, ["lang"], ["_order", "_tie"], sample, keep="_rank").drop("_rank").distinct()
+    before = Window.partitionBy("lang").orderBy("_order", "_tie").rowsBetween(Window.unboundedPreceding, -1)
+    # A few rows per language, written so that Spark knows they are small and does not move the texts to join them.
     limits = materialize(
-        drawn.groupBy("lang").agg(
-            F.max("_order").alias("_last"), F.least(F.lit(1.0), F.lit(float(chars)) / F.sum("_chars")).alias("_share")
-        )
+        drawn.withColumn("_room", F.lit(chars) - F.coalesce(F.sum("_chars").over(before), F.lit(0))).filter("_room > 0")
     )
-    rows = usable.join(limits, "lang").filter(order <= F.col("_last"))
-    # A sample of very long documents is cut to its bound by leaving out whole documents.
-    kept = rows.filter((F.col("_share") >= 1) | (F.char_length("text") <= F.lit(chars // 16)))
-    sampled = sorted(((r.lang, r._order, r.text) for r in kept.select("lang", order.alias("_order"), "text").collect()))
+    rows = usable.select("lang", order.alias("_order"), tie.alias("_tie"), "text").join(limits, ["lang", "_order", "_tie"])
+    # The text in which the bound is reached is cut there.
+    cut = F.substring("text", F.lit(1), F.least(F.col("_room"), F.lit(chars)).cast("int"))
+    sampled = sorted(tuple(r) for r in rows.select("lang", "_order", cut.alias("text")).distinct().collect())
     if not sampled:
         return None
     languages = sorted({lang for lang, _, _ in sampled})

@@ -80,6 +80,47 @@ def test_held_out_accuracy(spark):
     assert all(0 <= r.score <= 1 for r in found)
 
 
+UNLEARNED = [
+    "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw.",
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan.",
+    "xqzvk jwqpx zzkqv bxqj wvkz qpxj vkzq",
+]
+
+
+def test_unlearned_languages_are_rejected(spark, make, models):
+    texts = [t * k for t in UNLEARNED for k in (1, 40)]
+    found = langid.predict(make([(i, t, None, "s", 1, *"abcd") for i, t in enumerate(texts)]), models).collect()
+    assert all(r.rejected for r in found)
+    learned = spark.read.parquet(f"{SF}/documents.parquet").filter("text RLIKE '\\\\p{L}'")
+    assert langid.known_languages(learned, models).count() == learned.count()
+
+
+def test_one_odd_calibration_document_lifts_no_bound(models):
+    rng = np.random.default_rng(1)
+    texts = [("x", rng.choice(np.array([97, 98, 32], np.uint64), 2000)) for _ in range(60)]
+    junk = [("x", np.arange(5000, 5000 + n, dtype=np.uint64)) for n in (20, 3000)]
+    fitted = langid._fit_language([s for _, s in texts[:20]])
+    left = [None] + [langid._counts([s for _, s in texts[:20]], n) for n in range(2, langid.ORDER + 1)]
+    rows = [(*t, None if n == 0 else left[n][1][np.searchsorted(left[n][0], t[0])]) for n, t in enumerate(fitted[: langid.ORDER])]
+    one = langid._merge(["x"], [[*rows, fitted[langid.ORDER]]])
+    langid._calibrate(one, texts[20:] + junk)
+    assert all(one.decide(*one.totals(s))[3] for _, s in junk)
+    assert not any(one.decide(*one.totals(s[:n]))[3] for _, s in texts for n in (5, 100, 2000))
+
+
+def test_sample_is_filled_to_its_bound(make, monkeypatch):
+    read = []
+    plain = langid._code_points
+    monkeypatch.setattr(langid, "_code_points", lambda text: read.append(len(text)) or plain(text))
+    rows = [(i, f"{i:03d} words " * 100, "en", "s", 1, *"abcd") for i in range(50)]
+    rows += [(7, f"same id {i:03d} " * 90, "en", "s", 1, *"abcd") for i in range(200)] + rows[:3] * 30
+    assert langid.fit(make(rows).select("doc_id", "text", "lang"), chars=25_500) is not None
+    assert sum(read) == 25_500
+    read.clear()
+    langid.fit(make(rows).select("doc_id", "text", "lang"), sample=10)
+    assert len(read) <= 10
+
+
 def test_odd_rows(make, odd_rows, models):
     frame = make(odd_rows)
     found = langid.predict(frame, models).collect()
