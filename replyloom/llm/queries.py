@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from replyloom.llm import fingerprints, fixity, jaccard, langid, licenses, mixing, nearest, packing, secrets, token_counts
+from replyloom.llm import fingerprints, fixity, jaccard, langid, licenses, mixing, nearest, packing, pieces, secrets, token_counts
 from replyloom.session import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -214,3 +214,8 @@ SELECT page_id, file::BIGINT AS file, place::BIGINT AS place, start::BIGINT AS s
   CASE WHEN replica IS NULL THEN 'missing' WHEN replica <> digest THEN 'changed' WHEN start <> other_start THEN 'moved' ELSE 'ok' END AS status
 FROM o
 """
+
+
+@query
+def op12_sentencepiece(spark, sf):
+    return pieces.coded_digests(table(spark, sf, "documents"), tokenizer_path("piece_bpe_32k.model"))
