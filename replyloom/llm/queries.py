@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from replyloom.llm import fingerprints, fixity, jaccard, langid, licenses, mixing, nearest, packing, pieces, secrets, token_counts
+from replyloom.llm import fingerprints, fixity, jaccard, langid, lexical, licenses, manifest, mixing, nearest, packing, pieces, secrets, token_counts
 from replyloom.session import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -216,6 +216,102 @@ FROM o
 """
 
 
+@query
+def op11_merkle_manifest(spark, sf):
+    """Every second document, by CRC-32 of its id, is found again without its line breaks."""
+    documents = table(spark, sf, "documents")
+    text = F.col("text")
+    broken = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    now = F.when(broken, F.replace(text, F.lit("\n"), F.lit(""))).otherwise(text)
+    own, found = (manifest.leaf("doc_id", "source", "lang", "n_chars", t) for t in (text, now))
+    return manifest.manifest(documents, own, found)
+
+
+def _merkle_levels(name: str, start: str, levels: int) -> str:
+    """Nodes of a tree level by level (g, i, h, n); groups that are down to one node keep it."""
+    out = [f"{name}0 AS MATERIALIZED ({start})"]
+    for k in range(levels):
+        out.append(f"""{name}{k + 1} AS MATERIALIZED (
+  SELECT g, i // 3 AS i, CASE WHEN max(n) > 1 THEN sha256(string_agg(h, '' ORDER BY i)) ELSE min(h) END AS h, (max(n) + 2) // 3 AS n
+  FROM {name}{k} GROUP BY g, i // 3)""")
+    return ",\n".join(out)
+
+
+def _merkle_steps(name: str, levels: int) -> str:
+    """(g, i, k, step): the slot of a leaf's ancestor in level k and the digests beside it."""
+    return "\n  UNION ALL ".join(
+        f"""SELECT a.g, a.i, {k} AS k, (a.i // {3**k} % 3) || coalesce(string_agg(b.h, '' ORDER BY b.i), '') AS step
+    FROM {name}0 a JOIN {name}{k} c ON c.g = a.g AND c.i = a.i // {3**k} AND c.n > 1
+      LEFT JOIN {name}{k} b ON b.g = c.g AND b.i // 3 = c.i // 3 AND b.i <> c.i GROUP BY a.g, a.i"""
+        for k in range(levels)
+    )
+
+
+#: Levels that the SQL writes out: up to 3^10 documents a source, and as many sources.
+_LEVELS = 10
+_FIELD = "coalesce(strlen({0}::VARCHAR) || ':' || {0}::VARCHAR, '-')"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars")) + " || {0})"
+ORACLES["op11_merkle_manifest"] = f"""
+WITH d AS (
+  SELECT *, row_number() OVER () AS r,
+    list_reduce([4294967295::UBIGINT] || list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::UBIGINT),
+      lambda crc, c: list_reduce([xor(crc, c)] || [0::UBIGINT, 0, 0, 0, 0, 0, 0, 0],
+        lambda x, z: xor(x >> 1, (x & 1::UBIGINT) * 3988292384))) AS crc
+  FROM documents),
+l AS (
+  SELECT r, doc_id, source, {_LEAF.format(_FIELD.format("text"))} AS leaf,
+    CASE WHEN xor(crc, 4294967295) % 2 = 0 THEN {_LEAF.format(_FIELD.format("replace(text, chr(10), '')"))}
+         ELSE {_LEAF.format(_FIELD.format("text"))} END AS found
+  FROM d),
+p AS MATERIALIZED (
+  SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS g,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM l),
+{_merkle_levels("a", "SELECT g, i, leaf AS h, count(*) OVER (PARTITION BY g) AS n FROM p", _LEVELS)},
+{_merkle_levels("b", f"SELECT 0 AS g, g AS i, h, count(*) OVER () AS n FROM a{_LEVELS}", _LEVELS)},
+s AS MATERIALIZED (
+  SELECT p.r, s.k, s.step FROM p JOIN ({_merkle_steps("a", _LEVELS)}) s ON s.g = p.g AND s.i = p.i
+  UNION ALL
+  SELECT p.r, 100 + s.k, s.step FROM p JOIN ({_merkle_steps("b", _LEVELS)}) s ON s.i = p.g),
+t AS (SELECT r, list(step ORDER BY k) AS steps FROM s GROUP BY r),
+f AS (
+  SELECT p.*, coalesce(steps, []) AS steps,
+    list_reduce([found] || coalesce(steps, []), lambda acc, x: sha256(substr(x, 2, 64 * substr(x, 1, 1)::INT) || acc
+      || substr(x, 2 + 64 * substr(x, 1, 1)::INT))) AS folded_root
+  FROM p LEFT JOIN t USING (r))
+SELECT doc_id, leaf, a{_LEVELS}.h AS subroot, b{_LEVELS}.h AS root,
+  sha256(coalesce(list_aggregate(list_transform(steps, lambda x: substr(x, 2)), 'string_agg', ''), '')) AS proof_sha256, folded_root,
+  folded_root = b{_LEVELS}.h AS verified
+FROM f JOIN a{_LEVELS} ON a{_LEVELS}.g = f.g CROSS JOIN b{_LEVELS}
+"""
+
+
 @query
 def op12_sentencepiece(spark, sf):
     return pieces.coded_digests(table(spark, sf, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
+@query
+def op13_lexical_search(spark, sf):
+    return lexical.ranked_documents(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+ORACLES["op13_lexical_search"] = r"""
+WITH t AS (
+  SELECT r, doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT *, row_number() OVER () AS r FROM documents)),
+f AS MATERIALIZED (SELECT r, doc_id, term, count(*) AS tf FROM t GROUP BY ALL),
+n AS MATERIALIZED (SELECT r, sum(tf)::BIGINT AS n FROM f GROUP BY r),
+g AS MATERIALIZED (SELECT count(*) AS docs, sum(n)::BIGINT AS len FROM n),
+w AS MATERIALIZED (
+  SELECT term, floor(1000 * ln(((2 * docs + 2) / (2 * count(*) + 1)::DOUBLE)::DOUBLE))::BIGINT AS w FROM f, g GROUP BY term, docs),
+q AS (
+  SELECT DISTINCT i, item_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT *, row_number() OVER () AS i FROM benchmark)),
+s AS (
+  SELECT i, item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // len))))::BIGINT AS score
+  FROM q JOIN f USING (term) JOIN w USING (term) JOIN n USING (r), g GROUP BY ALL HAVING score > 0)
+SELECT item_id, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank, doc_id, score FROM s QUALIFY rank <= 10
+"""

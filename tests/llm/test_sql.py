@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "embeddings", "pages"):
+    for table in ("documents", "embeddings", "pages", "benchmark"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     cursor = duck.execute(ORACLES[name])
     names = [c[0] for c in cursor.description]
