@@ -22,7 +22,7 @@ def nearest(vector: Column, labels: Sequence[str], centers: np.ndarray) -> Colum
 
     @F.arrow_udf("struct<label: string, score: double>")
     def score(batch: pa.Array) -> pa.Array:
-        rows = _rows(batch, matrix.shape[1])
+        rows = rows_of(batch, matrix.shape[1])
         products = rows @ matrix.T
         best = products.argmax(axis=1)
         return pa.StructArray.from_arrays(
@@ -32,7 +32,8 @@ def nearest(vector: Column, labels: Sequence[str], centers: np.ndarray) -> Colum
     return score(vector)
 
 
-def _rows(batch: pa.Array, width: int) -> np.ndarray:
+def rows_of(batch: pa.Array, width: int) -> np.ndarray:
+    """An Arrow array of equally long vectors as a matrix."""
     if batch.null_count:
         raise ValueError("vectors must not be null")
     flat = batch.flatten().to_numpy(zero_copy_only=False).astype(np.float64)

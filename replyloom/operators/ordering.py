@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from replyloom.session import materialize
 
@@ -147,3 +149,74 @@ def quantiles(df: DataFrame, column: str, probabilities: Sequence[float]) -> lis
 def _neighbours(p: float, rows: int) -> tuple[int, int]:
     lower = int(p * (rows - 1))
     return lower, min(lower + 1, rows - 1)
+
+
+def group_quantiles(
+    df: DataFrame, keys: Sequence[str], column: str, probabilities: Mapping[str, float], buckets: int = 256
+) -> DataFrame:
+    """Exact quantiles with linear interpolation for all groups at once: (keys, n, one column per name in ``probabilities``).
+
+    All groups' intervals are narrowed together in tables: each pass counts the rows of every interval that holds a wanted rank
+    by bucket, at most ``buckets + 1`` counts an interval, and keeps the bucket the rank falls into, with the least and greatest value
+    seen there, until that is a single value. Nothing about a group reaches the driver. A group with a third of all rows is counted
+    in the map tasks like any other. Nulls of ``column`` are left out, so a group of nulls has no row; null keys are a group. NaN and
+    infinite values are refused.
+    """
+    group, kind = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)]), df.schema[column].dataType
+    whole = isinstance(kind, T.IntegralType)
+    value = F.col(column).cast("bigint" if whole else "double")
+    rows = materialize(df.select(group.alias("g"), value.alias("v")).filter("v IS NOT NULL"))
+    sizes = rows.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+    sizes = materialize(sizes)
+    if not whole and not sizes.filter(~(F.abs("low") < float("inf")) | ~(F.abs("high") < float("inf"))).isEmpty():
+        raise ValueError(f"{column} holds values that are not finite")
+    place = {name: F.lit(float(p)) * (F.col("n") - 1) for name, p in probabilities.items()}
+    ranks = [r for at in place.values() for r in (F.floor(at), F.least(F.floor(at) + 1, F.col("n") - 1))]
+    intervals = materialize(
+        sizes.select("g", "low", "high", F.lit(0).cast("bigint").alias("below"), F.array_distinct(F.array(*ranks)).alias("ranks"))
+    )
+    settled = []
+    while True:
+        settled.append(intervals.filter("low = high").select("g", F.explode("ranks").alias("rank"), F.col("low").alias("v")))
+        wide = intervals.filter("low < high")
+        if wide.isEmpty():
+            break
+        intervals = materialize(_narrowed(rows, wide, buckets, whole))
+    found = reduce(DataFrame.unionByName, settled)
+    by_rank = found.groupBy("g").agg(F.map_from_entries(F.collect_list(F.struct("rank", F.col("v").cast("double")))).alias("at"))
+    joined = sizes.select("g", "n").join(by_rank, "g")
+    out = []
+    for name, at in place.items():
+        lower = F.element_at("at", F.floor(at))
+        upper = F.element_at("at", F.least(F.floor(at) + 1, F.col("n") - 1))
+        out.append((lower + (at - F.floor(at)) * (upper - lower)).alias(name))
+    return joined.select(*[F.col("g").getField(f"k{i}").alias(k) for i, k in enumerate(keys)], "n", *out)
+
+
+def _narrowed(rows: DataFrame, wide: DataFrame, buckets: int, whole: bool) -> DataFrame:
+    """The intervals (g, low, high, below, ranks) after one more pass over the rows that lie in them."""
+    # One row per group, so that a group's rows meet its intervals once.
+    per_group = wide.groupBy("g").agg(F.collect_list(F.struct("low", "high", "below", "ranks")).alias("open"))
+    inside = rows.join(per_group, "g").select(
+        "g", "v", F.get(F.filter("open", lambda i: F.col("v").between(i["low"], i["high"])), 0).alias("i")
+    )
+    v, low, high = F.col("v"), F.col("i.low"), F.col("i.high")
+    if whole:
+        # Exact for the widest intervals of 64-bit numbers too.
+        wide_decimal = lambda c: c.cast("decimal(38,0)")
+        v, low, high = wide_decimal(v), wide_decimal(low), wide_decimal(high)
+        bucket = F.floor((v - low) * buckets / (high - low + 1)).cast("bigint")
+    else:
+        # Halved, so that the width of the widest interval is finite; the narrowest has no half.
+        width = high / 2 - low / 2
+        bucket = F.when(width > 0, F.floor((v / 2 - low / 2) / width * buckets)).otherwise((v > low).cast("bigint"))
+    counted = (
+        inside.filter("i IS NOT NULL")
+        .groupBy("g", F.col("i.below").alias("below"), bucket.alias("b"))
+        .agg(F.min("v").alias("low"), F.max("v").alias("high"), F.count(F.lit(1)).alias("n"), F.first("i.ranks").alias("ranks"))
+    )
+    earlier = Window.partitionBy("g", "below").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.col("below") + F.coalesce(F.sum("n").over(earlier), F.lit(0))
+    placed = counted.select("g", "low", "high", "n", start.alias("start"), "ranks")
+    mine = F.filter("ranks", lambda r: (r >= F.col("start")) & (r < F.col("start") + F.col("n")))
+    return placed.select("g", "low", "high", F.col("start").alias("below"), mine.alias("ranks")).filter("size(ranks) > 0")

@@ -13,9 +13,9 @@ from replyloom.functions.text import (
     is_ascii,
     micros_since_epoch,
     modelling_text,
-    ngrams,
     parse_created_at,
 )
+from replyloom.operators.frequent import top_runs
 from replyloom.operators.ordering import first_rows, order_statistics, quantiles
 from replyloom.operators.rules import matches
 from replyloom.operators.threads import brand_outbound
@@ -26,10 +26,15 @@ from replyloom.vocabulary import COURTESY_DOMAIN, DOMAIN_PATTERNS, REPLY_SIGNALS
 def frequency(df: DataFrame, column: str, within: Sequence[str] = (), digits: int = 2) -> DataFrame:
     """Value counts with their percent of all rows (or of the rows of the same ``within`` group).
 
-    Totals are taken over the counts, one row per value, not over ``df``.
+    Totals are taken over the counts, one row per value, not over ``df``. The total of all rows is a scalar, so that
+    no task holds all values.
     """
     counts = df.groupBy(*within, column).agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(Window.partitionBy(*within))
+    if within:
+        total = F.sum("n").over(Window.partitionBy(*within))
+    else:
+        counts = materialize(counts)
+        total = F.lit(counts.agg(F.sum("n")).first()[0])
     return counts.withColumn("pct", F.round(F.col("n") * 100.0 / total, digits)).select(*within, column, "n", "pct")
 
 
@@ -237,24 +242,11 @@ def top_ngrams(
     stop_words: Sequence[str] = (),
     top: Mapping[int, int] = {1: 20, 2: 20, 3: 15},
 ) -> DataFrame:
-    """The most frequent word runs of each length (ties: alphabetical)."""
-    words = df.select(ascii_words(F.col(text), stop_words).alias("words"))
+    """The most frequent word runs of each length (ties: alphabetical).
 
-    def tagged(n: int) -> Column:
-        return F.transform(
-            ngrams(F.col("words"), n), lambda t: F.struct(F.lit(n).cast("bigint").alias("n"), t.alias("term"))
-        )
-
-    counts = (
-        words.select(F.inline(F.concat(*[tagged(n) for n in top])))
-        .groupBy("n", "term")
-        .agg(F.count(F.lit(1)).alias("occurrences"))
-    )
-    ranked = first_rows(counts, ["n"], [F.desc("occurrences"), "term"], max(top.values()), keep="rank")
-    wanted = F.lit(False)
-    for n, k in top.items():
-        wanted = wanted | ((F.col("n") == n) & (F.col("rank") <= k))
-    return ranked.filter(wanted).drop("rank")
+    Exact, though only summaries of bounded size and the counts of their candidates are shuffled; ``top_runs`` says how.
+    """
+    return top_runs(df.select(ascii_words(F.col(text), stop_words).alias("words")), "words", top)
 
 
 def link_brands(tweets: DataFrame) -> DataFrame:

@@ -7,15 +7,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from replyloom.functions.text import modelling_text
 from replyloom.functions.vectors import SparseBatch
 from replyloom.operators.features import fit_tfidf, tokens
 from replyloom.operators.ordering import first_rows
 from replyloom.operators.splits import shuffle_key
-from replyloom.session import materialize
+from replyloom.session import materialize, new_stage
 
 WORDS = "_tokens"
 FEATURES = "_features"
@@ -123,6 +124,113 @@ def fit_kmeans(
     return min(done.values(), key=lambda m: round(m.inertia, 6))
 
 
+@dataclass(frozen=True)
+class Batches:
+    """Rows in a table that is cut into batches by hash of the key, so that a round reads the files of one batch."""
+
+    rows: DataFrame
+    key: str
+    n_terms: int
+    batches: int
+    seed: int
+
+    @staticmethod
+    def of(rows: DataFrame, key: str, n_terms: int, batches: int, seed: int) -> Batches:
+        number = _share(key, seed, 1) % batches
+        path = new_stage(rows.sparkSession)
+        rows.select(key, FEATURES, number.cast("int").alias("_batch")).write.partitionBy("_batch").parquet(path)
+        schema = T.StructType([rows.schema[key], rows.schema[FEATURES], T.StructField("_batch", T.IntegerType())])
+        return Batches(rows.sparkSession.read.schema(schema).parquet(path), key, n_terms, batches, seed)
+
+    def batch(self, number: int) -> DataFrame:
+        return self.rows.filter(F.col("_batch") == number)
+
+
+def _share(key: str, seed: int, start: int) -> Column:
+    """Eight hexadecimal digits of a row's hash as a number."""
+    return F.conv(F.substring(shuffle_key(key, seed), start, 8), 16, 10).cast("bigint")
+
+
+def _distances(x: SparseBatch, centers: np.ndarray) -> np.ndarray:
+    """Squared distance of each row to its nearest centre, rounded as ``_nearest`` rounds."""
+    squares = np.bincount(x.rows, x.values * x.values, x.height)
+    scores = x.times(centers.T) - 0.5 * (centers * centers).sum(axis=1)
+    return np.maximum(squares - 2 * np.round(scores, 9).max(axis=1), 0.0)
+
+
+def _drawn(data: Batches, centers: np.ndarray, wanted: float, round_no: int) -> np.ndarray:
+    """Rows drawn as further candidates: each by its squared distance to the candidates, ``wanted`` of them on average."""
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        far = sum(float(_distances(SparseBatch.of(batch.column(0)), centers).sum()) for batch in batches)
+        yield pa.RecordBatch.from_arrays([pa.array([float(far)])], ["far"])
+
+    far = data.rows.select(FEATURES).mapInArrow(total, "far double").agg(F.sum("far")).first()[0]
+    if not far:
+        return centers[:0]
+    draw = _share(data.key, data.seed + round_no, 9)
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            chance = wanted * _distances(SparseBatch.of(batch.column(1)), centers) / far
+            hit = (batch.column(2).to_numpy() + 0.5) / 2**32 < chance
+            yield batch.select([0, 1]).filter(pa.array(hit))
+
+    rows = data.rows.select(data.key, FEATURES, draw.alias("_draw"))
+    schema = T.StructType([rows.schema[data.key], rows.schema[FEATURES]])
+    order = [shuffle_key(data.key, data.seed + round_no), data.key]
+    found = rows.mapInArrow(chosen, schema).orderBy(*order).collect()
+    return np.array([row[1].toArray() for row in found]).reshape(-1, centers.shape[1])
+
+
+def oversampled_start(data: Batches, k: int, rounds: int = 3, oversampling: float = 2.0) -> np.ndarray:
+    """Start centres by oversampling (k-means||): a few rounds draw about ``oversampling * k`` candidates each, all over the data.
+
+    Each candidate weighs as many rows as it is nearest to. The first centre is the heaviest candidate, each next one that of the
+    greatest weight times squared distance to the centres before it; ties go to the candidate drawn first. The driver
+    holds the candidates, about ``1 + rounds * oversampling * k`` rows.
+    """
+    first = data.rows.orderBy(shuffle_key(data.key, data.seed), data.key).limit(1).select(FEATURES).collect()
+    candidates = np.array([row[0].toArray() for row in first]).reshape(-1, data.n_terms)
+    for round_no in range(1, rounds + 1 if len(first) else 0):
+        candidates = np.vstack([candidates, _drawn(data, candidates, oversampling * k, round_no)])
+    if not len(candidates):
+        return np.zeros((k, data.n_terms))
+    weights = np.diag(_sums(data.rows, data.n_terms, len(candidates), lambda x: np.eye(len(candidates))[_nearest(x, candidates)])[1])
+    chosen = [int(weights.argmax())]
+    nearest = ((candidates - candidates[chosen[0]]) ** 2).sum(axis=1)
+    while len(chosen) < k:
+        chosen.append(int(np.round(weights * nearest, 9).argmax()))
+        nearest = np.minimum(nearest, ((candidates - candidates[chosen[-1]]) ** 2).sum(axis=1))
+    return candidates[chosen]
+
+
+def fit_minibatch_kmeans(
+    rows: DataFrame, key: str, n_terms: int, k: int, seed: int = 42, batches: int = 8, epochs: int = 2,
+    start_rounds: int = 3, oversampling: float = 2.0, digits: int = 9,
+) -> KMeansModel:
+    """Mini-batch k-means with a learning rate per centre, from an oversampled start.
+
+    The rows are cut into ``batches`` parts by hash of the key. Each round takes the next part: its rows go to their nearest centres, and a centre
+    moves towards the mean of its new rows by their share of all rows it has been given so far. One job a round reads one part's files, so the
+    number of jobs is ``batches * epochs`` for any number of rows. Centres are rounded to ``digits``, so the result does not depend on how rows
+    lie in partitions. A centre without rows in a part stays; without rows at all, centres are zero. Rows with one key are in one part.
+    """
+    data = Batches.of(rows, key, n_terms, batches, seed)
+    centers = np.round(oversampled_start(data, k, start_rounds, oversampling), digits)
+    given = np.zeros(k)
+    for step in range(batches * epochs):
+        current = centers
+        sums, inner, _ = _sums(data.batch(step % batches), n_terms, k, lambda x: np.eye(k)[_nearest(x, current)])
+        fresh = np.diag(inner)
+        given = given + fresh
+        moved = centers + (sums.T - fresh[:, None] * centers) / np.maximum(given, 1)[:, None]
+        centers = np.where(fresh[:, None] > 0, np.round(moved, digits), centers)
+    sums, inner, squares = _sums(data.rows, n_terms, k, lambda x: np.eye(k)[_nearest(x, centers)])
+    inertia = squares - 2 * float((sums.T * centers).sum()) + float((np.diag(inner) * (centers * centers).sum(axis=1)).sum())
+    return KMeansModel(centers, inertia, batches * epochs)
+
+
 def kmeans_topics(
     df: DataFrame,
     key: str,
@@ -135,17 +243,17 @@ def kmeans_topics(
     max_features: int = 10_000,
     top: int = 15,
     example_count: int = 4,
-    starts: int = 5,
-    max_rounds: int = 300,
+    batches: int = 8,
+    epochs: int = 2,
     shown: Sequence[str] = (),
 ) -> tuple[DataFrame, DataFrame]:
-    """Cluster texts: a summary per cluster and the cluster of every row.
+    """Cluster texts by mini-batch k-means: a summary per cluster and the cluster of every row.
 
     The summary's ``examples`` are the first rows of a cluster by key, as structs of the key and the ``shown`` columns (the
     text when none are named).
     """
     tfidf, rows = _vectors(df, key, text, stop_words, max_features, min_df, max_df)
-    model = fit_kmeans(rows, key, len(tfidf.terms), k, seed, starts, max_rounds)
+    model = fit_minibatch_kmeans(rows, key, len(tfidf.terms), k, seed, batches, epochs)
     assigned = model.assign(rows, key)
     names = {i: _top_terms(center, tfidf.terms, top) for i, center in enumerate(model.centers)}
     firsts = first_rows(assigned, ["cluster_id"], [key], example_count, keep="_rank")

@@ -16,11 +16,14 @@ from replyloom.functions.text import (
     SIGNATURE_SLASH,
 )
 from replyloom.plans.queries import (
+    BATCHES,
     CLUSTERS,
     DIMENSIONS,
+    EPOCHS,
     MIN_BRAND_TWEETS,
     SAMPLE,
     SEED,
+    START_ROUNDS,
     STARTS,
     STOPS,
     VECTOR_LABELS,
@@ -446,6 +449,87 @@ def _kmeans(rounds: int = 60) -> str:
     return f"WITH {', '.join(parts)} SELECT vec_id, k AS cluster_id FROM ({chosen})"
 
 
+def _minibatch() -> str:
+    """Oversampling rounds, the choice among their candidates, and the mini-batch rounds, written out."""
+
+    def digits(seed: int, start: int) -> str:
+        return f"('0x' || substr(md5('{seed}:' || vec_id), {start}, 8))::BIGINT"
+
+    score = "round(list_inner_product(v.x, c.x) - 0.5::DOUBLE * list_inner_product(c.x, c.x), 9)"
+    far = f"greatest(any_value(list_inner_product(v.x, v.x)) - 2 * max({score}), 0)"
+    between = "greatest(list_inner_product(a.x, a.x) - 2 * list_inner_product(a.x, b.x) + list_inner_product(b.x, b.x), 0)"
+    parts = [
+        f"v AS MATERIALIZED (SELECT vec_id, embedding::DOUBLE[] AS x, {digits(SEED, 1)} % {BATCHES} AS batch FROM embeddings)",
+        f"s0 AS MATERIALIZED (SELECT 0 AS k, x FROM v ORDER BY md5('{SEED}:' || vec_id), vec_id LIMIT 1)",
+    ]
+    for n in range(1, START_ROUNDS + 1):
+        parts.append(f"d{n} AS MATERIALIZED (SELECT vec_id, any_value(v.x) AS x, {far} AS far FROM v, s{n - 1} c GROUP BY vec_id)")
+        parts.append(f"""s{n} AS MATERIALIZED (
+          SELECT * FROM s{n - 1} UNION ALL
+          SELECT row_number() OVER (ORDER BY md5('{SEED + n}:' || vec_id), vec_id) - 1 + (SELECT count(*) FROM s{n - 1}), x FROM d{n}
+          WHERE ({digits(SEED + n, 9)} + 0.5::DOUBLE) / 4294967296 < {2 * CLUSTERS} * far / (SELECT sum(far) FROM d{n}))""")
+    last = f"s{START_ROUNDS}"
+    parts.append(f"""n AS (
+      SELECT vec_id, arg_max(k, [{score}, -k]) AS k FROM v, {last} c GROUP BY vec_id)""")
+    parts.append(f"""w AS MATERIALIZED (
+      SELECT k, x, coalesce(n, 0) AS n FROM {last} LEFT JOIN (SELECT k, count(*) AS n FROM n GROUP BY k) USING (k))""")
+    parts.append("p0 AS MATERIALIZED (SELECT 0 AS place, x FROM w ORDER BY n DESC, k LIMIT 1)")
+    for i in range(1, CLUSTERS):
+        parts.append(f"""p{i} AS MATERIALIZED (
+          SELECT * FROM p{i - 1} UNION ALL (
+            SELECT {i}, any_value(a.x) FROM w a, p{i - 1} b GROUP BY k ORDER BY round(any_value(a.n) * min({between}), 9) DESC, k LIMIT 1))""")
+    parts.append(f"""c0 AS MATERIALIZED (
+      SELECT place AS k, list_transform(x, lambda e: round(e, 9)) AS x, 0 AS given FROM p{CLUSTERS - 1})""")
+    for step in range(BATCHES * EPOCHS):
+        parts.append(f"""a{step} AS MATERIALIZED (
+          SELECT vec_id, any_value(v.x) AS x, arg_max(k, [{score}, -k]) AS k FROM v, c{step} c
+          WHERE batch = {step % BATCHES} GROUP BY vec_id)""")
+        parts.append(f"""c{step + 1} AS MATERIALIZED (
+          SELECT c.k, coalesce(m.x, c.x) AS x, c.given + coalesce(m.n, 0) AS given FROM c{step} c LEFT JOIN (
+            SELECT k, list(moved ORDER BY i) AS x, any_value(n) AS n FROM (
+              SELECT a.k, i, count(*) AS n,
+                round(any_value(c.x[i]) + (sum(a.x[i]) - count(*) * any_value(c.x[i])) / (any_value(c.given) + count(*)), 9) AS moved
+              FROM a{step} a JOIN c{step} c ON a.k = c.k, range(1, {DIMENSIONS + 1}) r(i) GROUP BY a.k, i)
+            GROUP BY k) m USING (k))""")
+    return f"""WITH {", ".join(parts)}
+    SELECT vec_id, arg_max(k, [{score}, -k])::BIGINT AS cluster_id FROM v, c{BATCHES * EPOCHS} c GROUP BY vec_id"""
+
+
+#: Gradient steps of the SQL, more than the tables need.
+GRADIENT_STEPS = 400
+
+
+def _logistic() -> str:
+    """(label, w) of the same optimum as the fitted model's, by accelerated gradient steps from zero.
+
+    A step assumes a curvature of a quarter of the rows and the penalty.
+    """
+    zero = f"list_transform(range({DIMENSIONS + 1}), lambda i: 0.0::DOUBLE)"
+    return f"""
+    r AS MATERIALIZED (
+      SELECT vec_id, label, list_append(v, 1.0::DOUBLE) AS x,
+        count(*) OVER () / ((SELECT count(DISTINCT label) FROM vectors WHERE is_train) * count(*) OVER (PARTITION BY label)::DOUBLE) AS weight
+      FROM vectors WHERE is_train),
+    rate AS MATERIALIZED (
+      SELECT 1 / top AS step, (sqrt(top) - 1) / (sqrt(top) + 1) AS momentum FROM (SELECT 1 + sum(weight) / 4 AS top FROM r)),
+    steps AS (
+      SELECT 0 AS n, label, {zero} AS w, {zero} AS moved FROM (SELECT DISTINCT label FROM r)
+      UNION ALL
+      SELECT n + 1, label, list_transform(list_zip(next, moved), lambda z: z[1] + momentum * (z[1] - z[2])), next
+      FROM (
+        SELECT s.n, s.label, s.moved, momentum, list_transform(list_zip(s.w, g.g), lambda z: z[1] - step * z[2]) AS next
+        FROM steps s, rate, (
+          SELECT label, list(g ORDER BY i) AS g FROM (
+            SELECT label, i, sum(weight * (p - hit) * x[i]) + CASE WHEN i <= {DIMENSIONS} THEN any_value(w[i]) ELSE 0 END AS g
+            FROM (
+              SELECT r.x, r.weight, s.label, s.w, (s.label = r.label)::INT AS hit,
+                exp(list_inner_product(r.x, s.w)) / sum(exp(list_inner_product(r.x, s.w))) OVER (PARTITION BY r.vec_id) AS p
+              FROM r, steps s), range(1, {DIMENSIONS + 2}) t(i) GROUP BY label, i)
+          GROUP BY label) g
+        WHERE g.label = s.label AND s.n < {GRADIENT_STEPS})),
+    fitted AS MATERIALIZED (SELECT label, moved AS w FROM steps WHERE n = {GRADIENT_STEPS})"""
+
+
 def oracle_sql() -> dict[str, str]:
     dm_seed = f"author_id = {q(BRAND)} AND NOT inbound AND {has('text', REPLY_SIGNALS['response_requests_dm'])}"
     conf_rows = ", ".join(f"({q(i)}, {q(c)})" for i, e in TAXONOMY.items() for c in e["confusable_intents"])
@@ -627,6 +711,18 @@ def oracle_sql() -> dict[str, str]:
               length(t)::BIGINT AS chars FROM cleaned)""",
             f"""SELECT 'words' AS unit, {stats_columns('words')} FROM sized
             UNION ALL SELECT 'chars', {stats_columns('chars')} FROM sized"""),
+        "group_quartiles": statement(
+            *TO_SPLIT,
+            # The clean pairs of all tweets, which the split's pairs of the brand's threads equal.
+            f"""measured AS (
+              SELECT 'brand' AS kind, author_id AS name, length(text) AS value FROM tweets WHERE NOT inbound
+              UNION ALL SELECT 'response_type', {_response_type()}, turn_delay_seconds FROM clean
+              UNION ALL SELECT 'split', split, length(customer_text) FROM assigned)""",
+            """SELECT kind, name, count(value) AS n, quantile_cont(value::DOUBLE, 0.25) AS p25, quantile_cont(value::DOUBLE, 0.5) AS median,
+              quantile_cont(value::DOUBLE, 0.75) AS p75 FROM measured WHERE value IS NOT NULL GROUP BY kind, name"""),
+        "order_quartiles": """SELECT l_orderkey, count(*) AS n, round(quantile_cont(l_extendedprice, 0.25), 4) AS p25,
+            round(quantile_cont(l_extendedprice, 0.5), 4) AS median, round(quantile_cont(l_extendedprice, 0.75), 4) AS p75
+            FROM lineitem GROUP BY l_orderkey""",
         "top_ngrams": statement(
             _ngram_words(),
             """SELECT n, term, occurrences FROM counted
@@ -733,6 +829,14 @@ def oracle_sql() -> dict[str, str]:
             VECTORS,
             "confusion AS (SELECT intent AS true_label, predicted_intent AS predicted_label, count(*) AS n FROM nearest GROUP BY ALL)",
             measured("confusion", VECTOR_LABELS), "SELECT * FROM overall"),
+        "newton_predict": statement(
+            VECTORS, _logistic(),
+            """SELECT vec_id, arg_max(label, score) AS predicted_intent, round(max(exp(score)) / sum(exp(score)), 4) AS confidence
+            FROM (SELECT vec_id, label, list_inner_product(list_append(v, 1.0::DOUBLE), w) AS score
+                  FROM (SELECT vec_id, v FROM vectors WHERE NOT is_train), fitted) GROUP BY vec_id"""),
+        # The objective is convex and the SQL reaches its optimum: the fitted model's gradient must be as small there.
+        "newton_certificate": statement(
+            VECTORS, "SELECT DISTINCT label, true AS within FROM vectors WHERE is_train"),
         "confidence_stats": statement(
             VECTORS,
             """SELECT round(avg(confidence), 6) AS mean, round(quantile_cont(confidence, 0.5), 6) AS median,
@@ -746,6 +850,6 @@ def oracle_sql() -> dict[str, str]:
             *TO_SPLIT, _tfidf(), "SELECT pair_id, term, round(w / norm, 6) AS weight FROM raw JOIN norm USING (pair_id)"),
     }
     # Files are compared with what was written to them.
-    sql["kmeans_vectors"] = _kmeans()
+    sql["kmeans_vectors"], sql["minibatch_vectors"] = _kmeans(), _minibatch()
     sql["confusion_file"], sql["metrics_file"] = sql["confusion_matrix"], sql["classification_overall"]
     return sql

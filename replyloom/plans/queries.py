@@ -30,6 +30,9 @@ VOCABULARY = 2_000
 DIMENSIONS = 64
 CLUSTERS = 4
 STARTS = 2
+BATCHES = 4
+EPOCHS = 2
+START_ROUNDS = 2
 STOPS = "the of and le la les der die und el los que de en un in to is at by".split()
 LANGUAGES = ["en", "fr", "de", "es"]
 VECTOR_LABELS = [str(i) for i in range(10)]
@@ -353,6 +356,27 @@ def text_length_stats(spark, sf):
     return profile.text_length_stats(_documents(spark, sf), "text")
 
 
+QUARTILES = {"p25": 0.25, "median": 0.5, "p75": 0.75}
+
+
+@query
+def group_quartiles(spark, sf):
+    """Reply lengths by brand, delays by response type and question lengths by split, all groups of each at once."""
+    typed = _clean(spark, sf).select(rules.response_type().alias("name"), F.col("turn_delay_seconds").alias("value"))
+    sent = messages(spark, sf).filter("NOT inbound").select(F.col("author_id").alias("name"), F.char_length("text").alias("value"))
+    asked = _Splits(spark, sf).assigned.select(F.col("split").alias("name"), F.char_length("customer_text").alias("value"))
+    kinds = {"brand": sent, "response_type": typed, "split": asked}
+    rows = [df.select(F.lit(kind).alias("kind"), "name", F.col("value").cast("bigint").alias("value")) for kind, df in kinds.items()]
+    return ordering.group_quantiles(rows[0].unionByName(rows[1]).unionByName(rows[2]), ["kind", "name"], "value", QUARTILES)
+
+
+@query
+def order_quartiles(spark, sf):
+    """Prices by order: as many groups as there are orders."""
+    found = ordering.group_quantiles(read_table(spark, sf, "lineitem"), ["l_orderkey"], "l_extendedprice", QUARTILES)
+    return found.select("l_orderkey", "n", *[F.round(name, 4).alias(name) for name in QUARTILES])
+
+
 @query
 def top_ngrams(spark, sf):
     return profile.top_ngrams(_documents(spark, sf), "text", STOPS)
@@ -551,6 +575,24 @@ def centroid_metrics(spark, sf):
     return metrics.overall(metrics.confusion_counts(scored), VECTOR_LABELS)
 
 
+def _newton(spark, sf):
+    rows = _vectors(spark, sf)
+    return classifiers.fit_newton_logistic(rows.filter("part = 'train'"), VECTOR_LABELS), rows.filter("part = 'test'")
+
+
+@query
+def newton_predict(spark, sf):
+    """Labels of held-out embeddings by logistic regression, with their probabilities."""
+    model, rows = _newton(spark, sf)
+    return model.predict(rows).select("vec_id", "predicted_intent", F.round("confidence", 4).alias("confidence"))
+
+
+@query
+def newton_certificate(spark, sf):
+    """Whether the fit is at its optimum, label by label."""
+    return classifiers.gradient_certificate(_newton(spark, sf)[0], spark)
+
+
 @query
 def confidence_stats(spark, sf):
     return profile.confidence_stats(_centroid_predictions(spark, sf))
@@ -590,6 +632,15 @@ def kmeans_vectors(spark, sf):
     return model.assign(rows, "vec_id").select("vec_id", F.col("cluster_id").cast("bigint").alias("cluster_id"))
 
 
+@query
+def minibatch_vectors(spark, sf):
+    """Clusters of the embeddings by mini-batches from an oversampled start."""
+    rows = read_table(spark, sf, "embeddings").select("vec_id", array_to_vector(F.col("embedding")).alias(topics.FEATURES))
+    rows = materialize(rows)
+    model = topics.fit_minibatch_kmeans(rows, "vec_id", DIMENSIONS, CLUSTERS, SEED, BATCHES, EPOCHS, START_ROUNDS)
+    return model.assign(rows, "vec_id").select("vec_id", F.col("cluster_id").cast("bigint").alias("cluster_id"))
+
+
 @query
 def kmeans_topics(spark, sf):
     return topics.kmeans_topics(_documents(spark, sf), "doc_id", "text", STOPS)[0]

@@ -175,3 +175,91 @@ def test_kmeans_matches_a_dense_run_for_any_layout(spark, themed):
     assert models[0].inertia == pytest.approx(distance.min(axis=1).sum(), abs=1e-6)
     one = topics.fit_kmeans(rows, "id", n, 4, starts=1)
     assert models[0].inertia <= one.inertia + 1e-9
+
+
+def dense_gradient(x, labels, weights, coefficients):
+    scores = x @ coefficients.T
+    p = np.exp(scores - scores.max(axis=1, keepdims=True))
+    p /= p.sum(axis=1, keepdims=True)
+    off = p - np.eye(coefficients.shape[0])[labels]
+    penalty = coefficients.copy()
+    penalty[:, -1] = 0
+    return (off * weights[:, None]).T @ x + penalty
+
+
+def test_newton_reaches_the_optimum(spark):
+    rng = np.random.RandomState(8)
+    labels = rng.choice(3, 240, p=[0.7, 0.2, 0.1])
+    vectors = np.float32(rng.randn(240, 6) + 2 * np.eye(6)[labels])
+    rows = [(i, int(k), v.tolist()) for i, (k, v) in enumerate(zip(labels, vectors))] + [(900, 7, [0.0] * 6), (901, None, [0.0] * 6)]
+    df = spark.createDataFrame(rows, "id long, label int, embedding array<float>").repartition(4)
+    model = classifiers.fit_newton_logistic(df, ["0", "1", "2", "9"])
+    assert model.labels == ["0", "1", "2"] and model.rows == 240
+    assert all(a >= b - 1e-9 for a, b in zip(model.losses, model.losses[1:])) and len(model.losses) < 12
+    x = np.hstack([vectors.astype(float), np.ones((240, 1))])
+    weights = 240 / (3 * np.bincount(labels))[labels]
+    gradient = dense_gradient(x, labels, weights, model.coefficients)
+    assert np.abs(gradient).max() < 1e-5 and model.gradient == pytest.approx(gradient, abs=1e-6)
+    assert model.coefficients[:, -1].sum() == pytest.approx(0, abs=1e-6)
+    assert all(r.within for r in classifiers.gradient_certificate(model, spark).collect())
+    # No certificate for a model that was stopped early.
+    early = classifiers.fit_newton_logistic(df, ["0", "1", "2"], max_steps=1)
+    assert not all(r.within for r in classifiers.gradient_certificate(early, spark).collect())
+    scores = x @ model.coefficients.T
+    got = sorted(model.predict(df.filter("id < 240")).collect(), key=lambda r: r.id)
+    assert [r.predicted_intent for r in got] == [str(k) for k in scores.argmax(axis=1)]
+    p = np.exp(scores) / np.exp(scores).sum(axis=1, keepdims=True)
+    assert [r.confidence for r in got] == pytest.approx(p.max(axis=1).tolist())
+
+
+def test_newton_halves_steps_that_would_raise_the_loss(spark):
+    """Far apart classes almost without a penalty: full steps overshoot, the loss still never rises."""
+    rows = [(i, i % 2, [float((1 if i % 2 else -1) * (1 + i % 3) * 40), 1.0]) for i in range(30)]
+    df = spark.createDataFrame(rows, "id long, label int, embedding array<float>")
+    model = classifiers.fit_newton_logistic(df, ["0", "1"], inverse_penalty=1e6)
+    assert all(a >= b - 1e-9 for a, b in zip(model.losses, model.losses[1:]))
+    assert [r.predicted_intent for r in sorted(model.predict(df).collect(), key=lambda r: r.id)] == [str(i % 2) for i in range(30)]
+    with pytest.raises(ValueError, match="no row"):
+        classifiers.fit_newton_logistic(df, ["5"])
+
+
+def test_minibatch_kmeans_matches_a_dense_run_for_any_layout(spark):
+    rng = np.random.RandomState(4)
+    x = np.round(np.vstack([rng.randn(60, 5) * 0.2 + c for c in np.eye(5)[:3] * 4]), 3)
+    rows = [(i, SparseVector(5, {j: float(v) for j, v in enumerate(r)})) for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, ["id", topics.FEATURES])
+    fit = lambda parts: topics.fit_minibatch_kmeans(df.repartition(parts), "id", 5, 3, batches=4, epochs=2)
+    model = fit(1)
+    assert np.array_equal(model.centers, fit(6).centers)
+    # Each found centre is the mean of its own group's rows in the order of the batches.
+    data = topics.Batches.of(df, "id", 5, 4, 42)
+    batch = {r.id: r._batch for r in data.rows.collect()}
+    assert len(set(batch.values())) == 4
+    centers, given = np.round(topics.oversampled_start(data, 3), 9), np.zeros(3)
+    for step in range(8):
+        own = [i for i in range(len(x)) if batch[i] == step % 4]
+        near = np.round(x[own] @ centers.T - 0.5 * (centers**2).sum(axis=1), 9).argmax(axis=1)
+        for k in range(3):
+            mine = x[own][near == k]
+            given[k] += len(mine)
+            if len(mine):
+                centers[k] = np.round(centers[k] + (mine.sum(axis=0) - len(mine) * centers[k]) / given[k], 9)
+    assert model.centers == pytest.approx(centers, abs=1e-8)
+    labels = {r.id: r.cluster_id for r in model.assign(df, "id").collect()}
+    assert sorted({tuple(sorted(i for i in labels if labels[i] == k)) for k in range(3)}) == [tuple(range(60 * g, 60 * g + 60)) for g in range(3)]
+    distance = ((x[:, None, :] - model.centers[None]) ** 2).sum(axis=2)
+    assert model.inertia == pytest.approx(distance.min(axis=1).sum(), abs=1e-6)
+
+
+def test_oversampled_start_spreads_over_far_groups(spark):
+    """One group holds nearly all rows; the start still has a centre in every other one."""
+    x = [[0.001 * (i % 7), 0.0] for i in range(400)] + [[9.0, 0.0], [9.1, 0.0], [0.0, 9.0], [0.0, 9.1]]
+    rows = [(i, SparseVector(2, {0: float(a), 1: float(b)})) for i, (a, b) in enumerate(x)]
+    start = topics.oversampled_start(topics.Batches.of(spark.createDataFrame(rows, ["id", topics.FEATURES]), "id", 2, 2, 42), 3)
+    assert sorted((round(a), round(b)) for a, b in start) == [(0, 0), (0, 9), (9, 0)]
+
+
+def test_minibatch_kmeans_of_nothing_and_of_one_row(spark):
+    df = spark.createDataFrame([(1, SparseVector(2, {0: 1.0}))], ["id", topics.FEATURES])
+    assert topics.fit_minibatch_kmeans(df.limit(0), "id", 2, 3).centers.tolist() == [[0.0, 0.0]] * 3
+    assert topics.fit_minibatch_kmeans(df, "id", 2, 2).assign(df, "id").collect()[0].cluster_id == 0

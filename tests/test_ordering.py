@@ -1,8 +1,11 @@
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from replyloom.operators import ordering, profile
+from replyloom.operators.ordering import group_quantiles
 
 
 def frame(spark, values, kind="double"):
@@ -99,3 +102,42 @@ def test_first_rows_limits_groups_before_the_shuffle(spark):
     assert sorted((r.k, r.id) for r in firsts.collect()) == [(0, 0), (0, 3), (1, 1), (1, 4), (2, 2), (2, 5)]
     plan = firsts._jdf.queryExecution().executedPlan().toString()
     assert plan.index("WindowGroupLimit") < plan.index("Exchange") < plan.rindex("WindowGroupLimit")
+
+
+def interpolated(values, p):
+    values = sorted(values)
+    at = p * (len(values) - 1)
+    low = int(at)
+    return values[low] + (at - low) * (values[min(low + 1, len(values) - 1)] - values[low])
+
+
+@pytest.mark.parametrize("kind, make", [
+    ("bigint", lambda rng: rng.choice([rng.randint(-5, 5), rng.randint(-(2**40), 2**40), 7])),
+    ("bigint", lambda rng: 2**62 + rng.randint(0, 3)),
+    ("double", lambda rng: rng.choice([rng.random(), rng.gauss(0, 1e200), 0.5, 5e-324 * rng.randint(0, 3)])),
+])
+@pytest.mark.parametrize("buckets", [2, 256])
+def test_group_quantiles(spark, kind, make, buckets):
+    rng = random.Random(9)
+    rows = [("hot", 1, make(rng)) for _ in range(200)] + [("", None, 3), (None, None, 4), (None, None, 5), ("null", 1, None)]
+    rows += [(f"g{i}", i % 2, make(rng)) for i in range(12) for _ in range(i)]
+    rows = [(a, b, None if v is None else (float(v) if kind == "double" else v)) for a, b, v in rows]
+    df = spark.createDataFrame(rows, f"a string, b int, v {kind}").repartition(4)
+    names = {"least": 0.0, "third": 1 / 3, "median": 0.5, "most": 1.0}
+    got = {(r.a, r.b): tuple(r)[2:] for r in group_quantiles(df, ["a", "b"], "v", names, buckets).collect()}
+    groups = {}
+    for a, b, v in rows:
+        if v is not None:
+            groups.setdefault((a, b), []).append(v)
+    assert set(got) == set(groups)
+    for key, values in groups.items():
+        want = [len(values), *[interpolated(values, p) for p in names.values()]]
+        assert list(got[key]) == pytest.approx(want, rel=1e-12)
+
+
+def test_group_quantiles_of_nothing_and_of_infinities(spark):
+    df = spark.createDataFrame([], "a string, v double")
+    assert group_quantiles(df, ["a"], "v", {"m": 0.5}).collect() == []
+    for bad in (float("nan"), float("inf")):
+        with pytest.raises(ValueError, match="not finite"):
+            group_quantiles(spark.createDataFrame([("x", 1.0), ("x", bad)], "a string, v double"), ["a"], "v", {"m": 0.5})
