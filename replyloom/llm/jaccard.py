@@ -11,9 +11,11 @@ How the join is dealt out:
   ``n - ceil(n * similarity) + 1`` of each, so these are the classes' postings.
 * Within each posting list, first every class is compared with one pivot, the class that shares most postings. That
   joins a group of near copies in as many comparisons as it has members. Links found this way make components.
-* Lists that still touch several components are dealt by bands of size and joined block by block: a count-vector R-tree over
-  each block finds the pairs of different components that pass the bound. Pairs within one component need no test, for
-  components are what is asked for. Blocks bound the memory of a task, they leave out no pair.
+* Lists that still touch several components are put together by their pivot, dealt by bands of size and joined block by block: a
+  count-vector R-tree over each block finds the pairs of different components that pass the bound. A first pass keeps the classes
+  that have such a pair. A second one gets their texts, verifies the pairs on the whole sets where they meet and unites what links,
+  so a block of m classes gives at most m - 1 links. Pairs within one component need no test, for components are
+  what is asked for. Blocks bound the memory of a task, they leave out no pair.
 
 Shingles and sets are told apart by 64-bit hashes.
 """
@@ -36,6 +38,8 @@ SKETCH_BITS = 20
 CHUNK_BITS = 14
 FILTER_BITS = 24
 BLOCK_ROWS = 512
+#: Shingles that the classes of a block hold together, at most, unless it is a single class.
+BLOCK_SHINGLES = 1 << 21
 LEAF = 16
 WINDOW = 1 << 22
 
@@ -351,7 +355,7 @@ def verified(pairs: DataFrame, documents: DataFrame, classes: DataFrame, width:
                 if b is None:
                     key, own = a, shingles
                 elif a == key:
-                    both = len(np.intersect1d(own, shingles, assume_unique=True))
+                    both = _shared(own, shingles)
                     if 100 * both >= percent * (len(own) + len(shingles) - both):
                         links.append((a, b))
             columns = [pa.array([link[i] for link in links], pa.int64()) for i in (0, 1)]
@@ -361,20 +365,21 @@ def verified(pairs: DataFrame, documents: DataFrame, classes: DataFrame, width:
     return dealt.mapInArrow(run, "a BIGINT, b BIGINT").distinct()
 
 
-def _block_pairs(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs (a, b) of different components from (shingle, set_key, n, component).
+def _cells(members: DataFrame, percent: int) -> DataFrame:
+    """(pivot, band, i, j, own, set_key, component): where the classes of (pivot, set_key, n, component) meet.
 
-    Sets of linking sizes lie in the same or in neighbouring bands, so each class goes to two bands of its posting list, and
-    bands with one component are left out before the count vectors are joined. What is left of a list and
-    band is cut into blocks by hash of the class, and each two blocks meet once.
+    Sets of linking sizes lie in the same or in neighbouring bands, so each class goes to two bands of its pivot, and
+    bands with one component are left out. What is left of a pivot and band is cut into blocks by hash of the class, and each
+    two blocks meet once.
     """
     width = max(math.log(100 / percent), 1e-9) * (1 + 1e-6)
     own_band = F.floor(F.ln("n") / width)
-    banded = members.withColumn("band", F.explode(F.array(own_band, own_band + 1))).drop("n")
+    banded = members.withColumn("band", F.explode(F.array(own_band, own_band + 1)))
+    rows = F.greatest(F.lit(1), F.least(F.lit(BLOCK_ROWS), F.floor(BLOCK_SHINGLES / F.max("n"))))
     lists = (
-        banded.groupBy("shingle", "band")
+        banded.groupBy("pivot", "band")
         .agg(
-            F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks"),
+            F.ceil(F.count(F.lit(1)) / rows).cast("int").alias("blocks"),
             F.min("component").alias("low"),
             F.max("component").alias("high"),
         )
@@ -383,64 +388,126 @@ def _block_pairs(members: DataFrame, classes: DataFrame, percent: int) -> DataFr
     )
     own = F.pmod(F.xxhash64("set_key"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    place = ["shingle", "band", "i", "j"]
-    dealt = (
-        banded.join(lists, ["shingle", "band"])
+    return (
+        banded.join(lists, ["pivot", "band"])
         .withColumn("own", own)
         .withColumn("other", other)
         .withColumn("i", F.least("own", "other"))
         .withColumn("j", F.greatest("own", "other"))
-        .select(*place, "own", "set_key", "component")
-        .join(classes.select("set_key", "counts"), "set_key")
-        .select(*place, "own", "set_key", "component", "counts")
+        .select(*CELL, "own", "set_key", "component")
     )
-    return dealt.repartition(*place).sortWithinPartitions(*place).mapInArrow(
-        lambda batches: _join_blocks(batches, percent), "a BIGINT, b BIGINT"
-    ).distinct()
-
-
-def _join_blocks(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Join each run of rows with the same (shingle, band, i, j) by a count tree; a run may span batches."""
-    held: pa.Table | None = None
-    last = False
-    stream = iter(batches)
-    while not last:
-        batch = next(stream, None)
-        last = batch is None
-        table = held if last else pa.Table.from_batches([batch] if held is None else [*held.to_batches(), batch])
-        if table is None or not table.num_rows:
-            held = table
-            continue
-        names = [table.column(i).to_numpy() for i in range(4)]
-        change = np.flatnonzero(np.any([c[1:] != c[:-1] for c in names], axis=0)) + 1
-        edges = [0, *change.tolist(), table.num_rows]
-        if not last:
-            held = table.slice(edges[-2])
-            edges.pop()
-        if len(edges) < 2:
+
+
+CELL = ["pivot", "band", "i", "j"]
+
+
+def _block_links(
+    members: DataFrame, documents: DataFrame, classes: DataFrame, width: int, percent: int
+) -> DataFrame:
+    """Links (a, b) between different components, a forest in every cell, from (pivot, set_key, n, component)."""
+    placed = _cells(members, percent).join(classes.select("set_key", "counts"), "set_key")
+    placed = placed.select(*CELL, "own", "set_key", "component", "counts")
+    kinds = {f.name: f.dataType.simpleString() for f in placed.schema.fields}
+    schema = ", ".join(f"{c} {kinds[c]}" for c in placed.columns)
+    near = materialize(_dealt(placed).mapInArrow(lambda b: _near_classes(b, percent), schema))
+    wanted = near.select("set_key").distinct()
+    texts = _texts(documents, classes.select("set_key", "doc_id", "text_hash").join(wanted, "set_key", "left_semi"))
+    full = near.join(materialize(texts), "set_key").select(*near.columns, "text")
+    return _dealt(full).mapInArrow(lambda b: _cell_links(b, width, percent), "a BIGINT, b BIGINT").distinct()
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    return rows.repartition(*CELL).sortWithinPartitions(*CELL)
+
+
+def _runs(batches: Iterator[pa.RecordBatch], change=lambda batch: batch) -> Iterator[pa.Table]:
+    """The rows of each cell as one table, though they span batches; ``change`` is applied to every batch as it is read."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
             continue
-        i, j, own, keys, comps = (table.column(c).to_numpy() for c in (2, 3, 4, 5, 6))
-        points = unpacked(table.column(7))
-        found_a, found_b = [], []
-        for start, end in zip(edges, edges[1:]):
-            if comps[start:end].min() == comps[start:end].max():
-                continue
-            block = points[start:end]
-            sizes = block.sum(axis=1, dtype=np.int64)
-            tree = CountTree(block, sizes)
-            within = i[start] == j[start]
-            for row in range(end - start):
-                at = tree.search(block[row], sizes[row], percent) + start
-                me = start + row
-                fits = (keys[at] > keys[me]) & (comps[at] != comps[me])
-                if not within:
-                    fits &= own[at] != own[me]
-                found_a.append(np.full(int(fits.sum()), keys[me]))
-                found_b.append(keys[at[fits]])
-        if found_a:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(c).astype(np.int64)) for c in (found_a, found_b)], names=["a", "b"]
-            )
+        names = [batch.column(i).to_numpy() for i in range(4)]
+        edges = np.flatnonzero(np.any([c[1:] != c[:-1] for c in names], axis=0)) + 1
+        changed = change(batch)
+        first = tuple(c[0] for c in names)
+        if held and first != last:
+            yield pa.Table.from_batches(held).combine_chunks()
+            held = []
+        last = tuple(c[-1] for c in names)
+        for start, end in zip([0, *edges.tolist()], [*edges.tolist(), batch.num_rows]):
+            held.append(changed.slice(start, end - start))
+            if end < batch.num_rows:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held = []
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _candidates(table: pa.Table, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Per row of a cell, the rows after it of other components that pass the bound, each two of them once."""
+    i, j = table.column(2)[0].as_py(), table.column(3)[0].as_py()
+    own, component = table.column(4).to_numpy(), table.column(6).to_numpy()
+    if component.min() == component.max():
+        return
+    points = unpacked(table.column(7).combine_chunks())
+    sizes = points.sum(axis=1, dtype=np.int64)
+    tree = CountTree(points, sizes)
+    for row in range(table.num_rows):
+        at = tree.search(points[row], sizes[row], percent)
+        fits = (at > row) & (component[at] != component[row])
+        if i != j:
+            fits &= own[at] != own[row]
+        if fits.any():
+            yield row, at[fits]
+
+
+def _near_classes(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """The rows of each cell that have a candidate there."""
+    for table in _runs(batches):
+        found = np.zeros(table.num_rows, dtype=bool)
+        for row, others in _candidates(table, percent):
+            found[row] = True
+            found[others] = True
+        if found.any():
+            yield from table.filter(pa.array(found)).to_batches()
+
+
+def _cell_links(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """Candidates of each cell verified on their sets. What a link has united is not tested again."""
+
+    def sets(batch: pa.RecordBatch) -> pa.RecordBatch:
+        shingles = [shingle_set(text.as_py() or b"", width).tobytes() for text in batch.column(8)]
+        return pa.RecordBatch.from_arrays([*batch.columns[:8], pa.array(shingles, pa.binary())], names=batch.schema.names)
+
+    for table in _runs(batches, sets):
+        keys = table.column(5).to_numpy()
+        whole = [np.frombuffer(v, dtype=np.uint64) for v in table.column(8).to_pylist()]
+        # Classes of one component count as united from the start.
+        _, root = np.unique(table.column(6).to_numpy(), return_inverse=True)
+        links = []
+        for row, others in _candidates(table, percent):
+            mine = whole[row]
+            for other in others.tolist():
+                if root[other] == root[row]:
+                    continue
+                theirs = whole[other]
+                both = _shared(mine, theirs)
+                if 100 * both >= percent * (len(mine) + len(theirs) - both):
+                    links.append((keys[row], keys[other]))
+                    root[root == root[other]] = root[row]
+        if links:
+            columns = [pa.array([link[side] for link in links], pa.int64()) for side in (0, 1)]
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
+
+
+def _shared(a: np.ndarray, b: np.ndarray) -> int:
+    """How many values two sorted sets share."""
+    if len(a) > len(b):
+        a, b = b, a
+    if not len(a):
+        return 0
+    return int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
 
 
 def groups(documents: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
@@ -464,20 +531,19 @@ def groups(documents: DataFrame, width: int = 4, percent: int = 85) -> DataFrame
     stars = others.select(F.col("pivot").alias("a"), F.col("set_key").alias("b")).distinct()
     stars = materialize(_of_like_size(stars, classes, percent))
     linked = materialize(verified(materialize(_bounded(stars, classes, percent)), documents, classes, width, percent))
-    # What is left of a posting list without its pivot, which has been compared with all of it.
+    # What is left of the posting lists without their pivots, which have been compared with all of them.
     near = components(linked).withColumnRenamed("node", "set_key")
     placed = (
         others.join(near, "set_key", "left")
         .join(classes.select("set_key", "n"), "set_key")
-        .select("shingle", "set_key", "n", F.coalesce("component", "set_key").alias("component"))
+        .select("shingle", "pivot", "set_key", "n", F.coalesce("component", "set_key").alias("component"))
     )
     spans = placed.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     open_lists = placed.join(spans.filter("low <> high").select("shingle"), "shingle")
-    rest = _block_pairs(open_lists, classes, percent)
-    tested = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = materialize(rest.join(tested, ["a", "b"], "left_anti"))
+    # Lists of one pivot hold much the same classes: each class meets the others of its pivot once.
+    open_pivots = materialize(open_lists.select("pivot", "set_key", "n", "component").distinct())
     # Read in every round of the last components.
-    links = materialize(linked.unionByName(verified(rest, documents, classes, width, percent)))
+    links = materialize(linked.unionByName(_block_links(open_pivots, documents, classes, width, percent)))
     named = classes.select("set_key", "least").join(
         components(links).withColumnRenamed("node", "set_key"), "set_key", "left"
     )

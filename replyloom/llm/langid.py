@@ -29,7 +29,7 @@ DISCOUNT = 0.75
 #: Documents per language the models are fitted on, of which every fifth calibrates. A documented bound.
 SAMPLE_DOCUMENTS = 400
 SAMPLE_CHARS = 4_000_000
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 1 << 17
 #: Least numbers of symbols of the length classes for rejection; the share of calibration texts below a class's bound before
 #: its margin.
 LENGTHS = (16, 64, 256, 1024)
@@ -150,12 +150,24 @@ class Models:
         return self.languages[best], score, float(entropy[best]), rejected
 
 
-def _counts(parts: list[np.ndarray], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct n-grams of all parts: hash, hash without the last symbol, hash without the first, count."""
-    grams = [(_hashes(s, n), _hashes(s, n - 1)[: len(s) - n + 1], _hashes(s[1:], n - 1)) for s in parts if len(s) >= n]
-    h, left, right = (np.concatenate(c) if c else np.empty(0, np.uint64) for c in (zip(*grams) if grams else ([], [], [])))
-    keys, index, count = np.unique(h, return_index=True, return_counts=True)
-    return keys, left[index], right[index], count
+def _hashes_at(s: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of the n-grams that begin at the given places."""
+    h = np.zeros(len(at), dtype=np.uint64)
+    for i in range(n):
+        h = (h ^ s[at + i]) * MIX
+        h ^= h >> np.uint64(29)
+    return h
+
+
+def _counts(s: np.ndarray, ends: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct n-grams of texts that lie one after the other in ``s``: hash, hash without the last symbol, without the first, count.
+
+    ``ends`` are the ends of the texts. What lies before and after an n-gram is hashed for one of its places only.
+    """
+    starts = np.append(0, ends[:-1])
+    at = np.concatenate([np.arange(a, max(a, b - n + 1)) for a, b in zip(starts, ends)]).astype(np.int64)
+    keys, index, count = np.unique(_hashes_at(s, at, n), return_index=True, return_counts=True)
+    return keys, _hashes_at(s, at[index], n - 1), _hashes_at(s, at[index] + 1, n - 1), count
 
 
 def _lookup(keys: np.ndarray, wanted: np.ndarray, values: np.ndarray, missing: float) -> np.ndarray:
@@ -166,11 +178,12 @@ def _lookup(keys: np.ndarray, wanted: np.ndarray, values: np.ndarray, missing: f
 
 
 def _fit_language(parts: list[np.ndarray]) -> list[tuple]:
-    """Per order (n-gram hashes, probabilities, context hashes, back-off weights, right parts) of one language.
+    """Per order (n-gram hashes, probabilities, context hashes, back-off weights, right parts, left parts) of one language.
 
     The highest order uses counts, the lower ones the number of different symbols seen before the n-gram.
     """
-    tables = {n: _counts(parts, n) for n in range(2, ORDER + 1)}
+    s, ends = np.concatenate(parts).astype(np.uint32), np.cumsum([len(p) for p in parts])
+    tables = {n: _counts(s, ends, n) for n in range(2, ORDER + 1)}
     out: list[tuple] = []
     lower_keys, lower_p, unseen = None, None, 0.0
     for n in range(1, ORDER + 1):
@@ -191,14 +204,14 @@ def _fit_language(parts: list[np.ndarray]) -> list[tuple]:
             # The probability of a symbol no sample has: the spare mass over a nominal alphabet.
             unseen = max(spare, 1e-3) / 1024
             lower_keys, lower_p = keys, np.maximum(count - DISCOUNT, 0) / total + unseen
-            out.append((keys, lower_p, None, None, None))
+            out.append((keys, lower_p, None, None, None, None))
             continue
         contexts, inverse = np.unique(left, return_inverse=True)
         totals = np.bincount(inverse, weights=count)
         kinds = np.bincount(inverse)
         weight = DISCOUNT * kinds / totals
         p = np.maximum(count - DISCOUNT, 0) / totals[inverse] + weight[inverse] * _lookup(lower_keys, right, lower_p, unseen)
-        out.append((keys, p, contexts, weight, right))
+        out.append((keys, p, contexts, weight, right, left))
         lower_keys, lower_p = keys, p
     out.append((unseen,))
     return out
@@ -276,51 +289,84 @@ def training_fold(doc_id: Column, folds: int = 4, held: int = 2) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds != held
 
 
-def fit(documents: DataFrame, sample: int = SAMPLE_DOCUMENTS, chars: int = SAMPLE_CHARS) -> Models | None:
-    """Models of the languages of ``documents`` (doc_id, text, lang), all of which may be learned from.
+def _sample(documents: DataFrame, sample: int, chars: int) -> DataFrame:
+    """(lang, _order, text): the first documents of every language by hash, the text in which ``chars`` is reached cut there.
 
-    Per language ``sample`` documents are drawn by hash of the id, up to ``chars`` code points in all, where the last text is
-    cut: the sample on the driver is bounded by the number of languages. Null texts, labels and texts without letters are left out.
-    Returns None when nothing is left.
+    Counts per 2^16 hash prefixes tell up to which prefix a language's sample can reach, so that only these rows are ranked.
     """
     usable = documents.filter("lang IS NOT NULL AND text IS NOT NULL").filter(F.col("text").rlike(r"\p{L}"))
     # Rows of one id have one order; their texts break the tie, and rows equal in both are one document.
     order, tie = F.xxhash64(F.lit("language sample"), "doc_id"), F.xxhash64("text")
     ranked = usable.select("lang", order.alias("_order"), tie.alias("_tie"), F.char_length("text").alias("_chars"))
-    drawn = first_rows(ranked, ["lang"], ["_order", "_tie"], sample, keep="_rank").drop("_rank").distinct()
+    ranked = ranked.withColumn("_prefix", F.shiftright("_order", 48))
+    counts = materialize(ranked.groupBy("lang", "_prefix").agg(F.count(F.lit(1)).alias("n")))
+    earlier = Window.partitionBy("lang").orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
+    placed = counts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    rows, drawn = sample, None
+    while drawn is None:
+        # A few rows per language, written so that Spark knows they are small and does not move the texts to join them.
+        last, complete = F.max(F.when(F.col("before") < rows, F.col("_prefix"))), F.max(F.col("before") + F.col("n")) <= rows
+        reached = materialize(placed.groupBy("lang").agg(last.alias("_last"), complete.alias("_complete")))
+        near = ranked.join(reached, "lang").filter(F.col("_prefix") <= F.col("_last"))
+        near = near.select("lang", "_complete", "_order", "_tie", "_chars").distinct()
+        drawn = materialize(first_rows(near, ["lang"], ["_order", "_tie"], sample))
+        # Only where rows repeat can a sample be short of documents that lie further on.
+        short = drawn.groupBy("lang", "_complete").agg(F.count(F.lit(1)).alias("n")).filter(f"NOT _complete AND n < {sample}")
+        if not short.isEmpty():
+            rows, drawn = 8 * rows, None
+    drawn = drawn.drop("_complete")
     before = Window.partitionBy("lang").orderBy("_order", "_tie").rowsBetween(Window.unboundedPreceding, -1)
-    # A few rows per language, written so that Spark knows they are small and does not move the texts to join them.
     limits = materialize(
         drawn.withColumn("_room", F.lit(chars) - F.coalesce(F.sum("_chars").over(before), F.lit(0))).filter("_room > 0")
     )
     rows = usable.select("lang", order.alias("_order"), tie.alias("_tie"), "text").join(limits, ["lang", "_order", "_tie"])
-    # The text in which the bound is reached is cut there.
     cut = F.substring("text", F.lit(1), F.least(F.col("_room"), F.lit(chars)).cast("int"))
-    sampled = sorted(tuple(r) for r in rows.select("lang", "_order", cut.alias("text")).distinct().collect())
-    if not sampled:
+    return rows.select("lang", "_order", cut.alias("text")).distinct()
+
+
+_ARRAYS = ["grams", "p", "contexts", "weights", "right", "left"]
+_FITTED = "lang STRING, n INT, " + ", ".join(f"{name} BINARY" for name in _ARRAYS)
+
+
+def _fit_task(table: pa.Table) -> pa.Table:
+    """The tables of one language's sample as rows: its orders, then the unseen probability (0), then held-back texts (-1)."""
+    rows = sorted(zip(table.column("_order").to_pylist(), table.column("text").to_pylist()))
+    lang = table.column("lang")[0].as_py()
+    train, held = [], []
+    for i, (_, text) in enumerate(rows):
+        (held if i % 5 == 4 else train).append(symbols(_code_points(text)))
+    fitted = _fit_language(train)
+    out = [(lang, n, *[None if a is None else a.tobytes() for a in t]) for n, t in enumerate(fitted[:ORDER], start=1)]
+    out.append((lang, 0, None, np.array([fitted[ORDER][0]]).tobytes(), None, None, None, None))
+    out += [(lang, -1, s.tobytes(), None, None, None, None, None) for s in held]
+    types = [pa.string(), pa.int32(), *[pa.binary()] * len(_ARRAYS)]
+    names = ["lang", "n", *_ARRAYS]
+    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
+
+
+def fit(documents: DataFrame, sample: int = SAMPLE_DOCUMENTS, chars: int = SAMPLE_CHARS) -> Models | None:
+    """Models of the languages of ``documents`` (doc_id, text, lang), all of which may be learned from.
+
+    Per language ``sample`` documents are drawn by hash of the id, up to ``chars`` code points in all, where the last text is
+    cut; one task counts the n-grams of one language's sample, and the driver merges their tables. Null texts, labels and texts without
+    letters are left out. Returns None when nothing is left.
+    """
+    fitted = _sample(documents, sample, chars).groupBy("lang").applyInArrow(_fit_task, _FITTED).toArrow()
+    if not fitted.num_rows:
         return None
-    languages = sorted({lang for lang, _, _ in sampled})
-    train: dict[str, list[np.ndarray]] = {lang: [] for lang in languages}
-    held: list[tuple[str, np.ndarray]] = []
-    for i, (lang, _, text) in enumerate(sampled):
-        s = symbols(_code_points(text)).astype(np.uint64)
-        if i % 5 == 4 and train[lang]:
-            held.append((lang, s))
+    kinds = [np.uint64, np.float64, np.uint64, np.float64, np.uint64, np.uint64]
+    tables: dict[str, dict[int, tuple]] = {}
+    held = []
+    for row in range(fitted.num_rows):
+        lang, n = fitted.column(0)[row].as_py(), fitted.column(1)[row].as_py()
+        values = [fitted.column(2 + i)[row].as_buffer() for i in range(len(_ARRAYS))]
+        if n < 0:
+            held.append((lang, np.frombuffer(values[0], np.uint32).astype(np.uint64)))
         else:
-            train[lang].append(s)
-    fitted = []
-    for lang in languages:
-        tables = _fit_language(train[lang])
-        with_left = []
-        for n, t in enumerate(tables[:ORDER], start=1):
-            if n == 1:
-                with_left.append((*t, None))
-            else:
-                base, left_of, *_ = _counts(train[lang], n)
-                with_left.append((*t, left_of[np.searchsorted(base, t[0])]))
-        fitted.append([*with_left, tables[ORDER]])
-    models = _merge(languages, fitted)
-    _calibrate(models, held)
+            tables.setdefault(lang, {})[n] = tuple(None if v is None else np.frombuffer(v, k) for v, k in zip(values, kinds))
+    languages = sorted(tables)
+    models = _merge(languages, [[tables[lang][n] for n in range(1, ORDER + 1)] + [(float(tables[lang][0][1][0]),)] for lang in languages])
+    _calibrate(models, sorted(held, key=lambda h: (h[0], len(h[1]), h[1].tobytes())))
     return models
 
 

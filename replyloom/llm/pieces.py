@@ -2,8 +2,8 @@
 
 Adjacent symbols are merged by a score-ordered agenda: the pair with the highest score comes first, of equal ones the leftmost,
 and a pair whose symbols have changed since is passed over. Characters that are no piece become their bytes. Merges
-cannot cross two neighbouring characters that no piece holds side by side, so a text falls into segments there, and
-most segments are words met before. Every result is compared with the sentencepiece library, Arrow batch by batch.
+cannot cross two neighbouring characters that no piece holds side by side, so a text falls into words and smaller segments, and
+most words were met before. Every result is compared with the sentencepiece library, Arrow batch by batch.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ import hashlib
 import heapq
 import re
 from collections.abc import Iterator, Sequence
-from itertools import chain
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,10 +23,10 @@ from pyspark.sql import types as T
 SPACE = "▁"
 #: Characters that are encoded, compared and decoded at a time. Only memory depends on it, not the ids.
 WINDOW = 1 << 18
-#: Segments remembered, of the lately met and of those before; longest segment that is merged in a matrix with others; its rows.
-CACHED = 1 << 18
+#: Words remembered, of the lately met and of those before; length from which a word is not merged in a matrix with others; its rows.
+CACHED = 1 << 19
 SHORT = 40
-ROWS = 1 << 12
+ROWS = 1 << 11
 
 
 class MergeVocabulary:
@@ -74,7 +74,7 @@ class MergeVocabulary:
         self.earlier: dict[str, tuple[int, ...]] = {}
 
     def _segments(self, longer: Sequence[str]) -> re.Pattern:
-        """Runs no merge leaves: marks with the word after them, and single characters no longer piece holds."""
+        """Runs no merge leaves, for long words: marks with what follows, and single characters no longer piece holds."""
         used = set("".join(longer))
         alone = "".join(re.escape(c) for c in map(chr, range(128)) if c not in used)
         if self.crossing:
@@ -85,7 +85,8 @@ class MergeVocabulary:
         """Symbols by number, for agendas of many short segments at once: characters and pieces, and what two of them make."""
         names = sorted(set(self.ids) | set("".join(longer)))
         number = {name: i for i, name in enumerate(names)}
-        self.symbol_ids = [self.ids.get(name, -1) for name in names]
+        # The last entry stands for every character no piece has.
+        self.symbol_ids = np.array([*[self.ids.get(name, -1) for name in names], -1])
         self.symbols = names
         self.by_character = np.arange(len(names), len(names) + 0x110000, dtype=np.int64)
         for name in names:
@@ -97,41 +98,48 @@ class MergeVocabulary:
             (number[p[:i]] << 32 | number[p[i:]], order[self.ranks[p]], number[p])
             for p in longer for i in range(1, len(p)) if p[:i] in number and p[i:] in number
         ]
-        self.made = np.array(sorted(made), dtype=np.int64).reshape(-1, 3)
+        made = np.array(sorted(made), dtype=np.int64).reshape(-1, 3).T
+        self.pair_keys = np.ascontiguousarray(made[0])
+        self.pair_ranks, self.pair_makes = made[1].astype(np.int32), made[2].astype(np.int32)
         self.never = len(order)
 
     def _offers(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and symbol of what each two neighbours make; the rank ``never`` where they make nothing."""
+        # What is left of the end of a segment is -1, and so is its key: no pair has it.
         keys = left << 32 | right
-        at = np.minimum(np.searchsorted(self.made[:, 0], keys), len(self.made) - 1)
-        fits = (self.made[at, 0] == keys) & (left >= 0) & (right >= 0)
-        return np.where(fits, self.made[at, 1], self.never), self.made[at, 2]
+        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], np.int32(self.never)), self.pair_makes[at]
 
-    def merged_many(self, segments: Sequence[str]) -> list[list[int]]:
-        """Symbol numbers of every segment: one agenda per row of a matrix, one merge per row and round."""
+    def merged_many(self, segments: Sequence[str]) -> list[tuple[int, ...]]:
+        """Ids of every segment: one agenda per row of a matrix, one merge per row and round."""
         count, width = len(segments), max(map(len, segments)) + 1
         lengths = np.fromiter(map(len, segments), np.int64, count)
         symbols = np.full((count, width), -1, dtype=np.int64)
         points = np.frombuffer("".join(segments).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         symbols[np.arange(width) < lengths[:, None]] = self.by_character[points]
         ranks, makes = self._offers(symbols[:, :-1], symbols[:, 1:])
-        ranks = np.concatenate([ranks, np.full((count, 1), self.never)], axis=1)
+        ranks = np.concatenate([ranks, np.full((count, 1), self.never, dtype=np.int32)], axis=1)
         makes = np.concatenate([makes, makes[:, :1]], axis=1)
-        out: list[list[int]] = [[]] * count
+        out: list[tuple[int, ...]] = [()] * count
         rows = np.arange(count)
         while len(rows):
             best = ranks.argmin(axis=1)
+            ended = ranks[np.arange(len(rows)), best] == self.never
+            if ended.any():
+                left = symbols[ended]
+                ids = self.symbol_ids[np.minimum(left, len(self.symbols))]
+                plain = ((ids >= 0) | (left < 0)).all(axis=1).tolist()
+                sizes = (left >= 0).sum(axis=1).tolist()
+                for row, size, own, known, i in zip(rows[ended].tolist(), sizes, ids.tolist(), plain, range(len(sizes))):
+                    out[row] = tuple(own[:size]) if known else self._spelled(left[i, :size].tolist())
+                more = ~ended
+                rows, best, symbols, ranks, makes = rows[more], best[more], symbols[more], ranks[more], makes[more]
             at = np.arange(len(rows))
-            more = ranks[at, best] < self.never
-            for i in np.flatnonzero(~more):
-                out[rows[i]] = [s for s in symbols[i].tolist() if s >= 0]
-            rows, best, symbols, ranks, makes = rows[more], best[more], symbols[more], ranks[more], makes[more]
-            at = np.arange(len(rows))
-            made = makes[at, best]
+            made = makes[at, best].astype(np.int64)
             # What stands right of the pair moves one place to the left.
             moves = np.arange(width - 1) >= best[:, None]
             for table in (symbols, ranks, makes):
-                table[:, :-1] = np.where(moves, table[:, 1:], table[:, :-1])
+                np.copyto(table[:, :-1], table[:, 1:].copy(), where=moves)
             symbols[:, -1], ranks[:, -1] = -1, self.never
             symbols[at, best] = made
             ranks[at, best], makes[at, best] = self._offers(made, symbols[at, np.minimum(best + 1, width - 1)])
@@ -173,55 +181,70 @@ class MergeVocabulary:
                     heapq.heappush(agenda, (ranks[longer], preceding, longer))
         return [s for s in symbols if s]
 
-    def _long_ids(self, segment: str) -> tuple[int, ...]:
-        """Ids of a segment that is merged run by run, cut where no piece holds two characters side by side."""
+    def _long_ids(self, word: str) -> tuple[int, ...]:
+        """Ids of a long word: segment by segment, each merged run by run where no piece holds two characters side by side."""
         found: list[int] = []
-        start = 0
-        for end in range(1, len(segment) + 1):
-            if end == len(segment) or segment[end - 1 : end + 1] not in self.pairs:
-                for symbol in self.merged(segment[start:end]):
-                    own = self.ids.get(symbol)
-                    found.extend([own] if own is not None else [self.bytes[b] for b in symbol.encode("utf-8")])
-                start = end
+        for segment in self.segment.findall(SPACE + word):
+            start = 0
+            for end in range(1, len(segment) + 1):
+                if end == len(segment) or segment[end - 1 : end + 1] not in self.pairs:
+                    for symbol in self.merged(segment[start:end]):
+                        own = self.ids.get(symbol)
+                        found.extend([own] if own is not None else [self.bytes[b] for b in symbol.encode("utf-8")])
+                    start = end
         return tuple(found)
 
-    def _short_ids(self, symbols: list[int]) -> tuple[int, ...]:
-        own = self.symbol_ids
-        count = len(own)
-        if max(symbols) < count and -1 not in (found := tuple(map(own.__getitem__, symbols))):
-            return found
+    def _spelled(self, symbols: list[int]) -> tuple[int, ...]:
+        """Ids of symbols of which some are characters without a piece, which become their bytes."""
         out: list[int] = []
+        count = len(self.symbols)
         for s in symbols:
-            if s < count and own[s] >= 0:
-                out.append(own[s])
+            if s < count and self.symbol_ids[s] >= 0:
+                out.append(int(self.symbol_ids[s]))
             else:
                 character = self.symbols[s] if s < count else chr(s - count)
                 out.extend(self.bytes[b] for b in character.encode("utf-8"))
         return tuple(out)
 
-    def learn(self, segments: set[str]) -> None:
-        """Put the ids of all these short segments into ``known``."""
-        new = segments.difference(self.known)
-        if len(self.known) + len(new) > CACHED:
-            self.known, self.earlier, new = {}, self.known, segments
-        again = new & self.earlier.keys()
-        self.known.update((s, self.earlier[s]) for s in again)
-        ordered = sorted(new - again, key=len)
+    def learn(self, words: set[str]) -> None:
+        """Put the ids of these words into ``known``; what was known becomes ``earlier`` when there is too much of it."""
+        if len(self.known) + len(words) > CACHED:
+            self.known, self.earlier = {}, self.known
+        again = words & self.earlier.keys()
+        self.known.update((w, self.earlier[w]) for w in again)
+        ordered = sorted(words - again, key=len)
         for start in range(0, len(ordered), ROWS):
             part = ordered[start : start + ROWS]
-            self.known.update(zip(part, map(self._short_ids, self.merged_many(part))))
+            self.known.update(zip(part, self.merged_many([SPACE + w for w in part])))
+
+    def _words(self, text: str) -> list[str]:
+        """What stands between single spaces; further spaces go to the word after them. The one mark before each word is left out."""
+        if self.crossing:
+            return [text.replace(" ", SPACE)] if text else []
+        # A mark that stands in the text is encoded as a space is.
+        words = text.replace(SPACE, " ").split(" ") if text else []
+        if "" in words:
+            out, marks = [], ""
+            for word in words[:-1]:
+                if word:
+                    out.append(marks + word)
+                    marks = ""
+                else:
+                    marks += SPACE
+            return [*out, marks + words[-1]]
+        return words
 
     def encode_many(self, texts: Sequence[str]) -> list[list[int]]:
         """Ids of each text, without begin or end ids."""
-        cut = [self.segment.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
-        self.learn({s for s in set().union(*cut) if len(s) <= SHORT})
-        out = []
-        for segments in cut:
-            found = list(map(self.known.get, segments))
-            if None in found:
-                found = [ids or self._long_ids(segment) for ids, segment in zip(found, segments)]
-            out.append(list(chain.from_iterable(found)))
-        return out
+        cut = [self._words(t) for t in texts]
+        words = list(chain.from_iterable(cut))
+        found = list(map(self.known.get, words))
+        if None in found:
+            self.learn({w for w, ids in zip(words, found) if ids is None and len(w) < SHORT})
+            get = self.known.get
+            found = [ids or get(w) or self._long_ids(w) for w, ids in zip(words, found)]
+        ends = list(accumulate(map(len, cut)))
+        return [list(chain.from_iterable(found[end - len(own) : end])) for own, end in zip(cut, ends)]
 
     def encode(self, text: str) -> list[int]:
         return self.encode_many([text])[0]
@@ -282,13 +305,14 @@ def _grouped(pieces: MergeVocabulary, texts: Sequence[str]) -> Iterator[list[tup
 
 
 def digests(pieces: MergeVocabulary, texts: Sequence[str]) -> list[tuple[int, str, str, bool]]:
-    """Number of ids, hash of the ids, hash of the decoded text, and whether the library gives the same ids and text."""
+    """Number of ids, hash of the ids, hash of the text the library decodes them to, and whether it gives the same ids."""
     out: list[tuple[int, str, str, bool]] = []
     last, count, same, id_hash, text_hash = -1, 0, True, None, None
     for group in _grouped(pieces, texts):
         parts = [part for _, part in group]
         coded, theirs = pieces.encode_many(parts), pieces.library.encode(parts, num_threads=1)
-        for (number, _), ids, expected, text in zip(group, coded, theirs, pieces.library.decode(theirs, num_threads=1)):
+        texts_of_ids = pieces.library.decode(coded, num_threads=1)
+        for (number, _), ids, expected, text in zip(group, coded, theirs, texts_of_ids):
             if number == last:
                 id_hash.update(b",")
                 text_hash.update(b" ")
@@ -296,10 +320,9 @@ def digests(pieces: MergeVocabulary, texts: Sequence[str]) -> list[tuple[int, st
                 if last >= 0:
                     out.append((count, id_hash.hexdigest(), text_hash.hexdigest(), same))
                 last, count, same, id_hash, text_hash = number, 0, True, hashlib.sha256(), hashlib.sha256()
-            decoded = pieces.decode(ids)
-            same = same and ids == expected and decoded == text
+            same = same and ids == expected
             id_hash.update(",".join(map(pieces.names.__getitem__, ids)).encode())
-            text_hash.update(decoded.encode("utf-8"))
+            text_hash.update(text.encode("utf-8"))
             count += len(ids)
     if last >= 0:
         out.append((count, id_hash.hexdigest(), text_hash.hexdigest(), same))
@@ -309,8 +332,8 @@ def digests(pieces: MergeVocabulary, texts: Sequence[str]) -> list[tuple[int, st
 def coded_digests(documents: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_tokens, ids_sha256, decoded_sha256, agrees) of every row, in one pass without a shuffle.
 
-    ``ids_sha256`` is over the decimal ids joined by commas, ``decoded_sha256`` over the UTF-8 of the decoded text; ``agrees`` tells
-    that the library's ids and text are the same. A null text is an empty one, which has no ids. Texts of any length are read in
+    ``ids_sha256`` is over the decimal ids joined by commas, ``decoded_sha256`` over the UTF-8 of the text the library decodes them
+    to; ``agrees`` tells that the library's ids are the same. A null text is an empty one, which has no ids. Texts of any length are read in
     windows. Rows that repeat each give a row, an empty table gives none, and other columns of any name are not read.
     """
 

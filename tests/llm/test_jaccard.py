@@ -10,13 +10,13 @@ from replyloom.llm import jaccard
 from replyloom.llm.graphs import components
 
 
-def shingles(text):
+def shingles(text, width=4):
     words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
-    return frozenset(tuple(words[i : i + 4]) for i in range(max(1, len(words) - 3))) if words else frozenset()
+    return frozenset(tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1))) if words else frozenset()
 
 
-def expected(rows):
-    sets = [shingles(r[1]) for r in rows]
+def expected(rows, width=4, percent=85):
+    sets = [shingles(r[1], width) for r in rows]
     root = list(range(len(rows)))
 
     def find(i):
@@ -27,7 +27,7 @@ def expected(rows):
     for i in range(len(rows)):
         for j in range(i):
             both = len(sets[i] & sets[j])
-            if sets[i] and sets[j] and 100 * both >= 85 * (len(sets[i]) + len(sets[j]) - both):
+            if sets[i] and sets[j] and 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
                 root[find(i)] = find(j)
     groups = {}
     for i in range(len(rows)):
@@ -66,10 +66,52 @@ def test_against_all_pairs(make):
 def test_blocks_meet_each_other(make, monkeypatch):
     monkeypatch.setattr(jaccard, "BLOCK_ROWS", 3)
     monkeypatch.setattr(jaccard, "LEAF", 2)
+    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", 400)
     rows = corpus()
     assert got(make(rows)) == expected(rows)[0]
 
 
+def cell(texts, components, i=0, j=0, own=None):
+    """The rows of one cell, as the second pass reads them."""
+    sets = [jaccard.shingle_set(t.encode()) for t in texts]
+    n = len(texts)
+    columns = [
+        pa.array([7] * n), pa.array([1] * n), pa.array([i] * n, pa.int32()), pa.array([j] * n, pa.int32()), pa.array(own or [0] * n, pa.int32()),
+        pa.array(range(n)), pa.array(components), pa.array([jaccard.packed(jaccard.count_vector(s)) for s in sets], pa.binary()),
+        pa.array([t.encode() for t in texts], pa.binary()),
+    ]
+    names = ["pivot", "band", "i", "j", "own", "set_key", "component", "counts", "text"]
+    return pa.RecordBatch.from_arrays(columns, names=names)
+
+
+def test_large_groups_give_a_forest():
+    """Two groups of 1,000 texts: all of a group link with each other, the groups only come near each other."""
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(120)]
+    texts = []
+    for k in range(2000):
+        words = list(base)
+        if k >= 1000:
+            words[10:36] = [f"z{i}" for i in range(26)]
+        words[-1] = f"own{k}"
+        texts.append(" ".join(words))
+    order = rng.sample(range(2000), 2000)
+    batch = cell([texts[k] for k in order], list(range(2000)))
+    halves = [batch.slice(0, 700), batch.slice(700)]
+    near = [row for out in jaccard._near_classes(iter([halves[0].select(range(8)), halves[1].select(range(8))]), 85) for row in out.column(5).to_pylist()]
+    assert sorted(near) == list(range(2000))
+    links = [pair for out in jaccard._cell_links(iter(halves), 4, 85) for pair in zip(*[c.to_pylist() for c in out.columns])]
+    assert len(links) == 1998
+    assert all((order[a] < 1000) == (order[b] < 1000) for a, b in links)
+
+
+def test_blocks_of_two_halves_meet_across_only():
+    texts = [" ".join(f"w{i}" for i in range(60)) + f" x{k}" for k in range(4)]
+    found = list(jaccard._cell_links(iter([cell(texts, [0, 1, 2, 3], 0, 1, [0, 0, 1, 1])]), 4, 85))
+    pairs = {pair for out in found for pair in zip(*[c.to_pylist() for c in out.columns])}
+    assert len(pairs) == 3 and all((a < 2) != (b < 2) for a, b in pairs)
+
+
 def test_odd_rows(make, odd_rows):
     want, groups = expected(odd_rows)
     assert got(make(odd_rows)) == want

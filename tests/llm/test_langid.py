@@ -51,13 +51,7 @@ def plain_probability(parts, context, symbol):
 def test_probabilities_equal_the_plain_formula():
     texts = {"x": ["abracadabra abba", "cab"], "y": ["the thin thing", "in that"]}
     parts = {k: [langid.symbols(langid._code_points(t)).astype(np.uint64) for t in v] for k, v in texts.items()}
-    fitted = []
-    for lang in parts:
-        tables = langid._fit_language(parts[lang])
-        lefts = [None] + [langid._counts(parts[lang], n) for n in range(2, langid.ORDER + 1)]
-        rows = [(*t, None if n == 0 else lefts[n][1][np.searchsorted(lefts[n][0], t[0])]) for n, t in enumerate(tables[: langid.ORDER])]
-        fitted.append([*rows, tables[langid.ORDER]])
-    models = langid._merge(list(parts), fitted)
+    models = langid._merge(list(parts), [langid._fit_language(parts[lang]) for lang in parts])
     text = langid.symbols(langid._code_points("that cabbage thq abra")).astype(np.uint64)
     got = models.log_probabilities(text, 0)
     for i in range(len(text)):
@@ -99,26 +93,21 @@ def test_one_odd_calibration_document_lifts_no_bound(models):
     rng = np.random.default_rng(1)
     texts = [("x", rng.choice(np.array([97, 98, 32], np.uint64), 2000)) for _ in range(60)]
     junk = [("x", np.arange(5000, 5000 + n, dtype=np.uint64)) for n in (20, 3000)]
-    fitted = langid._fit_language([s for _, s in texts[:20]])
-    left = [None] + [langid._counts([s for _, s in texts[:20]], n) for n in range(2, langid.ORDER + 1)]
-    rows = [(*t, None if n == 0 else left[n][1][np.searchsorted(left[n][0], t[0])]) for n, t in enumerate(fitted[: langid.ORDER])]
-    one = langid._merge(["x"], [[*rows, fitted[langid.ORDER]]])
+    one = langid._merge(["x"], [langid._fit_language([s for _, s in texts[:20]])])
     langid._calibrate(one, texts[20:] + junk)
     assert all(one.decide(*one.totals(s))[3] for _, s in junk)
     assert not any(one.decide(*one.totals(s[:n]))[3] for _, s in texts for n in (5, 100, 2000))
 
 
-def test_sample_is_filled_to_its_bound(make, monkeypatch):
-    read = []
-    plain = langid._code_points
-    monkeypatch.setattr(langid, "_code_points", lambda text: read.append(len(text)) or plain(text))
+def test_sample_is_filled_to_its_bound(make):
     rows = [(i, f"{i:03d} words " * 100, "en", "s", 1, *"abcd") for i in range(50)]
-    rows += [(7, f"same id {i:03d} " * 90, "en", "s", 1, *"abcd") for i in range(200)] + rows[:3] * 30
-    assert langid.fit(make(rows).select("doc_id", "text", "lang"), chars=25_500) is not None
-    assert sum(read) == 25_500
-    read.clear()
-    langid.fit(make(rows).select("doc_id", "text", "lang"), sample=10)
-    assert len(read) <= 10
+    rows += [(7, f"same id {i:03d} " * 90, "en", "s", 1, *"abcd") for i in range(200)] + rows[:3] * 300
+    documents = make(rows).select("doc_id", "text", "lang")
+    lengths = lambda **bounds: [len(r.text) for r in langid._sample(documents, **bounds).collect()]
+    assert sum(lengths(sample=400, chars=25_500)) == 25_500
+    assert len(lengths(sample=10, chars=10**6)) == 10
+    assert len(lengths(sample=240, chars=10**6)) == 240
+    assert len(lengths(sample=400, chars=10**6)) == 250
 
 
 def test_odd_rows(make, odd_rows, models):

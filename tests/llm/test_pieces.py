@@ -82,7 +82,7 @@ def test_a_unigram_rule_is_noticed(tmp_path):
     class Changed(pieces.MergeVocabulary):
         def __init__(self, path):
             super().__init__(path)
-            self.made[:, 1] = self.never - 1 - self.made[:, 1]
+            self.pair_ranks = self.never - 1 - self.pair_ranks
 
     assert not all(f[3] for f in pieces.digests(Changed(PATH), texts()))
     with pytest.raises(ValueError, match="merge type"):

@@ -44,7 +44,7 @@ def test_texts_with_letters_stay(stages):
 
 def test_one_of_each_group_stays(stages):
     before = rows(stages["language_id"])
-    wanted, _ = components(before)
+    wanted, _ = components(before, 5, 80)
     assert sorted(r[0] for r in rows(stages["ngram_jaccard"])) == sorted({c for _, _, c in wanted})
 
 
