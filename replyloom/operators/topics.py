@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
@@ -319,34 +320,85 @@ def nonnegative_fit(projected: np.ndarray, gram: np.ndarray, sweeps: int = 100,
     return w
 
 
+def hashed_start(terms: Sequence[str], k: int, seed: int = 42) -> np.ndarray:
+    """A topic-term matrix between 0 and 1 that follows from the terms alone, for runs that are to be repeated elsewhere."""
+    digest = lambda topic, term: hashlib.md5(f"{seed}:{topic}:{term}".encode()).hexdigest()
+    return np.array([[(int(digest(j + 1, t)[:8], 16) + 1) / 2**32 for t in terms] for j in range(k)])
+
+
 def fit_nmf(
-    rows: DataFrame, terms: Sequence[str], k: int = 8, max_iter: int = 200, tol: float = 1e-5, seed: int = 42
-) -> NmfModel:
+    rows: DataFrame, terms: Sequence[str], k: int = 8, max_iter: int = 200, tol: float = 1e-5, seed: int = 42,
+    start: np.ndarray | None = None, sweeps: int = 100, fit_tol: float = 1e-8,
+) -> NmfModel:
     """Alternating non-negative least squares over a table of sparse vectors.
 
     The topic-term matrix H is k x vocabulary and lives on the driver. One Spark job per round fits the
     topic weights W of each batch and sums W'X and W'W per term; only those sums, one row per term,
     come back. The start follows the non-negative double SVD of the data, found by subspace iteration
-    with the same kind of job. Stops when the squared error falls by less than ``tol`` of itself.
+    with the same kind of job, or is ``start``. Stops when the squared error falls by less than ``tol`` of itself. ``sweeps`` and ``fit_tol``
+    bound the coordinate descent of one fit.
     """
     n_terms = len(terms)
-    h = _svd_start(rows, n_terms, k, seed)
+    h = _svd_start(rows, n_terms, k, seed) if start is None else start
     history: list[float] = []
     for _ in range(max_iter):
         gram = h @ h.T
         current = h
 
         def fitted(x: SparseBatch) -> np.ndarray:
-            return nonnegative_fit(x.times(current.T), gram)
+            return nonnegative_fit(x.times(current.T), gram, sweeps, fit_tol)
 
         wx, ww, xx = _sums(rows, n_terms, k, fitted)
         history.append(xx - 2 * float((wx * h.T).sum()) + float((ww * gram).sum()))
-        h = nonnegative_fit(wx, ww).T
+        h = nonnegative_fit(wx, ww, sweeps, fit_tol).T
         if len(history) > 1 and history[-2] - history[-1] <= tol * max(history[-2], 1e-12):
             break
     return NmfModel(h, list(terms), history)
 
 
+def factor_residuals(model: NmfModel, rows: DataFrame, key: str) -> DataFrame:
+    """(factor, topic_id, residual): how far the factors are from optimal, computed by joins from factors written as tables.
+
+    A factor is optimal for the other when the gradient of the squared error is zero where it is positive, and not negative where it
+    is zero. ``residual`` is the largest violation among a topic's row weights (``rows``) or term weights (``terms``), as a share of the
+    largest entry of the data's projection on the other factor. Rows of one key must be one row. Sums are taken per row and
+    per term; what reaches the driver is k x k.
+    """
+    k = len(model.components)
+    names = [f"t{j}" for j in range(k)]
+    spark = rows.sparkSession
+
+    def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = SparseBatch.of(batch.column(1))
+            columns = [batch.column(0).take(pa.array(x.rows)), pa.array(x.columns, pa.int32()), pa.array(x.values)]
+            yield pa.RecordBatch.from_arrays(columns, [key, "term", "x"])
+
+    kind = rows.schema[key].dataType.simpleString()
+    entries = materialize(rows.select(key, FEATURES).mapInArrow(exploded, f"`{key}` {kind}, term int, x double"))
+    weights = model.topic_weights(rows, key)
+    weights = materialize(weights.select(key, *[F.get("weights", j).alias(n) for j, n in enumerate(names)]))
+    pairs = [(t, *column) for t, column in enumerate(model.components.T.tolist())]
+    loadings = spark.createDataFrame(pairs, "term int, " + ", ".join(f"{n} double" for n in names))
+
+    def violations(factor: str, own: DataFrame, other: DataFrame, on: str, across: str) -> DataFrame:
+        inner = other.agg(*[F.coalesce(F.sum(F.col(a) * F.col(b)), F.lit(0.0)) for a in names for b in names]).first()
+        projected = entries.join(other, across).groupBy(on).agg(*[F.sum(F.col("x") * F.col(n)).alias(f"p_{n}") for n in names])
+        both = own.join(projected, on, "left").fillna(0.0, [f"p_{n}" for n in names])
+        out = []
+        for j, n in enumerate(names):
+            gradient = sum((F.col(m) * float(inner[i * k + j]) for i, m in enumerate(names)), F.lit(0.0)) - F.col(f"p_{n}")
+            out.append(F.max(F.when(F.col(n) > 0, F.abs(gradient)).otherwise(F.greatest(-gradient, F.lit(0.0)))).alias(n))
+        largest = F.max(F.greatest(*[F.abs(f"p_{n}") for n in names], F.lit(0.0)))
+        worst = both.agg(*out, largest.alias("largest"))
+        rows_of = F.array(*[F.struct(F.lit(j + 1).cast("bigint").alias("topic_id"), F.col(n).alias("v")) for j, n in enumerate(names)])
+        return worst.select(F.lit(factor).alias("factor"), F.inline(rows_of), "largest").select(
+            "factor", "topic_id", F.coalesce(F.col("v") / F.nullif("largest", F.lit(0.0)), F.lit(0.0)).alias("residual")
+        )
+
+    return violations("rows", weights, loadings, key, "term").unionByName(violations("terms", loadings, weights, "term", key))
+
+
 def _sums(
     rows: DataFrame, n_terms: int, width: int, project: Callable[[SparseBatch], np.ndarray]
 ) -> tuple[np.ndarray, np.ndarray, float]:

@@ -18,8 +18,10 @@ from replyloom.functions.text import (
 from replyloom.plans.queries import (
     BATCHES,
     CLUSTERS,
+    COUNTED,
     DIMENSIONS,
     EPOCHS,
+    FACTOR_ROUNDS,
     MIN_BRAND_TWEETS,
     SAMPLE,
     SEED,
@@ -530,6 +532,55 @@ def _logistic() -> str:
     fitted AS MATERIALIZED (SELECT label, moved AS w FROM steps WHERE n = {GRADIENT_STEPS})"""
 
 
+def _fit_two(b1: str, b2: str, g: str) -> str:
+    """The two non-negative weights of least squared error, in closed form."""
+    one = f"({b1} * {g}.g22 - {b2} * {g}.g12) / ({g}.g11 * {g}.g22 - {g}.g12 * {g}.g12)"
+    two = f"({b2} * {g}.g11 - {b1} * {g}.g12) / ({g}.g11 * {g}.g22 - {g}.g12 * {g}.g12)"
+    first = f"greatest({b1}, 0) * greatest({b1}, 0) / {g}.g11 >= greatest({b2}, 0) * greatest({b2}, 0) / {g}.g22"
+    return f"""CASE WHEN {one} >= 0 AND {two} >= 0 THEN [{one}, {two}]
+      WHEN {first} THEN [greatest({b1}, 0) / {g}.g11, 0] ELSE [0, greatest({b2}, 0) / {g}.g22] END"""
+
+
+def _factors() -> str:
+    """Alternating non-negative fits of two topics, written out: x has the counts, h the term weights, w the row weights."""
+    start = lambda j: f"(('0x' || substr(md5('{SEED}:{j}:' || term), 1, 8))::BIGINT + 1) / 4294967296::DOUBLE"
+    word = r"regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]{2,}')"
+    parts = [
+        f"x AS MATERIALIZED (SELECT doc_id, term, count(*)::DOUBLE AS x FROM (SELECT doc_id, unnest({word}) AS term FROM documents)"
+        f" WHERE term IN {listed(COUNTED)} GROUP BY ALL)",
+        f"v AS (SELECT unnest([{', '.join(map(q, COUNTED))}]) AS term)",
+        f"h0 AS MATERIALIZED (SELECT term, {start(1)} AS a, {start(2)} AS b FROM v)",
+    ]
+    inner = "sum(a * a) AS g11, sum(a * b) AS g12, sum(b * b) AS g22"
+    for n in range(FACTOR_ROUNDS + 1):
+        parts.append(f"g{n} AS MATERIALIZED (SELECT {inner} FROM h{n})")
+        parts.append(f"p{n} AS MATERIALIZED (SELECT doc_id, sum(x * a) AS p1, sum(x * b) AS p2 FROM x JOIN h{n} USING (term) GROUP BY doc_id)")
+        parts.append(f"""w{n} AS MATERIALIZED (
+          SELECT doc_id, f[1]::DOUBLE AS a, f[2]::DOUBLE AS b FROM (SELECT doc_id, {_fit_two('p1', 'p2', f'g{n}')} AS f FROM p{n}, g{n}))""")
+        parts.append(f"s{n} AS MATERIALIZED (SELECT {inner} FROM w{n})")
+        parts.append(f"c{n} AS MATERIALIZED (SELECT term, sum(x * a) AS p1, sum(x * b) AS p2 FROM x JOIN w{n} USING (doc_id) GROUP BY term)")
+        parts.append(f"""h{n + 1} AS MATERIALIZED (
+          SELECT term, coalesce(f[1], 0)::DOUBLE AS a, coalesce(f[2], 0)::DOUBLE AS b
+          FROM v LEFT JOIN (SELECT term, {_fit_two('p1', 'p2', f's{n}')} AS f FROM c{n}, s{n}) USING (term))""")
+    return ", ".join(parts)
+
+
+def _residuals() -> str:
+    n = FACTOR_ROUNDS
+
+    def worst(own: str, slope: str) -> str:
+        return f"max(CASE WHEN {own} > 0 THEN abs({slope}) ELSE greatest(-({slope}), 0) END)"
+
+    def part(factor: str, own: str, projected: str, g: str, on: str) -> str:
+        first, second = "a * g11 + b * g12 - coalesce(p1, 0)", "a * g12 + b * g22 - coalesce(p2, 0)"
+        largest = "max(greatest(abs(coalesce(p1, 0)), abs(coalesce(p2, 0))))"
+        table = f"{own} LEFT JOIN {projected} USING ({on}), {g}"
+        return f"""SELECT '{factor}' AS factor, 1::BIGINT AS topic_id, round({worst('a', first)} / {largest}, 5) AS residual FROM {table}
+        UNION ALL SELECT '{factor}', 2, round({worst('b', second)} / {largest}, 5) FROM {table}"""
+
+    return part("rows", f"w{n}", f"p{n}", f"g{n}", "doc_id") + " UNION ALL " + part("terms", f"h{n}", f"c{n}", f"s{n}", "term")
+
+
 def oracle_sql() -> dict[str, str]:
     dm_seed = f"author_id = {q(BRAND)} AND NOT inbound AND {has('text', REPLY_SIGNALS['response_requests_dm'])}"
     conf_rows = ", ".join(f"({q(i)}, {q(c)})" for i, e in TAXONOMY.items() for c in e["confusable_intents"])
@@ -829,6 +880,11 @@ def oracle_sql() -> dict[str, str]:
             VECTORS,
             "confusion AS (SELECT intent AS true_label, predicted_intent AS predicted_label, count(*) AS n FROM nearest GROUP BY ALL)",
             measured("confusion", VECTOR_LABELS), "SELECT * FROM overall"),
+        "nmf_factors": statement(
+            _factors(),
+            f"""SELECT 1::BIGINT AS topic_id, term, round(a, 5) AS weight FROM h{FACTOR_ROUNDS}
+            UNION ALL SELECT 2, term, round(b, 5) FROM h{FACTOR_ROUNDS}"""),
+        "nmf_residuals": statement(_factors(), _residuals()),
         "newton_predict": statement(
             VECTORS, _logistic(),
             """SELECT vec_id, arg_max(label, score) AS predicted_intent, round(max(exp(score)) / sum(exp(score)), 4) AS confidence

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +34,8 @@ STARTS = 2
 BATCHES = 4
 EPOCHS = 2
 START_ROUNDS = 2
+COUNTED = "der die und la le les de en que el the of".split()
+FACTOR_ROUNDS = 6
 STOPS = "the of and le la les der die und el los que de en un in to is at by".split()
 LANGUAGES = ["en", "fr", "de", "es"]
 VECTOR_LABELS = [str(i) for i in range(10)]
@@ -646,6 +649,31 @@ def kmeans_topics(spark, sf):
     return topics.kmeans_topics(_documents(spark, sf), "doc_id", "text", STOPS)[0]
 
 
+def _factored(spark, sf):
+    """Two topics of a fixed vocabulary's counts, from a start that follows from the words."""
+    words = _documents(spark, sf).select("doc_id", X.model_words(F.col("text")).alias("words"))
+    counts = CountVectorizerModel.from_vocabulary(COUNTED, inputCol="words", outputCol=topics.FEATURES)
+    rows = materialize(counts.transform(words).select("doc_id", topics.FEATURES))
+    start = topics.hashed_start(COUNTED, 2, SEED)
+    model = topics.fit_nmf(rows, COUNTED, 2, FACTOR_ROUNDS, 0.0, start=start, sweeps=5_000, fit_tol=1e-12)
+    return model, rows
+
+
+@query
+def nmf_factors(spark, sf):
+    model, _ = _factored(spark, sf)
+    rows = [(j + 1, t, float(w)) for j, h in enumerate(model.components) for t, w in zip(model.terms, h)]
+    found = spark.createDataFrame(rows, "topic_id long, term string, weight double")
+    return found.withColumn("weight", F.round("weight", 5))
+
+
+@query
+def nmf_residuals(spark, sf):
+    """How far these factors are from optimal."""
+    model, rows = _factored(spark, sf)
+    return topics.factor_residuals(model, rows, "doc_id").withColumn("residual", F.round("residual", 5))
+
+
 @query
 def nmf_topics(spark, sf):
     return topics.nmf_topics(_documents(spark, sf), "doc_id", "text", STOPS)[0]

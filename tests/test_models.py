@@ -263,3 +263,29 @@ def test_minibatch_kmeans_of_nothing_and_of_one_row(spark):
     df = spark.createDataFrame([(1, SparseVector(2, {0: 1.0}))], ["id", topics.FEATURES])
     assert topics.fit_minibatch_kmeans(df.limit(0), "id", 2, 3).centers.tolist() == [[0.0, 0.0]] * 3
     assert topics.fit_minibatch_kmeans(df, "id", 2, 2).assign(df, "id").collect()[0].cluster_id == 0
+
+
+def test_residuals_tell_optimal_factors_from_others(spark):
+    rng = np.random.RandomState(6)
+    x = np.maximum(rng.rand(30, 2) @ rng.rand(2, 8) - 0.2, 0)
+    x[3] = 0
+    rows = [(i, SparseVector(8, {j: float(v) for j, v in enumerate(r) if v})) for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, ["id", topics.FEATURES]).repartition(3)
+    terms = [f"t{j}" for j in range(8)]
+
+    def dense(h):
+        w = topics.nonnegative_fit(x @ h.T, h @ h.T, 2000, 1e-12)
+        out = []
+        for own, inner, projected in ((w, h @ h.T, x @ h.T), (h.T, w.T @ w, (w.T @ x).T)):
+            slope = own @ inner - projected
+            out += (np.where(own > 0, np.abs(slope), np.maximum(-slope, 0)).max(axis=0) / np.abs(projected).max()).tolist()
+        return out
+
+    for rounds in (1, 60):
+        model = topics.fit_nmf(df, terms, 2, rounds, 0.0, start=topics.hashed_start(terms, 2), sweeps=2000, fit_tol=1e-12)
+        found = {(r.factor, r.topic_id): r.residual for r in topics.factor_residuals(model, df, "id").collect()}
+        got = [found[f, t] for f in ("rows", "terms") for t in (1, 2)]
+        assert got == pytest.approx(dense(model.components), abs=1e-6)
+        assert max(got[:2]) < 1e-6
+        # Long runs end at a stationary point, one round does not.
+        assert (max(got) < 1e-3) == (rounds == 60)
