@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -202,3 +204,35 @@ def audit_records(lines: DataFrame, value: str = "value") -> DataFrame:
         F.coalesce(F.sum(F.greatest(F.size("doc.tweets"), F.lit(0)).cast("bigint")), F.lit(0)).alias("total_turns"),
         F.count_if(F.col("doc.conversation_id").isNull() | F.col("doc.tweets").isNull()).alias("missing_keys"),
     )
+
+
+def record_problems(lines: DataFrame, required: Mapping[str, str], value: str = "value") -> DataFrame:
+    """(field, problem, lines) over JSON lines, for every required field and each of the ways in which it can be wrong.
+
+    ``required`` names paths (``tweets``, ``tweets[0].tweet_id``) and the beginning of the type they must have, as Spark names the types
+    of semi-structured values (``BIGINT``, ``STRING``, ``ARRAY``, ``OBJECT``). Problems are ``missing`` (the path is not there), ``null``
+    (it holds null) and ``wrong type``; a line that is no JSON counts as ``malformed`` with a null field and nowhere else. A null line is
+    malformed too. Problems that do not occur have 0 lines.
+    """
+    parsed = lines.select(F.try_parse_json(value).alias("v"))
+    counts = [F.count_if(F.col("v").isNull()).alias("malformed")]
+    kinds = []
+    for i, (path, kind) in enumerate(required.items()):
+        at = F.variant_get("v", "$." + path, "variant")
+        there = at.isNotNull()
+        problems = {
+            "missing": F.col("v").isNotNull() & ~there,
+            "null": there & F.is_variant_null(at),
+            "wrong type": there & ~F.is_variant_null(at) & ~F.startswith(F.schema_of_variant(at), F.lit(kind)),
+        }
+        for name, condition in problems.items():
+            counts.append(F.count_if(condition).alias(f"c{i}_{name[0]}"))
+            kinds.append((path, name, f"c{i}_{name[0]}"))
+    row = lambda field, problem, n: F.struct(F.lit(field).cast("string").alias("field"), F.lit(problem).alias("problem"), F.col(n).alias("lines"))
+    rows = [row(None, "malformed", "malformed"), *[row(*k) for k in kinds]]
+    return parsed.agg(*counts).select(F.inline(F.array(*rows)))
+
+
+def record_schema(lines: DataFrame, value: str = "value") -> DataFrame:
+    """(schema): the merged type of all lines that are JSON, found without naming any field."""
+    return lines.select(F.try_parse_json(value).alias("v")).agg(F.schema_of_variant_agg("v").alias("schema"))

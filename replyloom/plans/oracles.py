@@ -599,6 +599,13 @@ def oracle_sql() -> dict[str, str]:
             MESSAGES, THREADS,
             """SELECT count(DISTINCT conversation_id) AS conversations, count(*) AS total_turns, 0::BIGINT AS missing_keys
             FROM threads"""),
+        "record_problems": statement(
+            MESSAGES, THREADS, "kinds AS (SELECT DISTINCT conversation_id % 7 AS kind, conversation_id FROM threads)",
+            """wrong(field, problem, kinds) AS (VALUES (NULL, 'malformed', [1]), ('conversation_id', 'missing', []), ('conversation_id', 'null', []),
+              ('conversation_id', 'wrong type', [4]), ('tweets', 'missing', [2]), ('tweets', 'null', [3]), ('tweets', 'wrong type', []),
+              ('tweets[0].tweet_id', 'missing', [2, 3]), ('tweets[0].tweet_id', 'null', []), ('tweets[0].tweet_id', 'wrong type', []),
+              ('tweets[0].text', 'missing', [2, 3]), ('tweets[0].text', 'null', []), ('tweets[0].text', 'wrong type', []))""",
+            """SELECT field, problem, (SELECT count(*) FROM kinds WHERE list_contains(wrong.kinds::BIGINT[], kind)) AS lines FROM wrong"""),
         "csv_round_trip": statement(
             MESSAGES, """SELECT * REPLACE (replace(text, ' the ', chr(10) || '"the", ') AS text) FROM tweets"""),
         "split_files": statement(
@@ -795,6 +802,12 @@ def oracle_sql() -> dict[str, str]:
             MESSAGES, PAIRS,
             """SELECT pair_id, customer_tweet_id, pair_id > min(pair_id) OVER (PARTITION BY customer_tweet_id) AS is_later,
               count(*) OVER (PARTITION BY customer_tweet_id) > 1 AS is_repeated FROM pairs"""),
+        "sketch_distincts": """SELECT coalesce(event_type, 'all') AS event_type, count(DISTINCT user_id) AS users, true AS hll_within,
+            true AS theta_within FROM events GROUP BY GROUPING SETS ((event_type), ())""",
+        "sketch_overlaps": """WITH u AS (SELECT DISTINCT event_type, user_id FROM events), k AS (SELECT DISTINCT event_type FROM events)
+            SELECT a.event_type AS left_set, b.event_type AS right_set,
+              (SELECT count(*) FROM u x JOIN u y USING (user_id) WHERE x.event_type = a.event_type AND y.event_type = b.event_type) AS users,
+              true AS within FROM k a JOIN k b ON a.event_type < b.event_type""",
         "dedup_tweets": """SELECT doc_id, lang, md5(text) AS text_md5 FROM documents
             QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1""",
         "pair_numbers": statement(
@@ -848,6 +861,11 @@ def oracle_sql() -> dict[str, str]:
         "intent_label": statement(*TO_CLEAN, labelled("clean"), "SELECT pair_id, intent FROM labelled"),
         "rule_predict": statement(
             MESSAGES, PAIRS, predicted("pairs"), "SELECT pair_id, predicted_intent, confidence, matched_rule FROM predicted"),
+        "sql_rule_predict": statement(
+            MESSAGES, PAIRS, NORMAL, labelled("normal"), predicted("labelled"),
+            f"""SELECT pair_id, predicted_intent, confidence, matched_rule, predicted_intent AS table_intent, matched_rule AS table_rule,
+              intent AS label, {_response_type()} AS response_type, customer_text_normalized AS question,
+              response_text_normalized AS reply FROM predicted"""),
         "majority_predict": statement(
             *TO_SPLIT, labelled("assigned"),
             """SELECT pair_id, intent, (SELECT intent FROM labelled WHERE split = 'train' GROUP BY intent

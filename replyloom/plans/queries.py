@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from replyloom import schemas
 from replyloom.functions import text as X
-from replyloom.operators import classifiers, features, metrics, ordering, pairs, profile, quality, rules, splits, threads, topics
+from replyloom.operators import classifiers, features, metrics, ordering, pairs, profile, quality, rules, sketches, splits, threads, topics
+from replyloom.plans import sql_functions
 from replyloom.session import materialize, new_stage, tune
 from replyloom.sources.files import (
     confusable_pairs,
@@ -114,6 +115,23 @@ def conversation_doc_audit(spark, sf):
     return threads.audit_records(records.select(F.to_json(F.struct("*")).alias("value")))
 
 
+@query
+def record_problems(spark, sf):
+    """What is wrong with conversation records, some of which are cut off, renamed, emptied or retyped by their id."""
+    records = threads.conversation_records(_threads(spark, sf))
+    whole = F.to_json(F.struct("conversation_id", "tweets"))
+    case = F.pmod("conversation_id", F.lit(7))
+    line = (
+        F.when(case == 1, F.substring(whole, F.lit(1), F.length(whole) - 2))
+        .when(case == 2, F.replace(whole, F.lit('"tweets":'), F.lit('"turns":')))
+        .when(case == 3, F.to_json(F.struct("conversation_id", F.lit(None).cast("string").alias("tweets")), {"ignoreNullFields": "false"}))
+        .when(case == 4, F.to_json(F.struct(F.col("conversation_id").cast("string").alias("conversation_id"), "tweets")))
+        .otherwise(whole)
+    )
+    required = {"conversation_id": "BIGINT", "tweets": "ARRAY", "tweets[0].tweet_id": "BIGINT", "tweets[0].text": "STRING"}
+    return threads.record_problems(records.select(line.alias("value")), required)
+
+
 @query
 def csv_round_trip(spark, sf):
     """The messages written as CSV, quoted line breaks included, and read back."""
@@ -405,6 +423,37 @@ def unmatched_examples(spark, sf):
     return profile.unmatched_examples(_clean(spark, sf), "pair_id").select("pair_id", "customer_text")
 
 
+@query
+def sketch_distincts(spark, sf):
+    """Users per kind of event and in all, from sketches per kind and day, held against exact counts."""
+    events = read_table(spark, sf, "events").withColumn("day", F.to_date("ts"))
+    daily = materialize(sketches.distinct_sketches(events, ["event_type", "day"], "user_id"))
+    kinds = sketches.estimates(sketches.united(daily, ["event_type"]), ["event_type"])
+    everything = sketches.estimates(sketches.united(daily, []), []).select(F.lit("all").alias("event_type"), "*")
+    exact = events.groupBy("event_type").agg(F.countDistinct("user_id").alias("users"))
+    exact = exact.unionByName(events.agg(F.lit("all").alias("event_type"), F.countDistinct("user_id").alias("users")))
+    both = kinds.unionByName(everything).join(exact, "event_type")
+    return both.select(
+        "event_type", "users", sketches.within(F.col("hll_distinct"), F.col("users"), sketches.HLL_BOUND).alias("hll_within"),
+        sketches.within(F.col("theta_distinct"), F.col("users"), sketches.THETA_BOUND).alias("theta_within"),
+    )
+
+
+@query
+def sketch_overlaps(spark, sf):
+    """Users that two kinds of event share, from the same sketches, held against exact counts."""
+    events = read_table(spark, sf, "events")
+    found = sketches.shared(materialize(sketches.distinct_sketches(events, ["event_type"], "user_id")), "event_type")
+    users = events.select("event_type", "user_id").distinct()
+    pairs = users.alias("a").join(users.alias("b"), "user_id").filter("a.event_type < b.event_type")
+    exact = pairs.groupBy(F.col("a.event_type").alias("left_set"), F.col("b.event_type").alias("right_set")).agg(
+        F.count(F.lit(1)).alias("users")
+    )
+    joined = found.join(exact, ["left_set", "right_set"], "left").fillna(0, ["users"])
+    near = sketches.within(F.col("shared"), F.col("users"), sketches.THETA_BOUND, F.col("together"))
+    return joined.select("left_set", "right_set", "users", near.alias("within"))
+
+
 # Duplicates and first rows
 
 
@@ -513,6 +562,19 @@ def rule_predict(spark, sf):
     return rules.rule_predict(_pairs(spark, sf)).select("pair_id", "predicted_intent", "confidence", "matched_rule")
 
 
+@query
+def sql_rule_predict(spark, sf):
+    """Rule predictions through SQL functions; each text twice, by the scalar and by the table function."""
+    sql_functions.register(spark)
+    return spark.sql(
+        """SELECT pair_id, p.predicted_intent, p.confidence, p.matched_rule, t.predicted_intent AS table_intent,
+          t.matched_rule AS table_rule, label_intent(normalize_question(customer_text)) AS label, response_type(response_text) AS response_type,
+          normalize_question(customer_text) AS question, normalize_reply(response_text) AS reply
+        FROM (SELECT *, predict_intent(customer_text) AS p FROM {pairs}), LATERAL predict(array(customer_text)) t""",
+        pairs=_pairs(spark, sf),
+    )
+
+
 @query
 def majority_predict(spark, sf):
     s = _Splits(spark, sf)

@@ -136,3 +136,21 @@ def test_pairs_only_join_inbound_questions(spark):
     assert got[2].response_has_troubleshooting and not got[6].response_has_troubleshooting
     numbered = pairs.number_pairs(pairs.support_pairs(tweets(spark, rows), "Brand"), slice_rows=1)
     assert sorted((r.pair_id, r.response_tweet_id) for r in numbered.collect()) == [(1, 2), (2, 6)]
+
+
+def test_record_problems_are_told_apart(spark):
+    lines = [
+        '{"id": 1, "tweets": [{"text": "a"}]}', '{"id": 2, "tweets": []}', '{"id": null, "tweets": [{"text": null}]}', '{"tweets": {"text": "a"}}',
+        '{"id": "7", "tweets": [{"text": 5}], "more": true}', '{"id": 1, "tweets": [', "", None, "[1]", '{"id": 3000000000000, "tweets": null}',
+    ]
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    required = {"id": "BIGINT", "tweets": "ARRAY", "tweets[0].text": "STRING"}
+    found = {(r.field, r.problem): r.lines for r in threads.record_problems(df, required).collect()}
+    assert found == {
+        (None, "malformed"): 3, ("id", "missing"): 2, ("id", "null"): 1, ("id", "wrong type"): 1,
+        ("tweets", "missing"): 1, ("tweets", "null"): 1, ("tweets", "wrong type"): 1,
+        ("tweets[0].text", "missing"): 4, ("tweets[0].text", "null"): 1, ("tweets[0].text", "wrong type"): 1,
+    }
+    assert {r.lines for r in threads.record_problems(df.limit(0), required).collect()} == {0}
+    schema = threads.record_schema(df.filter("value LIKE '%tweets\": [{%'")).first().schema
+    assert schema.startswith("OBJECT<") and "more: BOOLEAN" in schema
