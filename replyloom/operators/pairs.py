@@ -12,26 +12,40 @@ from replyloom.operators.rules import signal_flags
 from replyloom.operators.threads import brand_outbound
 
 
-def support_pairs(tweets: DataFrame, brand: str) -> DataFrame:
-    """Every brand reply joined to the inbound message it answers.
-
-    The reply id serves as ``pair_id``; ``number_pairs`` gives dense numbers when a file needs them.
-    Thread columns are carried along when ``tweets`` has them.
-    """
+def brand_replies(tweets: DataFrame, brand: str) -> DataFrame:
+    """The reply side of the pairs: what the brand answered, and to which tweet; thread columns are carried along."""
     thread = [c for c in ("conversation_id", "conversation_length") if c in tweets.columns]
-    replies = tweets.filter(brand_outbound(brand) & F.col("in_response_to_tweet_id").isNotNull()).select(
+    return tweets.filter(brand_outbound(brand) & F.col("in_response_to_tweet_id").isNotNull()).select(
         F.col("tweet_id").alias("response_tweet_id"),
         F.col("in_response_to_tweet_id").alias("customer_tweet_id"),
         F.col("text").alias("response_text"),
         F.col("created_at").alias("response_timestamp"),
         *thread,
     )
-    questions = tweets.filter("inbound").select(
+
+
+def inbound_questions(tweets: DataFrame) -> DataFrame:
+    """The question side of the pairs."""
+    return tweets.filter("inbound").select(
         F.col("tweet_id").alias("customer_tweet_id"),
         F.col("author_id").alias("customer_author_id"),
         F.col("text").alias("customer_text"),
         F.col("created_at").alias("customer_timestamp"),
     )
+
+
+def support_pairs(tweets: DataFrame, brand: str) -> DataFrame:
+    """Every brand reply joined to the inbound message it answers.
+
+    The reply id serves as ``pair_id``; ``number_pairs`` gives dense numbers when a file needs them.
+    Thread columns are carried along when ``tweets`` has them.
+    """
+    return joined_pairs(brand_replies(tweets, brand), inbound_questions(tweets))
+
+
+def joined_pairs(replies: DataFrame, questions: DataFrame) -> DataFrame:
+    """Pairs of ``brand_replies`` and ``inbound_questions``, which may be stored by the question's id."""
+    thread = [c for c in ("conversation_id", "conversation_length") if c in replies.columns]
     delay = seconds_between(parse_created_at(F.col("response_timestamp")), parse_created_at(F.col("customer_timestamp")))
     joined = replies.join(questions, "customer_tweet_id").withColumns({
         "pair_id": F.col("response_tweet_id"),

@@ -694,6 +694,11 @@ def oracle_sql() -> dict[str, str]:
         "split_tweet_counts": statement(
             *TO_SPLIT,
             """SELECT split, count(tweet_id) AS tweets FROM split_of LEFT JOIN threads USING (conversation_id) GROUP BY split"""),
+        "stored_pairs": statement(MESSAGES, PAIRS, "SELECT pair_id, customer_tweet_id, customer_text, response_text FROM pairs"),
+        "stored_split_counts": statement(
+            *TO_SPLIT,
+            """SELECT split, count(tweet_id) AS tweets, (SELECT count(*) FROM threads) AS all_tweets
+            FROM split_of LEFT JOIN threads USING (conversation_id) GROUP BY split"""),
         "brand_link": statement(MESSAGES, f"linked AS ({_brand_link()})", "SELECT * FROM linked"),
         "text_preserved_audit": statement(
             *TO_CLEAN,

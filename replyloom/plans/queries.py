@@ -14,6 +14,7 @@ from replyloom.functions import text as X
 from replyloom.operators import classifiers, features, metrics, ordering, pairs, profile, quality, rules, sketches, splits, threads, topics
 from replyloom.plans import sql_functions
 from replyloom.session import materialize, new_stage, tune
+from replyloom.sources import layout
 from replyloom.sources.files import (
     confusable_pairs,
     read_tweets_csv,
@@ -259,6 +260,22 @@ def support_pairs(spark, sf):
     return found.withColumn("turn_delay_seconds", F.col("turn_delay_seconds").cast("string"))
 
 
+@query
+def stored_pairs(spark, sf):
+    """Pairs joined bucket by bucket from tables that are stored by the question's id."""
+    found = pairs.joined_pairs(*layout.stored_pair_sides(messages(spark, sf), BRAND))
+    return found.select("pair_id", "customer_tweet_id", "customer_text", "response_text")
+
+
+@query
+def stored_split_counts(spark, sf):
+    """Tweets per split and in all, from pairs and tweets stored by conversation."""
+    s = _Splits(spark, sf)
+    tweets = layout.stored_threads(threads.thread_length(s.tweets.select("tweet_id", "conversation_id")))
+    counts = splits.split_tweet_counts(layout.stored_threads(s.assigned.select("conversation_id", "split")), tweets)
+    return counts.withColumn("all_tweets", F.lit(tweets.count()))
+
+
 @query
 def golden_missing(spark, sf):
     """Golden pairs, and whole golden conversations, that the quality rules removed."""
