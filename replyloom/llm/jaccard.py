@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from replyloom.llm.graphs import components
+from replyloom.llm.rows import whole_row
 from replyloom.session import materialize
 
 GROUPS = 128
@@ -306,8 +307,12 @@ def _id_filter(ids: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
     return out
 
 
-def _texts(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(set_key, text) for ``wanted`` (set_key, doc_id, text_hash); few other texts leave the scan."""
+def _texts(documents: DataFrame, wanted: DataFrame, classes: DataFrame) -> DataFrame:
+    """``wanted`` (set_key and other columns) with the ``text`` of each row's class; few other texts leave the scan.
+
+    Rows get their texts in one join, so a text moves once and not once more for every table it is needed in.
+    """
+    wanted = materialize(wanted.join(classes.select("set_key", "doc_id", "text_hash"), "set_key"))
     address = F.xxhash64(F.col("text_hash"), F.col("doc_id"))
     bits = documents.sparkSession.sparkContext.broadcast(_id_filter(wanted.select(address.alias("id"))))
     places = [F.pmod(F.xxhash64(address, F.lit(s)), F.lit(1 << FILTER_BITS)) for s in (1, 2)]
@@ -326,7 +331,7 @@ def _texts(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     )
     f, w = found.alias("f"), wanted.alias("w")
     same = (F.col("f.text_hash") == F.col("w.text_hash")) & F.col("f.doc_id").eqNullSafe(F.col("w.doc_id"))
-    return f.join(w, same).select("w.set_key", "f.text")
+    return f.join(w, same).select(*[f"w.{c}" for c in wanted.columns if c not in ("doc_id", "text_hash")], "f.text")
 
 
 def verified(pairs: DataFrame, documents: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
@@ -338,12 +343,9 @@ def verified(pairs: DataFrame, documents: DataFrame, classes: DataFrame, width:
     spread = F.pmod(F.xxhash64("b"), F.ceil(F.col("pairs") / 128)).cast("int")
     counted = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("pairs"))
     salted = materialize(pairs.join(counted, "a").withColumn("salt", spread).select("a", "b", "salt"))
-    wanted = salted.select(F.explode(F.array("a", "b")).alias("set_key")).distinct()
-    texts = _texts(documents, classes.select("set_key", "doc_id", "text_hash").join(wanted, "set_key", "left_semi"))
-    texts = materialize(texts)
-    left = salted.select("a", "salt").distinct().join(texts.withColumnRenamed("set_key", "a"), "a")
-    right = salted.join(texts.withColumnRenamed("set_key", "b"), "b")
-    rows = left.withColumn("b", F.lit(None).cast("bigint")).unionByName(right).select("a", "salt", "b", "text")
+    own_text = salted.select("a", "salt", F.lit(None).cast("bigint").alias("b"), F.col("a").alias("set_key")).distinct()
+    wanted = own_text.unionByName(salted.select("a", "salt", "b", F.col("b").alias("set_key")))
+    rows = _texts(documents, wanted, classes).select("a", "salt", "b", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, own = None, None
@@ -410,9 +412,7 @@ def _block_links(
     kinds = {f.name: f.dataType.simpleString() for f in placed.schema.fields}
     schema = ", ".join(f"{c} {kinds[c]}" for c in placed.columns)
     near = materialize(_dealt(placed).mapInArrow(lambda b: _near_classes(b, percent), schema))
-    wanted = near.select("set_key").distinct()
-    texts = _texts(documents, classes.select("set_key", "doc_id", "text_hash").join(wanted, "set_key", "left_semi"))
-    full = near.join(materialize(texts), "set_key").select(*near.columns, "text")
+    full = _texts(documents, near, classes).select(*near.columns, "text")
     return _dealt(full).mapInArrow(lambda b: _cell_links(b, width, percent), "a BIGINT, b BIGINT").distinct()
 
 
@@ -593,7 +593,7 @@ def one_per_group(documents: DataFrame, width: int = 4, percent: int = 85) -> Da
         empty.withColumn("_single", F.lit(False))
     )
     hashed = documents.select(
-        F.struct(*documents.columns).alias("_row"), F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("_hash")
+        whole_row(documents).alias("_row"), F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("_hash")
     ).alias("d")
     k = kept.alias("k")
     same = (F.col("d._hash") == F.col("k.text_hash")) & F.col("d.doc_id").eqNullSafe(F.col("k.doc_id"))

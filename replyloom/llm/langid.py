@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from replyloom.llm.rows import whole_row
 from replyloom.operators.ordering import first_rows
 from replyloom.session import materialize
 
@@ -380,14 +381,13 @@ def predict(documents: DataFrame, models: Models | None, text: str = "text") ->
     text when there are no models. The other columns pass through as they are, but those with an added name are replaced.
     """
     added = T.StructType.fromDDL(PREDICTION)
-    kept = [c for c in documents.columns if c not in added.names]
-    judged = _judged(documents.select(F.struct(*kept).alias("row")), text, models)
+    judged = _judged(documents.select(whole_row(documents, tuple(added.names)).alias("row")), text, models)
     return judged.select("row.*", *added.names)
 
 
 def known_languages(documents: DataFrame, models: Models | None) -> DataFrame:
     """The documents that are not rejected, with their own columns."""
-    judged = _judged(documents.select(F.struct(*documents.columns).alias("row")), "text", models)
+    judged = _judged(documents.select(whole_row(documents).alias("row")), "text", models)
     return judged.filter("NOT rejected").select("row.*")
 
 

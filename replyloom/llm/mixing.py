@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from replyloom.operators.ordering import number_rows
+from replyloom.llm.rows import whole_row
 from replyloom.session import materialize
 
 SPACE = r"\x20\x09-\x0D"
@@ -139,7 +140,7 @@ def passes(rows: DataFrame, fitted: DataFrame) -> DataFrame:
     """Add ``source_size``, ``target`` and ``passes``, how often the mix takes a document.
 
     Each source's decision is a comparison with its last document, so rows are neither sorted nor moved
-    once Spark finds ``fitted``, one row per source, small enough to broadcast.
+    once Spark finds ``fitted``, a table of one row per source, small enough to broadcast. Beyond that it splits hot sources.
     """
     sampled = (F.col("_cell") < F.col("_cut")) | (
         (F.col("_cell") == F.col("_cut")) & (F.struct("_key", "doc_id", "_size") <= F.col("_last"))
@@ -158,15 +159,15 @@ def mix(documents: DataFrame, seed: int = 17, **shares) -> DataFrame:
     """
     rows = materialize(measured(documents.select("doc_id", "source", "text"), seed))
     taken = (F.col("_size") * F.col("passes")).alias("taken")
-    out = passes(rows, fit_mix(rows, **shares))
+    out = passes(rows, materialize(fit_mix(rows, **shares)))
     return out.select("doc_id", "source", F.col("_size").alias("size"), "source_size", "target", taken)
 
 
 def mixed_documents(documents: DataFrame, seed: int = 17, **shares) -> DataFrame:
     """The documents themselves, each as often as the mix takes it; those not drawn are left out."""
     rows = materialize(measured(documents.select("doc_id", "source", "text"), seed))
-    whole = documents.select(F.struct(*documents.columns).alias("_row"), "doc_id", "source", "text")
-    drawn = passes(measured(whole, seed), fit_mix(rows, **shares)).filter("passes > 0")
+    whole = documents.select(whole_row(documents).alias("_row"), "doc_id", "source", "text")
+    drawn = passes(measured(whole, seed), materialize(fit_mix(rows, **shares))).filter("passes > 0")
     times = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("passes")))
     return drawn.select("_row", times).select("_row.*")
 

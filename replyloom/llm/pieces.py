@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from replyloom.llm.rows import quoted, whole_row
+
 SPACE = "▁"
 #: Characters that are encoded, compared and decoded at a time. Only memory depends on it, not the ids.
 WINDOW = 1 << 18
@@ -349,7 +351,7 @@ def coded_digests(documents: DataFrame, path: str, key: str = "doc_id", text: st
             )
 
     kind = documents.schema[key].dataType.simpleString()
-    chosen = documents.select(F.col(_quoted(key)).alias("key"), F.col(_quoted(text)).alias("text"))
+    chosen = documents.select(F.col(quoted(key)).alias("key"), F.col(quoted(text)).alias("text"))
     return chosen.mapInArrow(run, f"key {kind}, {CODED}").withColumnRenamed("key", key)
 
 
@@ -388,7 +390,7 @@ def _checked_text(pieces: MergeVocabulary, ids: list[int]) -> str:
 
 def _mapped(rows: DataFrame, path: str, read: str, output: str, kind: T.DataType, arrow: pa.DataType, change) -> DataFrame:
     kept = [c for c in rows.columns if c != output]
-    packed = rows.select(F.struct(*[F.col(_quoted(c)) for c in kept]).alias("row"), F.col(_quoted(read)).alias("value"))
+    packed = rows.select(whole_row(rows, (output,)).alias("row"), F.col(quoted(read)).alias("value"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = vocabulary(path)
@@ -399,7 +401,3 @@ def _mapped(rows: DataFrame, path: str, read: str, output: str, kind: T.DataType
     schema = T.StructType([packed.schema["row"], T.StructField("value", kind)])
     out = packed.mapInArrow(run, schema)
     return out.select(*[F.col("row").getField(c).alias(c) for c in kept], F.col("value").alias(output))
-
-
-def _quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"

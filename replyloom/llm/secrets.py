@@ -7,11 +7,13 @@ pairs the ledger does not hold. Findings are joined back to all paths. Everythin
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from replyloom.llm.rows import whole_row
 from replyloom.session import materialize
 
 
@@ -56,7 +58,14 @@ KEY = Rule(
 )
 #: What ``redact`` replaces: the findings of ``RULES``, private keys with their bodies.
 REDACTED = (*BASE, KEY, FORGE)
-VERSION = 1
+
+
+def rules_version(rules: tuple[Rule, ...]) -> int:
+    """A number that follows from what the rules look for and return, so that findings of other rules are never taken for theirs."""
+    told = repr([(r.kind, r.pattern, r.group, r.least) for r in rules])
+    return int(hashlib.sha256(told.encode()).hexdigest()[:15], 16)
+
+
 SPAN = "ARRAY<STRUCT<start: BIGINT, rule: INT, end: BIGINT>>"
 
 
@@ -107,13 +116,14 @@ def addressed(documents: DataFrame, path: str = "doc_id", content: str = "text")
 
 
 def update_ledger(
-    versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES, version: int = VERSION
+    versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES
 ) -> DataFrame:
     """New ledger rows (sha, rule_version, spans) for the blobs of ``versions`` (path, sha, text) not yet scanned.
 
     One path per blob is chosen, and only its text is moved and scanned. Blobs without findings get an
     empty array, so that they are not scanned again.
     """
+    version = rules_version(rules)
     unseen = versions.groupBy("sha").agg(F.min("path").alias("path"))
     if ledger is not None:
         known = ledger.filter(F.col("rule_version") == version).select("sha").distinct()
@@ -127,12 +137,12 @@ def update_ledger(
     )
 
 
-def findings(versions: DataFrame, ledger: DataFrame, version: int = VERSION) -> DataFrame:
+def findings(versions: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """(path, spans) for every path of ``versions`` (path, sha): the ledger's findings joined back.
 
     Only blobs with findings take part in the join, which keeps the clean majority out of it.
     """
-    found = ledger.filter((F.col("rule_version") == version) & (F.size("spans") > 0)).select("sha", "spans")
+    found = ledger.filter((F.col("rule_version") == rules_version(rules)) & (F.size("spans") > 0)).select("sha", "spans")
     return (
         versions.select("path", "sha")
         .join(found, "sha", "left")
@@ -143,7 +153,7 @@ def findings(versions: DataFrame, ledger: DataFrame, version: int = VERSION) ->
 def scan_documents(documents: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """(path, sha, spans) of all documents, with a ledger that starts empty and is written."""
     ledger = materialize(update_ledger(addressed(documents), None, rules))
-    return findings(addressed(documents), ledger)
+    return findings(addressed(documents), ledger, rules)
 
 
 def span_list(spans: Column, rules: tuple[Rule, ...] = RULES) -> Column:
@@ -168,14 +178,19 @@ def digest(documents: DataFrame) -> DataFrame:
     )
 
 
-def redact(documents: DataFrame, rules: tuple[Rule, ...] = REDACTED) -> DataFrame:
+def redact(
+    documents: DataFrame, rules: tuple[Rule, ...] = REDACTED, ledger: DataFrame | None = None
+) -> DataFrame:
     """The same rows and columns, every span replaced by ``[kind]``; ``n_chars`` follows a changed text.
 
     A private key goes as a whole, with its body and END line.
-    Overlapping spans are replaced by the mark of the one that starts first. A null text stays null.
+    Overlapping spans are replaced by the mark of the one that starts first. A null text stays null. Blobs that ``ledger``, rows of an earlier
+    ``update_ledger`` with the same rules, holds already are not scanned again.
     """
-    ledger = materialize(update_ledger(addressed(documents), None, rules))
-    found = ledger.filter(F.size("spans") > 0).select(F.col("sha").alias("_sha"), F.col("spans").alias("_spans"))
+    known = materialize(update_ledger(addressed(documents), ledger, rules))
+    if ledger is not None:
+        known = known.unionByName(ledger.filter(F.col("rule_version") == rules_version(rules)).dropDuplicates(["sha"]))
+    found = known.filter(F.size("spans") > 0).select(F.col("sha").alias("_sha"), F.col("spans").alias("_spans"))
     kinds = F.array(*[F.lit(r.kind) for r in rules])
     text = F.col("text")
     # Spans in order of their start; one that begins before the furthest end so far adds no mark.
@@ -199,7 +214,7 @@ def redact(documents: DataFrame, rules: tuple[Rule, ...] = REDACTED) -> DataFram
         lambda done: F.concat(done["out"], F.substring(text, (done["to"] + 1).cast("int"), F.char_length(text))),
     )
     sha = F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)
-    rows = documents.select(F.struct(*documents.columns).alias("_row"), "text", sha.alias("_sha")).join(found, "_sha", "left")
+    rows = documents.select(whole_row(documents).alias("_row"), "text", sha.alias("_sha")).join(found, "_sha", "left")
     out = rows.withColumn("_marked", F.when(F.col("_spans").isNull(), text).otherwise(step))
     own = {c: F.col("_row").getField(c) for c in documents.columns} | {"text": F.col("_marked")}
     if "n_chars" in own:

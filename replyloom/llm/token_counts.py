@@ -17,8 +17,11 @@ import ahocorasick
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from replyloom.llm.rows import quoted
+
 #: Fixed values of the library's unigram model.
 UNKNOWN_PENALTY = 10.0
 SPACE = "▁"
@@ -128,7 +131,7 @@ def _model(path: str) -> Unigram:
 def token_counts(documents: DataFrame, model: str, text: str = "text", output: str = "n_tokens") -> DataFrame:
     """The columns of ``documents`` but ``text``, with the number of tokens of the whole text.
 
-    A null or empty text has none. ``model`` is the path of a vocabulary file every executor can read.
+    A null or empty text has none, and an empty table gives an empty one. ``model`` is the path of a vocabulary file every executor can read.
     """
     kept = [c for c in documents.columns if c not in (text, output)]
 
@@ -139,4 +142,4 @@ def token_counts(documents: DataFrame, model: str, text: str = "text", output: s
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(counts, pa.int64())], names=[*kept, output])
 
     schema = T.StructType([*[documents.schema[c] for c in kept], T.StructField(output, T.LongType())])
-    return documents.select(*kept, text).mapInArrow(run, schema)
+    return documents.select(*[F.col(quoted(c)) for c in [*kept, text]]).mapInArrow(run, schema)
