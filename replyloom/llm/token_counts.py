@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from replyloom.llm.rows import quoted
+from replyloom.llm.rows import quoted, whole_row
 
 #: Fixed values of the library's unigram model.
 UNKNOWN_PENALTY = 10.0
@@ -133,13 +133,13 @@ def token_counts(documents: DataFrame, model: str, text: str = "text", output: s
 
     A null or empty text has none, and an empty table gives an empty one. ``model`` is the path of a vocabulary file every executor can read.
     """
-    kept = [c for c in documents.columns if c not in (text, output)]
+    row = documents.select(whole_row(documents, (text, output)).alias("row"), F.col(quoted(text)).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _model(model)
         for batch in batches:
-            counts = [counter.count_whole(value.as_py() or "") for value in batch.column(len(kept))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(counts, pa.int64())], names=[*kept, output])
+            counts = [counter.count_whole(value.as_py() or "") for value in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64())], names=["row", "n"])
 
-    schema = T.StructType([*[documents.schema[c] for c in kept], T.StructField(output, T.LongType())])
-    return documents.select(*[F.col(quoted(c)) for c in [*kept, text]]).mapInArrow(run, schema)
+    counted = row.mapInArrow(run, T.StructType([row.schema["row"], T.StructField("n", T.LongType())]))
+    return counted.select("row.*", F.col("n").alias(output))
