@@ -18,10 +18,26 @@ from pyspark.sql import functions as F
 
 #: Notices and permission texts of well-known licenses (fixed values).
 TEMPLATES = {
+    "apache-1.1": "Licensed under the Apache License, Version 1.1.",
     "apache-2.0": "Licensed under the Apache License, Version 2.0.",
+    "epl-1.0": "Licensed under the Eclipse Public License, Version 1.0.",
+    "epl-2.0": "Licensed under the Eclipse Public License, Version 2.0.",
     "mit-notice": "Released under the MIT License.",
+    "isc-notice": "Released under the ISC License.",
+    "bsd-notice": "Released under the BSD License.",
+    "unlicense-notice": "Released under the Unlicense.",
+    "gpl-2.0": "This work is licensed under the GNU General Public License, version 2.",
     "gpl-3.0": "This work is licensed under the GNU General Public License, version 3.",
+    "lgpl-2.1": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+    "lgpl-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "agpl-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "cc-by-4.0": "Licensed under CC BY 4.0.",
+    "cc-by-sa-4.0": "Licensed under CC BY-SA 4.0.",
+    "cc-by-nd-4.0": "Licensed under CC BY-ND 4.0.",
     "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0.",
+    "cc-by-nc-sa-4.0": "Licensed under CC BY-NC-SA 4.0.",
+    "cc-by-nc-nd-4.0": "Licensed under CC BY-NC-ND 4.0.",
+    "mpl-1.1": "The contents of this file are subject to the Mozilla Public License Version 1.1.",
     "mit": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
         "documentation files, to deal in the Software without restriction, including without limitation the rights to "
@@ -39,6 +55,8 @@ TEMPLATES = {
     "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
 LEAST_COVERAGE = 0.8
+#: Share of a template from which on another one is so like it that their differences tell which is meant.
+LIKE = 0.6
 #: Bytes that are not part of a word become spaces, capital letters small ones; other scripts are left as they are.
 _FOLD = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
@@ -141,14 +159,45 @@ def best_stretch(text: list[bytes], template: list[bytes], least: float) -> list
     return whole if len(whole) > len(best) else best
 
 
+def telling_words(templates: Mapping[str, list[bytes]], like: float = LIKE) -> dict[str, frozenset[int]]:
+    """Places in each template without which another license may be meant.
+
+    These are the words with digits, and those that the alignment with a template leaves over which covers the share ``like`` of it.
+    """
+    out = {}
+    for name, template in templates.items():
+        places = {j for j, w in enumerate(template) if any(48 <= c <= 57 for c in w)}
+        for other, text in templates.items():
+            matched = {j for _, j in align(text, template)}
+            if other != name and len(matched) >= like * len(template):
+                places |= set(range(len(template))) - matched
+        out[name] = frozenset(places)
+    return out
+
+
 class Scanner:
     def __init__(self, templates: Mapping[str, str], least: float):
         self.templates = [(name, words(text)) for name, text in sorted(templates.items())]
         self.least = least
         self.known = frozenset(w for _, t in self.templates for w in t)
+        self.telling = telling_words(dict(self.templates))
+
+    def complete(self, name: str, template: list[bytes], pairs: list[tuple[int, int]]) -> bool:
+        """Whether all telling words are matched, each right beside a neighbour it has in the template; digits right after it."""
+        at = {j: i for i, j in pairs}
+        for j in self.telling[name]:
+            after = j > 0 and j in at and at.get(j - 1) == at[j] - 1
+            before = j in at and at.get(j + 1) == at[j] + 1
+            if not (after or before and not any(48 <= c <= 57 for c in template[j])):
+                return False
+        return True
 
     def scan(self, text: str) -> list[tuple[str, float, int, int]]:
-        """(license, coverage, first word, word after the last) of each template's best stretch, above the bound."""
+        """(license, coverage, first word, word after the last) of each template's best stretch, above the bound.
+
+        A stretch names its license only if the template's telling words are ``complete``. Of stretches that overlap, the one with the most
+        matched words stays (then the shorter, then by name), so that a longer name wins over the one it contains.
+        """
         own = words(text)
         present = self.known.intersection(own)
         found = []
@@ -156,10 +205,16 @@ class Scanner:
             # No alignment can match more template words than the text has at all.
             if sum(w in present for w in template) < self.least * len(template):
                 continue
+            if any(template[j] not in present for j in self.telling[name]):
+                continue
             pairs = best_stretch(own, template, self.least)
-            if pairs and len(pairs) / len(template) >= self.least:
-                found.append((name, len(pairs) / len(template), pairs[0][0], pairs[-1][0] + 1))
-        return found
+            if len(pairs) >= self.least * len(template) and self.complete(name, template, pairs):
+                found.append((len(pairs), name, len(pairs) / len(template), pairs[0][0], pairs[-1][0] + 1))
+        kept: list[tuple[str, float, int, int]] = []
+        for _, name, coverage, first, end in sorted(found, key=lambda f: (-f[0], f[4] - f[3], f[1])):
+            if all(end <= a or b <= first for _, _, a, b in kept):
+                kept.append((name, coverage, first, end))
+        return sorted(kept)
 
 
 def scan_licenses(
@@ -169,6 +224,8 @@ def scan_licenses(
 
     ``licenses`` is an array of (license, coverage, first_word, end_word) by license name. A text that is null or
     without words has none. Whole texts are aligned, and the stretches from every position; documents without enough of a template's words are passed over.
+    Of a license that stands in a text more than once, the first of its best stretches is given. Rows that repeat each give a row, an empty table
+    gives none, and other columns of any name are not read.
     """
     scanner = Scanner(templates, least)
 

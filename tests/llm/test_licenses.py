@@ -59,8 +59,9 @@ def test_planted_notices(make):
 
 def test_small_changes_still_cover():
     scanner = licenses.Scanner(licenses.TEMPLATES, 0.8)
-    text = "x licensed under the new Apache license version 3.0 y " * 3
+    text = "x licensed by the new Apache license version 2.0 y " * 3
     assert [(n, round(c, 3)) for n, c, *_ in scanner.scan(text)] == [("apache-2.0", 0.875)]
+    assert scanner.scan(text.replace("2.0", "3.0")) == []
     assert scanner.scan("the license of the work under version") == []
 
 
@@ -77,20 +78,69 @@ def test_partial_notices_against_every_position():
         text = [rng.choice([b"qu", b"zet", b"om", b"is", rng.choice(template)]) for _ in range(rng.randint(20, 300))]
         at = rng.randrange(len(text))
         text = text[:at] + part + text[at:]
+        found = {n: c for n, c, *_ in scanner.scan(b" ".join(text).decode())}
         tried = [licenses.align(text, template)]
         tried += [licenses.align(text[i : i + w], template) for w in licenses.widths(template) for i in range(len(text))]
         most = max(map(len, tried)) / len(template)
-        found = {n: c for n, c, *_ in scanner.scan(b" ".join(text).decode())}
-        assert found.get(name) == (most if most >= 0.8 else None)
+        assert found.get(name, most) == most
+        if name not in found:
+            best = [pairs for pairs in tried if len(pairs) == round(most * len(template))]
+            complete = most >= 0.8 and all(scanner.complete(name, template, pairs) for pairs in best)
+            # A complete notice is only left out for one that matches at least as many words there.
+            assert not complete or any(round(c * len(dict(scanner.templates)[n])) >= round(most * len(template)) for n, c in found.items())
         hits += name in found
     assert hits > 20
 
 
+QUOTED = {
+    "This work is licensed under the GNU Lesser General Public License, version 3.": ["lgpl-3.0"],
+    "This work is licensed under the GNU Lesser General Public License, version 2.1.": ["lgpl-2.1"],
+    "This work is licensed under the GNU Affero General Public License, version 3.": ["agpl-3.0"],
+    "This work is licensed under the GNU General Public License, version 2.": ["gpl-2.0"],
+    "This work is licensed under the GNU General Public License, version 3.": ["gpl-3.0"],
+    "This work is licensed under the GNU General Public License, version 1.": [],
+    "Licensed under CC BY 4.0.": ["cc-by-4.0"],
+    "Licensed under CC BY-SA 4.0.": ["cc-by-sa-4.0"],
+    "Licensed under CC BY-ND 4.0.": ["cc-by-nd-4.0"],
+    "Licensed under CC BY-NC-SA 4.0.": ["cc-by-nc-sa-4.0"],
+    "Licensed under CC BY-NC-ND 4.0.": ["cc-by-nc-nd-4.0"],
+    "Licensed under CC BY-NC 3.0.": [],
+    "Licensed under the Eclipse Public License, Version 2.0.": ["epl-2.0"],
+    "Licensed under the Apache License, Version 1.0.": [],
+    "Licensed under the Zope Public License, Version 2.0.": [],
+    "Released under the GPL License.": [],
+    "Released under the ISC License.": ["isc-notice"],
+    "Released under the MIT License.": ["mit-notice"],
+    "The contents of this file are subject to the Mozilla Public License Version 1.1.": ["mpl-1.1"],
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 1.1.": [],
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.": ["mpl-2.0"],
+}
+
+
+def test_licenses_are_named_right_or_not_at_all():
+    scanner = licenses.Scanner(licenses.TEMPLATES, 0.8)
+    for text, names in QUOTED.items():
+        for before, after in (("", ""), ("Some words of the work 3. ", " More 2 words follow the license.")):
+            assert [n for n, *_ in scanner.scan(before + text + after)] == names, text
+
+
+def test_each_template_is_only_itself():
+    scanner = licenses.Scanner(licenses.TEMPLATES, 0.8)
+    for name, text in licenses.TEMPLATES.items():
+        assert [(n, c) for n, c, *_ in scanner.scan(text)] == [(name, 1.0)]
+
+
+def test_two_notices_of_one_text_are_both_named():
+    scanner = licenses.Scanner(licenses.TEMPLATES, 0.8)
+    names = ["apache-2.0", "lgpl-3.0", "mit"]
+    assert [n for n, *_ in scanner.scan(" and then ".join(licenses.TEMPLATES[n] for n in names))] == names
+
+
 def test_a_missing_word_elsewhere_hides_no_notice():
     filler = "qu zet om " * 200
     scanner = licenses.Scanner(licenses.TEMPLATES, 0.8)
-    text = f"chapter 3 {filler} This work is licensed under the GNU General Public License {filler} version"
-    assert ("gpl-3.0", 10 / 12) in [(n, c) for n, c, *_ in scanner.scan(text)] or scanner.scan(text)[0][1] > 10 / 12
+    text = f"this work {filler} is licensed under the GNU General Public License, version 3 {filler} version"
+    assert [n for n, *_ in scanner.scan(text)] == ["gpl-3.0"]
     changed = licenses.TEMPLATES["mit"].replace("sublicense", "relicense")
     assert "mit" in [n for n, *_ in scanner.scan(f"we sublicense {filler} {changed} {filler}")]
 
