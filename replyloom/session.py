@@ -57,15 +57,24 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def default_stage_folder(warehouse: str, master: str) -> str:
+    """Where stage tables go when the session names no folder: below the warehouse, unless other machines cannot see that."""
+    on_this_machine = warehouse.startswith("file:") or "://" not in warehouse
+    if on_this_machine and not master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors reach; the warehouse is a folder of this machine")
+    return f"{warehouse}/replyloom-stages"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The folder for stage tables and checkpoints, one that Spark's file system resolves on every machine.
 
-    It is ``spark.checkpoint.dir``, or a folder below the warehouse where that is not set.
+    It is ``spark.checkpoint.dir``, or a folder below the warehouse where that is not set. A warehouse on one machine's disk is refused
+    on a cluster.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or f"{spark.conf.get('spark.sql.warehouse.dir')}/replyloom-stages")
+        context.setCheckpointDir(named or default_stage_folder(spark.conf.get("spark.sql.warehouse.dir"), context.master))
     return context.getCheckpointDir()
 
 

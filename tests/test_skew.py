@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from replyloom.operators import pairs, quality, threads
-from replyloom.session import tune
+from replyloom.session import default_stage_folder, tune
 
 LOWERED = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -79,3 +79,11 @@ def test_hot_duplicates_and_thread(spark, tweets):
         cut = threads.conversation_records(threaded, turns_per_record=1000, slice_rows=3000)
         sizes = [r.n for r in cut.filter("conversation_id = 0").select(F.size("tweets").alias("n")).collect()]
         assert sorted(sizes) == [2, *[1000] * 20]
+
+
+def test_stage_folders_of_one_machine_are_refused_on_a_cluster():
+    assert default_stage_folder("file:/w", "local[4]") == "file:/w/replyloom-stages"
+    assert default_stage_folder("hdfs://a/w", "yarn") == "hdfs://a/w/replyloom-stages"
+    for warehouse in ("file:/w", "file:///w", "/w"):
+        with pytest.raises(ValueError, match="checkpoint.dir"):
+            default_stage_folder(warehouse, "spark://a:7077")
