@@ -6,6 +6,7 @@ import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors
@@ -15,6 +16,7 @@ from pyspark.sql import types as T
 
 from replyloom.functions.text import model_words, ngrams
 from replyloom.functions.vectors import SparseBatch
+from replyloom.operators.frequent import placed_runs
 from replyloom.session import materialize
 
 
@@ -71,6 +73,37 @@ class TfidfModel:
         return vectors.mapInArrow(entries, f"`{key}` {kind}, position int, term string, weight double")
 
 
+#: Distinct terms that a task holds before it sends them.
+HELD_TERMS = 1 << 20
+
+
+def _counted(batches: Iterator[pa.RecordBatch], max_n: int) -> Iterator[pa.RecordBatch]:
+    """(term, tf, df) of the runs of up to ``max_n`` words in the rows of a task; a null term counts the rows."""
+    held: list[pa.Table] = []
+    rows = 0
+
+    def combined() -> pa.Table:
+        table = pa.concat_tables(held).group_by("term").aggregate([("tf", "sum"), ("df", "sum")])
+        return table.rename_columns(["term", "tf", "df"])
+
+    for batch in batches:
+        rows += batch.num_rows
+        parts = [placed_runs(batch.column(0), n) for n in range(1, max_n + 1)]
+        coded = pa.chunked_array([terms for _, terms in parts], pa.string()).combine_chunks().dictionary_encode()
+        terms, codes = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        row = np.concatenate([r for r, _ in parts]).astype(np.int64)
+        tf = np.bincount(codes, minlength=len(terms))
+        df = np.bincount(np.unique(row * max(len(terms), 1) + codes) % max(len(terms), 1), minlength=len(terms))
+        held.append(pa.table({"term": terms, "tf": pa.array(tf, pa.int64()), "df": pa.array(df, pa.int64())}))
+        if sum(t.num_rows for t in held) >= HELD_TERMS:
+            held = [combined()]
+            if held[0].num_rows >= HELD_TERMS // 2:
+                yield from held.pop().to_batches()
+    if held:
+        yield from combined().to_batches()
+    yield pa.RecordBatch.from_arrays([pa.array([None], pa.string()), pa.array([rows]), pa.array([0])], names=["term", "tf", "df"])
+
+
 def fit_tfidf(
     train: DataFrame,
     text: str,
@@ -82,22 +115,14 @@ def fit_tfidf(
 ) -> TfidfModel:
     """Choose the terms and their idf = ln((1 + n) / (1 + df)) + 1.
 
-    Each text marks the first of its sorted repeats, so term and document frequency come from one
-    pre-aggregated count per term. Only the ``max_features`` most frequent terms reach the driver.
+    Tasks count terms batch by batch and send each distinct one with its term and document frequency; only the ``max_features``
+    most frequent terms reach the driver.
     """
-    terms = train.select(_words(train, text, stop_words).alias("words")).select(
-        F.sort_array(F.concat(*[ngrams(F.col("words"), n) for n in range(1, max_n + 1)])).alias("terms")
-    )
-    marked = F.transform(
-        "terms",
-        lambda t, i: F.struct(t.alias("term"), ((i == 0) | (F.get("terms", i - 1) != t)).alias("first")),
-    )
-    # Every row also counts once for no term, which gives the number of rows from the same pass.
-    row = F.array(F.struct(F.lit(None).cast("string").alias("term"), F.lit(True).alias("first")))
+    words = train.select(_words(train, text, stop_words).alias("words"))
     counts = materialize(
-        terms.select(F.inline(F.concat(F.coalesce(marked, F.array().cast("array<struct<term:string,first:boolean>>")), row)))
+        words.mapInArrow(lambda batches: _counted(batches, max_n), "term STRING, tf BIGINT, df BIGINT")
         .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("tf"), F.count_if("first").alias("df"))
+        .agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
     )
     rows = counts.filter("term IS NULL").agg(F.coalesce(F.max("tf"), F.lit(0))).first()[0]
     chosen = (

@@ -69,15 +69,21 @@ class Summary:
 
 def word_runs(words: pa.ListArray, n: int) -> pa.Array:
     """Blank-joined runs of ``n`` neighbouring words of every row, one after the other."""
+    return placed_runs(words, n)[1]
+
+
+def placed_runs(words: pa.ListArray, n: int) -> tuple[np.ndarray, pa.Array]:
+    """The row of every run, and the runs of ``n`` neighbouring words."""
     flat = words.flatten()
+    row = pc.list_parent_indices(words).to_numpy()
     if n == 1:
-        return flat
+        return row, flat
     count = len(flat) - n + 1
     if count <= 0:
-        return flat.slice(0, 0)
-    row = pc.list_parent_indices(words).to_numpy()
-    inside = pa.array(row[:count] == row[n - 1 :])
-    return pc.binary_join_element_wise(*[flat.slice(i, count).filter(inside) for i in range(n)], " ")
+        return row[:0], flat.slice(0, 0)
+    inside = row[:count] == row[n - 1 :]
+    kept = pa.array(inside)
+    return row[:count][inside], pc.binary_join_element_wise(*[flat.slice(i, count).filter(kept) for i in range(n)], " ")
 
 
 def summaries(rows: DataFrame, words: str, lengths: Sequence[int], counters: int) -> DataFrame:
