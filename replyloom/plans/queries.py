@@ -13,7 +13,7 @@ from replyloom import schemas
 from replyloom.functions import text as X
 from replyloom.operators import classifiers, features, metrics, ordering, pairs, profile, quality, rules, sketches, splits, threads, topics
 from replyloom.plans import sql_functions
-from replyloom.session import materialize, new_stage, tune
+from replyloom.session import materialize, new_stage, spread, tune
 from replyloom.sources import layout
 from replyloom.sources.files import (
     confusable_pairs,
@@ -82,7 +82,7 @@ def _predicted(spark, sf):
 
 
 def _documents(spark, sf):
-    return read_table(spark, sf, "documents")
+    return spread(read_table(spark, sf, "documents").select("doc_id", "text", "lang"))
 
 
 class _Splits:

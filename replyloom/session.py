@@ -113,6 +113,15 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt over all cores where its input has fewer splits than there are cores, as one small file has.
+
+    For work that costs much per row. Larger inputs are left as they lie, so nothing is shuffled there.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def stages() -> int:
     """A mark for ``drop_stages``: how many stage tables there are now."""
     return len(_STAGES)
