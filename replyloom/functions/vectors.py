@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -11,6 +11,27 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: List items (words, numbers of sparse vectors) that a task works on at once.
+PIECE = 1 << 18
+
+
+def cut(batches: Iterator[pa.RecordBatch], at: int = 0, most: int = PIECE) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most ``most`` items in the lists or vectors of column ``at``.
+
+    A batch has a fixed number of rows, so what a task holds would grow with their length. A row with more items is a slice of its own.
+    """
+    for batch in batches:
+        column = batch.column(at)
+        lists = column.field("values") if pa.types.is_struct(column.type) else column
+        ends = np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        start = 0
+        while start < batch.num_rows:
+            before = int(ends[start - 1]) if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 def nearest(vector: Column, labels: Sequence[str], centers: np.ndarray) -> Column:
     """Struct of the label whose centre has the largest dot product, and that product.
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from replyloom.functions.text import model_words, ngrams
-from replyloom.functions.vectors import SparseBatch
+from replyloom.functions.vectors import SparseBatch, cut
 from replyloom.operators.frequent import placed_runs
 from replyloom.session import materialize
 
@@ -60,7 +60,7 @@ class TfidfModel:
         terms = pa.array(self.terms, pa.string())
 
         def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in cut(batches, 1):
                 sparse = SparseBatch.of(batch.column(1))
                 at = pa.array(sparse.columns, pa.int32())
                 yield pa.RecordBatch.from_arrays(
@@ -74,7 +74,7 @@ class TfidfModel:
 
 
 #: Distinct terms that a task holds before it sends them.
-HELD_TERMS = 1 << 20
+HELD_TERMS = 1 << 19
 
 
 def _counted(batches: Iterator[pa.RecordBatch], max_n: int) -> Iterator[pa.RecordBatch]:
@@ -86,7 +86,7 @@ def _counted(batches: Iterator[pa.RecordBatch], max_n: int) -> Iterator[pa.Recor
         table = pa.concat_tables(held).group_by("term").aggregate([("tf", "sum"), ("df", "sum")])
         return table.rename_columns(["term", "tf", "df"])
 
-    for batch in batches:
+    for batch in cut(batches):
         rows += batch.num_rows
         parts = [placed_runs(batch.column(0), n) for n in range(1, max_n + 1)]
         coded = pa.chunked_array([terms for _, terms in parts], pa.string()).combine_chunks().dictionary_encode()

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from replyloom.functions.text import modelling_text
-from replyloom.functions.vectors import SparseBatch
+from replyloom.functions.vectors import SparseBatch, cut
 from replyloom.operators.features import fit_tfidf, tokens
 from replyloom.operators.ordering import first_rows
 from replyloom.operators.splits import shuffle_key
@@ -73,7 +73,7 @@ class KMeansModel:
         centers = self.centers
 
         def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in cut(batches, 1):
                 best = _nearest(SparseBatch.of(batch.column(1)), centers)
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(best, pa.int32())], [key, "cluster_id"])
 
@@ -163,7 +163,7 @@ def _drawn(data: Batches, centers: np.ndarray, wanted: float, round_no: int) ->
     """Rows drawn as further candidates: each by its squared distance to the candidates, ``wanted`` of them on average."""
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        far = sum(float(_distances(SparseBatch.of(batch.column(0)), centers).sum()) for batch in batches)
+        far = sum(float(_distances(SparseBatch.of(batch.column(0)), centers).sum()) for batch in cut(batches))
         yield pa.RecordBatch.from_arrays([pa.array([float(far)])], ["far"])
 
     far = data.rows.select(FEATURES).mapInArrow(total, "far double").agg(F.sum("far")).first()[0]
@@ -172,7 +172,7 @@ def _drawn(data: Batches, centers: np.ndarray, wanted: float, round_no: int) ->
     draw = _share(data.key, data.seed + round_no, 9)
 
     def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in cut(batches, 1):
             chance = wanted * _distances(SparseBatch.of(batch.column(1)), centers) / far
             hit = (batch.column(2).to_numpy() + 0.5) / 2**32 < chance
             yield batch.select([0, 1]).filter(pa.array(hit))
@@ -286,7 +286,7 @@ class NmfModel:
         gram = h @ h.T
 
         def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in cut(batches, 1):
                 w = nonnegative_fit(SparseBatch.of(batch.column(1)).times(h.T), gram)
                 best = w.argmax(axis=1)
                 offsets = pa.array(np.arange(0, w.size + 1, w.shape[1]), pa.int32())
@@ -369,7 +369,7 @@ def factor_residuals(model: NmfModel, rows: DataFrame, key: str) -> DataFrame:
     spark = rows.sparkSession
 
     def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in cut(batches, 1):
             x = SparseBatch.of(batch.column(1))
             columns = [batch.column(0).take(pa.array(x.rows)), pa.array(x.columns, pa.int32()), pa.array(x.values)]
             yield pa.RecordBatch.from_arrays(columns, [key, "term", "x"])
@@ -407,7 +407,7 @@ def _sums(
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cross, inner, squares = np.zeros((n_terms, width)), np.zeros((width, width)), 0.0
-        for batch in batches:
+        for batch in cut(batches):
             x = SparseBatch.of(batch.column(0))
             f = project(x)
             cross += x.transposed_times(f, n_terms)

@@ -1,10 +1,12 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.linalg import SparseVector
 from pyspark.sql import functions as F
 
+from replyloom.functions.vectors import SparseBatch, cut
 from replyloom.operators import classifiers, features, profile, topics
 
 TEXTS = [
@@ -46,6 +48,33 @@ def test_tfidf_by_hand(texts, min_df, max_df, limit):
     assert model.vectors(texts, "t").count() == len(TEXTS)
 
 
+def test_a_task_works_on_a_bounded_number_of_words(monkeypatch):
+    """One batch of long rows: whatever their length, few words are counted at once, and the counts stay."""
+    words = [[f"w{i % 7}", f"v{i}"] * 300 for i in range(40)] + [None, [], ["one"] * 5000]
+    batch = pa.record_batch({"words": pa.array(words, pa.list_(pa.string()))})
+    seen, runs = [], features.placed_runs
+    monkeypatch.setattr(features, "placed_runs", lambda column, n: (seen.append(len(column.flatten())), runs(column, n))[1])
+    monkeypatch.setattr(features, "cut", lambda batches: cut(batches, 0, 2000))
+    tables = [t.to_pandas() for t in features._counted(iter([batch]), 2)]
+    assert max(seen) == 5000 and sorted(seen)[-3] <= 2000 and sum(seen) == 2 * (40 * 600 + 5000)
+    got = {r.term: (r.tf, r.df) for t in tables for r in t.itertuples()}
+    assert got["w3"] == (6 * 300, 6) and got["w3 v3"] == (300, 1) and got["one one"] == (4999, 1) and got[None] == (43, 0)
+
+
+def test_slices_of_vectors_hold_the_same_numbers():
+    kind = pa.struct([("type", pa.int8()), ("size", pa.int32()), ("indices", pa.list_(pa.int32())), ("values", pa.list_(pa.float64()))])
+    rows = [{"type": 0, "size": 9, "indices": list(range(n)), "values": [float(i + n) for i in range(n)]} for n in (3, 0, 8, 1, 2, 2)]
+    rows.append({"type": 1, "size": 4, "indices": None, "values": [4.0, 3.0, 2.0, 1.0]})
+    batch = pa.record_batch({"key": pa.array(range(7)), "v": pa.array(rows, kind)})
+    parts = list(cut(iter([batch, batch.slice(7)]), 1, 5))
+    assert [p.num_rows for p in parts] == [2, 1, 3, 1] and [k for p in parts for k in p.column(0).to_pylist()] == list(range(7))
+    whole, at, dense = SparseBatch.of(batch.column(1)), 0, np.arange(18.0).reshape(9, 2)
+    for part in parts:
+        x = SparseBatch.of(part.column(1))
+        assert (x.times(dense) == whole.times(dense)[at : at + x.height]).all()
+        at += x.height
+
+
 def test_class_weights(spark):
     df = spark.createDataFrame([("a",)] * 3 + [("b",)], "intent string")
     assert {r.intent: r.weight for r in features.class_weights(df).collect()} == {"a": 4 / 6, "b": 2.0}
