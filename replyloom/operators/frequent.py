@@ -18,13 +18,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from replyloom.functions.text import ngrams
+from replyloom.functions.vectors import cut
 from replyloom.operators.ordering import first_rows
 from replyloom.session import materialize
 
 #: Counters per task and run length, tried one after the other.
 COUNTERS = (1 << 17, 1 << 20)
 #: Items that wait in a task before they are added to its counters.
-WAITING = 1 << 20
+WAITING = 1 << 19
 
 
 class Summary:
@@ -91,10 +92,11 @@ def summaries(rows: DataFrame, words: str, lengths: Sequence[int], counters: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = {n: Summary(counters) for n in lengths}
-        for batch in batches:
+        for batch in cut(batches):
             for n in lengths:
                 own[n].add(word_runs(batch.column(0), n))
-        for n, summary in own.items():
+        for n in lengths:
+            summary = own.pop(n)
             summary.settle()
             terms = pa.concat_arrays([summary.terms, pa.array([None], pa.string())])
             low = np.append(summary.counts, summary.error)
@@ -111,7 +113,8 @@ def recount(rows: DataFrame, words: str, candidates: Mapping[int, Sequence[str]]
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = shared.value
         counts = {n: np.zeros(len(t), dtype=np.int64) for n, t in wanted.items()}
-        for batch in batches:
+        # The candidates are looked up once per slice, so slices are as long as what waits elsewhere.
+        for batch in cut(batches, 0, WAITING):
             for n, terms in wanted.items():
                 at = pc.drop_null(pc.index_in(word_runs(batch.column(0), n), value_set=terms)).to_numpy()
                 counts[n] += np.bincount(at, minlength=len(terms))

@@ -72,6 +72,20 @@ def test_what_is_shuffled_is_bounded_by_the_summaries(spark):
     assert [tuple(r) for r in frequent.top_runs(df, "w", {1: 1}, (16,)).collect()] == [(1, "all", 40_000)]
 
 
+def test_a_task_joins_the_words_of_a_bounded_slice(spark, monkeypatch):
+    """A batch of long rows: no run is built over more words than a slice may hold."""
+    rows = spark.range(0, 60, 1, 1).select(F.transform(F.sequence(F.lit(1), F.lit(10_000)), lambda i: F.concat(F.lit("w"), (i % 11).cast("string"))).alias("w"))
+    runs, most = frequent.word_runs, 1 << 19
+
+    def checked(words, n):
+        assert len(words.flatten()) <= most
+        return runs(words, n)
+
+    monkeypatch.setattr(frequent, "word_runs", checked)
+    found = frequent.top_runs(rows, "w", {1: 2, 2: 1}, (1, 20)).collect()
+    assert sorted(tuple(r) for r in found) == [(1, "w0", 60 * 909), (1, "w1", 60 * 910), (2, "w0 w1", 60 * 909)]
+
+
 def test_runs_stay_inside_rows():
     words = pa.array([["a", "b", "c"], [], None, ["d"], ["e", "f"]], pa.list_(pa.string()))
     assert frequent.word_runs(words, 2).to_pylist() == ["a b", "b c", "e f"]
