@@ -156,9 +156,9 @@ def group_quantiles(
 ) -> DataFrame:
     """Exact quantiles with linear interpolation for all groups at once: (keys, n, one column per name in ``probabilities``).
 
-    All groups' intervals are narrowed together in tables: each pass counts the rows of every interval that holds a wanted rank
-    by bucket, at most ``buckets + 1`` counts an interval, and keeps the bucket the rank falls into, with the least and greatest value
-    seen there, until that is a single value. Nothing about a group reaches the driver. A group with a third of all rows is counted
+    A group of at most ``buckets`` rows is settled by its sorted values. The intervals of all larger groups are narrowed together in
+    tables: each pass counts the rows of every interval that holds a wanted rank by bucket, at most ``buckets + 1`` counts an
+    interval, and keeps the bucket the rank falls into, with the least and greatest value seen there, until that is a single value. Nothing about a group reaches the driver. A group with a third of all rows is counted
     in the map tasks like any other. Nulls of ``column`` are left out, so a group of nulls has no row; null keys are a group. NaN and
     infinite values are refused.
     """
@@ -166,10 +166,11 @@ def group_quantiles(
     whole = isinstance(kind, T.IntegralType)
     value = F.col(column).cast("bigint" if whole else "double")
     rows = materialize(df.select(group.alias("g"), value.alias("v")).filter("v IS NOT NULL"))
-    sizes = rows.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
-    sizes = materialize(sizes)
-    if not whole and not sizes.filter(~(F.abs("low") < float("inf")) | ~(F.abs("high") < float("inf"))).isEmpty():
+    if not whole and rows.agg(F.count_if(~(F.abs("v") < float("inf")))).first()[0]:
         raise ValueError(f"{column} holds values that are not finite")
+    sizes = rows.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+    # At most one group for every ``buckets`` rows.
+    sizes = materialize(sizes.filter(F.col("n") > buckets))
     place = {name: F.lit(float(p)) * (F.col("n") - 1) for name, p in probabilities.items()}
     ranks = [r for at in place.values() for r in (F.floor(at), F.least(F.floor(at) + 1, F.col("n") - 1))]
     intervals = materialize(
@@ -190,7 +191,16 @@ def group_quantiles(
         lower = F.element_at("at", F.floor(at))
         upper = F.element_at("at", F.least(F.floor(at) + 1, F.col("n") - 1))
         out.append((lower + (at - F.floor(at)) * (upper - lower)).alias(name))
-    return joined.select(*[F.col("g").getField(f"k{i}").alias(k) for i, k in enumerate(keys)], "n", *out)
+    large = joined.select("g", "n", *out)
+    small = rows.join(sizes.select("g"), "g", "left_anti").groupBy("g").agg(F.sort_array(F.collect_list("v")).alias("all"))
+    small = small.select("g", "all", F.size("all").cast("bigint").alias("n"))
+    out = []
+    for name, at in place.items():
+        lower = F.get("all", F.floor(at).cast("int")).cast("double")
+        upper = F.get("all", F.least(F.floor(at) + 1, F.col("n") - 1).cast("int")).cast("double")
+        out.append((lower + (at - F.floor(at)) * (upper - lower)).alias(name))
+    found = large.unionByName(small.select("g", "n", *out))
+    return found.select(*[F.col("g").getField(f"k{i}").alias(k) for i, k in enumerate(keys)], "n", *probabilities)
 
 
 def _narrowed(rows: DataFrame, wide: DataFrame, buckets: int, whole: bool) -> DataFrame:

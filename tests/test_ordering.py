@@ -135,6 +135,20 @@ def test_group_quantiles(spark, kind, make, buckets):
         assert list(got[key]) == pytest.approx(want, rel=1e-12)
 
 
+def test_small_groups_need_no_pass_over_all_rows(spark, monkeypatch):
+    """Groups of one to seven rows are settled where they are gathered; only larger ones are narrowed."""
+    df = spark.range(0, 400).select((F.col("id") % 100 % 61).alias("a"), ((F.col("id") * 37) % 101).alias("v"))
+    names = {"p25": 0.25, "m": 0.5}
+    expected = sorted(map(tuple, group_quantiles(df, ["a"], "v", names, 3).collect()))
+
+    def refused(*_):
+        raise AssertionError("a pass over all rows")
+
+    monkeypatch.setattr(ordering, "_narrowed", refused)
+    found = sorted(map(tuple, group_quantiles(df, ["a"], "v", names, 8).collect()))
+    assert found == expected and len(found) == 61 and {r[1] for r in found} == {4, 8}
+
+
 def test_group_quantiles_of_nothing_and_of_infinities(spark):
     df = spark.createDataFrame([], "a string, v double")
     assert group_quantiles(df, ["a"], "v", {"m": 0.5}).collect() == []
