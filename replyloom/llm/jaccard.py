@@ -1,7 +1,8 @@
 """Exact Jaccard join of word shingles over count vectors, for documents of any number.
 
 A document's set is hashed shingle by shingle. Shingles are counted per hash group, so that a document is a point of
-``GROUPS`` coordinates and the sum of the smaller coordinates of two points bounds what the sets share. Pairs that
+``GROUPS`` coordinates and the sum of the smaller coordinates of two points bounds what the sets share. Long texts get more
+coordinates, one per ``PER_GROUP`` shingles, for with few of them all long texts of one length lie close together. Pairs that
 pass the bound are verified on the whole sets.
 
 How the join is dealt out:
@@ -27,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,7 +36,9 @@ from replyloom.llm.graphs import components
 from replyloom.llm.rows import whole_row
 from replyloom.session import materialize
 
+#: Coordinates of a count vector, at least; shingles per coordinate, at most.
 GROUPS = 128
+PER_GROUP = 8
 SKETCH_BITS = 20
 CHUNK_BITS = 14
 FILTER_BITS = 24
@@ -118,23 +122,44 @@ def set_key(shingles: np.ndarray) -> int:
 
 
 def count_vector(shingles: np.ndarray) -> np.ndarray:
-    return np.bincount((shingles >> np.uint64(40)).astype(np.int64) % GROUPS, minlength=GROUPS).astype(np.int32)
+    """Shingles per hash group. The number of groups is a power of two, so a vector folds onto half as many."""
+    groups = GROUPS
+    while groups * PER_GROUP < len(shingles):
+        groups *= 2
+    return np.bincount((shingles >> np.uint64(30)).astype(np.int64) % groups, minlength=groups).astype(np.int32)
 
 
 def packed(counts: np.ndarray) -> bytes:
-    """A count vector in the narrowest unsigned type that holds it; the number of bytes tells which."""
+    """A count vector in the narrowest unsigned type that holds it, after a byte that tells the type's width."""
     top = int(counts.max(initial=0))
-    return counts.astype(np.uint8 if top < 2**8 else np.uint16 if top < 2**16 else np.uint32).tobytes()
+    kind = np.uint8 if top < 2**8 else np.uint16 if top < 2**16 else np.uint32
+    return bytes([np.dtype(kind).itemsize]) + counts.astype(kind).tobytes()
+
+
+_KINDS = {1: np.uint8, 2: np.uint16, 4: np.uint32}
+
+
+def folded(points: np.ndarray, groups: int) -> np.ndarray:
+    """Count vectors of fewer groups."""
+    while points.shape[-1] > groups:
+        half = points.shape[-1] // 2
+        points = points[..., :half] + points[..., half:]
+    return points
 
 
 def unpacked(column: pa.Array) -> np.ndarray:
-    """Packed count vectors as a matrix."""
-    rows = column.to_pylist()
-    joined = b"".join(rows)
-    if len(joined) == GROUPS * len(rows):
-        return np.frombuffer(joined, dtype=np.uint8).reshape(-1, GROUPS).astype(np.int32)
-    kinds = {GROUPS: np.uint8, 2 * GROUPS: np.uint16, 4 * GROUPS: np.uint32}
-    return np.array([np.frombuffer(row, dtype=kinds[len(row)]) for row in rows], dtype=np.int64).reshape(-1, GROUPS)
+    """Packed count vectors as a matrix, folded onto the fewest groups of any of them."""
+    rows = [(np.frombuffer(row, dtype=_KINDS[row[0]], offset=1)) for row in column.to_pylist()]
+    if not rows:
+        return np.empty((0, GROUPS), dtype=np.int32)
+    wide = any(row.dtype.itemsize == 4 for row in rows)
+    if len({len(row) for row in rows}) == 1:
+        return np.array(rows).astype(np.int64 if wide else np.int32)
+    groups = min(map(len, rows))
+    out = np.empty((len(rows), groups), dtype=np.int64 if wide else np.int32)
+    for at, row in enumerate(rows):
+        out[at] = folded(row.astype(out.dtype), groups)
+    return out
 
 
 def _slots(shingles: np.ndarray) -> np.ndarray:
@@ -284,9 +309,17 @@ def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                a, b = unpacked(batch.column(2)), unpacked(batch.column(3))
-                bound = np.minimum(a, b).sum(axis=1)
-                passes = bound >= _needed(a.sum(axis=1, dtype=np.int64), b.sum(axis=1, dtype=np.int64), percent)
+                # Rows with vectors of the same lengths at a time, so that a short text does not fold the others.
+                lengths = [pc.binary_length(batch.column(i)).to_numpy(zero_copy_only=False).astype(np.int64) for i in (2, 3)]
+                _, kind = np.unique(lengths[0] << 32 | lengths[1], return_inverse=True)
+                passes = np.zeros(batch.num_rows, dtype=bool)
+                for k in range(kind.max() + 1):
+                    at = np.flatnonzero(kind == k)
+                    a, b = (unpacked(batch.column(i).take(pa.array(at))) for i in (2, 3))
+                    groups = min(a.shape[1], b.shape[1])
+                    a, b = folded(a, groups), folded(b, groups)
+                    bound = np.minimum(a, b).sum(axis=1)
+                    passes[at] = bound >= _needed(a.sum(axis=1, dtype=np.int64), b.sum(axis=1, dtype=np.int64), percent)
                 yield batch.select([0, 1]).filter(pa.array(passes))
 
     joined = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_counts", "b_counts")
@@ -370,13 +403,13 @@ def verified(pairs: DataFrame, documents: DataFrame, classes: DataFrame, width:
 def _cells(members: DataFrame, percent: int) -> DataFrame:
     """(pivot, band, i, j, own, set_key, component): where the classes of (pivot, set_key, n, component) meet.
 
-    Sets of linking sizes lie in the same or in neighbouring bands, so each class goes to two bands of its pivot, and
-    bands with one component are left out. What is left of a pivot and band is cut into blocks by hash of the class, and each
+    Sets of linking sizes lie in the same or in neighbouring bands, so each class goes to its own band and the next of its pivot.
+    Bands with one component are left out, and bands with classes of the band below only, which have met there. What is left of a pivot and band is cut into blocks by hash of the class, and each
     two blocks meet once.
     """
     width = max(math.log(100 / percent), 1e-9) * (1 + 1e-6)
-    own_band = F.floor(F.ln("n") / width)
-    banded = members.withColumn("band", F.explode(F.array(own_band, own_band + 1)))
+    banded = members.withColumn("own_band", F.floor(F.ln("n") / width))
+    banded = banded.withColumn("band", F.explode(F.array(F.col("own_band"), F.col("own_band") + 1)))
     rows = F.greatest(F.lit(1), F.least(F.lit(BLOCK_ROWS), F.floor(BLOCK_SHINGLES / F.max("n"))))
     lists = (
         banded.groupBy("pivot", "band")
@@ -384,9 +417,10 @@ def _cells(members: DataFrame, percent: int) -> DataFrame:
             F.ceil(F.count(F.lit(1)) / rows).cast("int").alias("blocks"),
             F.min("component").alias("low"),
             F.max("component").alias("high"),
+            F.max("own_band").alias("top"),
         )
-        .filter("low <> high")
-        .drop("low", "high")
+        .filter("low <> high AND top = band")
+        .drop("low", "high", "top")
     )
     own = F.pmod(F.xxhash64("set_key"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))

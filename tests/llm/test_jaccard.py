@@ -156,3 +156,36 @@ def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 99)], "a BIGINT, b BIGINT")
     found = {r.node: r.component for r in components(links).collect()}
     assert found == {i: 0 for i in range(41)} | {99: 99, 100: 99}
+
+
+def test_long_unrelated_texts_are_no_candidates():
+    """With a fixed number of coordinates, all long texts of one length come near each other and their texts travel."""
+    rng = random.Random(9)
+    texts = [" ".join(f"w{rng.randrange(5000)}" for _ in range(9000 + 10 * k)) for k in range(6)]
+    batch = cell(texts, list(range(6)))
+    assert not list(jaccard._near_classes(iter([batch.select(range(8))]), 85))
+    copies = cell([*texts, texts[0] + " end", texts[5].replace("w1 ", "v1 ")], list(range(8)))
+    near = [row for out in jaccard._near_classes(iter([copies.select(range(8))]), 85) for row in out.column(5).to_pylist()]
+    assert sorted(near) == [0, 5, 6, 7]
+
+
+def test_folded_counts_bound_what_sets_share(spark):
+    """Sets on both sides of a change of length: the bound of every two is at least their overlap, and no link is lost."""
+    rng = np.random.default_rng(5)
+    base = np.unique(rng.integers(0, 2**63, 2300, dtype=np.uint64) * np.uint64(2))
+    sets = [base[:n] for n in (900, 1020, 1024, 1025, 1190, 2040, 2300)]
+    lengths = [len(jaccard.count_vector(s)) for s in sets]
+    assert lengths == [128, 128, 128, 256, 256, 256, 512]
+    points = jaccard.unpacked(pa.array([jaccard.packed(jaccard.count_vector(s)) for s in sets], pa.binary()))
+    assert points.shape == (7, 128) and points.sum(axis=1).tolist() == [len(s) for s in sets]
+    vectors = [(i, jaccard.packed(jaccard.count_vector(s))) for i, s in enumerate(sets)]
+    classes = spark.createDataFrame([(i, bytearray(v)) for i, v in vectors], "set_key BIGINT, counts BINARY")
+    pairs = [(i, j) for i in range(7) for j in range(i)]
+    passed = {tuple(r) for r in jaccard._bounded(spark.createDataFrame(pairs, "a BIGINT, b BIGINT"), classes, 85).collect()}
+    assert passed == {(i, j) for i, j in pairs if 100 * len(sets[j]) >= 85 * len(sets[i])}
+
+
+def test_classes_of_like_size_meet_in_one_band(spark):
+    members = spark.createDataFrame([(1, 10, 500, 10), (1, 11, 501, 11), (2, 12, 500, 12), (2, 13, 560, 13)], "pivot BIGINT, set_key BIGINT, n BIGINT, component BIGINT")
+    found = sorted((r.pivot, r.set_key) for r in jaccard._cells(members, 85).collect())
+    assert found == [(1, 10), (1, 11), (2, 12), (2, 13)]
