@@ -8,6 +8,8 @@ most words were met before. Every result is compared with the sentencepiece libr
 
 from __future__ import annotations
 
+import contextlib
+import gc
 import hashlib
 import heapq
 import re
@@ -66,6 +68,8 @@ class MergeVocabulary:
         if self.library.normalize(probe) != SPACE + probe.replace(" ", SPACE):
             raise ValueError("a model that normalises texts is not supported")
         self.names = [str(i) for i in range(size)]
+        #: One object for every id, which all remembered words share; the last one stands for no id.
+        self.numbers = np.array([*range(size), -1], dtype=object)
         longer = [p for p in self.ids if len(p) > 1]
         self.pairs = {p[i : i + 2] for p in longer for i in range(len(p) - 1)}
         #: Whether a piece holds a space mark after another character, so that spaces are no cuts.
@@ -85,10 +89,11 @@ class MergeVocabulary:
 
     def _number(self, longer: Sequence[str]) -> None:
         """Symbols by number, for agendas of many short segments at once: characters and pieces, and what two of them make."""
-        names = sorted(set(self.ids) | set("".join(longer)))
+        single = {chr(b): i for b, i in self.bytes.items() if b < 128}
+        names = sorted(set(self.ids) | set("".join(longer)) | set(single))
         number = {name: i for i, name in enumerate(names)}
-        # The last entry stands for every character no piece has.
-        self.symbol_ids = np.array([*[self.ids.get(name, -1) for name in names], -1])
+        # An ASCII character without a piece is its byte; the last entry stands for every other character no piece has.
+        self.symbol_ids = np.array([*[self.ids.get(name, single.get(name, -1)) for name in names], -1])
         self.symbols = names
         self.by_character = np.arange(len(names), len(names) + 0x110000, dtype=np.int64)
         for name in names:
@@ -104,50 +109,82 @@ class MergeVocabulary:
         self.pair_keys = np.ascontiguousarray(made[0])
         self.pair_ranks, self.pair_makes = made[1].astype(np.int32), made[2].astype(np.int32)
         self.never = len(order)
+        self._place()
+
+    def _place(self) -> None:
+        """Tables of places in ``pair_keys`` by hashes of the key: each has the pairs whose slots in those before are taken. Two mostly do."""
+        bits = max(8, (16 * len(self.pair_keys)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        rng = np.random.Generator(np.random.PCG64(7))
+        self.factors, self.places = [], []
+        left = np.arange(len(self.pair_keys))
+        while len(left) or not self.places:
+            tried = []
+            for factor in rng.integers(1, 2**63, 16 if self.places else 1, dtype=np.int64) | np.int64(1):
+                slots = self._slots(self.pair_keys[left], factor)
+                first = np.unique(slots, return_index=True)[1]
+                tried.append((len(left) - len(first), factor, slots, first))
+                if len(first) == len(left):
+                    break
+            _, factor, slots, first = min(tried, key=lambda t: t[0])
+            table = np.zeros(1 << bits, dtype=np.int32)
+            table[slots[first]] = left[first]
+            self.factors.append(factor)
+            self.places.append(table)
+            left = np.delete(left, first)
+
+    def _slots(self, keys: np.ndarray, factor: np.int64) -> np.ndarray:
+        mixed = (keys ^ (keys >> 29)) * factor
+        return (mixed.view(np.uint64) >> self.shift).astype(np.int64)
 
     def _offers(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and symbol of what each two neighbours make; the rank ``never`` where they make nothing."""
-        # What is left of the end of a segment is -1, and so is its key: no pair has it.
+        # Where no symbol stands is -1, and keys with it are negative: no pair has them.
         keys = left << 32 | right
-        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
+        at = self.places[0][self._slots(keys, self.factors[0])]
+        for table, factor in zip(self.places[1:], self.factors[1:]):
+            later = table[self._slots(keys, factor)]
+            at = np.where(self.pair_keys[later] == keys, later, at)
         return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], np.int32(self.never)), self.pair_makes[at]
 
     def merged_many(self, segments: Sequence[str]) -> list[tuple[int, ...]]:
         """Ids of every segment: one agenda per row of a matrix, one merge per row and round."""
-        count, width = len(segments), max(map(len, segments)) + 1
+        count, width = len(segments), max(map(len, segments))
         lengths = np.fromiter(map(len, segments), np.int64, count)
-        symbols = np.full((count, width), -1, dtype=np.int64)
+        # A column on each side holds no symbol, so that every place has neighbours.
+        symbols = np.full((count, width + 2), -1, dtype=np.int64)
         points = np.frombuffer("".join(segments).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        symbols[np.arange(width) < lengths[:, None]] = self.by_character[points]
-        ranks, makes = self._offers(symbols[:, :-1], symbols[:, 1:])
-        ranks = np.concatenate([ranks, np.full((count, 1), self.never, dtype=np.int32)], axis=1)
-        makes = np.concatenate([makes, makes[:, :1]], axis=1)
-        out: list[tuple[int, ...]] = [()] * count
-        rows = np.arange(count)
-        while len(rows):
-            best = ranks.argmin(axis=1)
-            ended = ranks[np.arange(len(rows)), best] == self.never
-            if ended.any():
-                left = symbols[ended]
-                ids = self.symbol_ids[np.minimum(left, len(self.symbols))]
-                plain = ((ids >= 0) | (left < 0)).all(axis=1).tolist()
-                sizes = (left >= 0).sum(axis=1).tolist()
-                for row, size, own, known, i in zip(rows[ended].tolist(), sizes, ids.tolist(), plain, range(len(sizes))):
-                    out[row] = tuple(own[:size]) if known else self._spelled(left[i, :size].tolist())
-                more = ~ended
-                rows, best, symbols, ranks, makes = rows[more], best[more], symbols[more], ranks[more], makes[more]
-            at = np.arange(len(rows))
-            made = makes[at, best].astype(np.int64)
-            # What stands right of the pair moves one place to the left.
-            moves = np.arange(width - 1) >= best[:, None]
-            for table in (symbols, ranks, makes):
-                np.copyto(table[:, :-1], table[:, 1:].copy(), where=moves)
-            symbols[:, -1], ranks[:, -1] = -1, self.never
-            symbols[at, best] = made
-            ranks[at, best], makes[at, best] = self._offers(made, symbols[at, np.minimum(best + 1, width - 1)])
-            has_left = best > 0
-            at, best = at[has_left], best[has_left]
-            ranks[at, best - 1], makes[at, best - 1] = self._offers(symbols[at, best - 1], made[has_left])
+        symbols[:, 1:-1][np.arange(width) < lengths[:, None]] = self.by_character[points]
+        ranks = np.full((count, width + 2), self.never, dtype=np.int32)
+        makes = np.zeros((count, width + 2), dtype=np.int32)
+        ranks[:, :-1], makes[:, :-1] = self._offers(symbols[:, :-1], symbols[:, 1:])
+        # Tables are read and written by place. A merged symbol stays at its left place; the right one is -1 and skipped by the links.
+        places = np.arange(count * (width + 2))
+        after, before = (places + 1).astype(np.int32), (places - 1).astype(np.int32)
+        flat, flat_ranks, flat_makes = symbols.reshape(-1), ranks.reshape(-1), makes.reshape(-1)
+        starts = np.arange(0, len(places), width + 2)
+        while len(starts):
+            # While all rows are left, they need not be copied.
+            left = ranks if len(starts) == count else ranks[starts // (width + 2)]
+            at = starts + left.argmin(axis=1)
+            going = flat_ranks[at] < self.never
+            if not going.all():
+                starts, at = starts[going], at[going]
+            made = flat_makes[at].astype(np.int64)
+            right, near = after[at], before[at]
+            beyond = after[right]
+            flat[at], flat[right], flat_ranks[right] = made, -1, self.never
+            after[at], before[beyond] = beyond, at
+            flat_ranks[at], flat_makes[at] = self._offers(made, flat[beyond])
+            flat_ranks[near], flat_makes[near] = self._offers(flat[near], made)
+        held = symbols >= 0
+        ids = self.symbol_ids[np.minimum(symbols[held], len(self.symbols))]
+        sizes = held.sum(axis=1)
+        ends = np.cumsum(sizes)
+        found, bounds = self.numbers[ids].tolist(), ends.tolist()
+        out = [tuple(found[end - size : end]) for end, size in zip(bounds, sizes.tolist())]
+        for row in np.unique(np.searchsorted(ends, np.flatnonzero(ids < 0), side="right")).tolist():
+            out[row] = self._spelled(symbols[row][held[row]].tolist())
         return out
 
     def merged(self, run: str) -> list[str]:
@@ -244,7 +281,9 @@ class MergeVocabulary:
         if None in found:
             self.learn({w for w, ids in zip(words, found) if ids is None and len(w) < SHORT})
             get = self.known.get
-            found = [ids or get(w) or self._long_ids(w) for w, ids in zip(words, found)]
+            for at, ids in enumerate(found):
+                if ids is None:
+                    found[at] = get(words[at]) or self._long_ids(words[at])
         ends = list(accumulate(map(len, cut)))
         return [list(chain.from_iterable(found[end - len(own) : end])) for own, end in zip(cut, ends)]
 
@@ -289,6 +328,18 @@ def vocabulary(path: str) -> MergeVocabulary:
     return _LOADED[path]
 
 
+@contextlib.contextmanager
+def _uncollected() -> Iterator[None]:
+    """Without the search for cycles, which looks at every remembered word and makes none."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
 CODED = "n_tokens BIGINT, ids_sha256 STRING, decoded_sha256 STRING, agrees BOOLEAN"
 
 
@@ -342,7 +393,8 @@ def coded_digests(documents: DataFrame, path: str, key: str = "doc_id", text: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = vocabulary(path)
         for batch in batches:
-            rows = digests(pieces, [value.as_py() or "" for value in batch.column(1)])
+            with _uncollected():
+                rows = digests(pieces, [value.as_py() or "" for value in batch.column(1)])
             columns = list(zip(*rows)) or [[], [], [], []]
             types = [pa.int64(), pa.string(), pa.string(), pa.bool_()]
             added = [pa.array(c, t) for c, t in zip(columns, types)]

@@ -1,8 +1,10 @@
 """Merge-type encoding against the sentencepiece library."""
 
+import gc
 import hashlib
 import random
 
+import numpy as np
 import pytest
 import sentencepiece
 
@@ -88,3 +90,30 @@ def test_a_unigram_rule_is_noticed(tmp_path):
     with pytest.raises(ValueError, match="merge type"):
         for t in texts():
             pieces._checked_ids(Changed(PATH), t)
+
+
+def test_every_pair_is_found_and_no_other(monkeypatch):
+    own = pieces.MergeVocabulary(PATH)
+    left, right = own.pair_keys >> 32, own.pair_keys & 0xFFFFFFFF
+    ranks, makes = own._offers(left, right)
+    assert (ranks == own.pair_ranks).all() and (makes == own.pair_makes).all() and len(own.places) <= 3
+    known = set(own.pair_keys.tolist())
+    keys = own.pair_keys + 1
+    ranks, _ = own._offers(keys >> 32, keys & 0xFFFFFFFF)
+    assert [r < own.never for r in ranks.tolist()] == [k in known for k in keys.tolist()]
+    ends = np.full(3, -1)
+    assert (own._offers(ends, ends)[0] == own.never).all() and (own._offers(left[:3], ends)[0] == own.never).all()
+
+
+def test_ascii_characters_without_a_piece_are_merged_in_the_matrix(monkeypatch):
+    own = pieces.MergeVocabulary(PATH)
+    monkeypatch.setattr(own, "_spelled", None)
+    words = ["que.\nThe", "\x00", "a\tb\x7fc", "\n\n"]
+    assert own.merged_many([pieces.SPACE + w for w in words]) == [tuple(LIBRARY.encode(w)) for w in words]
+
+
+def test_tasks_do_not_search_for_cycles_while_they_encode():
+    assert gc.isenabled()
+    with pieces._uncollected():
+        assert not gc.isenabled()
+    assert gc.isenabled()
