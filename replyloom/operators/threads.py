@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from replyloom.functions.text import child_ids, parse_created_at
 from replyloom.operators.ordering import first_rows, number_rows
-from replyloom.session import cut_counting, cut_lineage, materialize
+from replyloom.session import cut_lineage, materialize, write_counting
 
 
 def links(tweets: DataFrame) -> DataFrame:
@@ -80,7 +80,7 @@ def _double(nodes: DataFrame) -> DataFrame:
     root leave the loop as soon as they reach it.
     """
     unsettled = ~F.col("settled")
-    state, left = cut_counting(
+    state, left = write_counting(
         nodes.select(
             "tweet_id",
             F.coalesce("parent", "tweet_id").alias("ptr"),
@@ -105,7 +105,7 @@ def _double(nodes: DataFrame) -> DataFrame:
         jumped = active.join(target, "ptr").select(
             "tweet_id", F.col("next").alias("ptr"), F.col("arrives").alias("settled")
         )
-        moved, remaining = cut_counting(jumped, unsettled)
+        moved, remaining = write_counting(jumped, unsettled)
         done.append(moved.filter("settled"))
         active = moved.filter(unsettled)
         round_no += 1

@@ -146,3 +146,10 @@ def cut_counting(df: DataFrame, condition: Column) -> tuple[DataFrame, int]:
     observation = Observation()
     written = cut_lineage(df.observe(observation, F.count_if(condition).alias("n")))
     return written, observation.get["n"]
+
+
+def write_counting(df: DataFrame, condition: Column) -> tuple[DataFrame, int]:
+    """As ``cut_counting``, but as a stage table: a checkpoint keeps what the planner inferred, which can grow with every round of a loop."""
+    observation = Observation()
+    written = materialize(df.observe(observation, F.count_if(condition).alias("n")))
+    return written, observation.get["n"]

@@ -165,3 +165,11 @@ def test_a_first_turn_without_text_is_no_defect_of_its_record(spark, tmp_path):
     assert [r.text for r in messages(spark, str(tmp_path)).filter("inbound").collect()] == [None]
     problems = QUERIES["record_problems"](spark, str(tmp_path)).collect()
     assert len(problems) == 13 and all(r.lines == 0 for r in problems)
+
+
+def test_rounds_leave_nothing_inferred_behind(spark):
+    """Rounds go on from tables: what a checkpoint keeps of its plan doubled the planning time of every round of a long chain."""
+    chain = spark.range(20).selectExpr("id AS tweet_id", "nullif(id - 1, -1) AS in_response_to_tweet_id")
+    roots = threads.thread_roots(chain)
+    assert {tuple(r) for r in roots.collect()} == {(i, 0) for i in range(20)}
+    assert "ExistingRDD" not in roots._jdf.queryExecution().toString()
